@@ -18,10 +18,12 @@ SETTINGS = {
 }
 
 
-def local_session(app: str = "eventpulse", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(
+    app: str = "eventpulse", cores: str = "*", shuffle_partitions: int = 8, extra: dict[str, str] | None = None
+) -> SparkSession:
     """A session for tests and the bench. On a cluster, pass ``SETTINGS`` to spark-submit instead."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -10,12 +10,15 @@ from ..schema import RAW_COLUMNS
 from ..sources.dayfiles import archive_lines, split_lines, text_options, typed, with_file
 from ..sources.lake import LANDED, LANDED_SCHEMA
 
+# The columns of Spark's binaryFile source, which a stream has to be told.
+_BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def stream_lines(spark: SparkSession, root: str, zipped: bool = False) -> DataFrame:
     """New files under the lake folder as the 58 text fields."""
     if zipped:
-        archives = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.export.CSV.zip")
-        return split_lines(archive_lines(archives.load(root)))
+        archives = spark.readStream.format("binaryFile").schema(_BINARY_SCHEMA)
+        return split_lines(archive_lines(archives.option("pathGlobFilter", "*.export.CSV.zip").load(root)))
     lines = text_options(spark.readStream).option("pathGlobFilter", "*.export.CSV").option("recursiveFileLookup", "true")
     return with_file(lines.csv(f"{root.rstrip('/')}/raw")).withColumn("file_error", F.lit(None).cast("string"))
 
@@ -34,6 +37,9 @@ def load_new_files(
 
     Without a quarantine path, a value of the wrong type stops the query. With
     one, rows that hold such a value, and unreadable archives, are written there.
+
+    The file sink keeps its own list of files, so a table filled by a stream is
+    filled by streams only.
     """
     parsed = typed(lines)
     is_bad = (F.size("bad_columns") > 0) | F.col("file_error").isNotNull()

@@ -1,0 +1,204 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventpulse.operators import reshape, series
+from eventpulse.operators.aggregates import most_frequent
+
+
+def people(spark):
+    data = [
+        (123, dt.date(2017, 1, 1), "active", "tier 1", "name 1"),
+        (234, dt.date(2017, 2, 1), "active", "tier 3", "name 3"),
+        (567, dt.date(2017, 3, 1), "churned", "tier 2", "name 2"),
+    ]
+    return spark.createDataFrame(data, "customer_id long, created_at date, status string, segment string, name string")
+
+
+def colours(spark):
+    return spark.createDataFrame([("S", "red"), ("S", "blue"), ("S", "blue's"), ("M", "red")], "size string, color string")
+
+
+def test_pivot(spark, rows):
+    got = reshape.pivot(colours(spark), ["size"], "color", ["red", "blue"])
+    assert got.columns == ["size", "red", "blue"]
+    assert rows(got) == [("M", 1, 0), ("S", 1, 1)]
+
+
+def test_pivot_with_plain_names(spark, rows):
+    got = reshape.pivot(colours(spark), ["size"], "color", ["red", "blue", "blue's"], quote_identifiers=False)
+    assert got.columns == ["size", "red", "blue", "blues"]
+    assert rows(got) == [("M", 1, 0, 0), ("S", 1, 1, 1)]
+
+
+def test_pivot_comparison_and_else(spark, rows):
+    df = spark.createDataFrame([("a", 1), ("a", 5), ("b", 2)], "k string, v int")
+    got = reshape.pivot(df, ["k"], "v", [2, 4], agg="max", cmp=">=", then_value=F.col("v"), else_value=None, prefix="v")
+    assert rows(got) == [("a", 5, 5), ("b", 2, None)]
+    with pytest.raises(ValueError):
+        reshape.pivot(df, ["k"], "v", [1], cmp="~")
+    with pytest.raises(ValueError):
+        reshape.pivot(df, ["k"], "v", [1], agg="avg", distinct=True)
+
+
+def test_unpivot(spark, rows):
+    got = reshape.unpivot(people(spark), "string", ["customer_id", "created_at"], ["name"], "prop", "val")
+    assert got.columns == ["customer_id", "created_at", "prop", "val"]
+    day = [dt.date(2017, m, 1) for m in (1, 2, 3)]
+    assert rows(got) == [
+        (123, day[0], "segment", "tier 1"),
+        (123, day[0], "status", "active"),
+        (234, day[1], "segment", "tier 3"),
+        (234, day[1], "status", "active"),
+        (567, day[2], "segment", "tier 2"),
+        (567, day[2], "status", "churned"),
+    ]
+
+
+def test_unpivot_defaults(spark):
+    got = reshape.unpivot(people(spark), exclude=["customer_id", "created_at"])
+    assert got.columns == ["customer_id", "created_at", "field_name", "value"]
+    assert got.count() == 9
+
+
+def test_unpivot_boolean_and_missing(spark, rows):
+    df = spark.createDataFrame([(1, True), (2, False), (3, None)], "id int, is_updated boolean")
+    assert rows(reshape.unpivot(df, exclude=["ID"])) == [
+        (1, "is_updated", "true"),
+        (2, "is_updated", "false"),
+        (3, "is_updated", None),
+    ]
+
+
+def test_unpivot_keeps_case(spark):
+    df = spark.createDataFrame([(1, "active", "tier 1")], "Customer_Id int, sTaTuS string, SEGMENT string")
+    got = reshape.unpivot(df, exclude=["Customer_Id"], field_name="Prop", value_name="Val")
+    assert got.columns == ["Customer_Id", "Prop", "Val"]
+    assert {r.Prop for r in got.collect()} == {"sTaTuS", "SEGMENT"}
+
+
+def favourites(spark):
+    one = spark.createDataFrame(
+        [(1, "drew", "pi"), (2, "bob", "e"), (3, "alice", "4")], "id long, name string, favorite_number string"
+    )
+    two = spark.createDataFrame([(1, "green", 7), (2, "pink", 13)], "id long, favorite_color string, favorite_number int")
+    return {"table_1": one, "table_2": two}
+
+
+def test_union_relations(spark, rows):
+    got = reshape.union_relations(favourites(spark))
+    assert got.columns == ["_dbt_source_relation", "id", "name", "favorite_number", "favorite_color"]
+    assert rows(got.drop("_dbt_source_relation")) == [
+        (1, None, "7", "green"),
+        (1, "drew", "pi", None),
+        (2, None, "13", "pink"),
+        (2, "bob", "e", None),
+        (3, "alice", "4", None),
+    ]
+    assert {r[0] for r in got.select("_dbt_source_relation").collect()} == {"table_1", "table_2"}
+
+
+@pytest.mark.parametrize("name", ["name", "NAME"])
+def test_union_relations_exclude(spark, name):
+    got = reshape.union_relations(favourites(spark), exclude=[name], source_column_name=None)
+    assert got.columns == ["id", "favorite_number", "favorite_color"]
+    assert got.count() == 5
+
+
+def test_union_relations_include_where_and_errors(spark, rows):
+    got = reshape.union_relations(favourites(spark), include=["ID"], where="id = 1", source_column_name="source")
+    assert rows(got) == [("table_1", 1), ("table_2", 1)]
+    with pytest.raises(ValueError):
+        reshape.union_relations(favourites(spark), include=["id"], exclude=["name"])
+    with pytest.raises(ValueError):
+        reshape.union_relations(favourites(spark), include=["nothing"])
+
+
+def test_union_relations_override(spark):
+    got = reshape.union_relations(favourites(spark), column_override={"id": "string"})
+    assert dict(got.dtypes)["id"] == "string"
+
+
+def test_deduplicate(spark, rows):
+    df = spark.createDataFrame([(1, "play", 1), (1, "play", 2), (2, "pause", 1)], "user_id int, event string, version int")
+    got = reshape.deduplicate(df, ["user_id"], [F.desc("version")])
+    assert rows(got) == [(1, "play", 2), (2, "pause", 1)]
+
+
+def test_deduplicate_keeps_missing_keys_and_limits_before_the_shuffle(spark, rows):
+    df = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "k int, v int")
+    got = reshape.deduplicate(df.repartition(3), ["k"], ["v"])
+    assert rows(got) == [(None, 1), (1, 3)]
+    assert "WindowGroupLimit" in got._jdf.queryExecution().toString()
+
+
+def test_star(spark):
+    df = spark.createDataFrame([("a", "b", "c")], "field_1 string, field_2 string, field_3 string")
+    assert df.select(reshape.star(df, exclude=["FIELD_3"])).columns == ["field_1", "field_2"]
+    assert df.select(reshape.star(df, prefix="prefix_", suffix="_suffix")).columns == [
+        "prefix_field_1_suffix",
+        "prefix_field_2_suffix",
+        "prefix_field_3_suffix",
+    ]
+    assert df.alias("t").select(reshape.star(df, relation_alias="t")).columns == df.columns
+
+
+def test_star_in_an_aggregate(spark, rows):
+    df = spark.createDataFrame([("a", "b", 1), ("a", "b", 2), ("c", "d", 3), ("c", "e", 4)], "g1 string, g2 string, v int")
+    got = df.groupBy(*reshape.star(df, exclude=["v"])).agg(F.sum("v").alias("v_sum"))
+    assert rows(got) == [("a", "b", 3), ("c", "d", 3), ("c", "e", 4)]
+
+
+def test_group_by_n(spark, rows):
+    df = spark.createDataFrame([("a", 1, 2), ("a", 1, 3), ("b", 1, 4)], "x string, y int, z int")
+    assert rows(reshape.group_by_n(df, 2).agg(F.sum("z"))) == [("a", 1, 5), ("b", 1, 4)]
+    with pytest.raises(ValueError):
+        reshape.group_by_n(df, 4)
+
+
+def test_nullcheck_table(spark, rows):
+    df = spark.createDataFrame([("a", "", 1), ("", "b", 2), ("", "", 3)], "f1 string, f2 string, f3 int")
+    assert rows(reshape.nullcheck_table(df)) == [(None, None, 3), (None, "b", 2), ("a", None, 1)]
+
+
+def test_most_frequent(spark, rows):
+    data = [("a", "x"), ("a", "x"), ("a", "y"), ("b", "q"), ("b", "p"), ("c", None), ("c", None), ("c", "z"), ("d", None), ("d", "n")]
+    df = spark.createDataFrame(data, "g string, v string")
+    assert rows(most_frequent(df, ["g"], "v", "m").drop("n_rows")) == [("a", "x"), ("b", "p"), ("c", None), ("d", "n")]
+    sketch = dict(most_frequent(df, ["g"], "v", "m", approximate=True).collect())
+    assert sketch["a"] == "x" and sketch["c"] is None
+
+
+def test_generate_series(spark):
+    assert [r[0] for r in series.generate_series(spark, 10).orderBy("generated_number").collect()] == list(range(1, 11))
+    with pytest.raises(ValueError):
+        series.generate_series(spark, 0)
+
+
+def test_date_spine_leaves_out_the_end(spark):
+    spine = series.date_spine(spark, "day", dt.date(2018, 1, 1), dt.date(2018, 1, 10))
+    assert [r[0] for r in spine.orderBy("date_day").collect()] == [dt.date(2018, 1, d) for d in range(1, 10)]
+
+
+@pytest.mark.parametrize(
+    "unit, start, end, want",
+    [
+        ("month", dt.date(2024, 1, 31), dt.date(2024, 4, 1), [dt.date(2024, 1, 31), dt.date(2024, 2, 29), dt.date(2024, 3, 31)]),
+        ("quarter", dt.date(2024, 1, 1), dt.date(2024, 7, 1), [dt.date(2024, 1, 1), dt.date(2024, 4, 1)]),
+        ("year", dt.date(2020, 2, 29), dt.date(2022, 1, 1), [dt.date(2020, 2, 29), dt.date(2021, 2, 28)]),
+        ("week", dt.date(2024, 1, 1), dt.date(2024, 1, 15), [dt.date(2024, 1, 1), dt.date(2024, 1, 8)]),
+        ("hour", "2024-01-01 22:00:00", "2024-01-02 01:00:00",
+         [dt.datetime(2024, 1, 1, 22), dt.datetime(2024, 1, 1, 23), dt.datetime(2024, 1, 2)]),
+    ],
+)
+def test_date_spine_units(spark, unit, start, end, want):
+    spine = series.date_spine(spark, unit, start, end)
+    assert [r[0] for r in spine.orderBy(f"date_{unit}").collect()] == want
+
+
+def test_date_spine_rejects_empty_ranges_and_unknown_units(spark):
+    with pytest.raises(ValueError):
+        series.date_spine(spark, "day", dt.date(2024, 1, 2), dt.date(2024, 1, 2))
+    with pytest.raises(ValueError):
+        series.date_spine(spark, "fortnight", dt.date(2024, 1, 2), dt.date(2024, 3, 2))

@@ -54,7 +54,9 @@ def _glob(root: str, names: Sequence[str]) -> str:
 
 
 def file_date(name: Column) -> Column:
-    return F.try_to_date(F.regexp_extract(name, r"(\d{8})\.export\.CSV", 1), "yyyyMMdd")
+    """The date that a file name starts with, NULL when it does not start with one."""
+    parts = [F.substring(name, start, length) for start, length in ((1, 4), (5, 2), (7, 2))]
+    return F.concat_ws("-", *parts).try_cast("date")
 
 
 def with_file(df: DataFrame) -> DataFrame:
@@ -68,9 +70,9 @@ def no_lines(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], f"{columns}, file_path string, file_date date, file_error string")
 
 
-def text_options(reader):
+def text_options(reader, schema=RAW_TEXT_SCHEMA):
     """Tab-separated, no header, no quoting. Short lines are filled with NULL, extra fields dropped."""
-    return reader.schema(RAW_TEXT_SCHEMA).option("sep", "\t").option("quote", "").option("header", "false")
+    return reader.schema(schema).option("sep", "\t").option("quote", "").option("header", "false")
 
 
 def read_day_files(spark: SparkSession, root: str, dates: Sequence[date]) -> DataFrame:
@@ -149,13 +151,18 @@ def read_archives(spark: SparkSession, root: str, dates: Sequence[date]) -> Data
 
 
 def _misfits() -> Column:
-    """Names of the columns whose text does not fit their type."""
+    """Names of the columns whose text does not fit their type, separated by commas."""
     checks = [
         F.when(F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull(), name)
         for name, kind in RAW_TYPES.items()
         if kind != "string"
     ]
-    return F.array_compact(F.array(*checks))
+    return F.concat_ws(",", *checks)
+
+
+def is_bad() -> Column:
+    """True for rows of ``typed`` that hold a value of the wrong type."""
+    return F.col("bad_columns") != ""
 
 
 def typed(lines: DataFrame) -> DataFrame:
@@ -167,4 +174,4 @@ def typed(lines: DataFrame) -> DataFrame:
 
 def quarantined(lines: DataFrame) -> DataFrame:
     """The lines, as text, that hold a value of the wrong type."""
-    return lines.withColumn("bad_columns", _misfits()).where(F.size("bad_columns") > 0)
+    return lines.withColumn("bad_columns", _misfits()).where(is_bad())

@@ -8,12 +8,13 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..schema import RAW_COLUMNS
-from .dayfiles import no_lines, read_archive_lines, split_lines
+from ..schema import RAW_COLUMNS, RAW_TEXT_SCHEMA
+from .dayfiles import no_lines, read_archive_lines, text_options
 
 LANDED = "raw_lines"
-LANDED_SCHEMA = "line string, file_date date"
+LANDED_SCHEMA = T.StructType([*RAW_TEXT_SCHEMA.fields, T.StructField("file_date", T.DateType())])
 
 
 def tab_lines(raw: DataFrame) -> DataFrame:
@@ -25,7 +26,7 @@ def tab_lines(raw: DataFrame) -> DataFrame:
 
 def _landed(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        return spark.read.schema(LANDED_SCHEMA).text(f"{root.rstrip('/')}/{LANDED}")
+        return text_options(spark.read, LANDED_SCHEMA).csv(f"{root.rstrip('/')}/{LANDED}")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -64,4 +65,4 @@ def read_landed(spark: SparkSession, root: str, dates: Sequence[date] | None = N
     if dates is not None:
         lines = lines.where(F.col("file_date").isin(list(dates)))
     named = lines.withColumn("file_path", F.col("_metadata.file_path"))
-    return split_lines(named.withColumn("file_error", F.lit(None).cast("string")))
+    return named.withColumn("file_error", F.lit(None).cast("string"))

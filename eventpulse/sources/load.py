@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import RAW_COLUMNS
-from .dayfiles import date_frame, typed
+from .dayfiles import date_frame, is_bad, typed
 from .tables import landed_dates, read_if_present
 
 MODES = ("replace", "skip", "append")
@@ -59,10 +59,9 @@ def load_days(
     wanted = [d for d in dates if d not in set(skipped)]
 
     parsed = typed(lines).where(F.col("file_date").isin(wanted))
-    is_bad = F.size("bad_columns") > 0
     per_date = parsed.groupBy("file_date").agg(
         F.count_if(F.col("file_error").isNull()).alias("rows_read"),
-        F.count_if(is_bad).alias("rows_bad"),
+        F.count_if(is_bad()).alias("rows_bad"),
         F.max("file_error").alias("file_error"),
     )
     error = F.when(F.col("file_error").isNotNull(), F.col("file_error")).when(F.col("rows_read") == 0, "file is empty")
@@ -73,7 +72,7 @@ def load_days(
 
     loaded = sorted(r.file_date for r in report if r.error is None)
     if loaded:
-        rows = parsed.where(F.col("file_date").isin(loaded) & F.col("file_error").isNull() & ~is_bad)
+        rows = parsed.where(F.col("file_date").isin(loaded) & F.col("file_error").isNull() & ~is_bad())
         writer = rows.select(*RAW_COLUMNS, F.col("file_date").alias("ingest_date")).write.partitionBy("ingest_date")
         if mode == "append":
             writer.mode("append").parquet(table_path)

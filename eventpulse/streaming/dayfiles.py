@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import RAW_COLUMNS
-from ..sources.dayfiles import archive_lines, split_lines, text_options, typed, with_file
+from ..sources.dayfiles import archive_lines, is_bad, split_lines, text_options, typed, with_file
 from ..sources.lake import LANDED, LANDED_SCHEMA
 
 # The columns of Spark's binaryFile source, which a stream has to be told.
@@ -25,9 +25,9 @@ def stream_lines(spark: SparkSession, root: str, zipped: bool = False) -> DataFr
 
 def stream_landed(spark: SparkSession, root: str) -> DataFrame:
     """New files of the lines that ``land_lines`` wrote, as the 58 text fields."""
-    lines = spark.readStream.schema(LANDED_SCHEMA).text(f"{root.rstrip('/')}/{LANDED}")
+    lines = text_options(spark.readStream, LANDED_SCHEMA).csv(f"{root.rstrip('/')}/{LANDED}")
     named = lines.withColumn("file_path", F.col("_metadata.file_path"))
-    return split_lines(named.withColumn("file_error", F.lit(None).cast("string")))
+    return named.withColumn("file_error", F.lit(None).cast("string"))
 
 
 def load_new_files(
@@ -42,12 +42,12 @@ def load_new_files(
     filled by streams only.
     """
     parsed = typed(lines)
-    is_bad = (F.size("bad_columns") > 0) | F.col("file_error").isNotNull()
+    unusable = is_bad() | F.col("file_error").isNotNull()
     target = [*RAW_COLUMNS, F.col("file_date").alias("ingest_date")]
 
     if quarantine_path is None:
         reason = F.concat(F.lit("bad value in "), F.col("file_path"))
-        rows = parsed.where(F.when(is_bad, F.raise_error(reason).cast("boolean")).otherwise(F.lit(True)))
+        rows = parsed.where(F.when(unusable, F.raise_error(reason).cast("boolean")).otherwise(F.lit(True)))
         return (
             rows.select(*target)
             .writeStream.format("parquet")
@@ -60,8 +60,8 @@ def load_new_files(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # The batch number in the folder makes a repeated batch replace itself.
-        good = batch.where(~is_bad).select(*target).withColumn("batch", F.lit(batch_id))
-        bad = batch.where(is_bad).withColumn("batch", F.lit(batch_id))
+        good = batch.where(~unusable).select(*target).withColumn("batch", F.lit(batch_id))
+        bad = batch.where(unusable).withColumn("batch", F.lit(batch_id))
         for rows, path, folders in ((good, table_path, ["ingest_date", "batch"]), (bad, quarantine_path, ["batch"])):
             writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy(*folders).parquet(path)

@@ -116,7 +116,7 @@ def test_bad_values_fail_the_file_or_are_left_out(spark, tmp_path):
     kept = load_days(spark, read, [D1, D2], str(tmp_path / "b"), on_bad_value="quarantine")
     assert audit(kept) == {D1: ("loaded", 1), D2: ("loaded", 1)} and kept.ok
     bad = dayfiles.quarantined(read).collect()
-    assert [(r.GlobalEventID, r.AvgTone, r.bad_columns) for r in bad] == [("2", "abc", ["AvgTone"])]
+    assert [(r.GlobalEventID, r.AvgTone, r.bad_columns) for r in bad] == [("2", "abc", "AvgTone")]
 
 
 def test_unreadable_archives_fail_alone(spark, tmp_path):

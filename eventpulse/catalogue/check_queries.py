@@ -324,13 +324,13 @@ def q_ranges_gaps_required(spark, sf_dir):
     return check.violations
 
 
-_END = "CASE WHEN event_type <> 'error' THEN event_id + CAST(value / 100 AS INTEGER) END"
+_END = "CASE WHEN event_type <> 'error' THEN event_id + CAST(floor(value / 100) AS INTEGER) END"
 
 
 @query("q_ranges_no_gaps", _ranges_sql("events", "", "event_id", _END, "=", "<"))
 def q_ranges_no_gaps(spark, sf_dir):
     """One sequence of ranges over the whole table, some with a missing end."""
-    until = F.when(F.col("event_type") != "error", F.col("event_id") + F.round(F.col("value") / 100).cast("int"))
+    until = F.when(F.col("event_type") != "error", F.col("event_id") + F.floor(F.col("value") / 100).cast("int"))
     events = table(spark, sf_dir, "events").select("event_id", until.alias("until"))
     return C.mutually_exclusive_ranges(events, "event_id", "until", gaps="not_allowed").violations
 

@@ -11,6 +11,8 @@ from ..plans.crosswalk import AS_LISTED, ONE_PER_CODE, values_sql
 from ..plans.daily import model_checks
 from ..plans.marts import country_activity, daily_event_tone
 from ..plans.staging import STAGED, stage
+from ..session import work_dir
+from ..sources.tables import replace_table
 from .base import query, sql_round
 from .feed import AS_OF, NEWS_SQL, RAW_SQL, news, raw_feed
 
@@ -234,7 +236,9 @@ _OUTSIDE = "SELECT count(*) FROM staged WHERE avg_tone < -100 OR avg_tone > 100"
     ),
 )
 def check_summary(spark, sf_dir):
-    """All declared checks of the source, the staged events and the marts in one job."""
-    staged = news(spark, sf_dir)
-    daily, countries = daily_event_tone(staged, AS_OF), country_activity(staged, AS_OF)
+    """All declared checks of the source, the staged events and the published marts in one job."""
+    staged, published = news(spark, sf_dir), work_dir(spark, "published")
+    replace_table(daily_event_tone(staged, AS_OF), f"{published}/daily", ["event_date"], ["quad_class_label"])
+    replace_table(country_activity(staged, AS_OF), f"{published}/countries", (), ["action_geo_country_code"])
+    daily, countries = spark.read.parquet(f"{published}/daily"), spark.read.parquet(f"{published}/countries")
     return C.summarise(model_checks(raw_feed(spark, sf_dir), staged, daily, countries))

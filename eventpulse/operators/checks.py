@@ -16,11 +16,12 @@ from datetime import datetime
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import ColumnLike, as_column
-from .neighbours import ROWS_PER_TASK, with_next
+from .neighbours import ROWS_PER_TASK, fits_one_task, with_next
 from .reshape import filtered_columns, quoted
 
 
@@ -404,25 +405,29 @@ def sequential_values(
     """Values that are not exactly ``interval`` after the one before them in their group.
 
     Copies of a value follow each other with a distance of zero; ``n_rows``
-    counts the rows that share a value and a predecessor.
+    counts the rows that share a value and a predecessor. Groups of more than
+    ``rows_per_task`` rows are not put into one task.
     """
-    group = list(group_by)
-    rows = _scope(df, where).where(F.col(column).isNotNull())
-    counted = rows.groupBy(*group, column).agg(_row_count().alias("n_rows"))
-    ahead = with_next(counted.drop("n_rows"), column, group, rows_per_task).where(F.col("next_value").isNotNull())
-    previous = f"previous_{column}"
-    first_copies = ahead.select(
-        *group, F.col("next_value").alias(column), F.col(column).alias(previous), F.lit(1).cast("bigint").alias("n_rows")
-    )
-    more_copies = counted.where("n_rows > 1").select(
-        *group, column, F.col(column).alias(previous), (F.col("n_rows") - 1).alias("n_rows")
-    )
+    group, previous = list(group_by), f"previous_{column}"
+    rows = _scope(df, where).where(F.col(column).isNotNull()).select(*group, column)
+    if fits_one_task(rows, group, rows_per_task):
+        before = F.lag(column).over(W.partitionBy(*group).orderBy(column))
+        steps = rows.withColumn(previous, before).groupBy(*group, column, previous).agg(_row_count().alias("n_rows"))
+    else:
+        counted = rows.groupBy(*group, column).agg(_row_count().alias("n_rows"))
+        ahead = with_next(counted.drop("n_rows"), column, group).where("NOT is_last")
+        first_copies = ahead.select(
+            *group, F.col("next_value").alias(column), F.col(column).alias(previous), F.lit(1).cast("bigint")
+        )
+        more_copies = counted.where("n_rows > 1").select(
+            *group, column, F.col(column).alias(previous), (F.col("n_rows") - 1).alias("n_rows")
+        )
+        steps = more_copies.unionAll(first_copies)
     if datepart:
         expected = F.timestamp_add(datepart.upper(), F.lit(interval), F.col(previous).cast("timestamp"))
         in_step = F.col(column).cast("timestamp") == expected
     else:
         in_step = F.col(column) == F.col(previous) + F.lit(interval)
-    steps = first_copies.unionAll(more_copies)
     return Check("sequential_values", steps.where(~in_step), column, failures=_total("n_rows"))
 
 
@@ -434,6 +439,31 @@ _GAPS = {
 }
 
 
+def _ranges_in_order(ranges: DataFrame, group: list[str]) -> DataFrame:
+    """Distinct ranges with the next lower bound, whether they are the last of the group, and their number.
+
+    Ranges are ordered by lower, then upper bound. A range that shares its lower
+    bound with a later one is followed by that same bound, so only the last range
+    of each lower bound has to look further, and only those are put in order.
+    """
+    columns = [*group, "lower_bound", "upper_bound", "next_lower_bound", "is_last_record"]
+
+    def as_shared(frame: DataFrame, n_rows: Column) -> DataFrame:
+        return frame.withColumns(
+            {"next_lower_bound": F.col("lower_bound"), "is_last_record": F.lit(False), "n_rows": n_rows.cast("bigint")}
+        ).select(*columns, "n_rows")
+
+    counted = ranges.groupBy(*group, "lower_bound", "upper_bound").agg(_row_count().alias("n_rows"))
+    last_of_bound = counted.groupBy(*group, "lower_bound").agg(F.max("upper_bound").alias("upper_bound"))
+    placed = with_next(last_of_bound, "lower_bound", group).withColumnsRenamed(
+        {"next_value": "next_lower_bound", "is_last": "is_last_record"}
+    )
+    # All rows as followed by their own bound, less the last row of each bound, plus that row as placed.
+    rows = as_shared(counted, F.col("n_rows")).unionAll(as_shared(last_of_bound, F.lit(-1)))
+    rows = rows.unionAll(placed.select(*columns, F.lit(1).cast("bigint").alias("n_rows")))
+    return rows.groupBy(*columns).agg(F.sum("n_rows").alias("n_rows")).where("n_rows > 0")
+
+
 def mutually_exclusive_ranges(
     df: DataFrame,
     lower_bound: str,
@@ -446,51 +476,26 @@ def mutually_exclusive_ranges(
 ) -> Check:
     """Ranges that are empty or reversed, or that do not end as ``gaps`` asks before the next one starts.
 
-    Ranges are ordered by lower, then upper bound. A range that shares its lower
-    bound with a later one is followed by that same bound, so only the last range
-    of each lower bound has to look further, and only those are put in order.
+    ``n_rows`` counts equal violations. Groups of more than ``rows_per_task``
+    ranges are not put into one task.
     """
     if gaps not in _GAPS:
         raise ValueError(f"gaps must be one of {sorted(_GAPS)}, got {gaps!r}")
     group = ["partition_by_col"] if partition_by else []
     keys = [F.col(partition_by).alias("partition_by_col")] if partition_by else []
-    ranges = (
-        _scope(df, where)
-        .select(*keys, F.col(lower_bound).alias("lower_bound"), as_column(upper_bound).alias("upper_bound"))
-        .groupBy(*group, "lower_bound", "upper_bound")
-        .agg(_row_count().alias("n_rows"))
+    ranges = _scope(df, where).select(
+        *keys, F.col(lower_bound).alias("lower_bound"), as_column(upper_bound).alias("upper_bound")
     )
-    columns = [*group, "lower_bound", "upper_bound", "next_lower_bound", "is_last_record", "n_rows"]
-
-    def as_if_shared(frame: DataFrame, n_rows: Column) -> DataFrame:
-        return frame.select(
-            *group,
-            "lower_bound",
-            "upper_bound",
-            F.col("lower_bound").alias("next_lower_bound"),
-            F.lit(False).alias("is_last_record"),
-            n_rows.cast("bigint").alias("n_rows"),
+    if fits_one_task(ranges, group, rows_per_task):
+        in_order = W.partitionBy(*group).orderBy(F.asc_nulls_first("lower_bound"), F.asc_nulls_first("upper_bound"))
+        following = ranges.withColumn("_next", F.lead(F.struct("lower_bound")).over(in_order)).select(
+            *ranges.columns,
+            F.col("_next.lower_bound").alias("next_lower_bound"),
+            F.col("_next").isNull().alias("is_last_record"),
         )
-
-    last_of_bound = ranges.groupBy(*group, "lower_bound").agg(F.max("upper_bound").alias("upper_bound"))
-    ahead = with_next(last_of_bound, "lower_bound", group, rows_per_task)
-    placed = ahead.select(
-        *group,
-        "lower_bound",
-        "upper_bound",
-        F.col("next_value").alias("next_lower_bound"),
-        F.col("is_last").alias("is_last_record"),
-        F.lit(1).cast("bigint").alias("n_rows"),
-    )
-    # All rows as followed by their own bound, less the last row of each bound, plus that row as placed.
-    rows = (
-        as_if_shared(ranges, F.col("n_rows"))
-        .unionAll(as_if_shared(last_of_bound, F.lit(-1)))
-        .unionAll(placed)
-        .groupBy(*columns[:-1])
-        .agg(F.sum("n_rows").alias("n_rows"))
-        .where("n_rows > 0")
-    )
+        rows = following.groupBy(*following.columns).agg(_row_count().alias("n_rows"))
+    else:
+        rows = _ranges_in_order(ranges, group)
     lower, upper = F.col("lower_bound"), F.col("upper_bound")
     has_length = F.coalesce((lower <= upper) if zero_length_range_allowed else (lower < upper), F.lit(False))
     ends_before = F.coalesce(_GAPS[gaps](upper, F.col("next_lower_bound")), F.col("is_last_record"))

@@ -1,10 +1,10 @@
-"""Next value in order, without ever sorting a large group in one task.
+"""Next value in order within groups that are too large to sort in one task.
 
 ``lead``/``lag`` over a whole table, or over a group that holds a third of it,
-would put that group into one task. Here the order column is cut into ranges at
-its approximate quantiles. Ranges are searched separately, and the last row of
-each range is joined up with the first row of the next one. Where the quantiles
-fall only affects the balance, never the result.
+puts that group into one task. Here the order column is cut into ranges at its
+approximate quantiles instead. Ranges are searched separately, and the last row
+of each range is joined up with the first row of the next one. Where the
+quantiles fall only affects the balance, never the result.
 """
 
 from __future__ import annotations
@@ -33,9 +33,10 @@ def _as_number(df: DataFrame, order: str) -> Column:
     raise TypeError(f"{order} must be a number, date or timestamp, not {kind.simpleString()}")
 
 
-def _largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    counts = df.groupBy(*group).count() if group else df.agg(F.count(F.lit(1)).alias("count"))
-    return counts.agg(F.max("count")).first()[0] or 0
+def fits_one_task(df: DataFrame, group: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> bool:
+    """Whether even the largest group is small enough for an ordinary window. Counts the rows per group."""
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    return (counts.agg(F.max("n")).first()[0] or 0) <= rows_per_task
 
 
 def _with_range(df: DataFrame, order: str) -> DataFrame:
@@ -52,29 +53,19 @@ def _with_range(df: DataFrame, order: str) -> DataFrame:
         handleInvalid="keep",
     )
     ranged = bucketizer.transform(numbered.withColumn("_missing", F.col(order).isNull()))
-    return ranged.withColumn("_range", F.when(F.col("_missing"), F.lit(-1.0)).otherwise(F.col("_range"))).drop(
-        "_number", "_missing"
-    )
+    number = F.when(F.col("_missing"), F.lit(-1)).otherwise(F.col("_range").cast("int"))
+    return ranged.withColumn("_range", number).drop("_number", "_missing")
 
 
-def with_next(
-    df: DataFrame, order: str, group: Sequence[str] = (), rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def with_next(df: DataFrame, order: str, group: Sequence[str] = ()) -> DataFrame:
     """Adds ``next_value``, the next larger value of ``order`` in the group, and ``is_last``.
 
     ``df`` holds each value of ``order`` once per group. NULL sorts first.
     """
     group = list(group)
-    by_order = F.col(order).asc_nulls_first()
-    following = F.lead(F.struct(order)).over
-    if _largest_group(df, group) <= rows_per_task:
-        found = df.withColumn("_next", following(W.partitionBy(*group).orderBy(by_order)))
-        return found.select(
-            *df.columns, F.col(f"_next.{order}").alias("next_value"), F.col("_next").isNull().alias("is_last")
-        )
-
     ranged = _with_range(df, order)
-    within = ranged.withColumn("_next", following(W.partitionBy(*group, "_range").orderBy(by_order)))
+    in_range = W.partitionBy(*group, "_range").orderBy(F.col(order).asc_nulls_first())
+    within = ranged.withColumn("_next", F.lead(F.struct(order)).over(in_range))
     inner = within.where(F.col("_next").isNotNull()).select(
         *df.columns, F.col(f"_next.{order}").alias("next_value"), F.lit(False).alias("is_last")
     )

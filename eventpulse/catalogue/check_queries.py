@@ -38,8 +38,8 @@ def q_accepted_values(spark, sf_dir):
 
 @query(
     "q_tone_in_range",
-    f"""WITH {NEWS_SQL} SELECT global_event_id, CAST(avg_tone AS DOUBLE) AS avg_tone FROM staged
-    WHERE avg_tone < -100 OR avg_tone > 100""",
+    """SELECT event_id AS global_event_id, value - 50 AS avg_tone FROM events
+    WHERE value - 50 < -100 OR value - 50 > 100""",
 )
 def q_tone_in_range(spark, sf_dir):
     found = C.accepted_range(news(spark, sf_dir), "avg_tone", -100, 100).violations

@@ -47,10 +47,10 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("global_event_id"),
         F.col("ts").cast("date").alias("event_date"),
         F.expr(_QUAD_CLASS).alias("quad_class"),
-        (F.col("value").cast("decimal(12,2)") - 50).cast("double").alias("avg_tone"),
+        (F.col("value") - 50).alias("avg_tone"),
         (F.col("user_id") % 21 - 10).cast("double").alias("goldstein_scale"),
         F.col("user_id").alias("num_mentions"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("num_articles"),
+        F.regexp_extract("props", "[0-9]+", 0).cast("bigint").alias("num_articles"),
         F.expr(_COUNTRY).alias("action_geo_country_code"),
         F.expr(_PLACE).alias("action_geo_fullname"),
     )
@@ -84,7 +84,7 @@ _RAW = {
     "NumMentions": ("user_id",),
     "NumSources": ("user_id % 7",),
     "NumArticles": (
-        "CAST(get_json_object(props, '$.k') AS BIGINT)",
+        "CAST(regexp_extract(props, '[0-9]+', 0) AS BIGINT)",
         "CAST(regexp_extract(props, '[0-9]+') AS BIGINT)",
     ),
     "AvgTone": ("value - 50",),

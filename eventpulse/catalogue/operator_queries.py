@@ -18,6 +18,7 @@ from ..functions.text import NULL_KEY, surrogate_key, url_host, url_parameter, u
 from ..operators.aggregates import most_frequent
 from ..operators.introspect import column_values
 from ..operators.reshape import (
+    SOURCE_COLUMN,
     deduplicate,
     group_by_n,
     nullcheck_table,
@@ -41,7 +42,7 @@ from .base import query, sql_round, table
 )
 def q_weighted_mean(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
-    mean = round_half_away(weighted_mean("l_discount", F.col("l_quantity").cast("decimal(10,0)")), 6)
+    mean = round_half_away(weighted_mean("l_discount", F.col("l_quantity").cast("bigint")), 6)
     return lines.groupBy("l_returnflag", "l_linestatus").agg(mean.alias("weighted_discount"))
 
 
@@ -146,7 +147,7 @@ def q_nullcheck(spark, sf_dir):
 
 @query(
     "union_relations",
-    """SELECT 'customer' AS _dbt_source_relation, c_custkey AS key, c_name AS name, c_nationkey AS nationkey,
+    f"""SELECT 'customer' AS {SOURCE_COLUMN}, c_custkey AS key, c_name AS name, c_nationkey AS nationkey,
       CAST(c_acctbal AS DECIMAL(12,2)) AS acctbal, c_mktsegment AS mktsegment FROM customer WHERE c_acctbal > 0
     UNION ALL
     SELECT 'supplier', s_suppkey, s_name, s_nationkey, CAST(s_acctbal AS DECIMAL(12,2)), NULL

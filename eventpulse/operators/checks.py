@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import ColumnLike, as_column
-from .neighbours import ROWS_PER_TASK, fits_one_task, with_next
+from .neighbours import ROWS_PER_TASK, Cuts, find_cuts, fits_one_task, with_next
 from .reshape import filtered_columns, quoted
 
 
@@ -409,20 +409,19 @@ def sequential_values(
     ``rows_per_task`` rows are not put into one task.
     """
     group, previous = list(group_by), f"previous_{column}"
-    rows = _scope(df, where).where(F.col(column).isNotNull()).select(*group, column)
+    rows, cuts = _scope(df, where).where(F.col(column).isNotNull()).select(*group, column), None
     if fits_one_task(rows, group, rows_per_task):
         before = F.lag(column).over(W.partitionBy(*group).orderBy(column))
-        steps = rows.withColumn(previous, before).groupBy(*group, column, previous).agg(_row_count().alias("n_rows"))
+        steps = rows.withColumn(previous, before)
     else:
-        counted = rows.groupBy(*group, column).agg(_row_count().alias("n_rows"))
-        ahead = with_next(counted.drop("n_rows"), column, group).where("NOT is_last")
-        first_copies = ahead.select(
-            *group, F.col("next_value").alias(column), F.col(column).alias(previous), F.lit(1).cast("bigint")
-        )
-        more_copies = counted.where("n_rows > 1").select(
-            *group, column, F.col(column).alias(previous), (F.col("n_rows") - 1).alias("n_rows")
-        )
-        steps = more_copies.unionAll(first_copies)
+        cuts = find_cuts(rows, column)
+        ahead = with_next(rows.distinct() if cuts.heavy else rows, [column], group, cuts).where("NOT is_last")
+        steps = ahead.select(*group, F.col("next_value").alias(column), F.col(column).alias(previous))
+    steps = steps.groupBy(*group, column, previous).agg(_row_count().alias("n_rows"))
+    if cuts is not None and cuts.heavy:
+        # The distinct values are in order; each further copy follows a copy of itself.
+        copies = rows.groupBy(*group, column).agg((_row_count() - 1).alias("n_rows")).where("n_rows > 0")
+        steps = steps.unionByName(copies.withColumn(previous, F.col(column)))
     if datepart:
         expected = F.timestamp_add(datepart.upper(), F.lit(interval), F.col(previous).cast("timestamp"))
         in_step = F.col(column).cast("timestamp") == expected
@@ -439,7 +438,10 @@ _GAPS = {
 }
 
 
-def _ranges_in_order(ranges: DataFrame, group: list[str]) -> DataFrame:
+_NEXT_NAMES = {"next_value": "next_lower_bound", "is_last": "is_last_record"}
+
+
+def _counted_ranges(ranges: DataFrame, group: list[str], cuts: Cuts) -> DataFrame:
     """Distinct ranges with the next lower bound, whether they are the last of the group, and their number.
 
     Ranges are ordered by lower, then upper bound. A range that shares its lower
@@ -455,9 +457,7 @@ def _ranges_in_order(ranges: DataFrame, group: list[str]) -> DataFrame:
 
     counted = ranges.groupBy(*group, "lower_bound", "upper_bound").agg(_row_count().alias("n_rows"))
     last_of_bound = counted.groupBy(*group, "lower_bound").agg(F.max("upper_bound").alias("upper_bound"))
-    placed = with_next(last_of_bound, "lower_bound", group).withColumnsRenamed(
-        {"next_value": "next_lower_bound", "is_last": "is_last_record"}
-    )
+    placed = with_next(last_of_bound, ["lower_bound"], group, cuts).withColumnsRenamed(_NEXT_NAMES)
     # All rows as followed by their own bound, less the last row of each bound, plus that row as placed.
     rows = as_shared(counted, F.col("n_rows")).unionAll(as_shared(last_of_bound, F.lit(-1)))
     rows = rows.unionAll(placed.select(*columns, F.lit(1).cast("bigint").alias("n_rows")))
@@ -486,6 +486,7 @@ def mutually_exclusive_ranges(
     ranges = _scope(df, where).select(
         *keys, F.col(lower_bound).alias("lower_bound"), as_column(upper_bound).alias("upper_bound")
     )
+    cuts = None
     if fits_one_task(ranges, group, rows_per_task):
         in_order = W.partitionBy(*group).orderBy(F.asc_nulls_first("lower_bound"), F.asc_nulls_first("upper_bound"))
         following = ranges.withColumn("_next", F.lead(F.struct("lower_bound")).over(in_order)).select(
@@ -493,9 +494,14 @@ def mutually_exclusive_ranges(
             F.col("_next.lower_bound").alias("next_lower_bound"),
             F.col("_next").isNull().alias("is_last_record"),
         )
-        rows = following.groupBy(*following.columns).agg(_row_count().alias("n_rows"))
     else:
-        rows = _ranges_in_order(ranges, group)
+        cuts = find_cuts(ranges, "lower_bound")
+        if not cuts.heavy:
+            following = with_next(ranges, ["lower_bound", "upper_bound"], group, cuts).withColumnsRenamed(_NEXT_NAMES)
+    if cuts is not None and cuts.heavy:
+        rows = _counted_ranges(ranges, group, cuts)
+    else:
+        rows = following.groupBy(*following.columns).agg(_row_count().alias("n_rows"))
     lower, upper = F.col("lower_bound"), F.col("upper_bound")
     has_length = F.coalesce((lower <= upper) if zero_length_range_allowed else (lower < upper), F.lit(False))
     ends_before = F.coalesce(_GAPS[gaps](upper, F.col("next_lower_bound")), F.col("is_last_record"))

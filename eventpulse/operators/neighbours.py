@@ -4,12 +4,15 @@
 puts that group into one task. Here the order column is cut into ranges at its
 approximate quantiles instead. Ranges are searched separately, and the last row
 of each range is joined up with the first row of the next one. Where the
-quantiles fall only affects the balance, never the result.
+quantiles fall only affects the balance, never the result. A single value that
+fills a range by itself cannot be cut: callers then count equal rows first.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -39,41 +42,57 @@ def fits_one_task(df: DataFrame, group: Sequence[str], rows_per_task: int = ROWS
     return (counts.agg(F.max("n")).first()[0] or 0) <= rows_per_task
 
 
-def _with_range(df: DataFrame, order: str) -> DataFrame:
-    """Adds ``_range``: a number that rises with the order column, NULL values in the lowest."""
+@dataclass(frozen=True)
+class Cuts:
+    """Where the ranges of a column end, and whether one value alone fills a range."""
+
+    points: list[float]
+    heavy: bool
+
+
+def find_cuts(df: DataFrame, order: str) -> Cuts:
+    """As many ranges of about equal row numbers as there are shuffle partitions. One small row reaches the driver."""
     ranges = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    probabilities = [i / ranges for i in range(1, ranges)]
-    numbered = df.withColumn("_number", _as_number(df, order))
-    cuts = numbered.agg(F.percentile_approx("_number", probabilities, max(10_000, 10 * ranges))).first()[0] or [0.0]
-    finite = sorted({c for c in cuts if c == c and abs(c) != float("inf")}) or [0.0]
-    bucketizer = Bucketizer(
-        splits=[float("-inf"), *finite, float("inf")],
-        inputCol="_number",
-        outputCol="_range",
-        handleInvalid="keep",
-    )
-    ranged = bucketizer.transform(numbered.withColumn("_missing", F.col(order).isNull()))
-    number = F.when(F.col("_missing"), F.lit(-1)).otherwise(F.col("_range").cast("int"))
-    return ranged.withColumn("_range", number).drop("_number", "_missing")
+    shares = [i / ranges for i in range(1, ranges)]
+    numbers = df.select(_as_number(df, order).alias("x"))
+    found = numbers.agg(
+        F.percentile_approx("x", shares, max(10_000, 10 * ranges)).alias("points"),
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("x").isNull()).alias("n_null"),
+    ).first()
+    points = [p for p in found.points or [] if math.isfinite(p)]
+    return Cuts(sorted(set(points)) or [0.0], len(set(points)) < len(points) or found.n_null * ranges > found.n)
 
 
-def with_next(df: DataFrame, order: str, group: Sequence[str] = ()) -> DataFrame:
-    """Adds ``next_value``, the next larger value of ``order`` in the group, and ``is_last``.
+def _with_range(df: DataFrame, order: str, cuts: Cuts) -> DataFrame:
+    """Adds ``_range``: a number that rises with the order column, NULL values in the lowest."""
+    splits = [float("-inf"), *cuts.points, float("inf")]
+    bucketizer = Bucketizer(splits=splits, inputCol="_number", outputCol="_bucket", handleInvalid="keep")
+    ranged = bucketizer.transform(df.withColumn("_number", _as_number(df, order)))
+    number = F.when(F.col(order).isNull(), F.lit(-1)).otherwise(F.col("_bucket").cast("int"))
+    return ranged.withColumn("_range", number).drop("_number", "_bucket")
+
 
-    ``df`` holds each value of ``order`` once per group. NULL sorts first.
+def with_next(df: DataFrame, order: Sequence[str], group: Sequence[str], cuts: Cuts) -> DataFrame:
+    """Adds ``next_value``, the first order column of the next row in the group, and ``is_last``.
+
+    Rows are ordered by the order columns, NULL first, and cut into ranges by the
+    first of them. The rows are shuffled once, by group and range. What follows
+    the last row of a range is looked up in a table with one row per group and
+    range, which for one group has no more rows than there are ranges.
     """
-    group = list(group)
-    ranged = _with_range(df, order)
-    in_range = W.partitionBy(*group, "_range").orderBy(F.col(order).asc_nulls_first())
-    within = ranged.withColumn("_next", F.lead(F.struct(order)).over(in_range))
-    inner = within.where(F.col("_next").isNotNull()).select(
-        *df.columns, F.col(f"_next.{order}").alias("next_value"), F.lit(False).alias("is_last")
-    )
-    # One row per group and range, so at most as many rows per group as there are ranges.
-    row = F.struct(order, *[c for c in df.columns if c != order and c not in group])
-    ends = ranged.groupBy(*group, "_range").agg(F.max(row).alias("_tail"), F.min(order).alias("_head"))
-    joined = ends.withColumn("_next", F.lead(F.struct("_head")).over(W.partitionBy(*group).orderBy("_range")))
-    edges = joined.select(*group, "_tail.*", "_next").select(
-        *df.columns, F.col("_next._head").alias("next_value"), F.col("_next").isNull().alias("is_last")
+    first = order[0]
+    ranged = _with_range(df, first, cuts)
+    keys = ["_range"]
+    if group:
+        # A struct is never NULL itself, so groups with a NULL key find their partner in the join.
+        ranged = ranged.withColumn("_group", F.struct(*group))
+        keys = ["_group", "_range"]
+    in_range = W.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    within = ranged.withColumn("_next", F.lead(F.struct(F.col(first).alias("value"))).over(in_range))
+    heads = ranged.groupBy(*keys).agg(F.struct(F.min(first).alias("value")).alias("_head"))
+    after = heads.withColumn("_after", F.lead("_head").over(W.partitionBy(*keys[:-1]).orderBy("_range"))).drop("_head")
+    found = F.coalesce("_next", "_after")
+    return within.join(after, keys, "left").select(
+        *df.columns, found["value"].alias("next_value"), found.isNull().alias("is_last")
     )
-    return inner.unionByName(edges)

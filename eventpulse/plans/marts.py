@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.numbers import STABILITY, TONE, WEIGHT, mean, round_half_away, share_pct, weighted_mean
+from ..functions.numbers import joined_sum, mean, round_half_away, share_pct, sum_parts, weighted_mean
 from .crosswalk import crosswalk
 
 WINDOW_DAYS = 30
@@ -34,7 +34,7 @@ def daily_event_tone(staged: DataFrame, as_of: date, days: int = WINDOW_DAYS) ->
             F.sum("num_mentions").alias("total_mentions"),
             F.sum("num_articles").alias("total_articles"),
             round_half_away(mean("avg_tone"), 3).alias("avg_tone"),
-            round_half_away(mean("goldstein_scale", STABILITY), 3).alias("avg_goldstein"),
+            round_half_away(mean("goldstein_scale"), 3).alias("avg_goldstein"),
             round_half_away(weighted_mean("avg_tone", "num_articles"), 3).alias("weighted_avg_tone"),
             round_half_away(share_pct(_in_conflict()), 2).alias("conflict_pct"),
         )
@@ -51,19 +51,26 @@ def country_activity(
     country, where the most frequent place is picked: one scan, no join but the
     constant crosswalk. The rank orders the finished rows, one per country code.
     """
-    tone, articles = F.col("avg_tone").cast(TONE), F.col("num_articles").cast(WEIGHT)
     in_scope = recent(staged, as_of, days).where(
         F.col("action_geo_country_code").isNotNull() & (F.col("action_geo_country_code") != "")
     )
+    summed = {
+        "tone": F.col("avg_tone"),
+        "stability": F.col("goldstein_scale"),
+        "weighted_tone": F.col("avg_tone") * F.col("num_articles"),
+    }
+    parts = [
+        part.alias(f"{name}_{side}")
+        for name, value in summed.items()
+        for side, part in zip(("high", "low"), sum_parts(value))
+    ]
     per_place = in_scope.groupBy("action_geo_country_code", "action_geo_fullname").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("num_mentions").alias("mentions"),
         F.sum("num_articles").alias("articles"),
-        F.sum(tone).alias("tone"),
         F.count("avg_tone").alias("n_tone"),
-        F.sum(F.col("goldstein_scale").cast(STABILITY)).alias("stability"),
         F.count("goldstein_scale").alias("n_stability"),
-        F.sum(tone * articles).alias("weighted_tone"),
+        *parts,
         *[F.count_if(F.col("quad_class") == k).alias(f"class_{k}") for k in (1, 2, 3, 4)],
         F.min("event_date").alias("first_date"),
         F.max("event_date").alias("last_date"),
@@ -72,8 +79,9 @@ def country_activity(
     def total(column: str) -> Column:
         return F.sum(column)
 
-    def ratio(numerator: Column, denominator: Column, places: int) -> Column:
-        return round_half_away(F.try_divide(numerator.cast("double"), denominator.cast("double")), places)
+    def ratio(name: str, divisor: str) -> Column:
+        numerator = joined_sum(total(f"{name}_high"), total(f"{name}_low")).cast("double")
+        return round_half_away(F.try_divide(numerator, total(divisor).cast("double")), 3)
 
     # Most rows first, then names before NULL, then the lowest name.
     place = F.col("action_geo_fullname")
@@ -83,9 +91,9 @@ def country_activity(
         total("n").alias("event_count"),
         total("mentions").alias("total_mentions"),
         total("articles").alias("total_articles"),
-        ratio(total("tone"), total("n_tone"), 3).alias("avg_tone"),
-        ratio(total("stability"), total("n_stability"), 3).alias("avg_goldstein"),
-        ratio(total("weighted_tone"), total("articles"), 3).alias("weighted_avg_tone"),
+        ratio("tone", "n_tone").alias("avg_tone"),
+        ratio("stability", "n_stability").alias("avg_goldstein"),
+        ratio("weighted_tone", "articles").alias("weighted_avg_tone"),
         total("class_1").alias("verbal_coop_count"),
         total("class_2").alias("material_coop_count"),
         total("class_3").alias("verbal_conflict_count"),

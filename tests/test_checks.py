@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventpulse.operators import checks as C
+from eventpulse.operators.neighbours import find_cuts
 
 
 def failures(check):
@@ -226,13 +227,18 @@ def sequential_by_hand(data, interval):
     return sorted(found, key=str)
 
 
+HEAVY = pytest.mark.parametrize("copies", [0, 2000], ids=["spread", "heavy value"])
+
+
 @PATHS
-def test_sequential_values_with_a_hot_group(spark, rows_per_task):
+@HEAVY
+def test_sequential_values_with_a_hot_group(spark, rows_per_task, copies):
     rng = random.Random(5)
-    data = [("hot", rng.randrange(4000)) for _ in range(2000)] + [("hot", 77)] * 500
+    data = [("hot", rng.randrange(4000)) for _ in range(2000)] + [("hot", 77)] * copies
     data += [(f"g{rng.randrange(20)}", rng.randrange(60)) for _ in range(600)]
     data += [(None, 3), (None, 4), (None, 9), ("g1", None), ("hot", None)]
     df = spark.createDataFrame(data, "g string, v int").repartition(5)
+    assert find_cuts(df.where("v IS NOT NULL"), "v").heavy == (copies > 0)
     check = C.sequential_values(df, "v", group_by=["g"], rows_per_task=rows_per_task)
     got = [(r.g, r.v, r.previous_v) for r in check.violations.collect() for _ in range(r.n_rows)]
     assert sorted(got, key=str) == sequential_by_hand(data, 1)
@@ -260,7 +266,8 @@ def ranges_by_hand(data, gaps, zero_length):
 @PATHS
 @pytest.mark.parametrize("gaps", ["allowed", "not_allowed", "required"])
 @pytest.mark.parametrize("zero_length", [False, True])
-def test_ranges_against_the_definition(spark, rows_per_task, gaps, zero_length):
+@HEAVY
+def test_ranges_against_the_definition(spark, rows_per_task, gaps, zero_length, copies):
     rng = random.Random(11)
 
     def some_range(group, lower):
@@ -268,10 +275,11 @@ def test_ranges_against_the_definition(spark, rows_per_task, gaps, zero_length):
         return group, lower, upper
 
     data = [some_range("hot", rng.randrange(600)) for _ in range(400)]
-    data += [("hot", 50, 50 + rng.randrange(5)) for _ in range(200)]  # one bound shared by many ranges
+    data += [("hot", 50, 50 + rng.randrange(5)) for _ in range(copies // 5)]  # one bound shared by many ranges
     data += [some_range(rng.choice("abcdef"), rng.randrange(30)) for _ in range(120)]
     data += [("a", None, 3), ("a", None, None), ("hot", None, 7), (None, 1, 2), (None, 2, 3)]
     df = spark.createDataFrame(data, "g string, lo int, hi int").repartition(4)
+    assert find_cuts(df, "lo").heavy == (copies > 0)
     check = C.mutually_exclusive_ranges(df, "lo", "hi", "g", gaps, zero_length, rows_per_task=rows_per_task)
     got = [
         (r.partition_by_col, r.lower_bound, r.upper_bound, r.next_lower_bound, r.is_last_record)
@@ -281,6 +289,20 @@ def test_ranges_against_the_definition(spark, rows_per_task, gaps, zero_length):
     assert sorted(got, key=str) == ranges_by_hand(data, gaps, zero_length)
 
 
+@PATHS
+def test_ranges_with_mostly_missing_lower_bounds(spark, rows_per_task):
+    data = [("a", None, i % 7) for i in range(60)] + [("a", i, i + 1) for i in range(30)] + [("b", 3, 4), ("b", None, None)]
+    df = spark.createDataFrame(data, "g string, lo int, hi int").repartition(4)
+    assert find_cuts(df, "lo").heavy
+    check = C.mutually_exclusive_ranges(df, "lo", "hi", "g", rows_per_task=rows_per_task)
+    got = [
+        (r.partition_by_col, r.lower_bound, r.upper_bound, r.next_lower_bound, r.is_last_record)
+        for r in check.violations.collect()
+        for _ in range(r.n_rows)
+    ]
+    assert sorted(got, key=str) == ranges_by_hand(data, "allowed", False)
+
+
 @PATHS
 def test_ranges_examples(spark, rows_per_task):
     options = {"rows_per_task": rows_per_task}

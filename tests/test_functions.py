@@ -109,8 +109,8 @@ def test_url_path(spark, url, want):
 @pytest.mark.parametrize(
     "url, medium, source",
     [
-        ("http://drewbanin.com/milky?utm_medium=organic", "organic", None),
-        ("http://drewbanin.com/milky?utm_medium=organic&utm_source=github", "organic", "github"),
+        ("http://example.com/milky?utm_medium=organic", "organic", None),
+        ("http://example.com/milky?utm_medium=organic&utm_source=github", "organic", "github"),
         ("http://x.y/?utm_medium=&utm_source=a", None, "a"),
     ],
 )

@@ -88,15 +88,15 @@ def favourites(spark):
 
 def test_union_relations(spark, rows):
     got = reshape.union_relations(favourites(spark))
-    assert got.columns == ["_dbt_source_relation", "id", "name", "favorite_number", "favorite_color"]
-    assert rows(got.drop("_dbt_source_relation")) == [
+    assert got.columns == [reshape.SOURCE_COLUMN, "id", "name", "favorite_number", "favorite_color"]
+    assert rows(got.drop(reshape.SOURCE_COLUMN)) == [
         (1, None, "7", "green"),
         (1, "drew", "pi", None),
         (2, None, "13", "pink"),
         (2, "bob", "e", None),
         (3, "alice", "4", None),
     ]
-    assert {r[0] for r in got.select("_dbt_source_relation").collect()} == {"table_1", "table_2"}
+    assert {r[0] for r in got.select(reshape.SOURCE_COLUMN).collect()} == {"table_1", "table_2"}
 
 
 @pytest.mark.parametrize("name", ["name", "NAME"])

@@ -286,13 +286,16 @@ def q_sequential_dates(spark, sf_dir):
     return C.sequential_values(table(spark, sf_dir, "orders"), "o_orderdate", 1, "day").violations
 
 
+# The last record is taken in the same order as the next lower bound. Counting from the other end
+# would let equal last ranges be numbered differently from run to run.
 def _ranges_sql(source: str, key: str, lower: str, upper: str, gap: str, length: str) -> str:
     partition = f"PARTITION BY {key}" if key else ""
     picked, grouped = (f"{key} AS partition_by_col, ", "partition_by_col, ") if key else ("", "")
     return f"""WITH found AS (
       SELECT {picked}{lower} AS lower_bound, {upper} AS upper_bound,
         lead({lower}) OVER ({partition} ORDER BY {lower} NULLS FIRST, {upper} NULLS FIRST) AS next_lower_bound,
-        row_number() OVER ({partition} ORDER BY {lower} DESC NULLS LAST, {upper} DESC NULLS LAST) = 1 AS is_last_record
+        row_number() OVER ({partition} ORDER BY {lower} NULLS FIRST, {upper} NULLS FIRST)
+          = count(*) OVER ({partition}) AS is_last_record
       FROM {source}
     ), judged AS (
       SELECT *, coalesce(lower_bound {length} upper_bound, false) AS has_length,

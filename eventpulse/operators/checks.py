@@ -116,6 +116,11 @@ def _grouped(df: DataFrame, group_by: Sequence[str], *aggregates: Column) -> Dat
     return df.groupBy(*group_by).agg(*aggregates) if group_by else df.agg(*aggregates)
 
 
+def _moment_type(df: DataFrame, column: str) -> str:
+    """The timestamp type to compare a column in: instants stay instants, dates and clock readings have no zone."""
+    return "timestamp" if isinstance(df.schema[column].dataType, T.TimestampType) else "timestamp_ntz"
+
+
 # --- one row at a time: a filter, no shuffle ---------------------------------
 
 
@@ -236,10 +241,14 @@ def recency(
     group_by: Sequence[str] = (),
     where: ColumnLike | None = None,
 ) -> Check:
-    """Groups whose latest value is older than ``interval`` units before ``now``; an empty table passes."""
-    kind = "date" if ignore_time_component else "timestamp"
+    """Groups whose latest value is older than ``interval`` units before ``now``; an empty table passes.
+
+    ``now`` is a clock reading in the session's time zone.
+    """
+    moment = _moment_type(df, column)
+    kind = "date" if ignore_time_component else moment
     latest = _grouped(_scope(df, where), group_by, F.max(column).cast(kind).alias("most_recent"))
-    threshold = F.timestamp_add(datepart.upper(), F.lit(-interval), F.lit(now).cast("timestamp")).cast(kind)
+    threshold = F.timestamp_add(datepart.upper(), F.lit(-interval), F.lit(now.isoformat()).cast(moment)).cast(kind)
     late = latest.withColumn("threshold", threshold).where("most_recent < threshold")
     return Check("recency", late, column)
 
@@ -423,8 +432,9 @@ def sequential_values(
         copies = rows.groupBy(*group, column).agg((_row_count() - 1).alias("n_rows")).where("n_rows > 0")
         steps = steps.unionByName(copies.withColumn(previous, F.col(column)))
     if datepart:
-        expected = F.timestamp_add(datepart.upper(), F.lit(interval), F.col(previous).cast("timestamp"))
-        in_step = F.col(column).cast("timestamp") == expected
+        moment = _moment_type(df, column)
+        expected = F.timestamp_add(datepart.upper(), F.lit(interval), F.col(previous).cast(moment))
+        in_step = F.col(column).cast(moment) == expected
     else:
         in_step = F.col(column) == F.col(previous) + F.lit(interval)
     return Check("sequential_values", steps.where(~in_step), column, failures=_total("n_rows"))

@@ -31,8 +31,12 @@ def _as_number(df: DataFrame, order: str) -> Column:
         return F.col(order).cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(order).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(order).cast("timestamp")).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(order).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        # Read off the clock: as an instant, the hour that a change of clocks skips would come out of order.
+        clock = F.hour(order) * 3600 + F.minute(order) * 60 + F.second(order)
+        return F.unix_date(F.col(order).cast("date")) * F.lit(86_400.0) + clock
     raise TypeError(f"{order} must be a number, date or timestamp, not {kind.simpleString()}")
 
 

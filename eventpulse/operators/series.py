@@ -7,15 +7,16 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Units with a fixed length in microseconds; months, quarters and years have none.
-_CLOCK_UNITS = {"second": 1, "minute": 60, "hour": 3600}
-_UNITS = ("second", "minute", "hour", "day", "week", "month", "quarter", "year")
+_CLOCK_UNITS = ("hour", "minute", "second")
+_UNITS = ("year", "quarter", "month", "week", "day", *_CLOCK_UNITS)
 
 Moment = date | datetime | str | Column
 
 
 def _moment(value: Moment) -> Column:
-    """A point in time: a string or date is a timestamp without zone, a column is taken as it is."""
+    """A point in time without a zone, so that no unit is longer or shorter where clocks change."""
+    if isinstance(value, (date, datetime)):
+        value = value.isoformat()
     column = value if isinstance(value, Column) else F.lit(value)
     return column.cast("timestamp_ntz")
 
@@ -36,19 +37,25 @@ def _week_start(moment: Column) -> Column:
 def intervals_between(start: Moment, end: Moment, datepart: str) -> Column:
     """How many boundaries of the unit lie between two moments; weeks start on Sunday."""
     unit, lo, hi = _unit(datepart), _moment(start), _moment(end)
-    if unit == "day":
-        return F.date_diff(hi.cast("date"), lo.cast("date")).cast("bigint")
-    if unit == "week":
-        return (F.date_diff(_week_start(hi), _week_start(lo)) / 7).cast("bigint")
-    if unit in ("month", "quarter", "year"):
-        months = (F.year(hi) - F.year(lo)) * 12 + F.month(hi) - F.month(lo)
-        if unit == "month":
-            return months.cast("bigint")
-        if unit == "quarter":
-            return ((F.year(hi) - F.year(lo)) * 4 + F.quarter(hi) - F.quarter(lo)).cast("bigint")
-        return (F.year(hi) - F.year(lo)).cast("bigint")
-    seconds = F.timestamp_diff("SECOND", F.date_trunc(unit, lo), F.date_trunc(unit, hi))
-    return (seconds / _CLOCK_UNITS[unit]).cast("bigint")
+    days = F.date_diff(hi.cast("date"), lo.cast("date"))
+    years = F.year(hi) - F.year(lo)
+    if unit == "year":
+        count = years
+    elif unit == "quarter":
+        count = years * 4 + F.quarter(hi) - F.quarter(lo)
+    elif unit == "month":
+        count = years * 12 + F.month(hi) - F.month(lo)
+    elif unit == "week":
+        count = F.date_diff(_week_start(hi), _week_start(lo)) / 7
+    else:
+        count = days.cast("bigint")
+        if unit in _CLOCK_UNITS:
+            count = count * 24 + F.hour(hi) - F.hour(lo)
+        if unit in ("minute", "second"):
+            count = count * 60 + F.minute(hi) - F.minute(lo)
+        if unit == "second":
+            count = count * 60 + F.second(hi) - F.second(lo)
+    return count.cast("bigint")
 
 
 def generate_series(spark: SparkSession, upper_bound: int) -> DataFrame:

@@ -151,13 +151,17 @@ def read_archives(spark: SparkSession, root: str, dates: Sequence[date]) -> Data
 
 
 def _misfits() -> Column:
-    """Names of the columns whose text does not fit their type, separated by commas."""
-    checks = [
-        F.when(F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull(), name)
-        for name, kind in RAW_TYPES.items()
-        if kind != "string"
-    ]
-    return F.concat_ws(",", *checks)
+    """Names of the columns whose text does not fit their type, separated by commas. Numbers must be finite."""
+    names = []
+    for name, kind in RAW_TYPES.items():
+        if kind == "string":
+            continue
+        value = F.col(name).try_cast(kind)
+        unfit = value.isNull()
+        if kind == "double":
+            unfit = unfit | F.isnan(value) | (F.abs(value) == float("inf"))
+        names.append(F.when(F.col(name).isNotNull() & unfit, name))
+    return F.concat_ws(",", *names)
 
 
 def is_bad() -> Column:

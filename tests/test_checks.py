@@ -177,6 +177,23 @@ def test_recency(spark):
     assert failures(C.recency(midnight.limit(0), "created_at", "day", 1, now)) == 0
 
 
+@pytest.fixture
+def zone_with_changing_clocks(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    yield
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_clock_readings_ignore_the_session_zone(spark, zone_with_changing_clocks):
+    # Clocks skip 02:00 to 03:00 on this day.
+    hours = [(f"2024-03-31 0{h}:{m}0:00",) for h in range(6) for m in (0, 3)]
+    df = spark.createDataFrame(hours, "t string").select(F.col("t").cast("timestamp_ntz").alias("t")).repartition(3)
+    for rows_per_task in (1, 1000):
+        assert failures(C.sequential_values(df, "t", 30, "minute", rows_per_task=rows_per_task)) == 0
+    late = C.recency(df, "t", "hour", 1, dt.datetime(2024, 3, 31, 6, 31))
+    assert failures(late) == 1 and failures(C.recency(df, "t", "hour", 1, dt.datetime(2024, 3, 31, 6, 30))) == 0
+
+
 def test_relationships_where(spark, rows):
     one = spark.createDataFrame([(1,), (2,), (3,), (3,)], "id int")
     two = spark.createDataFrame([(1,), (2,), (4,), (4,), (None,)], "id int")

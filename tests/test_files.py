@@ -119,6 +119,12 @@ def test_bad_values_fail_the_file_or_are_left_out(spark, tmp_path):
     assert [(r.GlobalEventID, r.AvgTone, r.bad_columns) for r in bad] == [("2", "abc", "AvgTone")]
 
 
+@pytest.mark.parametrize("text", ["NaN", "Infinity", "-inf", "1e400", "1,5"])
+def test_numbers_must_be_finite(spark, text):
+    lines = spark.createDataFrame([(line(1, AvgTone=text),), (line(2),)], "line string")
+    assert [r.bad_columns for r in dayfiles.typed(dayfiles.split_lines(lines)).collect()] == ["AvgTone", ""]
+
+
 def test_unreadable_archives_fail_alone(spark, tmp_path):
     put_zip(tmp_path, D1, {"20240101.export.CSV": [line(1)]})
     put_zip(tmp_path, D2, {"notes.txt": ["x"]})

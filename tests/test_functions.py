@@ -1,3 +1,6 @@
+import random
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +52,22 @@ def test_weighted_mean_counts_the_weight_of_missing_values(spark):
     assert got == {"a": 2.5, "b": None}
 
 
+def test_exact_sum_does_not_depend_on_order(spark):
+    rng = random.Random(3)
+    data = [round(rng.uniform(-100, 100), rng.randrange(10)) for _ in range(3000)] + [1e8, -1e8, 0.1, None]
+    want = sum(Decimal(repr(v)) for v in data if v is not None)
+    for _ in range(3):
+        rng.shuffle(data)
+        df = frame(spark, [(v,) for v in data], "v double").repartition(rng.randrange(1, 9))
+        assert df.agg(numbers.exact_sum("v").alias("x")).first().x == want
+    assert df.limit(0).agg(numbers.exact_sum("v").alias("x")).first().x is None
+
+
+def test_exact_sum_of_a_hot_group_does_not_overflow(spark):
+    df = spark.range(2_000_000).select(F.lit(99_999.999999999).alias("v"))
+    assert df.agg(numbers.exact_sum("v").alias("x")).first().x == Decimal("99999.999999999") * 2_000_000
+
+
 def test_width_bucket(spark):
     data = [(190000.0, 0), (290000.0, 1), (320000.0, 2), (399999.99, 2), (400000.0, 3), (470000.0, 3)]
     data += [(510000.0, 4), (610000.0, 5), (50000.0, 0), (700000.0, 5)]

@@ -7,10 +7,12 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ..plans.daily import Tables, run_daily
-from ..plans.staging import stage
+from ..plans.marts import daily_event_tone
+from ..plans.staging import bad_dates, stage
 from ..session import work_dir
+from ..sources.dayfiles import quarantined
 from ..sources.lake import land_lines, read_landed, tab_lines
-from ..sources.load import load_days
+from ..sources.load import load_days, summarise_load
 from ..sources.tables import replace_table
 from ..streaming.dayfiles import load_new_files, stream_landed
 from .base import query
@@ -77,8 +79,6 @@ def stream_files(spark, sf_dir):
 )
 def publish_daily_mart(spark, sf_dir):
     """The daily mart written as a table in folders by date and read back."""
-    from ..plans.marts import daily_event_tone
-
     path = work_dir(spark, "mart")
     replace_table(daily_event_tone(news(spark, sf_dir), AS_OF), path, ["event_date"], ["quad_class_label"])
     return spark.read.parquet(path)
@@ -105,3 +105,59 @@ def daily_run(spark, sf_dir):
             F.count(F.lit(1)).alias("n_days"),
         )
     )
+
+
+_MISFIT = "value BETWEEN 50 AND 60 OR event_type = 'signup' AND value > 90"
+
+
+@query(
+    "quarantined_lines",
+    f"""SELECT CAST(event_id AS VARCHAR) AS event_number, CAST(ts AS DATE) AS file_date,
+      CASE WHEN value BETWEEN 50 AND 60 AND event_type = 'signup' THEN 'GoldsteinScale,AvgTone'
+           WHEN event_type = 'signup' AND value > 90 THEN 'GoldsteinScale' ELSE 'AvgTone' END AS bad_columns
+    FROM events WHERE {_MISFIT}""",
+)
+def quarantined_lines(spark, sf_dir):
+    """Lines with a word where a number belongs, found after reading the landed files back."""
+    raw = raw_feed(spark, sf_dir)
+    low_tone, signup = F.col("AvgTone").between(0, 10), F.col("Actor1Code") == "SIGNUP"
+    spoiled = raw.withColumns(
+        {
+            "AvgTone": F.when(low_tone, "none").otherwise(F.col("AvgTone").cast("string")),
+            "GoldsteinScale": F.when(signup & (low_tone | (F.col("AvgTone") > 40)), "high").otherwise(
+                F.col("GoldsteinScale").cast("string")
+            ),
+        }
+    )
+    lake = work_dir(spark, "lake")
+    land_lines(tab_lines(spoiled), lake)
+    return quarantined(read_landed(spark, lake)).select(
+        F.col("GlobalEventID").alias("event_number"), "file_date", "bad_columns"
+    )
+
+
+@query(
+    "load_outcomes",
+    f"""WITH {RAW_SQL}, counted AS (
+      SELECT d, count(r.file_date) AS n FROM (
+        SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-02-02', INTERVAL 1 DAY)) AS DATE) AS d)
+      LEFT JOIN raw_feed r ON r.file_date = d GROUP BY d
+    ) SELECT CASE WHEN n > 0 THEN 'loaded' ELSE 'missing' END AS status, count(*) AS dates,
+      CAST(sum(n) AS BIGINT) AS rows_inserted FROM counted GROUP BY 1""",
+)
+def load_outcomes(spark, sf_dir):
+    """Dates and rows by outcome of one load."""
+    lake, raw_table = _landed(spark, sf_dir), work_dir(spark, "raw")
+    wanted = [*DAYS, date(2024, 1, 31), date(2024, 2, 1), date(2024, 2, 2)]
+    return summarise_load(load_days(spark, read_landed(spark, lake, wanted), wanted, raw_table).audit)
+
+
+@query(
+    "bad_dates",
+    "SELECT event_id AS event_number, 20241399 AS day FROM events WHERE value > 300",
+)
+def q_bad_dates(spark, sf_dir):
+    """Rows that staging sets aside because their day is no date."""
+    raw = raw_feed(spark, sf_dir)
+    spoiled = raw.withColumn("Day", F.when(F.col("AvgTone") > 250, F.lit(20241399)).otherwise(F.col("Day")))
+    return bad_dates(spoiled).select(F.col("GlobalEventID").alias("event_number"), F.col("Day").alias("day"))

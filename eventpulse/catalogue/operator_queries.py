@@ -16,7 +16,7 @@ from ..functions.numbers import (
 )
 from ..functions.text import NULL_KEY, surrogate_key, url_host, url_parameter, url_path
 from ..operators.aggregates import most_frequent
-from ..operators.introspect import column_values
+from ..operators.introspect import column_values, get_column_values, get_single_value
 from ..operators.reshape import (
     SOURCE_COLUMN,
     deduplicate,
@@ -197,12 +197,12 @@ def q_pivot_counts(spark, sf_dir):
 
 @query(
     "pivot_values",
-    """SELECT l_shipmonth, sum(CASE WHEN l_returnflag = 'A' THEN quantity END) AS a_quantity,
-      sum(CASE WHEN l_returnflag = 'N' THEN quantity END) AS n_quantity,
-      sum(CASE WHEN l_returnflag = 'R' THEN quantity END) AS r_quantity
+    """SELECT l_shipmonth, CAST(sum(CASE WHEN l_returnflag = 'A' THEN quantity END) AS DECIMAL(22,2)) AS a_quantity,
+      CAST(sum(CASE WHEN l_returnflag = 'N' THEN quantity END) AS DECIMAL(22,2)) AS n_quantity,
+      CAST(sum(CASE WHEN l_returnflag = 'R' THEN quantity END) AS DECIMAL(22,2)) AS r_quantity
     FROM (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS l_shipmonth, l_returnflag,
                  CAST(l_quantity AS DECIMAL(12,2)) AS quantity FROM lineitem)
-    GROUP BY l_shipmonth""".replace("sum(CASE", "CAST(sum(CASE").replace("quantity END)", "quantity END) AS DECIMAL(22,2))"),
+    GROUP BY l_shipmonth""",
 )
 def q_pivot_values(spark, sf_dir):
     """Quantities per month and flag, NULL where a month has none, under plain lower-case names."""
@@ -481,3 +481,39 @@ def q_column_values(spark, sf_dir):
 def q_column_values_top(spark, sf_dir):
     """The twenty customers with most orders."""
     return column_values(table(spark, sf_dir, "orders"), "o_custkey", max_records=20)
+
+
+@query(
+    "pivot_of_column_values",
+    """SELECT CAST(month(l_shipdate) AS INTEGER) AS ship_month, count(*) FILTER (l_linestatus = 'F') AS "status_F",
+      count(*) FILTER (l_linestatus = 'O') AS "status_O" FROM lineitem GROUP BY 1""",
+)
+def q_pivot_of_column_values(spark, sf_dir):
+    """The values found in the table become the columns."""
+    lines = table(spark, sf_dir, "lineitem").select(F.month("l_shipdate").alias("ship_month"), "l_linestatus")
+    statuses = get_column_values(spark, lines, "l_linestatus", max_records=100)
+    return pivot(lines, ["ship_month"], "l_linestatus", sorted(statuses), prefix="status_")
+
+
+@query(
+    "single_value",
+    "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)",
+)
+def q_single_value(spark, sf_dir):
+    """Orders of the last day, which is looked up first."""
+    orders = table(spark, sf_dir, "orders")
+    last = get_single_value(orders.agg(F.max("o_orderdate").cast("string")))
+    return orders.where(F.col("o_orderdate") == F.lit(last).cast("timestamp_ntz")).select("o_orderkey", "o_custkey")
+
+
+@query(
+    "star_aggregate",
+    """SELECT l_returnflag, l_linestatus, CAST(sum(l_linenumber) AS BIGINT) AS l_linenumber_sum,
+      max(l_shipdate) AS last_shipped FROM lineitem GROUP BY 1, 2""",
+)
+def q_star_aggregate(spark, sf_dir):
+    """Grouped by all columns but the ones that are aggregated."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber", "l_shipdate")
+    keys = star(lines, exclude=["l_linenumber", "l_shipdate"])
+    total = F.sum("l_linenumber").cast("bigint").alias("l_linenumber_sum")
+    return lines.groupBy(*keys).agg(total, F.max("l_shipdate").alias("last_shipped"))

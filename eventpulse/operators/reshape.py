@@ -111,29 +111,31 @@ def union_relations(
 ) -> DataFrame:
     """UNION ALL of tables with differing columns; a column a table lacks is NULL for its rows.
 
-    Columns keep the order in which they are first seen. The type is the first
+    Names are compared without regard to case. Columns keep the order in which they are first seen. The type is the first
     seen one unless ``column_override`` names another.
     """
     if include and exclude:
         raise ValueError("give include or exclude, not both")
     wanted, unwanted = _lower(include), _lower(exclude)
-    types: dict[str, T.DataType | str] = {}
+    superset: dict[str, tuple[str, T.DataType | str]] = {}
     for df in relations.values():
         for field in df.schema:
-            name = field.name.lower()
-            if name in unwanted or (wanted and name not in wanted):
-                continue
-            types.setdefault(field.name, field.dataType)
-    if not types:
+            key = field.name.lower()
+            if key not in unwanted and (not wanted or key in wanted):
+                superset.setdefault(key, (field.name, field.dataType))
+    if not superset:
         raise ValueError(f"no columns to union for {', '.join(relations)}")
-    types.update(column_override or {})
+    for name, kind in (column_override or {}).items():
+        if name.lower() in superset:
+            superset[name.lower()] = (superset[name.lower()][0], kind)
 
     parts = []
     for source, df in relations.items():
         rows = df if where is None else df.where(where)
+        present = _lower(df.columns)
         columns = [
-            (quoted(name) if name in df.columns else F.lit(None)).cast(kind).alias(name)
-            for name, kind in types.items()
+            (quoted(name) if key in present else F.lit(None)).cast(kind).alias(name)
+            for key, (name, kind) in superset.items()
         ]
         if source_column_name is not None:
             columns.insert(0, F.lit(source).alias(source_column_name))

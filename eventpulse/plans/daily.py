@@ -11,11 +11,20 @@ from pyspark.sql import functions as F
 
 from ..operators import checks as C
 from ..sources.load import LoadResult, load_days
-from ..sources.tables import replace_dates, replace_table
+from ..sources.tables import read_if_present, replace_dates, replace_table
 from .marts import country_activity, daily_event_tone
 from .staging import stage
 
 
+# Table and the layer it belongs to.
+LAYERS = {
+    "raw_events": "raw",
+    "events": "staging",
+    "mart_daily_event_tone": "mart",
+    "mart_country_activity": "mart",
+}
+
+
 @dataclass(frozen=True)
 class Tables:
     """Paths of the tables of one warehouse folder."""
@@ -23,7 +32,7 @@ class Tables:
     root: str
 
     def __getattr__(self, name: str) -> str:
-        if name not in ("raw_events", "events", "mart_daily_event_tone", "mart_country_activity"):
+        if name not in LAYERS:
             raise AttributeError(name)
         return f"{self.root.rstrip('/')}/{name}"
 
@@ -35,6 +44,19 @@ class DailyResult:
     published: bool
 
 
+def create_views(spark: SparkSession, warehouse: str, prefix: str = "news") -> list[str]:
+    """Views over the stored tables in one database per layer, so that they can be queried by name.
+
+    They read the folders as they are, so a view stays valid when its table is rebuilt.
+    """
+    tables, names = Tables(warehouse), []
+    for name, layer in LAYERS.items():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}_{layer}")
+        names.append(f"{prefix}_{layer}.{name}")
+        spark.sql(f"CREATE OR REPLACE VIEW {names[-1]} AS SELECT * FROM parquet.`{getattr(tables, name)}`")
+    return names
+
+
 def raw_checks(raw: DataFrame) -> list[C.Check]:
     return [C.not_null(raw, column).configured(relation="raw_events") for column in ("GlobalEventID", "Day")]
 
@@ -104,8 +126,9 @@ def run_daily(
         staged = stage(new, on_bad_date, keep=["ingest_date"])
         replace_dates(staged, tables.events, load.loaded, "ingest_date", "event_date", ["action_geo_country_code"])
 
-    raw = spark.read.parquet(tables.raw_events)
-    events = spark.read.parquet(tables.events)
+    raw, events = read_if_present(spark, tables.raw_events), read_if_present(spark, tables.events)
+    if raw is None or events is None:
+        raise RuntimeError(f"no events to build from: none of {len(dates)} day files could be loaded")
     daily = daily_event_tone(events, as_of)
     countries = country_activity(events, as_of, crosswalk_as_listed=crosswalk_as_listed)
 

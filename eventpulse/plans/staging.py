@@ -18,7 +18,7 @@ CLASS_LABELS = {
 }
 OTHER_LABEL = "Unknown"
 
-# Staged name and raw name, in output order. The dates and the label are computed.
+# Staged name and raw name, in output order. The dates and the label are computed.
 STAGED_FROM = """
 global_event_id          GlobalEventID
 event_date               Day

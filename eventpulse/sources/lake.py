@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..schema import RAW_COLUMNS, RAW_TEXT_SCHEMA
 from .dayfiles import no_lines, read_archive_lines, text_options
+from .tables import dates_in_folders
 
 LANDED = "raw_lines"
 LANDED_SCHEMA = T.StructType([*RAW_TEXT_SCHEMA.fields, T.StructField("file_date", T.DateType())])
@@ -41,9 +42,9 @@ def land_lines(lines: DataFrame, root: str, overwrite: bool = False) -> None:
     spark = lines.sparkSession
     rows = lines.select("line", "file_date")
     if not overwrite:
-        landed = _landed(spark, root)
-        if landed is not None:
-            present = landed.select("file_date").distinct()
+        present = dates_in_folders(spark, f"{root.rstrip('/')}/{LANDED}", "file_date")
+        if present is not None:
+            # One row per day of the lake's history.
             rows = rows.join(F.broadcast(present), "file_date", "left_anti")
     writer = rows.write.partitionBy("file_date").mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.text(f"{root.rstrip('/')}/{LANDED}")

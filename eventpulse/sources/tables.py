@@ -59,13 +59,25 @@ def replace_dates(
         writer.partitionBy(then_by).parquet(f"{path}/{date_column}={day.isoformat()}")
 
 
+def dates_in_folders(spark: SparkSession, path: str, date_column: str) -> DataFrame | None:
+    """The dates that a table has folders for, from one row per file; the files are not opened."""
+    try:
+        files = spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    if date_column not in files.columns:
+        return None
+    return files.select(F.col(date_column).cast("date")).distinct()
+
+
 def landed_dates(spark: SparkSession, path: str, dates: Sequence[date], date_column: str) -> list[date]:
-    """Which of the dates the table already holds, read from its folders only."""
-    table = read_if_present(spark, path)
-    if table is None:
+    """Which of the dates the table already holds."""
+    found = dates_in_folders(spark, path, date_column)
+    if found is None:
         return []
-    found = table.select(date_column).where(F.col(date_column).isin(list(dates))).distinct()
-    return sorted(row[0] for row in found.collect())
+    return sorted(row[0] for row in found.where(F.col(date_column).isin(list(dates))).collect())
 
 
 def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:

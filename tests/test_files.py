@@ -4,8 +4,9 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from eventpulse.plans.daily import Tables, run_daily
+from eventpulse.plans.daily import Tables, create_views, run_daily
 from eventpulse.schema import RAW_COLUMNS
+from eventpulse.session import work_dir
 from eventpulse.sources import dayfiles, lake
 from eventpulse.sources.load import load_days, summarise_load
 from eventpulse.sources.tables import landed_dates, replace_dates, replace_table
@@ -247,6 +248,29 @@ def test_daily_run(spark, tmp_path):
         assert result.checks.count() == 17
 
 
+def test_views_by_layer_follow_the_tables(spark, tmp_path):
+    put(tmp_path, D1, line(1), line(2, QuadClass="3"))
+    warehouse = str(tmp_path / "w")
+    run_daily(spark, dayfiles.read_day_files(spark, str(tmp_path), [D1]), [D1], warehouse, D3)
+    names = create_views(spark, warehouse, "feed")
+    assert names[1:3] == ["feed_staging.events", "feed_mart.mart_daily_event_tone"]
+    by_class = "SELECT quad_class, event_count FROM feed_mart.mart_daily_event_tone ORDER BY quad_class"
+    assert [tuple(r) for r in spark.sql(by_class).collect()] == [(1, 1), (3, 1)]
+    put(tmp_path, D2, line(3, day="20240102", QuadClass="4"))
+    run_daily(spark, dayfiles.read_day_files(spark, str(tmp_path), [D2]), [D2], warehouse, D3)
+    assert [tuple(r) for r in spark.sql(by_class).collect()] == [(1, 1), (3, 1), (4, 1)]
+    plan = spark.sql("SELECT count(avg_tone) FROM feed_staging.events WHERE event_date = '2024-01-02'")
+    assert "PartitionFilters: [isnotnull(event_date" in plan._jdf.queryExecution().executedPlan().toString()
+    for layer in ("raw", "staging", "mart"):
+        spark.sql(f"DROP DATABASE feed_{layer} CASCADE")
+
+
+def test_daily_run_without_any_file(spark, tmp_path):
+    nothing = dayfiles.read_day_files(spark, str(tmp_path), [D1])
+    with pytest.raises(RuntimeError, match="no events"):
+        run_daily(spark, nothing, [D1], str(tmp_path / "w"), D3)
+
+
 def test_daily_run_with_gate(spark, tmp_path):
     put(tmp_path, D1, line(1))
     warehouse = str(tmp_path / "w")
@@ -256,3 +280,20 @@ def test_daily_run_with_gate(spark, tmp_path):
     held = run_daily(spark, dayfiles.read_day_files(spark, str(tmp_path), [D2]), [D2], warehouse, D3, gate=True)
     assert not held.published
     assert spark.read.parquet(Tables(warehouse).mart_daily_event_tone).count() == 1
+
+
+class Settings:
+    """Stands in for a session that has only the given settings."""
+
+    def __init__(self, **values):
+        self.conf = {key.replace("_", "."): value for key, value in values.items()}
+
+
+def test_work_dir_is_shared_or_local():
+    given = Settings(spark_checkpoint_dir="hdfs://somewhere/folder/", spark_master="yarn")
+    assert work_dir(given, "x").startswith("hdfs://somewhere/folder/x-")
+    assert work_dir(given, "x") != work_dir(given, "x")
+    local = Settings(spark_master="local[2]")
+    assert work_dir(local, "a").rsplit("/", 1)[0] == work_dir(local, "b").rsplit("/", 1)[0]
+    with pytest.raises(RuntimeError):
+        work_dir(Settings(spark_master="yarn"), "x")

@@ -116,10 +116,16 @@ def test_union_relations_include_where_and_errors(spark, rows):
 
 
 def test_union_relations_override(spark):
-    got = reshape.union_relations(favourites(spark), column_override={"id": "string"})
+    got = reshape.union_relations(favourites(spark), column_override={"ID": "string"})
     assert dict(got.dtypes)["id"] == "string"
 
 
+def test_union_relations_ignores_case(spark, rows):
+    a, b = spark.createDataFrame([(1,)], "Id int"), spark.createDataFrame([(2,)], "ID int")
+    got = reshape.union_relations({"a": a, "b": b}, source_column_name=None)
+    assert got.columns == ["Id"] and rows(got) == [(1,), (2,)]
+
+
 def test_deduplicate(spark, rows):
     df = spark.createDataFrame([(1, "play", 1), (1, "play", 2), (2, "pause", 1)], "user_id int, event string, version int")
     got = reshape.deduplicate(df, ["user_id"], [F.desc("version")])

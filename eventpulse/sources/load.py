@@ -72,7 +72,10 @@ def load_days(
 
     loaded = sorted(r.file_date for r in report if r.error is None)
     if loaded:
-        rows = parsed.where(F.col("file_date").isin(loaded) & F.col("file_error").isNull() & ~is_bad())
+        rows = parsed.where(F.col("file_date").isin(loaded) & F.col("file_error").isNull())
+        if any(r.rows_bad for r in report if r.error is None):
+            # Only then: as a filter, the test types every field a second time.
+            rows = rows.where(~is_bad())
         writer = rows.select(*RAW_COLUMNS, F.col("file_date").alias("ingest_date")).write.partitionBy("ingest_date")
         if mode == "append":
             writer.mode("append").parquet(table_path)

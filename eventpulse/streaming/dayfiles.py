@@ -43,13 +43,14 @@ def load_new_files(
     """
     parsed = typed(lines)
     unusable = is_bad() | F.col("file_error").isNotNull()
-    target = [*RAW_COLUMNS, F.col("file_date").alias("ingest_date")]
+    day = F.col("file_date").alias("ingest_date")
 
     if quarantine_path is None:
-        reason = F.concat(F.lit("bad value in "), F.col("file_path"))
-        rows = parsed.where(F.when(unusable, F.raise_error(reason).cast("boolean")).otherwise(F.lit(True)))
+        # Raised from a column beside the typed values, not from a filter, which would type every field again.
+        stop = F.raise_error(F.concat(F.lit("bad value in "), F.col("file_path"))).cast("date")
+        day = F.when(unusable, stop).otherwise(F.col("file_date")).alias("ingest_date")
         return (
-            rows.select(*target)
+            parsed.select(*RAW_COLUMNS, day)
             .writeStream.format("parquet")
             .partitionBy("ingest_date")
             .option("path", table_path)
@@ -60,7 +61,7 @@ def load_new_files(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # The batch number in the folder makes a repeated batch replace itself.
-        good = batch.where(~unusable).select(*target).withColumn("batch", F.lit(batch_id))
+        good = batch.where(~unusable).select(*RAW_COLUMNS, day).withColumn("batch", F.lit(batch_id))
         bad = batch.where(unusable).withColumn("batch", F.lit(batch_id))
         for rows, path, folders in ((good, table_path, ["ingest_date", "batch"]), (bad, quarantine_path, ["batch"])):
             writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

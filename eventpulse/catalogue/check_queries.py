@@ -344,10 +344,10 @@ def q_unique_combination(spark, sf_dir):
     return C.unique_combination_of_columns(table(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey"]).violations
 
 
-_PARTS_SQL = """SELECT which_diff FROM (
-      SELECT 'a' AS which_diff, * FROM (SELECT l_partkey FROM lineitem WHERE l_quantity > 49 EXCEPT SELECT p_partkey FROM part WHERE p_size > 5)
-      UNION ALL
-      SELECT 'b', * FROM (SELECT p_partkey FROM part WHERE p_size > 5 EXCEPT SELECT l_partkey FROM lineitem WHERE l_quantity > 49))"""
+_SOLD, _LISTED = "SELECT l_partkey FROM lineitem WHERE l_quantity > 49", "SELECT p_partkey FROM part WHERE p_size > 5"
+_PARTS_SQL = f"""SELECT which_diff FROM (
+      SELECT 'a' AS which_diff, * FROM ({_SOLD} EXCEPT {_LISTED})
+      UNION ALL SELECT 'b', * FROM ({_LISTED} EXCEPT {_SOLD}))"""
 
 
 @query(

@@ -20,7 +20,10 @@ from .base import table
 AS_OF = date(2024, 1, 31)
 DAYS = [date(2024, 1, d) for d in range(1, 31)]
 
-_QUAD_CLASS = "CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'click' THEN 3 WHEN 'error' THEN 4 ELSE 0 END"
+_QUAD_CLASS = (
+    "CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'click' THEN 3"
+    " WHEN 'error' THEN 4 ELSE 0 END"
+)
 _COUNTRY = (
     "CASE user_id % 8 WHEN 0 THEN 'US' WHEN 1 THEN 'UK' WHEN 2 THEN 'AU' WHEN 3 THEN 'MO'"
     " WHEN 4 THEN 'GM' WHEN 5 THEN 'XX' WHEN 6 THEN '' END"
@@ -31,7 +34,7 @@ _LABEL = (
     " WHEN 3 THEN 'Verbal Conflict' WHEN 4 THEN 'Material Conflict' ELSE 'Unknown' END"
 )
 
-# SQL shared by the comparison queries. A day below 2000 or missing is derived from small values.
+# SQL shared by the comparison queries.
 NEWS_SQL = f"""news AS (
   SELECT event_id AS global_event_id, CAST(ts AS DATE) AS event_date, {_QUAD_CLASS} AS quad_class,
          CAST(value AS DECIMAL(12,2)) - 50 AS avg_tone, CAST(user_id % 21 AS INTEGER) - 10 AS goldstein_scale,
@@ -57,7 +60,8 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged.withColumn("quad_class_label", class_label(F.col("quad_class")))
 
 
-# Raw column, Spark expression over events, and SQL where it differs. Columns left out are NULL.
+# Raw column, Spark expression over events, and SQL where it differs. Columns left out are NULL. Small
+# values give a missing day or one before 2000, which staging leaves out.
 _DAY = "CASE WHEN value < 1 THEN NULL WHEN value < 2 THEN 19991231 ELSE {} END"
 _YMD = ("CAST(date_format(ts, 'yyyyMMdd') AS INT)", "CAST(strftime(ts, '%Y%m%d') AS INTEGER)")
 _RAW = {

@@ -11,6 +11,7 @@ fills a range by itself cannot be cut: callers then count equal rows first.
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -24,9 +25,12 @@ from pyspark.sql import types as T
 ROWS_PER_TASK = 1_000_000
 
 
-def _as_number(df: DataFrame, order: str) -> Column:
-    """A double that rises with the order column."""
+def _as_number(df: DataFrame, order: str, shared_bytes: int = 0) -> Column:
+    """A double that rises with the order column. Of a text it holds six bytes after those that all values share."""
     kind = df.schema[order].dataType
+    if isinstance(kind, T.StringType):
+        tail = F.substring(F.encode(order, "UTF-8"), shared_bytes + 1, 6)
+        return F.conv(F.rpad(F.hex(tail), 12, "0"), 16, 10).cast("double")
     if isinstance(kind, T.NumericType):
         return F.col(order).cast("double")
     if isinstance(kind, T.DateType):
@@ -37,7 +41,17 @@ def _as_number(df: DataFrame, order: str) -> Column:
         # Read off the clock: as an instant, the hour that a change of clocks skips would come out of order.
         clock = F.hour(order) * 3600 + F.minute(order) * 60 + F.second(order)
         return F.unix_date(F.col(order).cast("date")) * F.lit(86_400.0) + clock
-    raise TypeError(f"{order} must be a number, date or timestamp, not {kind.simpleString()}")
+    raise TypeError(f"{order} must be a number, text, date or timestamp, not {kind.simpleString()}")
+
+
+def _shared_bytes(df: DataFrame, order: str) -> int:
+    """How many leading bytes the least and greatest text share, and with them all texts in between."""
+    if not isinstance(df.schema[order].dataType, T.StringType):
+        return 0
+    ends = df.agg(F.min(order).alias("least"), F.max(order).alias("greatest")).first()
+    if ends.least is None:
+        return 0
+    return len(os.path.commonprefix([ends.least.encode(), ends.greatest.encode()]))
 
 
 def fits_one_task(df: DataFrame, group: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> bool:
@@ -52,27 +66,30 @@ class Cuts:
 
     points: list[float]
     heavy: bool
+    shared_bytes: int = 0
 
 
 def find_cuts(df: DataFrame, order: str) -> Cuts:
     """As many ranges of about equal row numbers as there are shuffle partitions. One small row reaches the driver."""
     ranges = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / ranges for i in range(1, ranges)]
-    numbers = df.select(_as_number(df, order).alias("x"))
+    shared = _shared_bytes(df, order)
+    numbers = df.select(_as_number(df, order, shared).alias("x"))
     found = numbers.agg(
         F.percentile_approx("x", shares, max(10_000, 10 * ranges)).alias("points"),
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("x").isNull()).alias("n_null"),
     ).first()
     points = [p for p in found.points or [] if math.isfinite(p)]
-    return Cuts(sorted(set(points)) or [0.0], len(set(points)) < len(points) or found.n_null * ranges > found.n)
+    heavy = len(set(points)) < len(points) or found.n_null * ranges > found.n
+    return Cuts(sorted(set(points)) or [0.0], heavy, shared)
 
 
 def _with_range(df: DataFrame, order: str, cuts: Cuts) -> DataFrame:
     """Adds ``_range``: a number that rises with the order column, NULL values in the lowest."""
     splits = [float("-inf"), *cuts.points, float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol="_number", outputCol="_bucket", handleInvalid="keep")
-    ranged = bucketizer.transform(df.withColumn("_number", _as_number(df, order)))
+    ranged = bucketizer.transform(df.withColumn("_number", _as_number(df, order, cuts.shared_bytes)))
     number = F.when(F.col(order).isNull(), F.lit(-1)).otherwise(F.col("_bucket").cast("int"))
     return ranged.withColumn("_range", number).drop("_number", "_bucket")
 

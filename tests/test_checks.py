@@ -347,9 +347,25 @@ def test_ranges_examples(spark, rows_per_task):
         assert failures(check) == want
 
 
+@PATHS
+def test_ranges_of_texts(spark, rows_per_task):
+    rng = random.Random(2)
+    days = sorted({f"2024-0{rng.randrange(1, 10)}-{rng.randrange(10, 29)}" for _ in range(120)})
+    data = [("a", d, e) for d, e in zip(days, days[1:])] + [("a", days[5], days[9]), ("b", "2024", "2024-"), ("b", "2024é", "x")]
+    df = spark.createDataFrame(data, "g string, lo string, hi string").repartition(3)
+    cuts = find_cuts(df, "lo")
+    assert cuts.shared_bytes == 4 and len(cuts.points) > 3
+    check = C.mutually_exclusive_ranges(df, "lo", "hi", "g", "not_allowed", rows_per_task=rows_per_task)
+    got = [
+        (r.partition_by_col, r.lower_bound, r.upper_bound, r.next_lower_bound, r.is_last_record)
+        for r in check.violations.collect()
+        for _ in range(r.n_rows)
+    ]
+    assert sorted(got, key=str) == ranges_by_hand(data, "not_allowed", False)
+
+
 def test_ordered_checks_reject_what_they_cannot_order(spark):
-    df = spark.createDataFrame([("a", "b"), ("c", "d"), ("e", "f")], "lo string, hi string")
-    assert failures(C.mutually_exclusive_ranges(df, "lo", "hi")) == 0
+    df = spark.createDataFrame([(True, True), (False, True)], "lo boolean, hi boolean")
     with pytest.raises(TypeError):
         C.mutually_exclusive_ranges(df, "lo", "hi", rows_per_task=1)
     with pytest.raises(ValueError):

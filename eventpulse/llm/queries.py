@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat
+from . import chat, secrets
 from .common import ORACLES, QUERIES, query, table, written  # noqa: F401
 from .exact_dedup import exact_dedup
 from .mixing import mix
+from .token_files import read_documents, write_token_files
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -58,6 +59,22 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_find_secrets")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    base = [rule.kind for rule in secrets.BASE_RULES]
+    of_base = F.filter("spans", lambda s: s["rule"] < len(base))
+
+    def count(number: int) -> F.Column:
+        return F.size(F.filter("spans", lambda s: s["rule"] == number)).cast("bigint")
+
+    counts = [count(i).alias(f"n_{kind}") for i, kind in enumerate(base)]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.span_text(of_base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 @query(
     "op7_mix",
     r"""
@@ -93,3 +110,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op8_token_files")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    blocks = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return read_documents(blocks)

@@ -12,5 +12,3 @@ def frame(spark, tmp_path):
 
     return made
 
-
-DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"

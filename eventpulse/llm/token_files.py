@@ -13,8 +13,11 @@ is asked of the library, too, for each character that occurs.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,10 +28,12 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty, written
 from .wavelet import WaveletMatrix
+from .words import chunks, text_bytes
 
 BLOCK_TOKENS = 4_000_000
-# Pieces whose ids a task remembers at most; all are forgotten beyond it.
-MOST_PIECES = 400_000
+# Pieces whose ids a worker remembers at most; all are forgotten beyond it.
+MOST_PIECES = 600_000
+CHUNK_BYTES = 1 << 21
 END = 0
 
 BLOCK_SCHEMA = "shard int, block int, doc_ids array<bigint>, lengths array<bigint>, n_tokens bigint, payload binary"
@@ -46,7 +51,7 @@ class BatchEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.kinds = np.full(0x110000, _UNKNOWN, np.uint8)
-        self.known: dict[str, np.ndarray] = {}
+        self._forget()
 
     def _learn_kinds(self, chars: np.ndarray) -> None:
         """A character's kind shows in what the library leaves in one piece with it."""
@@ -93,12 +98,11 @@ class BatchEncoder:
 
     def encode(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and how many each text has. No text may be null."""
-        joined = b"".join(texts.cast(pa.large_binary()).to_pylist())
-        text = joined.decode()
-        chars = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        data, doc_bytes = text_bytes(texts)
+        joined = data.tobytes()
+        chars = np.frombuffer(joined.decode().encode("utf-32-le"), np.uint32)
         if not len(chars):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        doc_bytes = np.concatenate(([0], np.cumsum([len(x) for x in texts.cast(pa.large_binary()).to_pylist()])))
         width = 1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000).astype(np.int64)
         byte_at = np.concatenate(([0], np.cumsum(width)))
         doc_chars = np.searchsorted(byte_at, doc_bytes)
@@ -108,32 +112,47 @@ class BatchEncoder:
         offsets = np.append(byte_at[starts], len(joined)).astype(np.int64)
         pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets.tobytes()), pa.py_buffer(joined))
         coded = pieces.dictionary_encode()
-        ids_of = self._ids(coded.dictionary.to_pylist())
-        lengths = np.fromiter(map(len, ids_of), np.int64, len(ids_of))
-        flat, first = np.concatenate(ids_of), np.concatenate(([0], np.cumsum(lengths)))
-        index = coded.indices.to_numpy()
-        n = lengths[index]
+        rows = self._rows(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        n = self.lengths[rows]
         ends = np.cumsum(n)
-        places = np.repeat(first[index] - (ends - n), n)
+        places = np.repeat(self.firsts[rows] - (ends - n), n)
         places += np.arange(len(places))
         upto = np.concatenate(([0], ends))
-        return flat[places], np.diff(upto[np.searchsorted(starts, doc_chars)])
-
-    def _ids(self, pieces: list[str]) -> list[np.ndarray]:
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > MOST_PIECES:
-            self.known, new = {}, pieces
-        for piece, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[piece] = np.array(coded.ids, np.uint32)
-        return [self.known[p] for p in pieces]
+        return self.flat[places], np.diff(upto[np.searchsorted(starts, doc_chars)])
+
+    def _forget(self) -> None:
+        """No pieces are known: piece to row, and for each row the place and number of its ids."""
+        self.known: dict[str, int] = {}
+        self.flat, self.firsts, self.lengths = (np.zeros(0, kind) for kind in (np.uint32, np.int64, np.int64))
+
+    def _rows(self, pieces: list[str]) -> np.ndarray:
+        """The rows of distinct pieces; those not yet known are encoded."""
+        if len(self.known) + len(pieces) > MOST_PIECES:
+            self._forget()
+        rows = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        fresh = np.flatnonzero(rows < 0)
+        if len(fresh):
+            new = [pieces[i] for i in fresh.tolist()]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            rows[fresh] = np.arange(len(self.known), len(self.known) + len(new))
+            self.known.update(zip(new, rows[fresh].tolist()))
+            self.firsts = np.concatenate((self.firsts, len(self.flat) + np.cumsum(lengths) - lengths))
+            self.lengths = np.concatenate((self.lengths, lengths))
+            self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, lengths.sum())))
+        return rows
+
+
+@cache
+def batch_encoder(path: str) -> BatchEncoder:
+    """One encoder per worker process, so what a task has learnt serves the next."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return BatchEncoder(path)
 
 
 def _blocks(tokenizer_path: str):
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, shard, block = BatchEncoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder, shard, block = batch_encoder(tokenizer_path), TaskContext.get().partitionId(), 0
         held: list[np.ndarray] = []
         doc_ids: list[int | None] = []
         lengths: list[int] = []
@@ -146,14 +165,15 @@ def _blocks(tokenizer_path: str):
             return pa.record_batch([pa.array([x], k) for x, k in zip(row, kinds)], names=names)
 
         for batch in batches:
-            ids, counts = encoder.encode(batch.column("text").cast(pa.large_string()))
-            ends = np.cumsum(counts)
-            held.append(np.insert(ids, ends, END).astype(np.uint32))
-            doc_ids += batch.column("doc_id").to_pylist()
-            lengths += (counts + 1).tolist()
-            if sum(map(len, held)) >= BLOCK_TOKENS:
-                yield closed()
-                held, doc_ids, lengths, block = [], [], [], block + 1
+            batch_ids = batch.column("doc_id").to_pylist()
+            for first, texts in chunks(batch.column("text").cast(pa.large_string()), CHUNK_BYTES):
+                ids, counts = encoder.encode(texts)
+                held.append(np.insert(ids, np.cumsum(counts), END).astype(np.uint32))
+                doc_ids += batch_ids[first : first + len(texts)]
+                lengths += (counts + 1).tolist()
+                if sum(map(len, held)) >= BLOCK_TOKENS:
+                    yield closed()
+                    held, doc_ids, lengths, block = [], [], [], block + 1
         if doc_ids:
             yield closed()
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import chat, secrets
 from .common import ORACLES, QUERIES, query, table, written  # noqa: F401
 from .exact_dedup import exact_dedup
+from .html_text import extract_text
 from .licenses import scan_licenses
 from .mixing import mix
 from .token_files import read_documents, write_token_files
@@ -32,6 +33,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"))
 
 
+@query("op3_html_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 @query("op4_chat_format")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")

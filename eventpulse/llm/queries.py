@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, secrets
+from . import chat, language, secrets
 from .common import ORACLES, QUERIES, query, table, written  # noqa: F401
 from .exact_dedup import exact_dedup
 from .html_text import extract_text
@@ -130,3 +130,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     blocks = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return read_documents(blocks)
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    models = language.fit_models(docs.where(~language.held_out("doc_id")))
+    found = language.identify(docs, models)
+    return found.withColumn("held_out", language.held_out("doc_id")).select(
+        "doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected"
+    )

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import io
 import unicodedata
+import uuid
 from collections.abc import Iterator
 from functools import cache
 
@@ -253,21 +254,21 @@ def fit_models(
     return sorted(sample.groupBy("lang").applyInPandas(_fitted, schema).collect(), key=lambda r: r.lang)
 
 
-_scorers: dict[int, Scorer] = {}
+_scorers: dict[str, Scorer] = {}
 
 
 def _identified(models):
-    def scorer_of_worker(known) -> Scorer:
-        if id(models) not in _scorers:
+    def scorer_of_worker(name: str, known) -> Scorer:
+        if name not in _scorers:
             _scorers.clear()
-            _scorers[id(models)] = Scorer([CharacterModel.from_bytes(m) for _, m, *_ in known])
-        return _scorers[id(models)]
+            _scorers[name] = Scorer([CharacterModel.from_bytes(m) for _, m, *_ in known])
+        return _scorers[name]
 
     def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = models.value
+        name, known = models.value
         names = np.array([m[0] for m in known] or [UNDETERMINED], object)
         centre, deviation, per_char = (np.array([m[i] for m in known]) for i in (2, 3, 4))
-        scorer = scorer_of_worker(known) if known else None
+        scorer = scorer_of_worker(name, known) if known else None
         for batch in batches:
             ids, texts = batch.column("doc_id"), [t or "" for t in batch.column("text").to_pylist()]
             for first, part in text_chunks(texts):
@@ -302,7 +303,8 @@ def identify(docs: DataFrame, models: list, id_col: str = "doc_id", text_col: st
     and repeated ids are kept and other columns ignored. The models, whose size the
     sample bounds, are the only broadcast.
     """
-    shared = docs.sparkSession.sparkContext.broadcast([tuple(m) for m in models])
+    # The name tells a worker that has read models already whether they are these.
+    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, [tuple(m) for m in models]))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(
         _identified(shared), "doc_id bigint, lang_pred string, score double, cross_entropy double, rejected boolean"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import chat, language, secrets
 from .common import ORACLES, QUERIES, query, table, written  # noqa: F401
+from .decontaminate import find_leaks
 from .exact_dedup import exact_dedup
 from .html_text import extract_text
 from .licenses import scan_licenses
@@ -71,6 +72,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_find_leaks")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op6_find_secrets")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))

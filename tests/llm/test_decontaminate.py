@@ -1,0 +1,101 @@
+"""Leaks against a plain edit-distance search over every place of every document."""
+
+import random
+
+import numpy as np
+
+from eventpulse.llm import decontaminate
+from eventpulse.llm.decontaminate import Index, _leaks, find_leaks, normalised, pieces_of, without_leaks
+
+WORDS = "the of and tion ing on er re".split()
+
+
+def words(dice, n):
+    return " ".join("".join(dice.choices(WORDS, k=dice.randint(1, 3))) for _ in range(n))
+
+
+def spoilt(dice, text, edits):
+    chars = list(text)
+    for _ in range(edits):
+        at = dice.randrange(len(chars))
+        chars[at] = dice.choice(["", "x", chars[at] + "q", chars[at].upper()])
+    return "".join(chars)
+
+
+def least_edits(piece, chars):
+    """Fewest edits between the piece and any stretch of the characters."""
+    row = [0] * (len(chars) + 1)
+    for p in piece:
+        new = [row[0] + 1]
+        for j, c in enumerate(chars):
+            new.append(min(row[j] + (p != c), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
+def test_found_if_and_only_if_within_the_budget():
+    dice = random.Random(5)
+    items = [(i, words(dice, dice.choice([6, 10, 25, 50]))) for i in range(12)]
+    pieces = pieces_of(items)
+    index = Index(pieces)
+    texts = []
+    for _ in range(60):
+        item = dice.choice(items)[1]
+        middle = spoilt(dice, item, dice.randint(0, len(item) // 7)) if dice.random() < 0.8 else ""
+        texts.append(words(dice, dice.randint(0, 12)) + " " + middle + " " + words(dice, dice.randint(0, 12)))
+    got = _leaks(index, texts)
+    n_found = 0
+    for i, text in enumerate(texts):
+        chars = normalised([text])[0][: -decontaminate.Q].tolist()
+        for number, piece in enumerate(pieces):
+            edits = least_edits(piece.chars.tolist(), chars)
+            hit = [h for h in got.get(i, []) if h[0] is index.pieces[number]]
+            assert bool(hit) == (edits <= piece.edits), (i, number, edits, piece.edits)
+            if hit:
+                n_found += 1
+                assert hit[0][3] == edits
+    assert n_found > 30
+
+
+def test_places_are_of_the_text_itself():
+    item = "Ünder the İstanbul ℌeading, SOME words; that stand -- nowhere else at all"
+    text = f"İİ é. {item.upper()}!! and more"
+    ((_, begin, end, edits),) = _leaks(Index(pieces_of([(1, item)])), ["", text])[1]
+    assert edits == 0 and text[begin:end] == item.upper()
+
+
+def test_frames_with_nulls_repeats_and_clashing_names(spark, frame, monkeypatch):
+    dice = random.Random(6)
+    items = [(i, words(dice, 30)) for i in range(8)] + [(None, None), (20, ""), (21, "the of"), (30, words(dice, 20))]
+    rows = [(i if i % 10 else None, f"{words(dice, 20)} {items[i % 8][1]} {words(dice, 5)}" if i % 3 == 0 else words(dice, 40)) for i in range(60)]
+    rows += [(None, None), (100, ""), (101, words(dice, 60_000) + " " + items[1][1]), rows[3], rows[3]]
+    docs = frame(rows, "doc_id bigint, text string").selectExpr("*", "1 AS item_id", "2 AS edits")
+    benchmark = frame(items, "item_id bigint, text string").selectExpr("*", "1 AS doc_id")
+    want = sorted((str(d), i) for d, t in rows for i, b in items if t and b and len(b) >= 24 and b in t)
+    for block in (decontaminate.BLOCK_CHARS, 300):
+        monkeypatch.setattr(decontaminate, "BLOCK_CHARS", block)
+        got = find_leaks(docs, benchmark).collect()
+        assert sorted((str(r.doc_id), r.item_id) for r in got) == want
+        assert all(r.edits == 0 for r in got)
+        kept = without_leaks(docs, benchmark)
+        assert kept.columns == docs.columns
+        leaked = {t for d, t in rows if t and any(b and len(b) >= 24 and b in t for _, b in items)}
+        assert sorted(str(r.text) for r in kept.collect()) == sorted(str(t) for _, t in rows if t not in leaked)
+
+
+def test_empty_tables(frame):
+    none, some = frame([], "doc_id bigint, text string"), frame([(1, "word " * 20)], "doc_id bigint, text string")
+    benchmark, no_benchmark = (frame(r, "item_id bigint, text string") for r in ([(1, "word " * 20)], []))
+    assert find_leaks(none, benchmark).collect() == []
+    assert find_leaks(some, no_benchmark).collect() == []
+    assert without_leaks(some, no_benchmark).count() == 1
+    assert find_leaks(some, benchmark).count() == 1
+
+
+def test_hash_covers_every_character():
+    chars = np.arange(1, 30, dtype=np.uint32)
+    base = decontaminate.q_grams(chars)
+    for i in range(decontaminate.Q):
+        other = chars.copy()
+        other[10 + i] += 1
+        assert decontaminate.q_grams(other)[10] != base[10]

@@ -10,6 +10,7 @@ from .common import ORACLES, QUERIES, query, table, written  # noqa: F401
 from .decontaminate import find_leaks
 from .exact_dedup import exact_dedup
 from .html_text import extract_text
+from .jaccard_join import jaccard_components
 from .licenses import scan_licenses
 from .mixing import mix
 from .token_files import read_documents, write_token_files
@@ -146,3 +147,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", language.held_out("doc_id")).select(
         "doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected"
     )
+
+
+@query("op10_jaccard_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))

@@ -31,6 +31,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut
 from .components import components
@@ -388,6 +389,18 @@ def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return stars.unionByName(small_links).unionByName(large_links)
 
 
+def _class_tables(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Runs of key, n and ids; and one row per class: key, n, least_id, class_size, component (a key)."""
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    runs = cut(rows.mapInArrow(_class_runs, "key bigint, n bigint, ids array<bigint>"))
+    classes = cut(runs.where("n > 0").groupBy("key", "n").agg(
+        F.min(F.array_min("ids")).alias("least_id"), F.sum(F.size("ids")).cast("bigint").alias("class_size")
+    ))
+    joined = components(_links(rows.select(F.lit(None).cast("bigint").alias("doc_id"), "text"), classes))
+    members = classes.join(joined.withColumnRenamed("node", "key"), "key", "left")
+    return runs, members.withColumn("component", F.coalesce("component", "key"))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, class_size.
 
@@ -400,14 +413,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id: it gets the least id it links with, if any. Rows that share an id link only by
     their texts. Other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    runs = cut(rows.mapInArrow(_class_runs, "key bigint, n bigint, ids array<bigint>"))
-    classes = cut(runs.where("n > 0").groupBy("key", "n").agg(
-        F.min(F.array_min("ids")).alias("least_id"), F.sum(F.size("ids")).cast("bigint").alias("class_size")
-    ))
-    joined = components(_links(rows.select(F.lit(None).cast("bigint").alias("doc_id"), "text"), classes))
-    joined = joined.withColumnRenamed("node", "key")
-    members = classes.join(joined, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    runs, members = _class_tables(docs, id_col, text_col)
     least = members.groupBy("component").agg(F.min("least_id").alias("component_id"))
     named = members.join(least, "component").select("key", "component_id", "class_size")
     found = runs.join(named, "key", "left").select("n", "component_id", "class_size", F.explode("ids").alias("doc_id"))
@@ -417,3 +423,33 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(empty, F.lit(1).cast("bigint")).otherwise(F.col("class_size")).alias("class_size"),
     )
+
+
+def _with_key(names: list[str], text_col: str):
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.record_batch([pa.nulls(batch.num_rows, pa.int64()), batch.column(text_col)], names=["doc_id", "text"])
+            keys = [k for _, k, _, _ in set_batches([texts])]
+            key = pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64())
+            yield pa.record_batch([*batch.columns, key], names=names)
+
+    return keyed
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, with all their columns, of which one of each connected group stays: that with the least id.
+
+    Of repeated rows with that id one stays; a group whose ids are all null keeps one
+    row, too. Documents without a word are in no group and all stay. The documents are
+    shuffled once, by set and id together, so a set that a third of them share is dealt out.
+    """
+    _, members = _class_tables(docs, id_col, text_col)
+    first = F.min(F.struct(F.col("least_id").isNull().alias("none"), "least_id", "key"))
+    staying = members.groupBy("component").agg(first.alias("first")).select(
+        F.col("first.key").alias("_key_staying"), F.col("first.least_id").alias("_id_staying")
+    )
+    schema = T.StructType([*docs.schema.fields, T.StructField("_set_key", T.LongType())])
+    keyed = docs.mapInArrow(_with_key([*docs.columns, "_set_key"], text_col), schema)
+    chosen = (F.col("_set_key") == F.col("_key_staying")) & F.col(id_col).eqNullSafe(F.col("_id_staying"))
+    kept = keyed.join(staying, chosen, "left_semi").dropDuplicates(["_set_key", id_col])
+    return kept.unionByName(keyed.where("_set_key = 0")).select(*docs.columns)

@@ -9,7 +9,8 @@ cross-entropy per character.
 
 A tenth of the sample is set aside to calibrate rejection: a text is rejected when its
 cross-entropy is further above the mean of its language than ``REJECT`` deviations of
-documents and of characters would explain, so short texts are given more room.
+documents and of characters would explain, so short texts are given more room; one
+nat per character is allowed in any case.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 ORDER = 5
 UNDETERMINED = "und"
 SAMPLE_DOCS, SAMPLE_CHARS = 2_000, 2_000_000
-REJECT = 12.0
+REJECT, LEAST_ROOM = 12.0, 1.0
 # Distinct letters that the models take to be possible, for those never seen.
 ALPHABET = 4_096
 # Characters scored at once, and remembered n-grams per worker.
@@ -257,42 +258,55 @@ def fit_models(
 _scorers: dict[str, Scorer] = {}
 
 
-def _identified(models):
-    def scorer_of_worker(name: str, known) -> Scorer:
-        if name not in _scorers:
+class _Judge:
+    """Scores batches of texts with a worker's models: language, score, cross-entropy and whether rejected."""
+
+    def __init__(self, name: str, known: list[tuple]):
+        if known and name not in _scorers:
             _scorers.clear()
             _scorers[name] = Scorer([CharacterModel.from_bytes(m) for _, m, *_ in known])
-        return _scorers[name]
-
+        self.scorer = _scorers[name] if known else None
+        self.names = np.array([m[0] for m in known] or [UNDETERMINED], object)
+        self.centre, self.deviation, self.per_char = (
+            np.array([m[i] for m in known]) if known else np.zeros(1) for i in (2, 3, 4)
+        )
+
+    def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        if self.scorer is None:
+            sizes, entropy = np.zeros(len(texts)), np.zeros((len(texts), 1))
+        else:
+            sizes, entropy, _ = self.scorer.entropies(texts)
+        best = entropy.argmin(axis=1)
+        least = entropy[np.arange(len(texts)), best]
+        # As if the characters were independent, but of no more than 64, so close languages are told as close.
+        apart = (entropy - least[:, None]) * np.minimum(sizes, 64)[:, None]
+        score = np.where(sizes > 0, 1 / np.exp(-apart).sum(axis=1), 0.0)
+        room = REJECT * (self.deviation[best] + self.per_char[best] / np.sqrt(np.maximum(sizes, 1)))
+        rejected = (sizes == 0) | (least > self.centre[best] + np.maximum(room, LEAST_ROOM))
+        return np.where(sizes > 0, self.names[best], UNDETERMINED), score, least, rejected
+
+
+def _identified(shared):
     def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, known = models.value
-        names = np.array([m[0] for m in known] or [UNDETERMINED], object)
-        centre, deviation, per_char = (np.array([m[i] for m in known]) for i in (2, 3, 4))
-        scorer = scorer_of_worker(name, known) if known else None
+        judge = _Judge(*shared.value)
         for batch in batches:
             ids, texts = batch.column("doc_id"), [t or "" for t in batch.column("text").to_pylist()]
             for first, part in text_chunks(texts):
-                if scorer is None:
-                    sizes, entropy = np.zeros(len(part)), np.zeros((len(part), 1))
-                    centre = deviation = per_char = np.zeros(1)
-                else:
-                    sizes, entropy, _ = scorer.entropies(part)
-                best = entropy.argmin(axis=1)
-                rows = np.arange(len(part))
-                # As if the characters were independent, but of no more than 64, so close languages are told as close.
-                apart = (entropy - entropy[rows, best][:, None]) * np.minimum(sizes, 64)[:, None]
-                score = np.where(sizes > 0, 1 / np.exp(-apart).sum(axis=1), 0.0)
-                limit = centre[best] + REJECT * (deviation[best] + per_char[best] / np.sqrt(np.maximum(sizes, 1)))
-                rejected = (sizes == 0) | (entropy[rows, best] > limit)
+                lang, score, entropy, rejected = judge.judge(part)
                 columns = [
-                    ids.slice(first, len(part)), pa.array(np.where(sizes > 0, names[best], UNDETERMINED), pa.string()),
-                    pa.array(score, pa.float64()), pa.array(entropy[rows, best], pa.float64()), pa.array(rejected),
+                    ids.slice(first, len(part)), pa.array(lang, pa.string()), pa.array(score, pa.float64()),
+                    pa.array(entropy, pa.float64()), pa.array(rejected),
                 ]
                 yield pa.record_batch(columns, names=["doc_id", "lang_pred", "score", "cross_entropy", "rejected"])
 
     return identified
 
 
+def _shared(docs: DataFrame, models: list):
+    # The name tells a worker that has read models already whether they are these.
+    return docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, [tuple(m) for m in models]))
+
+
 def identify(docs: DataFrame, models: list, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, lang_pred, score, cross_entropy, rejected.
 
@@ -303,14 +317,26 @@ def identify(docs: DataFrame, models: list, id_col: str = "doc_id", text_col: st
     and repeated ids are kept and other columns ignored. The models, whose size the
     sample bounds, are the only broadcast.
     """
-    # The name tells a worker that has read models already whether they are these.
-    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, [tuple(m) for m in models]))
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(
-        _identified(shared), "doc_id bigint, lang_pred string, score double, cross_entropy double, rejected boolean"
+        _identified(_shared(docs, models)), "doc_id bigint, lang_pred string, score double, cross_entropy double, rejected boolean"
     )
 
 
+def without_rejected(docs: DataFrame, models: list, text_col: str = "text") -> DataFrame:
+    """The documents, with all their columns, that are not rejected. Nothing is shuffled."""
+    shared = _shared(docs, models)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = _Judge(*shared.value)
+        for batch in batches:
+            texts = [t or "" for t in batch.column(text_col).to_pylist()]
+            rejected = [judge.judge(part)[3] for _, part in text_chunks(texts)]
+            yield batch.filter(pa.array(~np.concatenate(rejected) if rejected else [], pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
 def held_out(id_col: Column | str) -> Column:
     """Whether a document is kept from fitting: crc32 of its id as text leaves 2 when divided by 4."""
     text = F.coalesce((F.col(id_col) if isinstance(id_col, str) else id_col).cast("string"), F.lit(""))

@@ -18,6 +18,8 @@ from .common import WORD, cut, text_or_empty
 BITS, LEVELS = 13, 4
 # Thresholds are copied this often, so the join with them deals out a source that holds most rows.
 SALTS = 64
+# With no more sources than this, a row of some 50 bytes each, their limits are sent to all tasks instead.
+BROADCAST_SOURCES = 10_000
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 
@@ -91,6 +93,35 @@ def _thresholds(rows: DataFrame, targets: DataFrame) -> DataFrame:
     return edge.select(F.col("edge_source").alias("limit_source"), "copies", last.alias("last_hash"))
 
 
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> list[Column]:
+    return [
+        F.col(source_col).cast("string").alias("source"),
+        F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("bigint").alias("size"),
+        document_hash(id_col, text_col).alias("hash"),
+    ]
+
+
+def _limits(rows: DataFrame) -> DataFrame:
+    """One row per source: limit_source, source_size, target, copies, last_hash."""
+    targets = cut(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"))))
+    own = targets.select(F.col("source").alias("own_source"), "source_size", "target")
+    return _thresholds(rows, targets).join(own, F.col("limit_source").eqNullSafe(F.col("own_source"))).drop("own_source")
+
+
+def _copies(rows: DataFrame, limits: DataFrame) -> DataFrame:
+    """Adds the limits of the source, and the copies that the mix takes, to rows with source and hash."""
+    if limits.count() <= BROADCAST_SOURCES:
+        joined = rows.join(F.broadcast(limits), F.col("source").eqNullSafe(F.col("limit_source")))
+    else:
+        salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+        salted = limits.select("*", salts.alias("salt"))
+        same = F.col("source").eqNullSafe(F.col("limit_source")) & (F.col("hash") % SALTS == F.col("salt"))
+        joined = rows.join(salted, same).drop("salt")
+    once_more = (F.col("hash") <= F.col("last_hash")).cast("bigint")
+    copies = F.least(F.col("copies") + once_more, F.lit(MOST_COPIES)).cast("bigint")
+    return joined.withColumn("copies", copies).drop("limit_source", "last_hash")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken.
 
@@ -100,22 +131,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     taken together. Sources without a word have target 0. The result does not
     depend on partitioning or row order. Other columns are ignored.
     """
-    rows = cut(docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"),
-        F.col(source_col).cast("string").alias("source"),
-        F.regexp_count(text_or_empty(text_col), F.lit(WORD)).cast("bigint").alias("size"),
-        document_hash(id_col, text_col).alias("hash"),
-    ))
-    targets = cut(source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"))))
-    own = targets.select(F.col("source").alias("own_source"), "source_size", "target")
-    limits = _thresholds(rows, targets).join(own, F.col("limit_source").eqNullSafe(F.col("own_source")))
-    salted = limits.select(
-        "limit_source", "source_size", "target", "copies", "last_hash",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt"),
-    )
-    once_more = (F.col("hash") <= F.col("last_hash")).cast("bigint")
-    return (
-        rows.join(salted, F.col("source").eqNullSafe(F.col("limit_source")) & (F.col("hash") % SALTS == F.col("salt")))
-        .withColumn("copies", F.least(F.col("copies") + once_more, F.lit(MOST_COPIES)).cast("bigint"))
-        .select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
-    )
+    rows = cut(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), *_sized(docs, id_col, text_col, source_col)))
+    found = _copies(rows, cut(_limits(rows)))
+    return found.select(
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken")
+    )
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The documents, with all their columns, each as often as the mix takes it. Their texts are not shuffled.
+
+    A document without a word, which no number of words can ask for, stays once.
+    """
+    sized = _sized(docs, id_col, text_col, source_col)
+    limits = cut(_limits(cut(docs.select(*sized))))
+    whole = docs.select(F.struct(*docs.columns).alias("doc"), *sized)
+    copies = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies")).cast("int")
+    found = _copies(whole, limits).select("doc", F.explode(F.array_repeat(F.lit(0), copies)))
+    return found.select("doc.*")

@@ -1,0 +1,81 @@
+"""The mix against a plain version that sorts."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from eventpulse.llm.mixing import mix
+
+SCHEMA = "doc_id bigint, text string, source string"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def targets(sizes):
+    """Shares by weight; who is above three times the own size is held there, and the rest share again."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    held, left = {}, float(sum(sizes.values()))
+    while True:
+        free = [s for s in names if s not in held]
+        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
+        over = [s for s in free if share[s] > 3 * sizes[s]]
+        if not over:
+            return held | share
+        for s in over:
+            held[s] = 3.0 * sizes[s]
+            left -= held[s]
+
+
+def expected(rows):
+    docs = []
+    for doc_id, text, source in rows:
+        key = f"{'' if doc_id is None else doc_id}\n{text or ''}".encode()
+        docs.append((doc_id, source, len(WORD.findall(text or "")), int(hashlib.md5(key).hexdigest()[:13], 16)))
+    sizes = {}
+    for _, source, size, _ in docs:
+        sizes[source] = sizes.get(source, 0) + size
+    target, out = targets(sizes), []
+    for doc_id, source, size, hash_ in docs:
+        whole = int(target[source] // sizes[source]) if sizes[source] else 0
+        rest = target[source] - whole * sizes[source]
+        under = sum(s for _, o, s, h in docs if o == source and h < hash_)
+        upto = under + sum(s for _, o, s, h in docs if o == source and h == hash_)
+        more = upto <= rest or (under <= rest and upto - rest < rest - under)
+        out.append((doc_id, size, sizes[source], target[source], size * min(3, whole + more)))
+    return out
+
+
+def check(frame, rows):
+    docs = frame(rows, SCHEMA).selectExpr("*", "1 AS size", "2 AS target", "3 AS copies", "4 AS bucket", "5 AS hash")
+    order = lambda t: tuple((x is not None, x or 0) for x in t[:3] + t[4:])
+    got = sorted((tuple(r) for r in mix(docs).select("doc_id", "size", "source_size", "target", "taken").collect()), key=order)
+    for have, want in zip(got, sorted(expected(rows), key=order), strict=True):
+        assert have[:3] + have[4:] == want[:3] + want[4:]
+        assert have[3] == pytest.approx(want[3])
+    return got
+
+
+def test_against_the_plain_version(frame):
+    dice = random.Random(10)
+    names = ["src0"] * 20 + ["src1", "src10", "src2", "é", "Z", "", None]
+    rows = [(i if i % 9 else None, " ".join("w" * dice.randint(0, 3) for _ in range(dice.randint(0, 30))), dice.choice(names)) for i in range(400)]
+    rows += [(900, None, "src1"), (901, "w " * 50_000, "Z"), (902, "", "none"), rows[2], rows[2]]
+    check(frame, rows)
+
+
+def test_targets_are_met(frame):
+    dice = random.Random(12)
+    rows = [(i, "w " * dice.randint(1, 20), f"s{i % 5}") for i in range(1500)]
+    taken, target = {}, {}
+    for (_, _, source), row in zip(sorted(rows), sorted(mix(frame(rows, SCHEMA)).collect(), key=lambda r: r.doc_id)):
+        taken[source] = taken.get(source, 0) + row.taken
+        target[source] = row.target
+        assert row.taken <= 3 * row["size"]
+    assert all(abs(taken[s] - target[s]) <= 20 for s in taken)
+
+
+def test_empty_tables(frame):
+    assert mix(frame([], SCHEMA)).collect() == []
+    check(frame, [(1, None, None), (2, "", "a")])

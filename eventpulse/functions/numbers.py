@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 ColumnLike = Column | str
 
-# Doubles are added up in whole units of this many decimals.
+# Doubles up to this size are added up in whole units of this many decimals where they are such units.
 SUM_DECIMALS = 9
+MOST_IN_UNITS = 1e5
 _LOW_BITS = 20
 
 
@@ -58,41 +59,49 @@ def round_half_away(value: ColumnLike, places: int) -> Column:
     return F.when(scaled < F.lit(2.0**52), F.signum(x) * F.floor(scaled) / F.lit(scale)).otherwise(x)
 
 
-def sum_parts(value: ColumnLike) -> tuple[Column, Column]:
-    """The two aggregates that ``joined_sum`` turns into an exact sum; parts may be summed again in between.
+def sum_parts(value: ColumnLike) -> tuple[Column, Column, Column]:
+    """The aggregates that ``joined_sum`` turns into a sum; parts may be summed again in between.
 
     A plain sum of doubles depends on the order of the rows, and a decimal sum
-    costs several times as much. Here each value is rounded to whole units of
-    1e-9 and split into high and low bits, and both are summed as integers. For
-    values up to 1e5 neither sum overflows below 9e10 rows in a group.
+    costs several times as much. Here a value of up to 1e5 that is a number of whole
+    units of 1e-9, to a double's own precision, is split into high and low bits of
+    that number, and both are summed as integers, which is exact below 9e10 rows in a
+    group. Any other value (smaller, larger or finer) is added as the double it is.
     """
-    units = F.rint(as_column(value).cast("double") * F.lit(float(10**SUM_DECIMALS))).cast("bigint")
-    return F.sum(F.shiftright(units, _LOW_BITS)), F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
+    x = as_column(value).cast("double")
+    scale = F.lit(float(10**SUM_DECIMALS))
+    in_range = F.abs(x) <= F.lit(MOST_IN_UNITS)
+    rounded = F.rint(F.when(in_range, x) * scale)
+    whole = in_range & (F.abs(rounded / scale - x) <= F.abs(x) * F.lit(1e-15))
+    units = F.when(whole, rounded).cast("bigint")
+    low_bits = F.lit((1 << _LOW_BITS) - 1)
+    return F.sum(F.shiftright(units, _LOW_BITS)), F.sum(units.bitwiseAND(low_bits)), F.sum(F.when(~whole, x))
 
 
-def joined_sum(high: Column, low: Column) -> Column:
-    """The decimal sum from summed parts."""
+def joined_sum(high: Column, low: Column, rest: Column) -> Column:
+    """The sum from summed parts, NULL when there is none."""
     units = high.cast("decimal(20,0)") * F.lit(1 << _LOW_BITS) + low
-    return units.cast("decimal(28,0)") * F.lit(Decimal(1).scaleb(-SUM_DECIMALS))
+    exact = (units.cast("decimal(28,0)") * F.lit(Decimal(1).scaleb(-SUM_DECIMALS))).cast("double")
+    return F.coalesce(exact + rest, exact, rest)
 
 
 def exact_sum(value: ColumnLike) -> Column:
-    """Sum of a number to nine decimals, the same in whatever order the rows come."""
+    """Sum of doubles of any size. Of ordinary decimal numbers it is the same in whatever order the rows come."""
     return joined_sum(*sum_parts(value))
 
 
 def mean(value: ColumnLike) -> Column:
-    """Average over the non-NULL rows from an exact sum."""
-    return F.try_divide(exact_sum(value).cast("double"), F.count(as_column(value)))
+    """Average over the non-NULL rows."""
+    return F.try_divide(exact_sum(value), F.count(as_column(value)))
 
 
 def weighted_mean(value: ColumnLike, weight: ColumnLike) -> Column:
-    """Sum of value times whole-number weight over the sum of weights; NULL when the weights add to zero.
+    """Sum of value times weight over the sum of weights; NULL when the weights add to zero.
 
     A row whose value is NULL still adds its weight to the divisor, as the marts define it.
     """
     x, w = as_column(value), as_column(weight)
-    return F.try_divide(exact_sum(x * w).cast("double"), F.sum(w).cast("double"))
+    return F.try_divide(exact_sum(x.cast("double") * w), F.sum(w).cast("double"))
 
 
 def share_pct(condition: Column) -> Column:

@@ -1,7 +1,8 @@
 """Data-quality checks.
 
-Each function returns a ``Check``: a lazy frame of violations and an aggregate
-that counts failures over it. Where many rows can violate in the same way, the
+Each function returns a ``Check``: a frame of violations and an aggregate that
+counts failures over it. The frames are lazy, but for the two checks of order within
+a table: these deal the table out in ranges, and write it so, when they are called. Where many rows can violate in the same way, the
 frame holds one row per distinct violation and ``n_rows`` says how many rows it
 stands for, so a value that fills a third of the table is not sent to one task.
 A condition that is NULL is not a violation.
@@ -16,13 +17,12 @@ from datetime import datetime
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import ColumnLike, as_column
-from .neighbours import ROWS_PER_TASK, Cuts, find_cuts, fits_one_task, with_next
-from .reshape import filtered_columns, quoted
+from .neighbours import with_next
+from .reshape import filtered_columns, quoted, quoted_name
 
 
 def _row_count() -> Column:
@@ -113,7 +113,7 @@ def _scope(df: DataFrame, where: ColumnLike | None) -> DataFrame:
 
 
 def _grouped(df: DataFrame, group_by: Sequence[str], *aggregates: Column) -> DataFrame:
-    return df.groupBy(*group_by).agg(*aggregates) if group_by else df.agg(*aggregates)
+    return df.groupBy(*map(quoted, group_by)).agg(*aggregates) if group_by else df.agg(*aggregates)
 
 
 def _moment_type(df: DataFrame, column: str) -> str:
@@ -125,7 +125,7 @@ def _moment_type(df: DataFrame, column: str) -> str:
 
 
 def not_null(df: DataFrame, column: str, where: ColumnLike | None = None) -> Check:
-    return _filter_check("not_null", _scope(df, where), F.col(column).isNull(), column)
+    return _filter_check("not_null", _scope(df, where), quoted(column).isNull(), column)
 
 
 def expression_is_true(
@@ -135,7 +135,7 @@ def expression_is_true(
     if isinstance(expression, Column):
         condition = expression
     else:
-        condition = F.expr(expression if column is None else f"`{column}` {expression}")
+        condition = F.expr(expression if column is None else f"{quoted_name(column)} {expression}")
     return _filter_check("expression_is_true", _scope(df, where), ~condition, column)
 
 
@@ -148,7 +148,7 @@ def accepted_range(
     where: ColumnLike | None = None,
 ) -> Check:
     """Rows outside the bounds. A bound may be a literal or a column."""
-    value, outside = F.col(column), F.lit(False)
+    value, outside = quoted(column), F.lit(False)
     if min_value is not None:
         outside = outside | ((value < min_value) if inclusive else (value <= min_value))
     if max_value is not None:
@@ -159,16 +159,17 @@ def accepted_range(
 def not_empty_string(
     df: DataFrame, column: str, trim_whitespace: bool = True, where: ColumnLike | None = None
 ) -> Check:
-    text = F.trim(column) if trim_whitespace else F.col(column)
-    return Check("not_empty_string", _scope(df, where).select(text.alias(column)).where(F.col(column) == ""), column)
+    text = F.trim(quoted(column)) if trim_whitespace else quoted(column)
+    check = _filter_check("not_empty_string", _scope(df, where), text == "", column)
+    return replace(check, violations=check.violations.select(text.alias(column)))
 
 
 # --- one aggregate -----------------------------------------------------------
 
 
 def unique(df: DataFrame, column: str, where: ColumnLike | None = None) -> Check:
-    rows = _scope(df, where).where(F.col(column).isNotNull())
-    counted = rows.groupBy(F.col(column).alias("unique_field")).agg(_row_count().alias("n_records"))
+    rows = _scope(df, where).where(quoted(column).isNotNull())
+    counted = rows.groupBy(quoted(column).alias("unique_field")).agg(_row_count().alias("n_records"))
     return Check("unique", counted.where("n_records > 1"), column)
 
 
@@ -176,20 +177,20 @@ def unique_combination_of_columns(
     df: DataFrame, columns: Sequence[str], where: ColumnLike | None = None
 ) -> Check:
     """Combinations that occur more than once; NULLs count as equal."""
-    counted = _scope(df, where).groupBy(*columns).agg(_row_count().alias("n_records"))
-    return Check("unique_combination_of_columns", counted.where("n_records > 1").select(*columns), ", ".join(columns))
+    counted = _scope(df, where).groupBy(*map(quoted, columns)).agg(_row_count().alias("n_records"))
+    return Check("unique_combination_of_columns", counted.where("n_records > 1").select(*map(quoted, columns)), ", ".join(columns))
 
 
 def accepted_values(df: DataFrame, column: str, values: Sequence[Any], where: ColumnLike | None = None) -> Check:
     """Values outside the list with their row counts."""
     counted = (
-        _scope(df, where).groupBy(F.col(column).alias("value_field")).agg(_row_count().alias("n_records"))
+        _scope(df, where).groupBy(quoted(column).alias("value_field")).agg(_row_count().alias("n_records"))
     )
     return Check("accepted_values", counted.where(~F.col("value_field").isin(list(values))), column)
 
 
 def not_accepted_values(df: DataFrame, column: str, values: Sequence[Any], where: ColumnLike | None = None) -> Check:
-    rows = _scope(df, where).select(F.col(column).alias("value_field"))
+    rows = _scope(df, where).select(quoted(column).alias("value_field"))
     return Check("not_accepted_values", rows.where(F.col("value_field").isin(list(values))).distinct(), column)
 
 
@@ -199,8 +200,8 @@ def at_least_one(
     """Groups, or the whole table, without any value in the column."""
     rows = _scope(df, where)
     if not group_by:
-        rows = rows.select(column).where(F.col(column).isNotNull()).limit(1)
-    counted = _grouped(rows, group_by, F.count(column).alias("n_values"))
+        rows = rows.select(quoted(column)).where(quoted(column).isNotNull()).limit(1)
+    counted = _grouped(rows, group_by, F.count(quoted(column)).alias("n_values"))
     return Check("at_least_one", counted.where("n_values = 0"), column)
 
 
@@ -212,9 +213,9 @@ def not_constant(
     One distinct value means that least and greatest are equal, which needs no
     shuffle of the values themselves.
     """
-    ends = _grouped(_scope(df, where), group_by, F.min(column).alias("_least"), F.max(column).alias("_greatest"))
+    ends = _grouped(_scope(df, where), group_by, F.min(quoted(column)).alias("_least"), F.max(quoted(column)).alias("_greatest"))
     constant = ends.where(F.col("_least") == F.col("_greatest"))
-    return Check("not_constant", constant.select(*group_by, F.col("_least").alias("constant_value")), column)
+    return Check("not_constant", constant.select(*map(quoted, group_by), F.col("_least").alias("constant_value")), column)
 
 
 def not_null_proportion(
@@ -225,7 +226,7 @@ def not_null_proportion(
     group_by: Sequence[str] = (),
     where: ColumnLike | None = None,
 ) -> Check:
-    share = F.try_divide(F.count(column), _row_count()).alias("not_null_proportion")
+    share = F.try_divide(F.count(quoted(column)), _row_count()).alias("not_null_proportion")
     shares = _grouped(_scope(df, where), group_by, share)
     outside = (F.col("not_null_proportion") < at_least) | (F.col("not_null_proportion") > at_most)
     return Check("not_null_proportion", shares.where(outside), column)
@@ -247,7 +248,7 @@ def recency(
     """
     moment = _moment_type(df, column)
     kind = "date" if ignore_time_component else moment
-    latest = _grouped(_scope(df, where), group_by, F.max(column).cast(kind).alias("most_recent"))
+    latest = _grouped(_scope(df, where), group_by, F.max(quoted(column)).cast(kind).alias("most_recent"))
     threshold = F.timestamp_add(datepart.upper(), F.lit(-interval), F.lit(now.isoformat()).cast(moment)).cast(kind)
     late = latest.withColumn("threshold", threshold).where("most_recent < threshold")
     return Check("recency", late, column)
@@ -266,7 +267,9 @@ def expected_columns(df: DataFrame, columns: Sequence[str]) -> Check:
 
 def _both_counts(df: DataFrame, other: DataFrame, group_by: Sequence[str]) -> DataFrame:
     """Row counts of two tables per group, NULL where a table has no row in the group."""
-    sides = df.select(*group_by, F.lit(1).alias("_side")).unionAll(other.select(*group_by, F.lit(2).alias("_side")))
+    sides = df.select(*map(quoted, group_by), F.lit(1).alias("_side")).unionAll(
+        other.select(*map(quoted, group_by), F.lit(2).alias("_side"))
+    )
     counted = _grouped(
         sides,
         group_by,
@@ -323,8 +326,8 @@ def cardinality_equality(
 ) -> Check:
     """Values whose row counts differ between two columns: one row for each side that has the value."""
     counts = _both_counts(
-        _scope(df, where).select(F.col(column).alias("value_field")),
-        other.select(F.col(other_column).alias("value_field")),
+        _scope(df, where).select(quoted(column).alias("value_field")),
+        other.select(quoted(other_column).alias("value_field")),
         ["value_field"],
     )
     differing = counts.where(~F.col("count_a").eqNullSafe(F.col("count_b")))
@@ -345,8 +348,11 @@ def equality(
     """Distinct rows found in only one of two tables.
 
     Failures are these rows plus the imbalance between the two directions.
-    Numbers are rounded to ``precision`` decimals first when it is given.
+    Numbers are rounded to ``precision`` decimals first when it is given: as decimals
+    of nine places, as the warehouse does, or of as many as a greater precision needs.
     """
+    if precision is not None and not 0 <= precision <= 18:
+        raise ValueError(f"precision must be between 0 and 18, got {precision}")
     if compare_columns and exclude_columns:
         raise ValueError("give compare_columns or exclude_columns, not both")
     if compare_columns:
@@ -363,7 +369,7 @@ def equality(
         for name in columns:
             value = quoted(name)
             if precision is not None and isinstance(types[name.lower()], T.NumericType):
-                value = F.round(value.cast("decimal(38,9)"), precision)
+                value = F.round(value.cast(f"decimal(38,{max(9, precision)})"), precision)
             chosen.append(value.alias(name))
         return frame.select(
             *chosen, F.lit(number == 1).alias("_in_a"), F.lit(number == 2).alias("_in_b")
@@ -393,8 +399,8 @@ def relationships_where(
 
     Both sides are reduced to one row per value before the join, so a frequent value does not weigh on it.
     """
-    left = _scope(df, from_condition).select(F.col(column).alias("id")).where("id IS NOT NULL")
-    right = _scope(to, to_condition).select(F.col(to_column).alias("id")).where("id IS NOT NULL").distinct()
+    left = _scope(df, from_condition).select(quoted(column).alias("id")).where("id IS NOT NULL")
+    right = _scope(to, to_condition).select(quoted(to_column).alias("id")).where("id IS NOT NULL").distinct()
     counted = left.groupBy("id").agg(_row_count().alias("n_rows"))
     return Check("relationships_where", counted.join(right, "id", "left_anti"), column, failures=_total("n_rows"))
 
@@ -409,34 +415,32 @@ def sequential_values(
     datepart: str | None = None,
     group_by: Sequence[str] = (),
     where: ColumnLike | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> Check:
     """Values that are not exactly ``interval`` after the one before them in their group.
 
     Copies of a value follow each other with a distance of zero; ``n_rows``
-    counts the rows that share a value and a predecessor. Groups of more than
-    ``rows_per_task`` rows are not put into one task.
+    counts the rows that share a value and a predecessor. Equal rows are counted
+    first and distinct ones put in order by ranges, so no group is too large.
     """
     group, previous = list(group_by), f"previous_{column}"
-    rows, cuts = _scope(df, where).where(F.col(column).isNotNull()).select(*group, column), None
-    if fits_one_task(rows, group, rows_per_task):
-        before = F.lag(column).over(W.partitionBy(*group).orderBy(column))
-        steps = rows.withColumn(previous, before)
-    else:
-        cuts = find_cuts(rows, column)
-        ahead = with_next(rows.distinct() if cuts.heavy else rows, [column], group, cuts).where("NOT is_last")
-        steps = ahead.select(*group, F.col("next_value").alias(column), F.col(column).alias(previous))
-    steps = steps.groupBy(*group, column, previous).agg(_row_count().alias("n_rows"))
-    if cuts is not None and cuts.heavy:
-        # The distinct values are in order; each further copy follows a copy of itself.
-        copies = rows.groupBy(*group, column).agg((_row_count() - 1).alias("n_rows")).where("n_rows > 0")
-        steps = steps.unionByName(copies.withColumn(previous, F.col(column)))
+    names = [quoted(g) for g in group]
+    rows = _scope(df, where).where(quoted(column).isNotNull())
+    counted = rows.groupBy(*names, quoted(column)).agg(_row_count().alias("n_rows"))
+    placed = with_next(counted, group, [column])
+    one = F.lit(1).cast("bigint").alias("n_rows")
+    steps = placed.where("NOT is_last").select(
+        *names, F.col("next_value").alias(column), quoted(column).alias(previous), one
+    )
+    copies = placed.where("n_rows > 1").select(
+        *names, quoted(column), quoted(column).alias(previous), (F.col("n_rows") - 1).alias("n_rows")
+    )
+    steps = steps.unionAll(copies)
     if datepart:
         moment = _moment_type(df, column)
-        expected = F.timestamp_add(datepart.upper(), F.lit(interval), F.col(previous).cast(moment))
-        in_step = F.col(column).cast(moment) == expected
+        expected = F.timestamp_add(datepart.upper(), F.lit(interval), quoted(previous).cast(moment))
+        in_step = quoted(column).cast(moment) == expected
     else:
-        in_step = F.col(column) == F.col(previous) + F.lit(interval)
+        in_step = quoted(column) == quoted(previous) + F.lit(interval)
     return Check("sequential_values", steps.where(~in_step), column, failures=_total("n_rows"))
 
 
@@ -448,77 +452,49 @@ _GAPS = {
 }
 
 
-_NEXT_NAMES = {"next_value": "next_lower_bound", "is_last": "is_last_record"}
-
-
-def _counted_ranges(ranges: DataFrame, group: list[str], cuts: Cuts) -> DataFrame:
-    """Distinct ranges with the next lower bound, whether they are the last of the group, and their number.
-
-    Ranges are ordered by lower, then upper bound. A range that shares its lower
-    bound with a later one is followed by that same bound, so only the last range
-    of each lower bound has to look further, and only those are put in order.
-    """
-    columns = [*group, "lower_bound", "upper_bound", "next_lower_bound", "is_last_record"]
-
-    def as_shared(frame: DataFrame, n_rows: Column) -> DataFrame:
-        return frame.withColumns(
-            {"next_lower_bound": F.col("lower_bound"), "is_last_record": F.lit(False), "n_rows": n_rows.cast("bigint")}
-        ).select(*columns, "n_rows")
-
-    counted = ranges.groupBy(*group, "lower_bound", "upper_bound").agg(_row_count().alias("n_rows"))
-    last_of_bound = counted.groupBy(*group, "lower_bound").agg(F.max("upper_bound").alias("upper_bound"))
-    placed = with_next(last_of_bound, ["lower_bound"], group, cuts).withColumnsRenamed(_NEXT_NAMES)
-    # All rows as followed by their own bound, less the last row of each bound, plus that row as placed.
-    rows = as_shared(counted, F.col("n_rows")).unionAll(as_shared(last_of_bound, F.lit(-1)))
-    rows = rows.unionAll(placed.select(*columns, F.lit(1).cast("bigint").alias("n_rows")))
-    return rows.groupBy(*columns).agg(F.sum("n_rows").alias("n_rows")).where("n_rows > 0")
-
-
 def mutually_exclusive_ranges(
     df: DataFrame,
-    lower_bound: str,
+    lower_bound: ColumnLike,
     upper_bound: ColumnLike,
-    partition_by: str | None = None,
+    partition_by: ColumnLike | None = None,
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
     where: ColumnLike | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> Check:
     """Ranges that are empty or reversed, or that do not end as ``gaps`` asks before the next one starts.
 
-    ``n_rows`` counts equal violations. Groups of more than ``rows_per_task``
-    ranges are not put into one task.
+    Bounds and group may be columns or expressions. Ranges are ordered by lower, then
+    upper bound. ``n_rows`` counts equal violations. Equal ranges are counted first and
+    distinct ones put in order by ranges of the table, so no group is too large.
     """
     if gaps not in _GAPS:
         raise ValueError(f"gaps must be one of {sorted(_GAPS)}, got {gaps!r}")
-    group = ["partition_by_col"] if partition_by else []
-    keys = [F.col(partition_by).alias("partition_by_col")] if partition_by else []
+    group = ["partition_by_col"] if partition_by is not None else []
+    keys = [as_column(partition_by).alias("partition_by_col")] if group else []
     ranges = _scope(df, where).select(
-        *keys, F.col(lower_bound).alias("lower_bound"), as_column(upper_bound).alias("upper_bound")
+        *keys, as_column(lower_bound).alias("lower_bound"), as_column(upper_bound).alias("upper_bound")
     )
-    cuts = None
-    if fits_one_task(ranges, group, rows_per_task):
-        in_order = W.partitionBy(*group).orderBy(F.asc_nulls_first("lower_bound"), F.asc_nulls_first("upper_bound"))
-        following = ranges.withColumn("_next", F.lead(F.struct("lower_bound")).over(in_order)).select(
-            *ranges.columns,
-            F.col("_next.lower_bound").alias("next_lower_bound"),
-            F.col("_next").isNull().alias("is_last_record"),
+    counted = ranges.groupBy(*ranges.columns).agg(_row_count().alias("n_rows"))
+    placed = with_next(counted, group, ["lower_bound", "upper_bound"])
+    lower, upper, n_rows = F.col("lower_bound"), F.col("upper_bound"), F.col("n_rows")
+    # Of equal ranges, all but the last are followed by their own lower bound.
+    like_copies = ~F.col("is_last") & F.col("next_value").eqNullSafe(lower)
+
+    def follower(bound: Column, last: Column, n: Column) -> Column:
+        return F.struct(
+            bound.alias("next_lower_bound"), last.alias("is_last_record"), n.cast("bigint").alias("n_rows")
         )
-    else:
-        cuts = find_cuts(ranges, "lower_bound")
-        if not cuts.heavy:
-            following = with_next(ranges, ["lower_bound", "upper_bound"], group, cuts).withColumnsRenamed(_NEXT_NAMES)
-    if cuts is not None and cuts.heavy:
-        rows = _counted_ranges(ranges, group, cuts)
-    else:
-        rows = following.groupBy(*following.columns).agg(_row_count().alias("n_rows"))
-    lower, upper = F.col("lower_bound"), F.col("upper_bound")
+
+    last_copy = follower(F.col("next_value"), F.col("is_last"), F.when(like_copies, n_rows).otherwise(F.lit(1)))
+    others = F.when(~like_copies & (n_rows > 1), follower(lower, F.lit(False), n_rows - 1))
+    rows = placed.select(*ranges.columns, F.explode(F.array_compact(F.array(last_copy, others))).alias("f"))
+    rows = rows.select(*ranges.columns, "f.*")
     has_length = F.coalesce((lower <= upper) if zero_length_range_allowed else (lower < upper), F.lit(False))
     ends_before = F.coalesce(_GAPS[gaps](upper, F.col("next_lower_bound")), F.col("is_last_record"))
     checked = rows.withColumn("has_length", has_length).withColumn("ends_before_next", ends_before)
     return Check(
         "mutually_exclusive_ranges",
         checked.where(~(F.col("has_length") & F.col("ends_before_next"))),
-        lower_bound,
+        lower_bound if isinstance(lower_bound, str) else None,
         failures=_total("n_rows"),
     )

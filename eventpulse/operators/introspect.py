@@ -9,6 +9,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .reshape import quoted
+
 # Names the catalog gives a table kind, and the plain kind they stand for.
 TABLE_KINDS = {
     "MANAGED": "table",
@@ -17,9 +19,6 @@ TABLE_KINDS = {
     "MATERIALIZED VIEW": "materializedview",
 }
 
-# The most rows that a Python result may hold. Larger results stay DataFrames.
-DRIVER_ROWS = 100_000
-
 
 def _table(spark: SparkSession | None, table: DataFrame | str) -> DataFrame | None:
     if isinstance(table, DataFrame):
@@ -27,13 +26,6 @@ def _table(spark: SparkSession | None, table: DataFrame | str) -> DataFrame | No
     return spark.table(table) if spark.catalog.tableExists(table) else None
 
 
-def _rows(df: DataFrame) -> list:
-    rows = df.limit(DRIVER_ROWS + 1).collect()
-    if len(rows) > DRIVER_ROWS:
-        raise ValueError(f"more than {DRIVER_ROWS} rows: use the DataFrame form or give a limit")
-    return rows
-
-
 def column_values(
     df: DataFrame,
     column: str,
@@ -46,7 +38,7 @@ def column_values(
     Another order may use ``value`` and ``n_records``.
     """
     rows = df if where is None else df.where(where)
-    counted = rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n_records"))
+    counted = rows.groupBy(quoted(column).alias("value")).agg(F.count(F.lit(1)).alias("n_records"))
     ranked = counted.orderBy(*(order_by or [F.desc("n_records"), F.asc_nulls_last("value")]))
     return ranked if max_records is None else ranked.limit(max_records)
 
@@ -54,25 +46,29 @@ def column_values(
 def get_column_values(
     spark: SparkSession, table: DataFrame | str, column: str, default: list | None = None, **options
 ) -> list | None:
-    """``column_values`` as a Python list; the default when the table is missing or has no rows."""
+    """``column_values`` as a Python list; the default when the table is missing or has no rows.
+
+    The list comes to the driver whole: ``max_records`` bounds it, and ``column_values``
+    gives the same as a frame of any size.
+    """
     df = _table(spark, table)
     if df is None:
         if default is None:
             raise ValueError(f"table {table} does not exist and there is no default")
         return default
-    values = [row.value for row in _rows(column_values(df, column, **options))]
+    values = [row.value for row in column_values(df, column, **options).collect()]
     return values or default
 
 
 def get_single_value(df: DataFrame, default: Any = None) -> Any:
     """First column of the first row, or the default when there are no rows."""
-    row = df.select(F.col(f"`{df.columns[0]}`")).first()
+    row = df.select(quoted(df.columns[0])).first()
     return default if row is None else row[0]
 
 
-def get_query_results_as_dict(df: DataFrame) -> dict[str, list]:
-    """A small result as one list per column."""
-    rows = _rows(df)
+def get_query_results_as_dict(df: DataFrame, max_records: int | None = None) -> dict[str, list]:
+    """A result as one list per column. All its rows come to the driver, or ``max_records`` of them."""
+    rows = (df if max_records is None else df.limit(max_records)).collect()
     return {name: [row[i] for row in rows] for i, name in enumerate(df.columns)}
 
 

@@ -1,119 +1,55 @@
-"""Next value in order within groups that are too large to sort in one task.
-
-``lead``/``lag`` over a whole table, or over a group that holds a third of it,
-puts that group into one task. Here the order column is cut into ranges at its
-approximate quantiles instead. Ranges are searched separately, and the last row
-of each range is joined up with the first row of the next one. Where the
-quantiles fall only affects the balance, never the result. A single value that
-fills a range by itself cannot be cut: callers then count equal rows first.
+"""Next value in order within groups of any size.
+
+``lead``/``lag`` over a whole table, or over a group that holds a third of it, puts
+that group into one task. Here rows are cut into ranges of (group, order columns),
+in the columns' own types, as Spark's range partitioning samples them. A range is
+searched by itself, and its last row is joined up with the first row of the next
+range that has any. Where the cuts fall only affects the balance, never the result.
+Rows must be distinct, so that no value can fill a range: callers count equal rows first.
 """
 
 from __future__ import annotations
 
-import math
-import os
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# A group of at most this many rows is sorted in one task.
-ROWS_PER_TASK = 1_000_000
-
-
-def _as_number(df: DataFrame, order: str, shared_bytes: int = 0) -> Column:
-    """A double that rises with the order column. Of a text it holds six bytes after those that all values share."""
-    kind = df.schema[order].dataType
-    if isinstance(kind, T.StringType):
-        tail = F.substring(F.encode(order, "UTF-8"), shared_bytes + 1, 6)
-        return F.conv(F.rpad(F.hex(tail), 12, "0"), 16, 10).cast("double")
-    if isinstance(kind, T.NumericType):
-        return F.col(order).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(order).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(order).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        # Read off the clock: as an instant, the hour that a change of clocks skips would come out of order.
-        clock = F.hour(order) * 3600 + F.minute(order) * 60 + F.second(order)
-        return F.unix_date(F.col(order).cast("date")) * F.lit(86_400.0) + clock
-    raise TypeError(f"{order} must be a number, text, date or timestamp, not {kind.simpleString()}")
-
-
-def _shared_bytes(df: DataFrame, order: str) -> int:
-    """How many leading bytes the least and greatest text share, and with them all texts in between."""
-    if not isinstance(df.schema[order].dataType, T.StringType):
-        return 0
-    ends = df.agg(F.min(order).alias("least"), F.max(order).alias("greatest")).first()
-    if ends.least is None:
-        return 0
-    return len(os.path.commonprefix([ends.least.encode(), ends.greatest.encode()]))
-
-
-def fits_one_task(df: DataFrame, group: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> bool:
-    """Whether even the largest group is small enough for an ordinary window. Counts the rows per group."""
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    return (counts.agg(F.max("n")).first()[0] or 0) <= rows_per_task
-
-
-@dataclass(frozen=True)
-class Cuts:
-    """Where the ranges of a column end, and whether one value alone fills a range."""
-
-    points: list[float]
-    heavy: bool
-    shared_bytes: int = 0
 
+from ..session import cut
+from .reshape import quoted
 
-def find_cuts(df: DataFrame, order: str) -> Cuts:
-    """As many ranges of about equal row numbers as there are shuffle partitions. One small row reaches the driver."""
-    ranges = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    shares = [i / ranges for i in range(1, ranges)]
-    shared = _shared_bytes(df, order)
-    numbers = df.select(_as_number(df, order, shared).alias("x"))
-    found = numbers.agg(
-        F.percentile_approx("x", shares, max(10_000, 10 * ranges)).alias("points"),
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("x").isNull()).alias("n_null"),
-    ).first()
-    points = [p for p in found.points or [] if math.isfinite(p)]
-    heavy = len(set(points)) < len(points) or found.n_null * ranges > found.n
-    return Cuts(sorted(set(points)) or [0.0], heavy, shared)
+# More ranges than tasks, so tasks get about as much each when ranges are dealt out to them.
+RANGES_PER_TASK = 4
 
 
-def _with_range(df: DataFrame, order: str, cuts: Cuts) -> DataFrame:
-    """Adds ``_range``: a number that rises with the order column, NULL values in the lowest."""
-    splits = [float("-inf"), *cuts.points, float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol="_number", outputCol="_bucket", handleInvalid="keep")
-    ranged = bucketizer.transform(df.withColumn("_number", _as_number(df, order, cuts.shared_bytes)))
-    number = F.when(F.col(order).isNull(), F.lit(-1)).otherwise(F.col("_bucket").cast("int"))
-    return ranged.withColumn("_range", number).drop("_number", "_bucket")
+def in_ranges(df: DataFrame, columns: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """Adds ``_range``, a number that rises with the columns (NULL first), and keeps the result in the shared folder."""
+    if ranges is None:
+        ranges = RANGES_PER_TASK * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(ranges, *[quoted(c).asc_nulls_first() for c in columns])
+    # Kept, since the cuts are sampled anew each time the rows are dealt out.
+    return cut(dealt.withColumn("_range", F.spark_partition_id()))
 
 
-def with_next(df: DataFrame, order: Sequence[str], group: Sequence[str], cuts: Cuts) -> DataFrame:
+def with_next(distinct: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Adds ``next_value``, the first order column of the next row in the group, and ``is_last``.
 
-    Rows are ordered by the order columns, NULL first, and cut into ranges by the
-    first of them. The rows are shuffled once, by group and range. What follows
-    the last row of a range is looked up in a table with one row per group and
-    range, which for one group has no more rows than there are ranges.
+    The rows, which must be distinct in these columns, are dealt out and written when
+    this is called. The table of range heads has one row per range.
     """
-    first = order[0]
-    ranged = _with_range(df, first, cuts)
-    keys = ["_range"]
-    if group:
-        # A struct is never NULL itself, so groups with a NULL key find their partner in the join.
-        ranged = ranged.withColumn("_group", F.struct(*group))
-        keys = ["_group", "_range"]
-    in_range = W.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    within = ranged.withColumn("_next", F.lead(F.struct(F.col(first).alias("value"))).over(in_range))
-    heads = ranged.groupBy(*keys).agg(F.struct(F.min(first).alias("value")).alias("_head"))
-    after = heads.withColumn("_after", F.lead("_head").over(W.partitionBy(*keys[:-1]).orderBy("_range"))).drop("_head")
-    found = F.coalesce("_next", "_after")
-    return within.join(after, keys, "left").select(
-        *df.columns, found["value"].alias("next_value"), found.isNull().alias("is_last")
+    keys = [*group, *order]
+    # A struct is never NULL itself, so groups with a NULL key are compared like others.
+    own = F.struct(F.lit(0).alias("all"), *map(quoted, group))
+    head = F.struct(own.alias("group"), F.struct(*map(quoted, order)).alias("values"))
+    ranged = in_ranges(distinct, keys)
+    following = W.partitionBy("_range").orderBy(*[quoted(c).asc_nulls_first() for c in keys])
+    within = ranged.withColumn("_next", F.lead(head).over(following))
+    heads = ranged.groupBy("_range").agg(F.min(head).alias("_head"))
+    after = heads.select("_range", F.lead("_head").over(W.orderBy("_range")).alias("_after"))
+    found = within.join(F.broadcast(after), "_range").withColumn("_next", F.coalesce("_next", "_after"))
+    same_group = F.coalesce(F.col("_next.group") == own, F.lit(False))
+    value = F.col("_next.values")[order[0]]
+    return found.select(
+        *map(quoted, distinct.columns), F.when(same_group, value).alias("next_value"), (~same_group).alias("is_last")
     )

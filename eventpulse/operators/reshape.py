@@ -32,9 +32,13 @@ _COMPARISONS: dict[str, Callable[[Column, Column], Column]] = {
 _DISTINCT = {"sum": F.sum_distinct, "count": F.count_distinct, "min": F.min, "max": F.max}
 
 
+def quoted_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
     """A column by its exact name, whatever characters it holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(quoted_name(name))
 
 
 def _lower(names: Sequence[str]) -> set[str]:
@@ -155,7 +159,7 @@ def star(
     """All columns but the excluded ones, renamed with a prefix and suffix, for use in ``select``."""
     qualifier = f"{relation_alias}." if relation_alias else ""
     return [
-        F.col(f"{qualifier}`{c}`").alias(f"{prefix}{c}{suffix}") for c in filtered_columns(df, exclude)
+        F.col(f"{qualifier}{quoted_name(c)}").alias(f"{prefix}{c}{suffix}") for c in filtered_columns(df, exclude)
     ]
 
 

@@ -71,7 +71,10 @@ def date_spine(spark: SparkSession, datepart: str, start: Moment, end: Moment) -
     Dates for units of a day and longer when the start is a date, otherwise timestamps.
     """
     unit = _unit(datepart)
-    count = spark.range(1).select(intervals_between(start, end, unit).alias("n")).first().n
+    if unit == "day" and all(isinstance(x, date) and not isinstance(x, datetime) for x in (start, end)):
+        count = (end - start).days
+    else:
+        count = spark.range(1).select(intervals_between(start, end, unit).alias("n")).first().n
     steps = generate_series(spark, count or 0).select((F.col("generated_number") - 1).cast("int").alias("step"))
     column = f"date_{unit}"
     spine = steps.select(F.timestamp_add(unit.upper(), F.col("step"), _moment(start)).alias(column))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import checks as C
+from ..sources.folders import remove, restore, staging_path, swap_in
 from ..sources.load import LoadResult, load_days
-from ..sources.tables import read_if_present, replace_dates, replace_table
+from ..sources.tables import read_if_present, replace_dates, replace_table, stage_table
 from .marts import country_activity, daily_event_tone
-from .staging import stage
+from .staging import bad_dates, stage
 
 
 # Table and the layer it belongs to.
@@ -23,6 +24,8 @@ LAYERS = {
     "mart_daily_event_tone": "mart",
     "mart_country_activity": "mart",
 }
+# Tables of a warehouse that no view is made for.
+KEPT = ("check_report", "bad_dates")
 
 
 @dataclass(frozen=True)
@@ -32,15 +35,17 @@ class Tables:
     root: str
 
     def __getattr__(self, name: str) -> str:
-        if name not in LAYERS:
+        if name not in LAYERS and name not in KEPT:
             raise AttributeError(name)
         return f"{self.root.rstrip('/')}/{name}"
 
 
 @dataclass(frozen=True)
 class DailyResult:
+    """``checks`` is the stored report, or nothing when the run stopped before building."""
+
     load: LoadResult
-    checks: DataFrame
+    checks: DataFrame | None
     published: bool
 
 
@@ -112,36 +117,54 @@ def run_daily(
     on_bad_date: str = "fail",
     gate: bool = False,
     crosswalk_as_listed: bool = False,
+    present: DataFrame | None = None,
+    on_failed_load: str = "stop",
+    check_where: Mapping[str, str] | None = None,
 ) -> DailyResult:
-    """Load the given dates and rebuild the marts for the 30 days before ``as_of``.
-
-    Marts are written before the checks run. With ``gate``, they are checked
-    first and only replaced when no check has an error.
+    """Load the given dates, rebuild the marts for the 30 days before ``as_of``, and check all tables.
+
+    Good dates are loaded and staged in any case. When a date is missing or failed the
+    run stops there and publishes nothing, unless ``on_failed_load`` is ``publish``. Marts
+    are written beside their places, checked from these files, and moved in place
+    together; with ``gate``, only when no check has an error. The report is a stored
+    table of one row per check. ``check_where`` limits the checks of a table to rows,
+    such as ``{"events": "event_date >= '2024-01-01'"}``; by default all rows are checked.
+    ``present`` is as in ``load_days``.
     """
-    tables = Tables(warehouse)
-    load = load_days(spark, lines, dates, tables.raw_events, on_bad_value=on_bad_value)
-    if load.loaded:
+    if on_failed_load not in ("stop", "publish"):
+        raise ValueError(f"on_failed_load must be stop or publish, got {on_failed_load!r}")
+    tables, marts = Tables(warehouse), ("mart_daily_event_tone", "mart_country_activity")
+    for name in (*marts, "check_report"):
+        restore(spark, getattr(tables, name))
+    load = load_days(spark, lines, dates, tables.raw_events, on_bad_value=on_bad_value, present=present)
+    if load.loaded and read_if_present(spark, tables.raw_events) is not None:
         raw = spark.read.parquet(tables.raw_events)
         new = raw.where(F.col("ingest_date").isin(load.loaded))
+        if on_bad_date == "quarantine":
+            set_aside = bad_dates(new).select("GlobalEventID", "Day", "DATEADDED", "SOURCEURL", "ingest_date")
+            replace_dates(set_aside, tables.bad_dates, load.loaded, "ingest_date")
         staged = stage(new, on_bad_date, keep=["ingest_date"])
-        replace_dates(staged, tables.events, load.loaded, "ingest_date", "event_date", ["action_geo_country_code"])
+        replace_dates(staged, tables.events, load.loaded, "ingest_date", ["event_date"], ["action_geo_country_code"])
+    if not load.ok and on_failed_load == "stop":
+        return DailyResult(load, None, False)
 
     raw, events = read_if_present(spark, tables.raw_events), read_if_present(spark, tables.events)
     if raw is None or events is None:
         raise RuntimeError(f"no events to build from: none of {len(dates)} day files could be loaded")
-    daily = daily_event_tone(events, as_of)
+    finished = {name: staging_path(getattr(tables, name)) for name in marts}
+    stage_table(daily_event_tone(events, as_of), finished[marts[0]], ["event_date"], ["quad_class_label"])
     countries = country_activity(events, as_of, crosswalk_as_listed=crosswalk_as_listed)
-
-    def publish() -> None:
-        replace_table(daily, tables.mart_daily_event_tone, ["event_date"], ["quad_class_label"])
-        replace_table(countries, tables.mart_country_activity, (), ["action_geo_country_code"])
-
-    if gate:
-        report = C.summarise(model_checks(raw, events, daily, countries))
-        passed = report.where("status = 'error'").isEmpty()
+    stage_table(countries, finished[marts[1]], (), ["action_geo_country_code"])
+
+    built = [read_if_present(spark, finished[name]) for name in marts]
+    chosen = {"raw_events": raw, "events": events, **dict(zip(marts, built))}
+    chosen = {name: df.where((check_where or {}).get(name, "true")) for name, df in chosen.items()}
+    replace_table(C.summarise(model_checks(*chosen.values())), tables.check_report)
+    report = spark.read.parquet(tables.check_report)
+    passed = not gate or report.where("status = 'error'").isEmpty()
+    for name, path in finished.items():
         if passed:
-            publish()
-        return DailyResult(load, report, passed)
-    publish()
-    written = [spark.read.parquet(p) for p in (tables.mart_daily_event_tone, tables.mart_country_activity)]
-    return DailyResult(load, C.summarise(model_checks(raw, events, *written)), True)
+            swap_in(spark, path, getattr(tables, name))
+        else:
+            remove(spark, path)
+    return DailyResult(load, report, passed)

@@ -12,6 +12,7 @@ from ..functions.numbers import joined_sum, mean, round_half_away, share_pct, su
 from .crosswalk import crosswalk
 
 WINDOW_DAYS = 30
+SUM_PARTS = ("high", "low", "rest")
 
 
 def recent(staged: DataFrame, as_of: date, days: int = WINDOW_DAYS) -> DataFrame:
@@ -62,7 +63,7 @@ def country_activity(
     parts = [
         part.alias(f"{name}_{side}")
         for name, value in summed.items()
-        for side, part in zip(("high", "low"), sum_parts(value))
+        for side, part in zip(SUM_PARTS, sum_parts(value))
     ]
     per_place = in_scope.groupBy("action_geo_country_code", "action_geo_fullname").agg(
         F.count(F.lit(1)).alias("n"),
@@ -80,7 +81,7 @@ def country_activity(
         return F.sum(column)
 
     def ratio(name: str, divisor: str) -> Column:
-        numerator = joined_sum(total(f"{name}_high"), total(f"{name}_low")).cast("double")
+        numerator = joined_sum(*[total(f"{name}_{side}") for side in SUM_PARTS])
         return round_half_away(F.try_divide(numerator, total(divisor).cast("double")), 3)
 
     # Most rows first, then names before NULL, then the lowest name.

@@ -106,7 +106,9 @@ def stage(
     }
     staged = rows.select(*[computed.get(name, F.col(source)).alias(name) for name, source in STAGED.items()], *keep)
     if dedupe:
-        newest = [F.desc("date_added"), F.desc("event_date"), F.asc_nulls_last("source_url")]
+        # Deliveries that agree in these are told apart by all columns, so every run keeps the same one.
+        everything = F.xxhash64(*STAGED)
+        newest = [F.desc("date_added"), F.desc("event_date"), F.asc_nulls_last("source_url"), everything.asc()]
         staged = deduplicate(staged, ["global_event_id"], newest)
     return staged
 

@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -48,5 +48,18 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 
 @functools.cache
+def _folder() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="eventpulse-", ignore_cleanup_errors=True)
+
+
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="eventpulse-")
+    """A folder for this process, removed when it ends."""
+    return _folder().name
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows, computed now and kept by Spark's reliable checkpoint in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_dir(df.sparkSession, "cut"))
+    return df.checkpoint()

@@ -48,6 +48,11 @@ def archive_path(root: str, day: date) -> str:
     return f"{root.rstrip('/')}/{day.strftime(ARCHIVE_NAME)}"
 
 
+def error_path(root: str, day: date) -> str:
+    """Where the lake notes that a date's archive could not be read."""
+    return f"{lake_path(root, day)}.error"
+
+
 def _glob(root: str, names: Sequence[str]) -> str:
     """One path pattern for several files, so that files which do not exist are simply not matched."""
     return f"{root.rstrip('/')}/{{{','.join(names)}}}" if len(names) > 1 else f"{root.rstrip('/')}/{names[0]}"
@@ -60,9 +65,10 @@ def file_date(name: Column) -> Column:
 
 
 def with_file(df: DataFrame) -> DataFrame:
-    return df.withColumn("file_path", F.col("_metadata.file_path")).withColumn(
-        "file_date", file_date(F.col("_metadata.file_name"))
-    )
+    """Adds the file's path and date. A day file may be a folder of parts, so the date is looked for in the path."""
+    path = F.col("_metadata.file_path")
+    named = F.regexp_extract(path, r"(\d{8})\.export\.CSV", 1)
+    return df.withColumn("file_path", path).withColumn("file_date", file_date(named))
 
 
 def no_lines(spark: SparkSession) -> DataFrame:
@@ -75,16 +81,45 @@ def text_options(reader, schema=RAW_TEXT_SCHEMA):
     return reader.schema(schema).option("sep", "\t").option("quote", "").option("header", "false")
 
 
-def read_day_files(spark: SparkSession, root: str, dates: Sequence[date]) -> DataFrame:
-    """The 58 fields as text, with the file's path and date, for the files present in the lake."""
-    names = [f"{d.strftime(LAKE_FOLDER)}/{d.strftime(FILE_NAME)}" for d in dates]
+def _or_none(load, *paths: str) -> DataFrame | None:
+    """The frame, or nothing if no file matches."""
     try:
-        lines = text_options(spark.read).csv(_glob(root, names))
+        return load(*paths)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return no_lines(spark)
-    return with_file(lines).withColumn("file_error", F.lit(None).cast("string"))
+        return None
+
+
+def read_day_files(spark: SparkSession, root: str, dates: Sequence[date] | None = None) -> DataFrame:
+    """The 58 fields as text, with the file's path and date, for the files present in the lake.
+
+    All dates if none are given. A date whose archive could not be read has one row with the error.
+    """
+    def names(suffix: str) -> str:
+        if dates is None:
+            return f"{root.rstrip('/')}/raw/*/*/*/*.export.CSV{suffix}"
+        return _glob(root, [f"{d.strftime(LAKE_FOLDER)}/{d.strftime(FILE_NAME)}{suffix}" for d in dates])
+
+    result = no_lines(spark)
+    if (lines := _or_none(text_options(spark.read).csv, names(""))) is not None:
+        result = with_file(lines).withColumn("file_error", F.lit(None).cast("string"))
+    if (errors := _or_none(spark.read.text, names(".error"))) is not None:
+        failed = with_file(errors).withColumnRenamed("value", "file_error")
+        result = result.unionByName(failed, allowMissingColumns=True)
+    return result
+
+
+def present_files(spark: SparkSession, root: str, dates: Sequence[date], zipped: bool = False) -> DataFrame:
+    """The dates (``file_date``) that have a file, even one without a line. Files are listed, not opened."""
+    if zipped:
+        names = [d.strftime(ARCHIVE_NAME) for d in dates]
+    else:
+        names = [f"{d.strftime(LAKE_FOLDER)}/{d.strftime(FILE_NAME)}" for d in dates]
+    found = _or_none(spark.read.format("binaryFile").load, _glob(root, names))
+    if found is None:
+        return date_frame(spark, [])
+    return with_file(found.select("path", "length", "_metadata")).select("file_date").distinct()
 
 
 def _member_lines(content: bytes) -> Iterator[str]:
@@ -136,11 +171,8 @@ def split_lines(lines: DataFrame) -> DataFrame:
 
 def read_archive_lines(spark: SparkSession, root: str, dates: Sequence[date]) -> DataFrame:
     """The lines of the zipped daily files that are present."""
-    try:
-        archives = spark.read.format("binaryFile").load(_glob(root, [d.strftime(ARCHIVE_NAME) for d in dates]))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    archives = _or_none(spark.read.format("binaryFile").load, _glob(root, [d.strftime(ARCHIVE_NAME) for d in dates]))
+    if archives is None:
         return spark.createDataFrame([], "line string, file_path string, file_date date, file_error string")
     return archive_lines(archives)
 

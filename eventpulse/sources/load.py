@@ -9,11 +9,22 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import RAW_COLUMNS
+from ..schema import RAW_COLUMNS, RAW_TYPES
 from .dayfiles import date_frame, is_bad, typed
-from .tables import landed_dates, read_if_present
+from .folders import remove, staging_path
+from .tables import landed_dates, read_if_present, replace_dates
 
 MODES = ("replace", "skip", "append")
+# The raw table's files are sorted by these, so that readers can skip what a filter rules out.
+CLUSTER_BY = ("ActionGeo_CountryCode", "EventRootCode", "QuadClass")
+STAGED_SCHEMA = ", ".join(f"`{name}` {kind}" for name, kind in RAW_TYPES.items()) + (
+    ", line string, bad_columns string, file_path string, file_error string, ingest_date date"
+)
+
+
+def quarantine_path(table_path: str) -> str:
+    """The table beside the raw table with the lines that were set aside."""
+    return f"{table_path.rstrip('/')}_quarantine"
 
 
 @dataclass(frozen=True)
@@ -39,16 +50,20 @@ def load_days(
     table_path: str,
     mode: str = "replace",
     on_bad_value: str = "fail",
+    present: DataFrame | None = None,
 ) -> LoadResult:
-    """Append typed rows to the raw table, in folders by the date of their file.
+    """Add typed rows to the raw table, in folders by the date of their file.
 
     ``mode``: ``replace`` makes a date hold exactly its file's rows, so a second
     run changes nothing; ``skip`` leaves dates alone that are already there;
     ``append`` adds rows again. ``on_bad_value``: ``fail`` rejects the whole file
-    of a value with the wrong type, and ``quarantine`` leaves out such rows.
+    of a value with the wrong type; ``quarantine`` puts such rows, as they were read, into
+    the table at ``quarantine_path(table_path)``. ``present`` lists the files that are
+    there (``file_date``): one without a line is then loaded with no rows, not missing.
 
-    Files are parsed where they lie, without a shuffle. The driver gets one row
-    per requested date.
+    Text is read and parsed once, to a folder beside the table, without a shuffle. The
+    outcome per date is counted from there, and rows of good dates are moved on in
+    one job. The driver gets one row per requested date.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
@@ -58,13 +73,22 @@ def load_days(
     skipped = landed_dates(spark, table_path, dates, "ingest_date") if mode == "skip" else []
     wanted = [d for d in dates if d not in set(skipped)]
 
-    parsed = typed(lines).where(F.col("file_date").isin(wanted))
-    per_date = parsed.groupBy("file_date").agg(
+    staged = staging_path(table_path)
+    as_read = F.concat_ws("\t", *[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in RAW_COLUMNS])
+    parsed = typed(lines.where(F.col("file_date").isin(wanted)).withColumn("line", as_read))
+    parsed = parsed.withColumn("line", F.when(is_bad(), F.col("line"))).withColumnRenamed("file_date", "ingest_date")
+    parsed.select(*RAW_COLUMNS, "line", "bad_columns", "file_path", "file_error", "ingest_date").write.parquet(staged)
+    rows = spark.read.schema(STAGED_SCHEMA).parquet(staged)
+
+    per_date = rows.groupBy(F.col("ingest_date").alias("file_date")).agg(
         F.count_if(F.col("file_error").isNull()).alias("rows_read"),
         F.count_if(is_bad()).alias("rows_bad"),
         F.max("file_error").alias("file_error"),
     )
-    error = F.when(F.col("file_error").isNotNull(), F.col("file_error")).when(F.col("rows_read") == 0, "file is empty")
+    if present is not None:
+        there = present.where(F.col("file_date").isin(wanted)).select("file_date").distinct()
+        per_date = there.join(per_date, "file_date", "full").fillna(0, ["rows_read", "rows_bad"])
+    error = F.when(F.col("file_error").isNotNull(), F.col("file_error"))
     if on_bad_value == "fail":
         error = error.when(F.col("rows_bad") > 0, F.format_string("%d rows hold a bad value", "rows_bad"))
     # One row per requested date at most.
@@ -72,15 +96,17 @@ def load_days(
 
     loaded = sorted(r.file_date for r in report if r.error is None)
     if loaded:
-        rows = parsed.where(F.col("file_date").isin(loaded) & F.col("file_error").isNull())
-        if any(r.rows_bad for r in report if r.error is None):
-            # Only then: as a filter, the test types every field a second time.
-            rows = rows.where(~is_bad())
-        writer = rows.select(*RAW_COLUMNS, F.col("file_date").alias("ingest_date")).write.partitionBy("ingest_date")
+        good = rows.where(F.col("file_error").isNull() & ~is_bad()).select(*RAW_COLUMNS, "ingest_date")
         if mode == "append":
-            writer.mode("append").parquet(table_path)
+            good = good.where(F.col("ingest_date").isin(loaded)).hint("rebalance", "ingest_date")
+            good = good.sortWithinPartitions("ingest_date", *CLUSTER_BY)
+            good.write.mode("append").partitionBy("ingest_date").parquet(table_path)
         else:
-            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(table_path)
+            replace_dates(good, table_path, loaded, "ingest_date", cluster_by=CLUSTER_BY)
+        if on_bad_value == "quarantine":
+            bad = rows.where(is_bad()).select("line", "bad_columns", "file_path", "ingest_date")
+            replace_dates(bad, quarantine_path(table_path), loaded, "ingest_date")
+    remove(spark, staged)
 
     outcome = spark.createDataFrame(
         [(r.file_date, r.rows_read, r.rows_bad, r.error) for r in report],

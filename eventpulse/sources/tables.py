@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .folders import children, remove, staging_path, swap_in
+
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     try:
@@ -19,44 +21,57 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def _laid_out(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[str]) -> DataFrame:
+    """Rows of a folder together in few files, sorted within them.
+
+    The rebalance hint lets adaptive execution split a folder that holds much of the table.
+    """
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    return rows.sortWithinPartitions(*partition_by, *cluster_by) if cluster_by else rows
+
+
 def replace_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()
 ) -> None:
     """Create or replace a table: folders by ``partition_by``, files sorted by ``cluster_by``.
 
-    The rebalance hint gathers each folder's rows into few files and lets
-    adaptive execution split a folder that holds much of the table.
+    It is written beside its place and moved there whole.
     """
-    rows = df.hint("rebalance", *partition_by) if partition_by else df
-    if cluster_by:
-        rows = rows.sortWithinPartitions(*partition_by, *cluster_by)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    stage_table(df, staged := staging_path(path), partition_by, cluster_by)
+    swap_in(df.sparkSession, staged, path)
+
+
+def stage_table(df: DataFrame, staged: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> None:
+    """Writes a table to a folder from which ``swap_in`` can move it."""
+    writer = _laid_out(df, partition_by, cluster_by).write
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staged)
 
 
 def replace_dates(
-    df: DataFrame, path: str, dates: Sequence[date], date_column: str, then_by: str, cluster_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    dates: Sequence[date],
+    date_column: str,
+    then_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
 ) -> None:
     """Write the rows of some dates so that the table holds exactly these rows for them.
 
-    The folders are ``date_column``, then ``then_by``. Dates new to the table are
-    added in one job. A date that is already there is overwritten as a whole
-    folder, so no folder of an earlier delivery stays behind.
+    The folders are ``date_column``, then ``then_by``. One job writes all dates to a
+    folder beside the table; then each date's folder is moved in place of the old one,
+    so nothing of an earlier delivery stays behind.
     """
-    present = set(landed_dates(df.sparkSession, path, dates, date_column))
-    fresh = [d for d in dates if d not in present]
-
-    def laid_out(rows: DataFrame) -> DataFrame:
-        rows = rows.hint("rebalance", date_column, then_by)
-        return rows.sortWithinPartitions(date_column, then_by, *cluster_by)
-
-    if fresh:
-        rows = laid_out(df.where(F.col(date_column).isin(fresh)))
-        rows.write.mode("append").partitionBy(date_column, then_by).parquet(path)
-    for day in sorted(present):
-        rows = laid_out(df.where(F.col(date_column) == F.lit(day))).drop(date_column)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(then_by).parquet(f"{path}/{date_column}={day.isoformat()}")
+    spark, staged = df.sparkSession, staging_path(path)
+    rows = df.where(F.col(date_column).isin(list(dates)))
+    stage_table(rows, staged, [date_column, *then_by], cluster_by)
+    written = set(children(spark, staged))
+    for day in sorted(dates):
+        name = f"{date_column}={day.isoformat()}"
+        if name in written:
+            swap_in(spark, f"{staged}/{name}", f"{path}/{name}")
+        else:
+            remove(spark, f"{path}/{name}")
+    remove(spark, staged)
 
 
 def dates_in_folders(spark: SparkSession, path: str, date_column: str) -> DataFrame | None:

@@ -2,32 +2,38 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..schema import RAW_COLUMNS
 from ..sources.dayfiles import archive_lines, is_bad, split_lines, text_options, typed, with_file
-from ..sources.lake import LANDED, LANDED_SCHEMA
 
 # The columns of Spark's binaryFile source, which a stream has to be told.
 _BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def stream_lines(spark: SparkSession, root: str, zipped: bool = False) -> DataFrame:
-    """New files under the lake folder as the 58 text fields."""
+def stream_lines(
+    spark: SparkSession, root: str, zipped: bool = False, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """New files under the lake folder as the 58 text fields.
+
+    ``max_files_per_trigger`` cuts a backlog into batches of that many files.
+    """
+    reader = spark.readStream
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if zipped:
-        archives = spark.readStream.format("binaryFile").schema(_BINARY_SCHEMA)
+        archives = reader.format("binaryFile").schema(_BINARY_SCHEMA)
         return split_lines(archive_lines(archives.option("pathGlobFilter", "*.export.CSV.zip").load(root)))
-    lines = text_options(spark.readStream).option("pathGlobFilter", "*.export.CSV").option("recursiveFileLookup", "true")
-    return with_file(lines.csv(f"{root.rstrip('/')}/raw")).withColumn("file_error", F.lit(None).cast("string"))
+    lines = text_options(reader).csv(f"{root.rstrip('/')}/raw/*/*/*/*.export.CSV")
+    return with_file(lines).withColumn("file_error", F.lit(None).cast("string"))
 
 
-def stream_landed(spark: SparkSession, root: str) -> DataFrame:
+def stream_landed(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """New files of the lines that ``land_lines`` wrote, as the 58 text fields."""
-    lines = text_options(spark.readStream, LANDED_SCHEMA).csv(f"{root.rstrip('/')}/{LANDED}")
-    named = lines.withColumn("file_path", F.col("_metadata.file_path"))
-    return named.withColumn("file_error", F.lit(None).cast("string"))
+    return stream_lines(spark, root, max_files_per_trigger=max_files_per_trigger)
 
 
 def load_new_files(
@@ -60,12 +66,15 @@ def load_new_files(
         )
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # Parsed once for both tables; blocks lost with an executor are parsed again.
+        batch = batch.persist(StorageLevel.DISK_ONLY)
         # The batch number in the folder makes a repeated batch replace itself.
         good = batch.where(~unusable).select(*RAW_COLUMNS, day).withColumn("batch", F.lit(batch_id))
         bad = batch.where(unusable).withColumn("batch", F.lit(batch_id))
         for rows, path, folders in ((good, table_path, ["ingest_date", "batch"]), (bad, quarantine_path, ["batch"])):
             writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             writer.partitionBy(*folders).parquet(path)
+        batch.unpersist()
 
     return (
         parsed.writeStream.foreachBatch(write)

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventpulse.operators import checks as C
-from eventpulse.operators.neighbours import find_cuts
+from eventpulse.operators.neighbours import in_ranges
+from eventpulse.operators.reshape import star
 
 
 def failures(check):
@@ -188,8 +189,7 @@ def test_clock_readings_ignore_the_session_zone(spark, zone_with_changing_clocks
     # Clocks skip 02:00 to 03:00 on this day.
     hours = [(f"2024-03-31 0{h}:{m}0:00",) for h in range(6) for m in (0, 3)]
     df = spark.createDataFrame(hours, "t string").select(F.col("t").cast("timestamp_ntz").alias("t")).repartition(3)
-    for rows_per_task in (1, 1000):
-        assert failures(C.sequential_values(df, "t", 30, "minute", rows_per_task=rows_per_task)) == 0
+    assert failures(C.sequential_values(df, "t", 30, "minute")) == 0
     late = C.recency(df, "t", "hour", 1, dt.datetime(2024, 3, 31, 6, 31))
     assert failures(late) == 1 and failures(C.recency(df, "t", "hour", 1, dt.datetime(2024, 3, 31, 6, 30))) == 0
 
@@ -216,21 +216,15 @@ def test_expected_columns(spark, rows):
     assert rows(C.expected_columns(df, ["a", "c"]).violations) == [("b", "unexpected"), ("c", "missing")]
 
 
-# A limit of one row per task makes every ordered check go over ranges.
-PATHS = pytest.mark.parametrize("rows_per_task", [1, 1_000_000], ids=["ranges", "one window"])
-
-
-@PATHS
-def test_sequential_values(spark, rows_per_task):
+def test_sequential_values(spark):
     df = spark.createDataFrame([(1, 2), (1, 4), (1, 6), (2, 8), (2, 10)], "col_a int, my_even_sequence int")
-    options = {"rows_per_task": rows_per_task}
-    assert failures(C.sequential_values(df, "my_even_sequence", 2, **options)) == 0
-    assert failures(C.sequential_values(df, "my_even_sequence", 2, group_by=["col_a"], **options)) == 0
-    assert failures(C.sequential_values(df, "my_even_sequence", 1, **options)) == 4
+    assert failures(C.sequential_values(df, "my_even_sequence", 2)) == 0
+    assert failures(C.sequential_values(df, "my_even_sequence", 2, group_by=["col_a"])) == 0
+    assert failures(C.sequential_values(df, "my_even_sequence", 1)) == 4
     hours = [(dt.datetime(2021, 1, 1, h),) for h in range(4)]
     times = spark.createDataFrame(hours, "my_timestamp timestamp")
-    assert failures(C.sequential_values(times, "my_timestamp", 1, "hour", **options)) == 0
-    assert failures(C.sequential_values(times, "my_timestamp", 2, "hour", **options)) == 3
+    assert failures(C.sequential_values(times, "my_timestamp", 1, "hour")) == 0
+    assert failures(C.sequential_values(times, "my_timestamp", 2, "hour")) == 3
 
 
 def sequential_by_hand(data, interval):
@@ -247,16 +241,14 @@ def sequential_by_hand(data, interval):
 HEAVY = pytest.mark.parametrize("copies", [0, 2000], ids=["spread", "heavy value"])
 
 
-@PATHS
 @HEAVY
-def test_sequential_values_with_a_hot_group(spark, rows_per_task, copies):
+def test_sequential_values_with_a_hot_group(spark, copies):
     rng = random.Random(5)
     data = [("hot", rng.randrange(4000)) for _ in range(2000)] + [("hot", 77)] * copies
     data += [(f"g{rng.randrange(20)}", rng.randrange(60)) for _ in range(600)]
     data += [(None, 3), (None, 4), (None, 9), ("g1", None), ("hot", None)]
     df = spark.createDataFrame(data, "g string, v int").repartition(5)
-    assert find_cuts(df.where("v IS NOT NULL"), "v").heavy == (copies > 0)
-    check = C.sequential_values(df, "v", group_by=["g"], rows_per_task=rows_per_task)
+    check = C.sequential_values(df, "v", group_by=["g"])
     got = [(r.g, r.v, r.previous_v) for r in check.violations.collect() for _ in range(r.n_rows)]
     assert sorted(got, key=str) == sequential_by_hand(data, 1)
 
@@ -280,11 +272,10 @@ def ranges_by_hand(data, gaps, zero_length):
     return sorted(found, key=str)
 
 
-@PATHS
 @pytest.mark.parametrize("gaps", ["allowed", "not_allowed", "required"])
 @pytest.mark.parametrize("zero_length", [False, True])
 @HEAVY
-def test_ranges_against_the_definition(spark, rows_per_task, gaps, zero_length, copies):
+def test_ranges_against_the_definition(spark, gaps, zero_length, copies):
     rng = random.Random(11)
 
     def some_range(group, lower):
@@ -296,8 +287,7 @@ def test_ranges_against_the_definition(spark, rows_per_task, gaps, zero_length,
     data += [some_range(rng.choice("abcdef"), rng.randrange(30)) for _ in range(120)]
     data += [("a", None, 3), ("a", None, None), ("hot", None, 7), (None, 1, 2), (None, 2, 3)]
     df = spark.createDataFrame(data, "g string, lo int, hi int").repartition(4)
-    assert find_cuts(df, "lo").heavy == (copies > 0)
-    check = C.mutually_exclusive_ranges(df, "lo", "hi", "g", gaps, zero_length, rows_per_task=rows_per_task)
+    check = C.mutually_exclusive_ranges(df, "lo", "hi", "g", gaps, zero_length)
     got = [
         (r.partition_by_col, r.lower_bound, r.upper_bound, r.next_lower_bound, r.is_last_record)
         for r in check.violations.collect()
@@ -306,12 +296,10 @@ def test_ranges_against_the_definition(spark, rows_per_task, gaps, zero_length,
     assert sorted(got, key=str) == ranges_by_hand(data, gaps, zero_length)
 
 
-@PATHS
-def test_ranges_with_mostly_missing_lower_bounds(spark, rows_per_task):
+def test_ranges_with_mostly_missing_lower_bounds(spark):
     data = [("a", None, i % 7) for i in range(60)] + [("a", i, i + 1) for i in range(30)] + [("b", 3, 4), ("b", None, None)]
     df = spark.createDataFrame(data, "g string, lo int, hi int").repartition(4)
-    assert find_cuts(df, "lo").heavy
-    check = C.mutually_exclusive_ranges(df, "lo", "hi", "g", rows_per_task=rows_per_task)
+    check = C.mutually_exclusive_ranges(df, "lo", "hi", "g")
     got = [
         (r.partition_by_col, r.lower_bound, r.upper_bound, r.next_lower_bound, r.is_last_record)
         for r in check.violations.collect()
@@ -320,13 +308,11 @@ def test_ranges_with_mostly_missing_lower_bounds(spark, rows_per_task):
     assert sorted(got, key=str) == ranges_by_hand(data, "allowed", False)
 
 
-@PATHS
-def test_ranges_examples(spark, rows_per_task):
-    options = {"rows_per_task": rows_per_task}
+def test_ranges_examples(spark):
     plain = spark.createDataFrame([(0, 1), (1, 2), (2, 4)], "lower_bound int, upper_bound int")
-    assert failures(C.mutually_exclusive_ranges(plain, "lower_bound", "upper_bound", gaps="not_allowed", **options)) == 0
+    assert failures(C.mutually_exclusive_ranges(plain, "lower_bound", "upper_bound", gaps="not_allowed")) == 0
     overlap = plain.unionAll(spark.createDataFrame([(3, 5)], "l int, u int"))
-    assert failures(C.mutually_exclusive_ranges(overlap, "lower_bound", "upper_bound", **options)) == 1
+    assert failures(C.mutually_exclusive_ranges(overlap, "lower_bound", "upper_bound")) == 1
 
     def day(text):
         return dt.date.fromisoformat(text) if text else None
@@ -335,27 +321,24 @@ def test_ranges_examples(spark, rows_per_task):
     gaps = spark.createDataFrame([(i, day(a), day(b)) for i, a, b in data], "subscription_id int, valid_from date, valid_to date")
     until = F.coalesce("valid_to", F.lit(dt.date(2099, 1, 1)))
     for kind, want in (("allowed", 0), ("required", 0), ("not_allowed", 2)):
-        check = C.mutually_exclusive_ranges(gaps, "valid_from", until, "subscription_id", kind, **options)
+        check = C.mutually_exclusive_ranges(gaps, "valid_from", until, "subscription_id", kind)
         assert failures(check) == want
 
     data = [(3, 6, 7), (3, 8, 10), (3, 8, 8), (3, 12, 15), (4, 6, 7), (4, 8, 8), (4, 9, 10)]
     zero = spark.createDataFrame(data, "subscription_id int, valid_from int, valid_to int")
     for allowed, want in ((True, 0), (False, 2)):
         check = C.mutually_exclusive_ranges(
-            zero, "valid_from", "valid_to", "subscription_id", zero_length_range_allowed=allowed, **options
+            zero, "valid_from", "valid_to", "subscription_id", zero_length_range_allowed=allowed
         )
         assert failures(check) == want
 
 
-@PATHS
-def test_ranges_of_texts(spark, rows_per_task):
+def test_ranges_of_texts(spark):
     rng = random.Random(2)
     days = sorted({f"2024-0{rng.randrange(1, 10)}-{rng.randrange(10, 29)}" for _ in range(120)})
     data = [("a", d, e) for d, e in zip(days, days[1:])] + [("a", days[5], days[9]), ("b", "2024", "2024-"), ("b", "2024é", "x")]
     df = spark.createDataFrame(data, "g string, lo string, hi string").repartition(3)
-    cuts = find_cuts(df, "lo")
-    assert cuts.shared_bytes == 4 and len(cuts.points) > 3
-    check = C.mutually_exclusive_ranges(df, "lo", "hi", "g", "not_allowed", rows_per_task=rows_per_task)
+    check = C.mutually_exclusive_ranges(df, "lo", "hi", "g", "not_allowed")
     got = [
         (r.partition_by_col, r.lower_bound, r.upper_bound, r.next_lower_bound, r.is_last_record)
         for r in check.violations.collect()
@@ -364,14 +347,54 @@ def test_ranges_of_texts(spark, rows_per_task):
     assert sorted(got, key=str) == ranges_by_hand(data, "not_allowed", False)
 
 
-def test_ordered_checks_reject_what_they_cannot_order(spark):
-    df = spark.createDataFrame([(True, True), (False, True)], "lo boolean, hi boolean")
-    with pytest.raises(TypeError):
-        C.mutually_exclusive_ranges(df, "lo", "hi", rows_per_task=1)
+def test_ranges_of_booleans_and_of_expressions(spark, rows):
+    df = spark.createDataFrame([(True, True), (False, True), (False, True)], "lo boolean, hi boolean")
+    check = C.mutually_exclusive_ranges(df, "lo", "hi")
+    got = [(r.lower_bound, r.upper_bound, r.next_lower_bound, r.n_rows) for r in check.violations.collect()]
+    assert sorted(got, key=str) == [(False, True, False, 1), (True, True, None, 1)]
+    df = spark.createDataFrame([("a-1", 1, 2), ("a-2", 3, 4), ("b-1", 1, 9)], "k string, lo int, hi int")
+    whole = C.mutually_exclusive_ranges(df, F.col("lo") * 10, F.col("hi") * 10, F.substring("k", 1, 1), "required")
+    assert failures(whole) == 0 and whole.column is None
     with pytest.raises(ValueError):
         C.mutually_exclusive_ranges(df, "lo", "hi", gaps="some")
 
 
+def test_ranges_are_even_for_any_type(spark):
+    spark_rows = spark.range(4000)
+    texts = spark_rows.select(F.format_string("https://example.com/%05d", "id").alias("x"))
+    frames = {
+        "one outlier": texts.unionAll(spark.createDataFrame([("ftp://x",)], "x string")),
+        "within a second": spark_rows.select(
+            (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.expr("make_dt_interval(0, 0, 0, id / 1e5)")).alias("x")
+        ),
+    }
+    for name, df in frames.items():
+        sizes = [r["count"] for r in in_ranges(df, ["x"], 16).groupBy("_range").count().collect()]
+        assert len(sizes) > 12 and max(sizes) < 3 * sum(sizes) / 16, name
+    hot = spark_rows.select(F.when(F.col("id") % 4 > 0, "hot").otherwise(F.col("id").cast("string")).alias("g"), F.col("id").alias("x"))
+    sizes = [r["count"] for r in in_ranges(hot, ["g", "x"], 16).groupBy("_range").count().collect()]
+    assert len(sizes) > 12 and max(sizes) < 3 * sum(sizes) / 16
+
+
+def test_names_with_dots_and_backticks(spark):
+    df = spark.createDataFrame([(1, "a"), (2, ""), (2, None)], "x int, y string").toDF("a.b", "c`d")
+    assert failures(C.not_null(df, "c`d")) == 1
+    assert failures(C.unique(df, "a.b")) == 1
+    assert failures(C.not_empty_string(df, "c`d")) == 1
+    assert failures(C.accepted_range(df, "a.b", 0, 1)) == 2
+    assert failures(C.sequential_values(df, "a.b")) == 1
+    assert failures(C.expression_is_true(df, "> 0", "a.b")) == 0
+    assert df.select(star(df, prefix="p_")).columns == ["p_a.b", "p_c`d"]
+
+
+def test_equality_beyond_nine_decimals(spark):
+    one, two = (spark.createDataFrame([(x,)], "x double") for x in (1.0, 1.0000000004))
+    assert failures(C.equality(one, two, precision=9)) == 0
+    assert failures(C.equality(one, two, precision=12)) == 2
+    with pytest.raises(ValueError):
+        C.equality(one, two, precision=19)
+
+
 def test_summary_statuses(spark):
     df = spark.createDataFrame([(1,), (None,)], "v int")
     bad = C.not_null(df, "v")

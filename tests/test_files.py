@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from eventpulse.plans.daily import Tables, create_views, run_daily
 from eventpulse.schema import RAW_COLUMNS
 from eventpulse.session import work_dir
-from eventpulse.sources import dayfiles, lake
-from eventpulse.sources.load import load_days, summarise_load
-from eventpulse.sources.tables import landed_dates, replace_dates, replace_table
+from eventpulse.sources import dayfiles, folders, lake
+from eventpulse.sources.load import load_days, quarantine_path, summarise_load
+from eventpulse.sources.tables import landed_dates, read_if_present, replace_dates, replace_table
 from eventpulse.streaming.dayfiles import load_new_files, stream_landed, stream_lines
 
 D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3)
@@ -116,6 +116,12 @@ def test_bad_values_fail_the_file_or_are_left_out(spark, tmp_path):
     assert "1 rows" in failed.audit.where("status = 'failed'").first().error
     kept = load_days(spark, read, [D1, D2], str(tmp_path / "b"), on_bad_value="quarantine")
     assert audit(kept) == {D1: ("loaded", 1), D2: ("loaded", 1)} and kept.ok
+    aside = spark.read.parquet(quarantine_path(str(tmp_path / "b"))).collect()
+    assert [(r.line, r.bad_columns, r.ingest_date) for r in aside] == [(line(2, AvgTone="abc"), "AvgTone", D1)]
+    put(tmp_path, D1, line(1))
+    load_days(spark, dayfiles.read_day_files(spark, str(tmp_path), [D1]), [D1], str(tmp_path / "b"), on_bad_value="quarantine")
+    assert read_if_present(spark, quarantine_path(str(tmp_path / "b"))) is None
+    put(tmp_path, D1, line(1), line(2, AvgTone="abc"))
     bad = dayfiles.quarantined(read).collect()
     assert [(r.GlobalEventID, r.AvgTone, r.bad_columns) for r in bad] == [("2", "abc", "AvgTone")]
 
@@ -162,6 +168,60 @@ def test_landing(spark, tmp_path):
     assert lake.read_landed(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_empty_files_are_loaded_and_damaged_ones_failed_also_when_landed(spark, tmp_path):
+    source, root = tmp_path / "zips", str(tmp_path / "lake")
+    source.mkdir()
+    put_zip(source, D1, {"20240101.export.CSV": []})
+    (source / "20240102.export.CSV.zip").write_bytes(b"damaged")
+    put_zip(source, D3, {"20240103.export.CSV": [line(3, day="20240103")]})
+    dates = [D1, D2, D3, dt.date(2024, 1, 4)]
+    want = {D1: ("loaded", 0), D2: ("failed", 0), D3: ("loaded", 1), dates[3]: ("missing", 0)}
+    there = dayfiles.present_files(spark, str(source), dates, zipped=True)
+    load = load_days(spark, dayfiles.read_archives(spark, str(source), dates), dates, str(tmp_path / "t"), present=there)
+    assert audit(load) == want
+    lake.land_archives(spark, str(source), root, dates)
+    there = dayfiles.present_files(spark, root, dates)
+    load = load_days(spark, lake.read_landed(spark, root, dates), dates, str(tmp_path / "u"), present=there)
+    assert audit(load) == want
+    put_zip(source, D2, {"20240102.export.CSV": [line(2, day="20240102")]})
+    lake.land_archives(spark, str(source), root, dates)
+    load = load_days(spark, lake.read_landed(spark, root, dates), dates, str(tmp_path / "u"), present=there)
+    assert audit(load)[D2] == ("loaded", 1)
+    put(tmp_path, D1, "")
+    there = dayfiles.present_files(spark, str(tmp_path), [D1, D2])
+    load = load_days(spark, dayfiles.read_day_files(spark, str(tmp_path), [D1, D2]), [D1, D2], str(tmp_path / "v"), present=there)
+    assert audit(load) == {D1: ("loaded", 0), D2: ("missing", 0)}
+
+
+def test_reloading_many_dates_is_a_few_jobs_and_one_scan(spark, tmp_path):
+    dates = [dt.date(2024, 1, d) for d in range(1, 13)]
+    for d in dates:
+        put(tmp_path, d, line(d.day, day=d.strftime("%Y%m%d")))
+    table, jobs = str(tmp_path / "t"), []
+    tracker = spark.sparkContext.statusTracker()
+    for n in (2, 12):
+        for _ in range(2):
+            group = f"load-{len(jobs)}"
+            spark.sparkContext.setJobGroup(group, group)
+            load_days(spark, dayfiles.read_day_files(spark, str(tmp_path), dates[:n]), dates[:n], table)
+            jobs.append(len(tracker.getJobIdsForGroup(group)))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(jobs) <= 10 and jobs[1] == jobs[3]
+    assert spark.read.parquet(table).count() == 12
+
+
+def test_swapping_folders_survives_a_crash(spark, tmp_path):
+    path, staged = str(tmp_path / "t"), str(tmp_path / "_staged-t")
+    spark.range(1).write.parquet(path)
+    spark.range(5).write.parquet(staged)
+    (tmp_path / "t").rename(tmp_path / "_replaced-t")  # as if the run ended between the two moves
+    folders.restore(spark, path)
+    assert spark.read.parquet(path).count() == 1
+    folders.swap_in(spark, staged, path)
+    assert spark.read.parquet(path).count() == 5 and not folders.exists(spark, staged)
+    assert folders.children(spark, str(tmp_path)) == ["t"]
+
+
 def test_stream_equals_batch_and_loads_each_file_once(spark, tmp_path):
     put(tmp_path, D1, line(1), line(2, fields=40))
     put(tmp_path, D2, line(3, day="20240102"))
@@ -225,9 +285,9 @@ def test_replace_dates_leaves_no_old_folder(spark, tmp_path, rows):
     path = str(tmp_path / "t")
     schema = "ingest_date date, event_date date, v int"
     first = spark.createDataFrame([(D2, D1, 1), (D2, D2, 2), (D3, D3, 3)], schema)
-    replace_dates(first, path, [D2, D3], "ingest_date", "event_date")
+    replace_dates(first, path, [D2, D3], "ingest_date", ["event_date"])
     second = spark.createDataFrame([(D2, D2, 4)], schema)
-    replace_dates(second, path, [D2], "ingest_date", "event_date")
+    replace_dates(second, path, [D2], "ingest_date", ["event_date"])
     got = spark.read.parquet(path).select("ingest_date", "event_date", "v")
     assert rows(got) == [(D2, D2, 4), (D3, D3, 3)]
 
@@ -268,7 +328,45 @@ def test_views_by_layer_follow_the_tables(spark, tmp_path):
 def test_daily_run_without_any_file(spark, tmp_path):
     nothing = dayfiles.read_day_files(spark, str(tmp_path), [D1])
     with pytest.raises(RuntimeError, match="no events"):
-        run_daily(spark, nothing, [D1], str(tmp_path / "w"), D3)
+        run_daily(spark, nothing, [D1], str(tmp_path / "w"), D3, on_failed_load="publish")
+    assert not run_daily(spark, nothing, [D1], str(tmp_path / "w"), D3).published
+
+
+def test_daily_run_stops_at_a_failed_date(spark, tmp_path):
+    put(tmp_path, D1, line(1))
+    put(tmp_path, D2, line(2, AvgTone="abc"))
+    warehouse, dates = str(tmp_path / "w"), [D1, D2]
+    read = dayfiles.read_day_files(spark, str(tmp_path), dates)
+    stopped = run_daily(spark, read, dates, warehouse, D3)
+    assert (stopped.published, stopped.checks, stopped.load.ok) == (False, None, False)
+    assert read_if_present(spark, Tables(warehouse).mart_daily_event_tone) is None
+    assert spark.read.parquet(Tables(warehouse).events).count() == 1
+    told = run_daily(spark, read, dates, warehouse, D3, on_failed_load="publish")
+    assert told.published and spark.read.parquet(Tables(warehouse).mart_daily_event_tone).count() == 1
+    with pytest.raises(ValueError):
+        run_daily(spark, read, dates, warehouse, D3, on_failed_load="ignore")
+
+
+def test_report_is_stored_and_rows_to_check_can_be_named(spark, tmp_path):
+    put(tmp_path, D1, line(1), line(2, QuadClass="9"))
+    warehouse = str(tmp_path / "w")
+    read = dayfiles.read_day_files(spark, str(tmp_path), [D1])
+    result = run_daily(spark, read, [D1], warehouse, D3)
+    failed = {(r.relation, r.check_name) for r in result.checks.where("status = 'error'").collect()}
+    assert failed == {("events", "accepted_values"), ("mart_daily_event_tone", "accepted_values")}
+    before = result.checks.orderBy("relation", "check_name", "column_name").collect()
+    spark.range(1).write.mode("overwrite").parquet(Tables(warehouse).raw_events)
+    assert result.checks.orderBy("relation", "check_name", "column_name").collect() == before
+    some = run_daily(spark, read, [D1], str(tmp_path / "x"), D3, check_where={"events": "quad_class <> 9"})
+    assert {(r.relation) for r in some.checks.where("status = 'error'").collect()} == {"mart_daily_event_tone"}
+
+
+def test_rows_with_bad_days_are_kept_aside(spark, tmp_path):
+    put(tmp_path, D1, line(1), line(2, day="20241399"))
+    warehouse = str(tmp_path / "w")
+    result = run_daily(spark, dayfiles.read_day_files(spark, str(tmp_path), [D1]), [D1], warehouse, D3, on_bad_date="quarantine")
+    assert result.published
+    assert [(r.GlobalEventID, r.Day) for r in spark.read.parquet(Tables(warehouse).bad_dates).collect()] == [(2, 20241399)]
 
 
 def test_daily_run_with_gate(spark, tmp_path):

@@ -38,12 +38,12 @@ def test_column_values_of_a_missing_table(spark):
         I.get_column_values(spark, "no_such_table", "field")
 
 
-def test_large_results_stay_off_the_driver(spark, monkeypatch):
-    monkeypatch.setattr(I, "DRIVER_ROWS", 3)
-    with pytest.raises(ValueError):
-        I.get_column_values(spark, values(spark), "field")
-    with pytest.raises(ValueError):
-        I.get_query_results_as_dict(spark.range(4))
+def test_only_the_caller_bounds_a_result(spark):
+    df = spark.range(120_000)
+    assert len(I.get_column_values(spark, df, "id")) == 120_000
+    assert len(I.get_column_values(spark, df, "id", max_records=3)) == 3
+    assert len(I.get_query_results_as_dict(df)["id"]) == 120_000
+    assert len(I.get_query_results_as_dict(df, max_records=4)["id"]) == 4
 
 
 def test_single_value(spark):

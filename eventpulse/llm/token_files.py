@@ -17,7 +17,7 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +28,14 @@ from pyspark.sql import functions as F
 
 from .common import text_or_empty, written
 from .wavelet import WaveletMatrix
-from .words import chunks, text_bytes
-
-BLOCK_TOKENS = 4_000_000
-# Pieces whose ids a worker remembers at most; all are forgotten beyond it.
-MOST_PIECES = 600_000
-CHUNK_BYTES = 1 << 21
+from .words import chunks, text_bytes, word_hashes
+
+BLOCK_TOKENS = 1_000_000
+# Pieces whose ids a worker remembers at most; all are forgotten beyond it. Longer pieces are not remembered.
+MOST_PIECES = 1_500_000
+SLOT_BITS = 21
+LONG_PIECE = 64
+CHUNK_BYTES = 1 << 20
 END = 0
 
 BLOCK_SCHEMA = "shard int, block int, doc_ids array<bigint>, lengths array<bigint>, n_tokens bigint, payload binary"
@@ -41,6 +43,11 @@ _LETTER, _DIGIT, _SPACE, _OTHER, _UNKNOWN = range(5)
 # The short endings that the byte-level pattern takes together with an apostrophe. Fixed values of that pattern.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
+# The byte-level alphabet: printable bytes stand for themselves, the others for characters from 256 on, in order.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_OTHERS = [b for b in range(256) if b not in _PRINTABLE]
+_BYTE_CHARS = np.array([b if b in _PRINTABLE else 256 + _OTHERS.index(b) for b in range(256)], np.uint32)
+
 
 class BatchEncoder:
     """Encodes batches of texts with a byte-level tokenizer file, by its distinct pieces."""
@@ -50,6 +57,7 @@ class BatchEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.kinds = np.full(0x110000, _UNKNOWN, np.uint8)
         self._forget()
 
@@ -109,11 +117,9 @@ class BatchEncoder:
         doc_starts = np.zeros(len(chars), bool)
         doc_starts[doc_chars[:-1][doc_chars[:-1] < len(chars)]] = True
         starts = np.flatnonzero(self._starts(chars, doc_starts))
-        offsets = np.append(byte_at[starts], len(joined)).astype(np.int64)
-        pieces = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets.tobytes()), pa.py_buffer(joined))
-        coded = pieces.dictionary_encode()
-        rows = self._rows(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        n = self.lengths[rows]
+        piece_at = np.append(byte_at[starts], len(joined))
+        rows = self._rows(data, piece_at[:-1], piece_at[1:])
+        n = self.lengths[rows].astype(np.int64)
         ends = np.cumsum(n)
         places = np.repeat(self.firsts[rows] - (ends - n), n)
         places += np.arange(len(places))
@@ -121,25 +127,42 @@ class BatchEncoder:
         return self.flat[places], np.diff(upto[np.searchsorted(starts, doc_chars)])
 
     def _forget(self) -> None:
-        """No pieces are known: piece to row, and for each row the place and number of its ids."""
-        self.known: dict[str, int] = {}
-        self.flat, self.firsts, self.lengths = (np.zeros(0, kind) for kind in (np.uint32, np.int64, np.int64))
-
-    def _rows(self, pieces: list[str]) -> np.ndarray:
-        """The rows of distinct pieces; those not yet known are encoded."""
-        if len(self.known) + len(pieces) > MOST_PIECES:
+        """No pieces are known. Slots hold the hash and the row of a piece; rows, the place and number of its ids."""
+        self.slot_hashes = np.zeros(1 << SLOT_BITS, np.uint64)
+        self.slot_rows = np.zeros(1 << SLOT_BITS, np.int32)
+        self.flat, self.firsts, self.lengths = (np.zeros(0, kind) for kind in (np.uint32, np.int32, np.int32))
+
+    def _rows(self, data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The row of each piece. Pieces not in their slot are encoded, each distinct one once."""
+        if len(self.lengths) > MOST_PIECES:
             self._forget()
-        rows = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
-        fresh = np.flatnonzero(rows < 0)
-        if len(fresh):
-            new = [pieces[i] for i in fresh.tolist()]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        hashes = word_hashes(data, begins, ends)
+        # The hash tells short pieces apart; a long one counts as different from all others.
+        long = np.flatnonzero(ends - begins > LONG_PIECE)
+        hashes[long] = np.arange(len(long), dtype=np.uint64)
+        slots = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        rows = self.slot_rows[slots]
+        known = self.slot_hashes[slots] == hashes
+        known[long] = False
+        missed = np.flatnonzero(~known)
+        if len(missed):
+            new, first, back = np.unique(hashes[missed], return_index=True, return_inverse=True)
+            at = missed[first]
+            # The model of the tokenizer reads bytes as the characters of the byte-level alphabet.
+            text = _BYTE_CHARS[data].tobytes().decode("utf-32-le")
+            pieces = [text[i:j] for i, j in zip(begins[at].tolist(), ends[at].tolist())]
+            ids = [[t.id for t in self.model.tokenize(p)] for p in pieces]
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            rows[fresh] = np.arange(len(self.known), len(self.known) + len(new))
-            self.known.update(zip(new, rows[fresh].tolist()))
-            self.firsts = np.concatenate((self.firsts, len(self.flat) + np.cumsum(lengths) - lengths))
-            self.lengths = np.concatenate((self.lengths, lengths))
+            fresh = np.arange(len(self.lengths), len(self.lengths) + len(ids), dtype=np.int32)
+            rows[missed] = fresh[back]
+            firsts = (len(self.flat) + np.cumsum(lengths) - lengths).astype(np.int32)
+            self.firsts = np.concatenate((self.firsts, firsts))
+            self.lengths = np.concatenate((self.lengths, lengths.astype(np.int32)))
             self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, lengths.sum())))
+            kept = ends[at] - begins[at] <= LONG_PIECE
+            places = (new[kept] >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+            # Of pieces with the same slot the last one stays, in both arrays.
+            self.slot_hashes[places], self.slot_rows[places] = new[kept], fresh[kept]
         return rows
 
 

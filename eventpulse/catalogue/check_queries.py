@@ -336,6 +336,38 @@ def q_ranges_no_gaps(spark, sf_dir):
     return C.mutually_exclusive_ranges(events, "event_id", "until", gaps="not_allowed").violations
 
 
+_HOST = "regexp_extract(url, '^https?://([^/]+)', 1)"
+
+
+@query("q_ranges_of_urls", _ranges_sql("pages", _HOST, "substr(url, 1, 28)", "url", "<", "<"))
+def q_ranges_of_urls(spark, sf_dir):
+    """Addresses as ranges of text that mostly begin alike, with a bound and a group that are expressions."""
+    pages = table(spark, sf_dir, "pages")
+    host = F.regexp_extract("url", "^https?://([^/]+)", 1)
+    lower = F.substring("url", 1, 28)
+    return C.mutually_exclusive_ranges(pages, lower, "url", host, "required", False).violations
+
+
+@query("q_ranges_of_urls_ungrouped", _ranges_sql("pages", "", "url", "substr(url, 1, 20)", "<=", "<="))
+def q_ranges_of_urls_ungrouped(spark, sf_dir):
+    """The same over the whole table, with bounds that mostly end too early."""
+    upper = F.substring("url", 1, 20)
+    check = C.mutually_exclusive_ranges(table(spark, sf_dir, "pages"), "url", upper, None, "allowed", True)
+    return check.violations
+
+
+@query(
+    "q_sequential_clocks",
+    """SELECT *, count(*) AS n_rows FROM (
+      SELECT event_type, ts, lag(ts) OVER (PARTITION BY event_type ORDER BY ts) AS previous_ts FROM events)
+    WHERE NOT (ts = previous_ts + INTERVAL 5 SECOND) GROUP BY ALL""",
+)
+def q_sequential_clocks(spark, sf_dir):
+    """Clock readings finer than a second, in a few large groups."""
+    events = table(spark, sf_dir, "events")
+    return C.sequential_values(events, "ts", 5, "second", group_by=["event_type"]).violations
+
+
 @query(
     "q_unique_combination",
     "SELECT l_partkey, l_suppkey FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1",

@@ -16,9 +16,8 @@ from ..plans.staging import class_label
 from ..schema import RAW_TYPES
 from .base import table
 
-# The events run from 2024-01-01 to 2024-01-30.
+# The day on which the marts are built.
 AS_OF = date(2024, 1, 31)
-DAYS = [date(2024, 1, d) for d in range(1, 31)]
 
 _QUAD_CLASS = (
     "CASE event_type WHEN 'signup' THEN 1 WHEN 'purchase' THEN 2 WHEN 'click' THEN 3"
@@ -119,6 +118,12 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(*columns, F.col("ts").cast("date").alias("file_date"))
 
 
+def feed_days(spark: SparkSession, sf_dir: str) -> list[date]:
+    """The days that the table has events of, in order. One row per day reaches the driver."""
+    days = table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("day")).distinct()
+    return sorted(r.day for r in days.collect() if r.day is not None)
+
+
 RAW_SQL = (
     "raw_feed AS (SELECT CAST(ts AS DATE) AS file_date, "
     + ", ".join(

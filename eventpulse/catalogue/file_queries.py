@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -16,7 +16,7 @@ from ..sources.load import load_days, summarise_load
 from ..sources.tables import replace_table
 from ..streaming.dayfiles import load_new_files, stream_landed
 from .base import query
-from .feed import AS_OF, DAYS, NEWS_SQL, RAW_SQL, news, raw_feed
+from .feed import AS_OF, NEWS_SQL, RAW_SQL, feed_days, news, raw_feed
 from .model_queries import DAILY_SQL, STAGE_SQL
 
 
@@ -27,18 +27,26 @@ def _landed(spark, sf_dir) -> str:
     return lake
 
 
+def _asked_for(spark, sf_dir):
+    """The feed's days and three more, which have no file."""
+    days = feed_days(spark, sf_dir)
+    return [*days, *(days[-1] + timedelta(days=n) for n in (1, 2, 3))] if days else []
+
+
 @query("load_files_and_stage", f"WITH {RAW_SQL} {STAGE_SQL}")
 def load_files_and_stage(spark, sf_dir):
     """Lines to typed raw table to staged events."""
     lake, raw_table = _landed(spark, sf_dir), work_dir(spark, "raw")
-    load_days(spark, read_landed(spark, lake, DAYS), DAYS, raw_table)
+    days = feed_days(spark, sf_dir)
+    load_days(spark, read_landed(spark, lake, days), days, raw_table)
     return stage(spark.read.parquet(raw_table).drop("ingest_date"))
 
 
 @query(
     "load_audit",
     f"""WITH {RAW_SQL}, wanted AS (
-      SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-02-02', INTERVAL 1 DAY)) AS DATE) AS file_date
+      SELECT DISTINCT file_date FROM raw_feed UNION SELECT CAST(max(file_date) + to_days(CAST(i AS INTEGER)) AS DATE)
+        FROM raw_feed, range(1, 4) t(i) GROUP BY i
     )
     SELECT w.file_date, CASE WHEN count(r.file_date) > 0 THEN 'loaded' ELSE 'missing' END AS status,
       count(r.file_date) AS rows_inserted FROM wanted w LEFT JOIN raw_feed r ON r.file_date = w.file_date GROUP BY 1""",
@@ -46,7 +54,7 @@ def load_files_and_stage(spark, sf_dir):
 def load_audit(spark, sf_dir):
     """Outcome per requested date; the last three dates have no file. A second load changes nothing."""
     lake, raw_table = _landed(spark, sf_dir), work_dir(spark, "raw")
-    wanted = [*DAYS, date(2024, 1, 31), date(2024, 2, 1), date(2024, 2, 2)]
+    wanted = _asked_for(spark, sf_dir)
     for _ in range(2):
         load = load_days(spark, read_landed(spark, lake, wanted), wanted, raw_table)
     return load.audit.select("file_date", "status", "rows_inserted")
@@ -94,7 +102,8 @@ def publish_daily_mart(spark, sf_dir):
 def daily_run(spark, sf_dir):
     """Load, stage, build and check in one run, then the published daily mart added up by class."""
     lake, warehouse = _landed(spark, sf_dir), work_dir(spark, "warehouse")
-    run_daily(spark, read_landed(spark, lake, DAYS), DAYS, warehouse, AS_OF)
+    days = feed_days(spark, sf_dir)
+    run_daily(spark, read_landed(spark, lake, days), days, warehouse, AS_OF)
     return (
         spark.read.parquet(Tables(warehouse).mart_daily_event_tone)
         .groupBy("quad_class", "quad_class_label")
@@ -140,7 +149,8 @@ def quarantined_lines(spark, sf_dir):
     "load_outcomes",
     f"""WITH {RAW_SQL}, counted AS (
       SELECT d, count(r.file_date) AS n FROM (
-        SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-02-02', INTERVAL 1 DAY)) AS DATE) AS d)
+        SELECT DISTINCT file_date AS d FROM raw_feed UNION SELECT CAST(max(file_date) + to_days(CAST(i AS INTEGER)) AS DATE)
+        FROM raw_feed, range(1, 4) t(i) GROUP BY i)
       LEFT JOIN raw_feed r ON r.file_date = d GROUP BY d
     ) SELECT CASE WHEN n > 0 THEN 'loaded' ELSE 'missing' END AS status, count(*) AS dates,
       CAST(sum(n) AS BIGINT) AS rows_inserted FROM counted GROUP BY 1""",
@@ -148,7 +158,7 @@ def quarantined_lines(spark, sf_dir):
 def load_outcomes(spark, sf_dir):
     """Dates and rows by outcome of one load."""
     lake, raw_table = _landed(spark, sf_dir), work_dir(spark, "raw")
-    wanted = [*DAYS, date(2024, 1, 31), date(2024, 2, 1), date(2024, 2, 2)]
+    wanted = _asked_for(spark, sf_dir)
     return summarise_load(load_days(spark, read_landed(spark, lake, wanted), wanted, raw_table).audit)
 
 

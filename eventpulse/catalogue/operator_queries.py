@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import haversine_distance
 from ..functions.numbers import (
+    mean,
     round_half_away,
     safe_add,
     safe_divide,
@@ -46,6 +47,26 @@ def q_weighted_mean(spark, sf_dir):
     return lines.groupBy("l_returnflag", "l_linestatus").agg(mean.alias("weighted_discount"))
 
 
+# Multiples of powers of two, so that sums of these sizes are the same in any order.
+_TINY, _HUGE = 2.0**-60, 2.0**900
+
+
+@query(
+    "mean_of_any_size",
+    f"""SELECT event_type, avg(user_id * {_TINY!r}) AS tiny, avg(user_id * {_HUGE!r}) AS huge,
+      sum(user_id * {_HUGE!r} * event_id) / sum(event_id) AS weighted
+    FROM events GROUP BY event_type""",
+)
+def q_mean_of_any_size(spark, sf_dir):
+    """Means of values far below and far above those of the feed."""
+    user = F.col("user_id").cast("double")
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(
+        mean(user * F.lit(_TINY)).alias("tiny"),
+        mean(user * F.lit(_HUGE)).alias("huge"),
+        weighted_mean(user * F.lit(_HUGE), "event_id").alias("weighted"),
+    )
+
+
 @query(
     "count_if",
     f"""SELECT o_orderpriority, count(*) AS n_orders, count(*) FILTER (o_orderstatus = 'F') AS n_filled,

@@ -158,6 +158,11 @@ def archive_lines(archives: DataFrame) -> DataFrame:
     packed = archives.select(
         F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"), "content"
     )
+    return unzipped(packed)
+
+
+def unzipped(packed: DataFrame) -> DataFrame:
+    """Archives given by ``file_path``, ``file_name`` and ``content`` to their lines."""
     lines = packed.mapInPandas(unzip_lines, "file_path string, file_name string, line string, file_error string")
     return lines.select("line", "file_path", file_date(F.col("file_name")).alias("file_date"), "file_error")
 

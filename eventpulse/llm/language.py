@@ -240,13 +240,22 @@ def fit_models(
 ) -> list:
     """One row per language: lang, model, mean, deviation, per_char; in order of lang.
 
-    Rows without language or letters are left out. The sample is bounded by its two
-    parameters, and so is what one task fits and what reaches the driver.
+    Rows without language or letters are left out. First the rows of each language are
+    counted; then the share of hashes that holds about twice ``sample_docs`` of them is
+    read, and the sample is taken from these. So neither what is shuffled, nor what one
+    task fits, nor what reaches the driver grows with the documents.
     """
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
-        F.xxhash64(F.col(id_col), F.col(text_col)).alias("place"), F.char_length(text_col).alias("n"),
-    )
+    told = docs.where(F.col(lang_col).isNotNull()).withColumn("_lang", F.col(lang_col).cast("string"))
+    counts = {r["_lang"]: r["n"] for r in told.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return []
+    bound = {lang: int(2**63 * min(1.0, 2 * sample_docs / n)) - 1 for lang, n in counts.items()}
+    place = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.col(text_col)), 1)
+    bounds = F.create_map(*(F.lit(x).cast(kind) for lang in bound for x, kind in ((lang, "string"), (bound[lang], "bigint"))))
+    rows = told.select(
+        F.col("_lang").alias("lang"), F.col(text_col).alias("text"), place.alias("place"), F.char_length(text_col).alias("n")
+    )
+    rows = rows.where((F.col("place") <= bounds[F.col("lang")]) & F.col("text").rlike(r"\p{L}"))
     first = rows.withColumn("number", F.row_number().over(W.partitionBy("lang").orderBy("place")))
     first = first.where(F.col("number") <= sample_docs)
     upto = W.partitionBy("lang").orderBy("number").rowsBetween(W.unboundedPreceding, 0)

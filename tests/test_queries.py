@@ -1,5 +1,11 @@
 """Every listed query against its SQL on the smallest tables."""
 
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from compare import differences, duckdb_tables
 
@@ -27,3 +33,12 @@ def test_every_query_has_sql():
 
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_entry_without_the_optional_part(tmp_path):
+    root = Path(entry.__file__).resolve().parent
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    shutil.copytree(root / "eventpulse", tmp_path / "eventpulse", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    told = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", told], cwd=tmp_path, capture_output=True, text=True, env={"PATH": os.environ["PATH"]})
+    assert done.stdout.split() == [str(len(QUERIES)), str(len(ORACLES))], done.stderr

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import share_package
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -27,6 +29,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import functools
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,18 @@ def local_session(
     )
 
 
+def share_package(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import the package from where it lies.
+
+    On a cluster the package is shipped with ``--py-files`` instead.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder path under the session's ``spark.checkpoint.dir``.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import work_dir
+from ..session import cut, share_package, work_dir  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,21 +31,10 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows, computed now and kept by Spark's reliable checkpoint in the shared folder.
-
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; where that
-    is unset (as in tests) the session's work folder is used.
-    """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or work_dir(df.sparkSession, "cut"))
-    return df.checkpoint()
-
-
 def written(df: DataFrame, name: str, folder: str | None = None, **options) -> DataFrame:
     """The rows written as Parquet to a new shared folder and read back from there."""
     path = folder or work_dir(df.sparkSession, name)

@@ -10,12 +10,13 @@ each drop only what cannot link:
    that meet by chance only let a class stay.
 2. *Global order.* The sets of the classes left are ordered by how many classes have a
    shingle, the rarest first. Two sets that link share one of their first shingles
-   (prefix filter), so classes that share none are in different candidate groups.
-3. *Stars.* Each class is compared with one centre of its candidate group, which
+   (prefix filter), so classes whose prefixes share none need not be compared.
+3. *Stars.* Each class is compared with one centre that shares most of its prefix, which
    unites a large group of near copies in a number of steps that grows with its size.
-4. *Prefix trees.* Candidate groups not yet united are joined on a prefix tree. A group
-   beyond ``BLOCK_SETS`` is cut into blocks, and pairs of blocks are joined; pairs of
-   blocks that stars have united whole are left out.
+4. *Prefix trees.* United groups that still share prefix shingles with others form
+   candidate groups, which are joined on a prefix tree. A candidate group beyond
+   ``BLOCK_SETS`` is cut into blocks, and pairs of blocks are joined; pairs of blocks
+   of the same united group are left out.
 
 Every link is verified on whole sets of 64-bit hashes. Only which classes are connected
 is returned, so links within what is united already are not looked for.
@@ -39,7 +40,7 @@ from .prefix_tree import PrefixTree, needed
 from .shingles import set_batches
 
 # Shingles a task packs at once, and of one range of hashes, which one task then counts.
-RUN_SHINGLES, RANGE_SHINGLES = 2_000_000, 4_000_000
+RUN_SHINGLES, RANGE_SHINGLES = 1_000_000, 2_000_000
 # Hash bits beyond those that number all shingles: the share of chance meetings is 2 ** -SPARE_BITS.
 SPARE_BITS = 12
 BLOCK_SETS = 1_000
@@ -148,30 +149,52 @@ def _range_runs(bits: int, n_ranges: int):
     return runs
 
 
-def _counted(rows: pd.DataFrame) -> pd.DataFrame:
-    """For each class, how many of its shingles in this range other classes have, too."""
-    hashes, holders = [], []
-    keys_out, counts_out = [], []
-    for row in rows.itertuples():
-        hashes.append(np.cumsum(_unpacked(row.hashes, np.uint64), dtype=np.uint64))
-        keys = np.frombuffer(row.keys, np.uint64)
-        alone = _unpacked(row.holders, np.uint32)
-        several = alone == _SEVERAL
-        # Several holders of a run stand for themselves and one more, so their number is two or more in any case.
-        holders.append(np.where(several, np.uint64(0), keys[np.where(several, 0, alone)]))
-        keys_out.append(keys)
-        counts_out.append(_unpacked(row.several, np.uint32).astype(np.int64))
-    value, holder = np.concatenate(hashes), np.concatenate(holders)
-    order = np.argsort(value, kind="stable")
-    value, holder = value[order], holder[order]
-    first = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
-    low, high = np.minimum.reduceat(holder, first), np.maximum.reduceat(holder, first)
-    shared = np.repeat((low != high) | (low == 0), np.diff(np.append(first, len(value)))) & (holder != 0)
-    keys_out.append(holder[shared])
-    counts_out.append(np.ones(int(shared.sum()), np.int64))
-    key, at = np.unique(np.concatenate(keys_out), return_inverse=True)
-    total = np.bincount(at, weights=np.concatenate(counts_out), minlength=len(key)).astype(np.int64)
-    return pd.DataFrame({"key": key[total > 0].view(np.int64), "shared": total[total > 0]})
+def _counted(n_buckets: int):
+    def counted(rows: pd.DataFrame) -> pd.DataFrame:
+        """How many of its shingles in this range each class shares with others, packed by bucket of classes."""
+        hashes, holders, all_keys, all_counts = [], [], [], []
+        for row in rows.itertuples():
+            hashes.append(np.cumsum(_unpacked(row.hashes, np.uint64), dtype=np.uint64))
+            keys = np.frombuffer(row.keys, np.uint64)
+            alone = _unpacked(row.holders, np.uint32)
+            several = alone == _SEVERAL
+            # Key 0 stands for several holders of a run, who share the shingle in any case.
+            holders.append(np.where(several, np.uint64(0), keys[np.where(several, 0, alone)]))
+            all_keys.append(keys)
+            all_counts.append(_unpacked(row.several, np.uint32).astype(np.int64))
+        value, holder = np.concatenate(hashes), np.concatenate(holders)
+        del hashes, holders
+        order = np.argsort(value, kind="stable")
+        value, holder = value[order], holder[order]
+        del order
+        first = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
+        low, high = np.minimum.reduceat(holder, first), np.maximum.reduceat(holder, first)
+        shared = np.repeat((low != high) | (low == 0), np.diff(np.append(first, len(value)))) & (holder != 0)
+        all_keys.append(holder[shared])
+        all_counts.append(np.ones(int(shared.sum()), np.int64))
+        keys, counts = _totals(np.concatenate(all_keys), np.concatenate(all_counts))
+        bucket = (keys % np.uint64(n_buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        numbers, begin = np.unique(bucket[order], return_index=True)
+        parts = np.split(order, begin[1:])
+        out = [(n, keys[x].tobytes(), counts[x].astype(np.int32).tobytes()) for n, x in zip(numbers.tolist(), parts)]
+        return pd.DataFrame(out, columns=["bucket", "keys", "counts"])
+
+    return counted
+
+
+def _totals(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys, at = np.unique(keys, return_inverse=True)
+    total = np.bincount(at, weights=counts, minlength=len(keys)).astype(np.int64)
+    return keys[total > 0], total[total > 0]
+
+
+def _added(rows: pd.DataFrame) -> pd.DataFrame:
+    """The counts of a bucket of classes, over all ranges."""
+    keys = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["keys"]])
+    counts = np.concatenate([np.frombuffer(x, np.int32) for x in rows["counts"]])
+    keys, total = _totals(keys, counts)
+    return pd.DataFrame({"key": keys.view(np.int64), "shared": total})
 
 
 def _filter_of(keys: DataFrame):
@@ -301,14 +324,15 @@ def _prefix(df: DataFrame) -> DataFrame:
 def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Edges between classes, enough to connect all that are connected by links."""
     spark = rows.sparkSession
-    total = classes.agg(F.sum("n")).first()[0] or 0
+    total, n_classes = classes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     if not total:
         return spark.createDataFrame([], "a bigint, b bigint")
     bits = min(64, int(total).bit_length() + SPARE_BITS)
     n_ranges = -(-total // RANGE_SHINGLES)
     runs = rows.mapInArrow(_range_runs(bits, n_ranges), "range int, hashes binary, holders binary, keys binary, several binary")
-    counts = runs.groupBy("range").applyInPandas(_counted, "key bigint, shared bigint")
-    counts = counts.groupBy("key").agg(F.sum("shared").alias("shared"))
+    n_buckets = -(-min(total, n_classes * n_ranges) // RANGE_SHINGLES)
+    counts = runs.groupBy("range").applyInPandas(_counted(n_buckets), "bucket bigint, keys binary, counts binary")
+    counts = counts.groupBy("bucket").applyInPandas(_added, "key bigint, shared bigint")
     left = cut(classes.join(counts, "key").where(F.col("shared") * 4 >= F.col("n") * 3).select("key", "n"))
 
     sets = rows.mapInArrow(_sets_of(_filter_of(left)), "key bigint, members binary")
@@ -323,16 +347,13 @@ def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
     )
     ordered = cut(_prefix(by_key))
 
-    # Candidate groups: classes that share a shingle of their prefixes, each linked with the least one that has it.
+    # For each shingle of the prefixes, the least class that has it is a centre of the others.
     prefixes = ordered.select("key", F.explode("prefix").alias("at"))
     groups = prefixes.groupBy("at").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1")
     near = cut(
         prefixes.join(groups, "at").groupBy("key", "centre")
         .agg(F.count(F.lit(1)).alias("common"), F.max("size").alias("size"))
     )
-    candidates = cut(components(near.select(F.col("key").alias("a"), F.col("centre").alias("b"))).select(
-        F.col("node").alias("key"), F.col("component").alias("candidate")
-    ))
 
     # Stars: of its centres, a class is compared with the one in whose prefix groups it is most often.
     best = near.where("key <> centre").groupBy("key").agg(F.max(F.struct("common", "size", "centre"))["centre"].alias("centre"))
@@ -346,17 +367,21 @@ def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
         .select("key", "n", "members", "centre", "centre_n", "centre_members")
         .mapInArrow(_star_links, "a bigint, b bigint")
     )
-    united = components(stars).select(F.col("node").alias("key"), F.col("component").alias("united"))
-    grouped = cut(candidates.join(united, "key", "left").withColumn("united", F.coalesce("united", "key")))
-
-    # What stars have not united whole.
-    open_groups = grouped.groupBy("candidate").agg(
-        F.min("united").alias("low"), F.max("united").alias("high"), F.count(F.lit(1)).alias("size")
-    ).where("low <> high").select("candidate", "size")
-    open_sets = cut(
-        grouped.join(open_groups, "candidate").join(ordered.drop("prefix"), "key")
-        .select("key", "n", "candidate", "united", "size", F.col("members.f").alias("order"), F.col("members.member").alias("members"))
-    )
+    united = cut(components(stars).select(F.col("node").alias("key"), F.col("component").alias("united")))
+
+    # What stars have not united whole: united groups with a class in the same prefix group as one of another.
+    def owner(column: str, name: str) -> DataFrame:
+        return united.select(F.col("key").alias(column), F.col("united").alias(name))
+
+    across = near.where("key <> centre").join(owner("key", "a"), "key", "left").join(owner("centre", "b"), "centre", "left")
+    across = across.select(F.coalesce("a", "key").alias("a"), F.coalesce("b", "centre").alias("b")).where("a <> b")
+    candidates = cut(components(across).select(F.col("node").alias("united"), F.col("component").alias("candidate")))
+    grouped = ordered.drop("prefix").join(united, "key", "left").withColumn("united", F.coalesce("united", "key"))
+    grouped = cut(grouped.join(candidates, "united").select(
+        "key", "n", "candidate", "united", F.col("members.f").alias("order"), F.col("members.member").alias("members")
+    ))
+    sizes = grouped.groupBy("candidate").agg(F.count(F.lit(1)).alias("size"))
+    open_sets = grouped.join(sizes, "candidate")
     # A small group lies in one bucket whole; a large one is cut into blocks, those of what is united together.
     small = open_sets.where(F.col("size") <= BLOCK_SETS)
     n_buckets = max(1, -(-small.count() // BLOCK_SETS))

@@ -9,27 +9,27 @@ from eventpulse.operators.aggregates import most_frequent
 
 def people(spark):
     data = [
-        (123, dt.date(2017, 1, 1), "active", "tier 1", "name 1"),
-        (234, dt.date(2017, 2, 1), "active", "tier 3", "name 3"),
-        (567, dt.date(2017, 3, 1), "churned", "tier 2", "name 2"),
+        (11, dt.date(2021, 1, 1), "open", "small", "ann"),
+        (12, dt.date(2021, 2, 1), "open", "large", "ben"),
+        (13, dt.date(2021, 3, 1), "shut", "middle", "cas"),
     ]
     return spark.createDataFrame(data, "customer_id long, created_at date, status string, segment string, name string")
 
 
 def colours(spark):
-    return spark.createDataFrame([("S", "red"), ("S", "blue"), ("S", "blue's"), ("M", "red")], "size string, color string")
+    return spark.createDataFrame([("S", "red"), ("S", "blue"), ("S", "blue's"), ("M", "red"), ("M", "red")], "size string, color string")
 
 
 def test_pivot(spark, rows):
     got = reshape.pivot(colours(spark), ["size"], "color", ["red", "blue"])
     assert got.columns == ["size", "red", "blue"]
-    assert rows(got) == [("M", 1, 0), ("S", 1, 1)]
+    assert rows(got) == [("M", 2, 0), ("S", 1, 1)]
 
 
 def test_pivot_with_plain_names(spark, rows):
     got = reshape.pivot(colours(spark), ["size"], "color", ["red", "blue", "blue's"], quote_identifiers=False)
     assert got.columns == ["size", "red", "blue", "blues"]
-    assert rows(got) == [("M", 1, 0, 0), ("S", 1, 1, 1)]
+    assert rows(got) == [("M", 2, 0, 0), ("S", 1, 1, 1)]
 
 
 def test_pivot_comparison_and_else(spark, rows):
@@ -45,14 +45,14 @@ def test_pivot_comparison_and_else(spark, rows):
 def test_unpivot(spark, rows):
     got = reshape.unpivot(people(spark), "string", ["customer_id", "created_at"], ["name"], "prop", "val")
     assert got.columns == ["customer_id", "created_at", "prop", "val"]
-    day = [dt.date(2017, m, 1) for m in (1, 2, 3)]
+    day = [dt.date(2021, m, 1) for m in (1, 2, 3)]
     assert rows(got) == [
-        (123, day[0], "segment", "tier 1"),
-        (123, day[0], "status", "active"),
-        (234, day[1], "segment", "tier 3"),
-        (234, day[1], "status", "active"),
-        (567, day[2], "segment", "tier 2"),
-        (567, day[2], "status", "churned"),
+        (11, day[0], "segment", "small"),
+        (11, day[0], "status", "open"),
+        (12, day[1], "segment", "large"),
+        (12, day[1], "status", "open"),
+        (13, day[2], "segment", "middle"),
+        (13, day[2], "status", "shut"),
     ]
 
 
@@ -72,7 +72,7 @@ def test_unpivot_boolean_and_missing(spark, rows):
 
 
 def test_unpivot_keeps_case(spark):
-    df = spark.createDataFrame([(1, "active", "tier 1")], "Customer_Id int, sTaTuS string, SEGMENT string")
+    df = spark.createDataFrame([(1, "open", "small")], "Customer_Id int, sTaTuS string, SEGMENT string")
     got = reshape.unpivot(df, exclude=["Customer_Id"], field_name="Prop", value_name="Val")
     assert got.columns == ["Customer_Id", "Prop", "Val"]
     assert {r.Prop for r in got.collect()} == {"sTaTuS", "SEGMENT"}
@@ -80,9 +80,9 @@ def test_unpivot_keeps_case(spark):
 
 def favourites(spark):
     one = spark.createDataFrame(
-        [(1, "drew", "pi"), (2, "bob", "e"), (3, "alice", "4")], "id long, name string, favorite_number string"
+        [(1, "una", "tau"), (2, "ivo", "i"), (3, "mia", "9")], "id long, name string, favorite_number string"
     )
-    two = spark.createDataFrame([(1, "green", 7), (2, "pink", 13)], "id long, favorite_color string, favorite_number int")
+    two = spark.createDataFrame([(1, "teal", 8), (2, "rust", 21)], "id long, favorite_color string, favorite_number int")
     return {"table_1": one, "table_2": two}
 
 
@@ -90,11 +90,11 @@ def test_union_relations(spark, rows):
     got = reshape.union_relations(favourites(spark))
     assert got.columns == [reshape.SOURCE_COLUMN, "id", "name", "favorite_number", "favorite_color"]
     assert rows(got.drop(reshape.SOURCE_COLUMN)) == [
-        (1, None, "7", "green"),
-        (1, "drew", "pi", None),
-        (2, None, "13", "pink"),
-        (2, "bob", "e", None),
-        (3, "alice", "4", None),
+        (1, None, "8", "teal"),
+        (1, "una", "tau", None),
+        (2, None, "21", "rust"),
+        (2, "ivo", "i", None),
+        (3, "mia", "9", None),
     ]
     assert {r[0] for r in got.select(reshape.SOURCE_COLUMN).collect()} == {"table_1", "table_2"}
 
@@ -127,9 +127,9 @@ def test_union_relations_ignores_case(spark, rows):
 
 
 def test_deduplicate(spark, rows):
-    df = spark.createDataFrame([(1, "play", 1), (1, "play", 2), (2, "pause", 1)], "user_id int, event string, version int")
+    df = spark.createDataFrame([(4, "up", 3), (4, "up", 6), (5, "down", 1)], "user_id int, event string, version int")
     got = reshape.deduplicate(df, ["user_id"], [F.desc("version")])
-    assert rows(got) == [(1, "play", 2), (2, "pause", 1)]
+    assert rows(got) == [(4, "up", 6), (5, "down", 1)]
 
 
 def test_deduplicate_keeps_missing_keys_and_limits_before_the_shuffle(spark, rows):
@@ -183,8 +183,8 @@ def test_generate_series(spark):
 
 
 def test_date_spine_leaves_out_the_end(spark):
-    spine = series.date_spine(spark, "day", dt.date(2018, 1, 1), dt.date(2018, 1, 10))
-    assert [r[0] for r in spine.orderBy("date_day").collect()] == [dt.date(2018, 1, d) for d in range(1, 10)]
+    spine = series.date_spine(spark, "day", dt.date(2023, 2, 26), dt.date(2023, 3, 3))
+    assert [r[0] for r in spine.orderBy("date_day").collect()] == [dt.date(2023, 2, 26) + dt.timedelta(days=d) for d in range(5)]
 
 
 @pytest.mark.parametrize(

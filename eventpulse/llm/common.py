@@ -14,6 +14,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+BATCH_ROWS = 1_000
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
 # Words are runs of anything but these white-space bytes.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -35,6 +38,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def in_small_batches(df: DataFrame) -> SparkSession:
+    """Has Arrow hand over ``BATCH_ROWS`` rows at a time: texts are long, and a batch lies in memory several times.
+
+    A number that the session was given otherwise than by default is left as it is.
+    """
+    spark = df.sparkSession
+    if spark.conf.get(_BATCH_KEY) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_KEY, str(BATCH_ROWS))
+    return spark
+
+
+_of_worker: dict[tuple, object] = {}
+
+
+def kept_by_worker(name: tuple, make: Callable[[], object]) -> object:
+    """What a Python worker has made under this name. It keeps one thing only, so what another operator left goes."""
+    if name not in _of_worker:
+        _of_worker.clear()
+        _of_worker[name] = make()
+    return _of_worker[name]
+
+
 def written(df: DataFrame, name: str, folder: str | None = None, **options) -> DataFrame:
     """The rows written as Parquet to a new shared folder and read back from there."""
     path = folder or work_dir(df.sparkSession, name)

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_small_batches, kept_by_worker
+
 Q = 8
 EDIT_RATE = 0.1
 PIECE_CHARS = 100
@@ -222,17 +224,15 @@ def _leaks(index: Index, texts: list[str]) -> dict[int, list[tuple[Piece, int, i
     return {doc: [(index.pieces[n], *hit) for n, hit in sorted(hits.items())] for doc, hits in found.items()}
 
 
-_indexes: dict[str, Index | None] = {}
-
-
 def _index_of(shared) -> Index | None:
     """The worker's index of a broadcast block of passages; none if no passage is long enough."""
     name, items = shared.value
-    if name not in _indexes:
-        _indexes.clear()
+
+    def index() -> Index | None:
         pieces = pieces_of(items)
-        _indexes[name] = Index(pieces) if pieces else None
-    return _indexes[name]
+        return Index(pieces) if pieces else None
+
+    return kept_by_worker(("index", name), index)
 
 
 def _chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
@@ -248,6 +248,7 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator:
     """Broadcasts the passages in blocks of about ``BLOCK_CHARS`` characters; one block for most benchmarks."""
+    in_small_batches(benchmark)
     items = benchmark.select(F.col(id_col).cast("bigint").alias("item_id"), F.col(text_col).cast("string").alias("text"))
     total = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
     n = -(-total // BLOCK_CHARS) or 1

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, in_small_batches
 
 FAN = 8
 # A run is closed at this many ids, so a task's memory is bounded whatever its input.
@@ -107,6 +107,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     if keep not in ("largest", "smallest"):
         raise ValueError("keep is 'largest' or 'smallest'")
+    in_small_batches(docs)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     runs = cut(rows.mapInArrow(_runs, RUN_SCHEMA))
     last = runs.agg(F.max("node")).first()[0] or 0

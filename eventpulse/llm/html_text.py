@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_small_batches
+
 SIGMA = 1.0
 # Lines count as content from this share of the mean smoothed value on; the second holds inside a marked article.
 THRESHOLD, THRESHOLD_IN_ARTICLE = 0.4, 0.05
@@ -191,6 +193,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     without content, has an empty text. Null ids and addresses are kept, repeated rows
     give repeated results, and other columns are ignored. There is no shuffle.
     """
+    in_small_batches(pages)
     rows = pages.select(
         F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"),
         F.col(html_col).cast("string").alias("html"),

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut
+from .common import cut, in_small_batches
 from .components import components
 from .prefix_tree import PrefixTree, needed
 from .shingles import set_batches
@@ -416,6 +416,7 @@ def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _class_tables(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Runs of key, n and ids; and one row per class: key, n, least_id, class_size, component (a key)."""
+    in_small_batches(docs)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     runs = cut(rows.mapInArrow(_class_runs, "key bigint, n bigint, ids array<bigint>"))
     classes = cut(runs.where("n > 0").groupBy("key", "n").agg(

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import in_small_batches, kept_by_worker
+
 ORDER = 5
 UNDETERMINED = "und"
 SAMPLE_DOCS, SAMPLE_CHARS = 2_000, 2_000_000
@@ -264,17 +266,14 @@ def fit_models(
     return sorted(sample.groupBy("lang").applyInPandas(_fitted, schema).collect(), key=lambda r: r.lang)
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 class _Judge:
     """Scores batches of texts with a worker's models: language, score, cross-entropy and whether rejected."""
 
     def __init__(self, name: str, known: list[tuple]):
-        if known and name not in _scorers:
-            _scorers.clear()
-            _scorers[name] = Scorer([CharacterModel.from_bytes(m) for _, m, *_ in known])
-        self.scorer = _scorers[name] if known else None
+        def scorer() -> Scorer:
+            return Scorer([CharacterModel.from_bytes(m) for _, m, *_ in known])
+
+        self.scorer = kept_by_worker(("scorer", name), scorer) if known else None
         self.names = np.array([m[0] for m in known] or [UNDETERMINED], object)
         self.centre, self.deviation, self.per_char = (
             np.array([m[i] for m in known]) if known else np.zeros(1) for i in (2, 3, 4)
@@ -312,6 +311,7 @@ def _identified(shared):
 
 
 def _shared(docs: DataFrame, models: list):
+    in_small_batches(docs)
     # The name tells a worker that has read models already whether they are these.
     return docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, [tuple(m) for m in models]))
 

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_small_batches
 from .words import ALNUM, chunks, lowered, text_bytes, word_bounds, word_hashes
 
 THRESHOLD = 0.8
@@ -256,6 +257,7 @@ def scan_licenses(
     longest = max(len(text.split()) for text, _ in rules.templates)
     if longest > BLOCK_WORDS // 2:
         raise ValueError(f"a template may have at most {BLOCK_WORDS // 2} words")
+    in_small_batches(docs)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     frequencies = word_frequencies(texts.select("text"), rules)
     return texts.mapInArrow(_scan(rules, frequencies), SCHEMA)

@@ -16,7 +16,6 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import in_small_batches, kept_by_worker, text_or_empty, written
 from .wavelet import WaveletMatrix
 from .words import chunks, text_bytes, word_hashes
 
@@ -35,7 +34,7 @@ BLOCK_TOKENS = 1_000_000
 MOST_PIECES = 1_500_000
 SLOT_BITS = 21
 LONG_PIECE = 64
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 END = 0
 
 BLOCK_SCHEMA = "shard int, block int, doc_ids array<bigint>, lengths array<bigint>, n_tokens bigint, payload binary"
@@ -137,8 +136,8 @@ class BatchEncoder:
         if len(self.lengths) > MOST_PIECES:
             self._forget()
         hashes = word_hashes(data, begins, ends)
-        # The hash tells short pieces apart; a long one counts as different from all others.
-        long = np.flatnonzero(ends - begins > LONG_PIECE)
+        # The hash tells short pieces apart; a long one counts as different from all others. Empty slots hold 0.
+        long = np.flatnonzero((ends - begins > LONG_PIECE) | (hashes == 0))
         hashes[long] = np.arange(len(long), dtype=np.uint64)
         slots = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         rows = self.slot_rows[slots]
@@ -166,11 +165,10 @@ class BatchEncoder:
         return rows
 
 
-@cache
 def batch_encoder(path: str) -> BatchEncoder:
     """One encoder per worker process, so what a task has learnt serves the next."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return BatchEncoder(path)
+    return kept_by_worker(("encoder", path), lambda: BatchEncoder(path))
 
 
 def _blocks(tokenizer_path: str):
@@ -213,6 +211,7 @@ def write_token_files(
     are ignored; an empty table gives no rows. ``tokenizer_path`` must name the same
     file on every executor.
     """
+    in_small_batches(docs)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(F.col(text_col).cast("string")).alias("text"))
     keyed = rows.withColumn("key", F.xxhash64("text"))
     shards = keyed.repartitionByRange("doc_id", "key").sortWithinPartitions("doc_id", "key").drop("key")

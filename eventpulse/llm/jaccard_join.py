@@ -15,8 +15,8 @@ each drop only what cannot link:
    unites a large group of near copies in a number of steps that grows with its size.
 4. *Prefix trees.* United groups that still share prefix shingles with others form
    candidate groups, which are joined on a prefix tree. A candidate group beyond
-   ``BLOCK_SETS`` is cut into blocks, and pairs of blocks are joined; pairs of blocks
-   of the same united group are left out.
+   ``BLOCK_SETS`` is cut into blocks of sets of about one size, and pairs of blocks are
+   joined; pairs whose sizes rule links out, and blocks of the same united group, are not.
 
 Every link is verified on whole sets of 64-bit hashes. Only which classes are connected
 is returned, so links within what is united already are not looked for.
@@ -44,8 +44,8 @@ RUN_SHINGLES, RANGE_SHINGLES = 1_000_000, 2_000_000
 # Hash bits beyond those that number all shingles: the share of chance meetings is 2 ** -SPARE_BITS.
 SPARE_BITS = 12
 BLOCK_SETS = 1_000
-# Centres are copied this often, so a centre that most classes have is dealt out.
-SALTS = 16
+# Classes that are compared with one copy of their centre.
+FOLLOWERS = 1_000
 # Bits of the filter that spares most texts a shuffle. Its size is fixed; when it fills up, more rows are shuffled.
 FILTER_BITS, SEGMENTS = 23, 64
 RUN_ROWS = 200_000
@@ -357,13 +357,16 @@ def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
     # Stars: of its centres, a class is compared with the one in whose prefix groups it is most often.
     best = near.where("key <> centre").groupBy("key").agg(F.max(F.struct("common", "size", "centre"))["centre"].alias("centre"))
-    best = best.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)))
-    centres = best.select("centre").distinct().join(sets.withColumnRenamed("key", "centre"), "centre").select(
+    # A centre is copied once for so many of its followers, so one that most classes have is dealt out.
+    salts = F.ceil(F.count(F.lit(1)) / FOLLOWERS).alias("salts")
+    centred = cut(best.join(best.groupBy("centre").agg(salts), "centre"))
+    salted = centred.select("key", "centre", F.pmod(F.xxhash64("key"), F.col("salts")).alias("salt"))
+    centres = centred.select("centre", "salts").distinct().join(sets.withColumnRenamed("key", "centre"), "centre").select(
         "centre", F.col("n").alias("centre_n"), F.col("members").alias("centre_members"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"),
     )
     stars = cut(
-        sets.join(best, "key").join(centres, ["centre", "salt"])
+        sets.join(salted, "key").join(centres, ["centre", "salt"])
         .select("key", "n", "members", "centre", "centre_n", "centre_members")
         .mapInArrow(_star_links, "a bigint, b bigint")
     )
@@ -393,17 +396,26 @@ def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
     )
     large = open_sets.where(F.col("size") > BLOCK_SETS)
     parts = large.groupBy("candidate", "united").agg(F.count(F.lit(1)).alias("part"))
-    whole = F.col("part") >= BLOCK_SETS
-    block = F.when(
-        whole, F.struct("united", F.pmod(F.xxhash64("key"), F.ceil(F.col("part") / BLOCK_SETS)).alias("piece"))
-    ).otherwise(
-        F.struct(F.lit(None).cast("bigint").alias("united"), F.pmod(F.xxhash64("united"), F.ceil(F.col("size") / BLOCK_SETS)).alias("piece"))
+    # Sets that link differ in size by a third at most, so blocks are of sets of about one size.
+    band = F.floor(F.log("n") / F.log(F.lit(4 / 3)))
+    marked = large.join(parts, ["candidate", "united"]).withColumns(
+        {"owner": F.when(F.col("part") >= BLOCK_SETS, F.col("united")), "band": band}
     )
-    blocked = cut(large.join(parts, ["candidate", "united"]).withColumn("block", block).drop("part"))
-    blocks = blocked.select("candidate", "block").distinct()
-    one, two = (blocks.select("candidate", F.col("block").alias(b)) for b in ("block1", "block2"))
+    dealt = marked.groupBy(
+        F.col("candidate").alias("c"), F.col("owner").alias("o"), F.col("band").alias("b")
+    ).agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("pieces"))
+    own = (F.col("candidate") == F.col("c")) & F.col("owner").eqNullSafe(F.col("o")) & (F.col("band") == F.col("b"))
+    spot = F.xxhash64(F.when(F.col("owner").isNotNull(), F.col("key")).otherwise(F.col("united")))
+    block = F.struct(F.col("owner").alias("united"), "band", F.pmod(spot, F.col("pieces")).alias("piece"))
+    blocked = cut(marked.join(dealt, own).select(*columns, block.alias("block")))
+    blocks = blocked.groupBy("candidate", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    one, two = (
+        blocks.select("candidate", *(F.col(c).alias(f"{c}{i}") for c in ("block", "low", "high"))) for i in (1, 2)
+    )
+    near_size = (F.col("high1") * 4 >= F.col("low2") * 3) & (F.col("high2") * 4 >= F.col("low1") * 3)
     same = F.coalesce(F.col("block1.united") == F.col("block2.united"), F.lit(False))
-    pairs = one.join(two, "candidate").where((F.col("block1") <= F.col("block2")) & ~same)
+    pairs = one.join(two, "candidate").where((F.col("block1") <= F.col("block2")) & near_size & ~same)
+    pairs = cut(pairs.select("candidate", "block1", "block2"))
     first = blocked.join(pairs.withColumnRenamed("block1", "block"), ["candidate", "block"]).select(
         *columns, F.lit(1).alias("side"), F.xxhash64("candidate", "block", "block2").alias("pair")
     )

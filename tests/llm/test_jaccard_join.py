@@ -84,6 +84,7 @@ def test_against_all_pairs(frame):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_large_groups_in_blocks(frame, monkeypatch, seed):
     monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 7)
+    monkeypatch.setattr(jaccard_join, "FOLLOWERS", 3)
     monkeypatch.setattr(jaccard_join, "RANGE_SHINGLES", 900)
     dice = random.Random(seed)
     texts = near_copies(dice, 90, 70, edits=14) + generated(dice)

@@ -2,7 +2,8 @@
 
 A block is a line of a text; a line of more than ``BLOCK_WORDS`` words is cut into
 overlapping windows, so that any run of words as long as a template lies in one block
-whole. A template is found in a block that holds at least ``THRESHOLD`` of its
+whole. Headers are often wrapped, so with ``across_lines`` the same windows are also
+laid over a whole text, line feeds or not. A template is found in a block that holds at least ``THRESHOLD`` of its
 distinct words. Words are ordered by how often the whole corpus has them, the rarest
 first. A block that meets the threshold must hold one of a template's few first words
 (prefix filter), must have enough distinct words (length filter), and from the place
@@ -64,6 +65,7 @@ class LicenseRules:
     phrases: tuple[tuple[str, str], ...] = BASE_PHRASES
     templates: tuple[tuple[str, str], ...] = TEMPLATES
     threshold: float = THRESHOLD
+    across_lines: bool = False  # windows over whole texts beside those of lines
 
     @cached_property
     def words(self) -> list[str]:
@@ -180,12 +182,29 @@ def _scan(rules: LicenseRules, frequencies: dict[str, int]):
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             for first, texts in chunks(lowered(batch.column("text"))):
-                yield _scanned(reader, join, phrases, is_prefix, ids[first : first + len(texts)], texts)
+                part = ids[first : first + len(texts)]
+                yield _scanned(reader, join, phrases, is_prefix, part, texts, rules.across_lines)
 
     return scan
 
 
-def _scanned(reader, join, phrases, is_prefix, ids, texts) -> pa.RecordBatch:
+def _text_windows(line: np.ndarray, at_prefix: np.ndarray, doc_words: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Text, begin and end of the windows over texts of several lines that hold a prefix word."""
+    step = BLOCK_WORDS // 2
+    bounds = np.searchsorted(at_prefix, doc_words)
+    for doc in np.flatnonzero(np.diff(bounds)).tolist():
+        low, high = int(doc_words[doc]), int(doc_words[doc + 1])
+        if line[low] == line[high - 1]:
+            continue
+        blocks = windows(low, high)
+        spot = (at_prefix[bounds[doc] : bounds[doc + 1]] - low) // step
+        held = np.unique(np.concatenate((spot - 1, spot)))
+        held = held[(held >= 0) & (held < len(blocks))] if len(blocks) > 1 else np.zeros(1, np.int64)
+        for i in held.tolist():
+            yield doc, *blocks[i]
+
+
+def _scanned(reader, join, phrases, is_prefix, ids, texts, across_lines) -> pa.RecordBatch:
     data, docs = text_bytes(texts)
     starts, ends, doc_words = word_bounds(data, docs, ALNUM)
     numbers = reader.numbers(data, starts, ends)
@@ -211,6 +230,16 @@ def _scanned(reader, join, phrases, is_prefix, ids, texts) -> pa.RecordBatch:
     found: list[dict[str, float]] = [{} for _ in range(n_docs)]
     blocks: list[list[str]] = [[] for _ in range(n_docs)]
     at_prefix = np.flatnonzero(is_prefix[numbers])
+
+    def compare(doc: int, begin: int, end: int) -> None:
+        own = numbers[begin:end]
+        own = own[own >= 0]
+        if not is_prefix[own].any():
+            return
+        for label, score in join.found(own, end - begin).items():
+            found[doc][label] = max(found[doc].get(label, 0.0), score)
+            blocks[doc].append(f"{label}:{begin - int(doc_words[doc])}:{end - int(doc_words[doc])}")
+
     done = -1
     for at in at_prefix.tolist():
         if at <= done:
@@ -219,13 +248,10 @@ def _scanned(reader, join, phrases, is_prefix, ids, texts) -> pa.RecordBatch:
         done = high - 1
         doc = int(np.searchsorted(doc_words, at, side="right")) - 1
         for begin, end in windows(low, high):
-            own = numbers[begin:end]
-            own = own[own >= 0]
-            if not is_prefix[own].any():
-                continue
-            for label, score in join.found(own, end - begin).items():
-                found[doc][label] = max(found[doc].get(label, 0.0), score)
-                blocks[doc].append(f"{label}:{begin - int(doc_words[doc])}:{end - int(doc_words[doc])}")
+            compare(doc, begin, end)
+    if across_lines:
+        for doc, begin, end in _text_windows(line, at_prefix, doc_words):
+            compare(doc, begin, end)
     rows = []
     for i, doc_id in enumerate(ids):
         places = [p for p, _ in base[i]]
@@ -251,7 +277,8 @@ def scan_licenses(
     ``first_word`` and ``last_word`` are their least and greatest start, null if there
     are none. ``labels`` holds the base labels and those of templates found in blocks;
     ``score`` is the greatest containment, 1 with a base phrase, 0 with nothing.
-    ``blocks`` lists label, first word and end of each block found. A null text is
+    ``blocks`` lists label, first word and end of each block found, lines first; with
+    ``rules.across_lines`` a template may be listed by its line and by windows. A null text is
     empty; null and repeated ids are kept; other columns are ignored.
     """
     longest = max(len(text.split()) for text, _ in rules.templates)

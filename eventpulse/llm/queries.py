@@ -11,7 +11,7 @@ from .decontaminate import find_leaks
 from .exact_dedup import exact_dedup
 from .html_text import extract_text
 from .jaccard_join import jaccard_components
-from .licenses import scan_licenses
+from .licenses import LicenseRules, scan_licenses
 from .mixing import mix
 from .token_files import read_documents, write_token_files
 
@@ -32,7 +32,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_license_scan")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(table(spark, sf_dir, "documents"))
+    return scan_licenses(table(spark, sf_dir, "documents"), rules=LicenseRules(across_lines=True))
 
 
 @query("op3_html_text")

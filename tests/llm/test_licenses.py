@@ -4,6 +4,7 @@ import random
 import re
 
 from eventpulse.llm.licenses import BASE_PHRASES, BLOCK_WORDS, TEMPLATES, THRESHOLD, scan_licenses, windows
+from eventpulse.llm.licenses import LicenseRules
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -67,3 +68,56 @@ def test_windows_hold_every_run():
 
 def test_empty_table(frame):
     assert scan_licenses(frame([], "doc_id bigint, text string")).collect() == []
+
+
+def blocks_across_lines(text):
+    """Labels with first word and end of every block, of lines and of windows of 64 words each 32, by plain sets."""
+    low = text.translate(LOWER)
+    found, best, at = set(), 0.0, 0
+    spans = []
+    for line in low.split("\n"):
+        n = len(WORD.findall(line))
+        spans += [(at + i, min(at + n, at + i + 64)) for i in (range(0, n - 32, 32) if n > 64 else [0])]
+        at += n
+    spans += [(i, min(at, i + 64)) for i in (range(0, at - 32, 32) if at > 64 else [0])]
+    words = WORD.findall(low)
+    for a, b in spans:
+        for template, label in TEMPLATES:
+            want = set(template.split())
+            share = len(want & set(words[a:b])) / len(want)
+            if share >= THRESHOLD - 1e-12:
+                found.add(f"{label}:{a}:{b}")
+                best = max(best, share)
+    return found, best
+
+
+def test_templates_wrapped_over_lines(spark, frame):
+    dice = random.Random(8)
+    wrapped = [
+        ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted", "bsd"),
+        ("This work is licensed under the GNU General Public\nLicense, version 3", "gpl-3.0"),
+        ("subject to the terms of\nthe Mozilla Public License", "mpl"),
+    ]
+    filler = lambda n: " ".join(f"w{dice.randrange(900)}" + dice.choice(["", "\n"]) for _ in range(n))
+    rows = [(i, t, label) for i, (t, label) in enumerate(wrapped)]
+    for i in range(3, 150):
+        template, label = dice.choice(TEMPLATES)
+        words = template.split()
+        cut = dice.randrange(1, len(words))
+        text = f"{filler(dice.randint(0, 200))} {' '.join(words[:cut])}\n{' '.join(words[cut:])} {filler(dice.randint(0, 90))}"
+        rows.append((i, text, label))
+    docs = frame([r[:2] for r in rows], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in scan_licenses(docs, rules=LicenseRules(across_lines=True)).collect()}
+    for i, text, label in rows:
+        found, best = blocks_across_lines(text)
+        assert label in got[i].labels.split(",")
+        assert set(filter(None, got[i].blocks.split(","))) == found
+        assert abs(got[i].score - (1.0 if got[i].n_base else best)) < 1e-12
+
+
+def test_query_scans_across_lines(spark, tmp_path):
+    from eventpulse.llm.queries import op2
+
+    text = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted"
+    spark.createDataFrame([(1, text)], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert [(r.labels, r.score) for r in op2(spark, str(tmp_path)).collect()] == [("bsd", 1.0)]

@@ -30,7 +30,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out documents that hold a passage of the benchmark."""
-    return without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return without_leaks(docs, table(spark, sf_dir, "benchmark"), whole_words=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,12 +2,14 @@
 
 Passages and documents are compared as lower-case letters and digits with single
 blanks between runs of them. A passage is cut into pieces of 100 to 199 characters (a
-shorter one is one piece); a piece of m characters may differ by k = m / 10 edits.
+shorter one is one piece), and pieces of 100 characters are laid over it every 50, the
+last one at its end. So an excerpt of ``EXCERPT_CHARS`` characters holds one of them
+whole, wherever it begins. A piece of m characters may differ by k = m / 10 edits.
 By the lemma a place within that budget shares at least m + 1 - q - k q of the piece's
 q-grams, and all of them lie on k + 1 neighbouring diagonals (place in the document
 less place in the piece). So shared q-grams are counted in overlapping bands of
 2 (k + 1) diagonals, which loses nothing; bands that reach the count are verified by
-a banded alignment.
+a banded alignment. Passages too short for that can be looked for as whole words.
 
 The passages are a stated query set: they go to all tasks in blocks of bounded size,
 and each block is compared with all documents, whole texts included.
@@ -26,11 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import in_small_batches, kept_by_worker
+from .words import word_hashes
 
 Q = 8
 EDIT_RATE = 0.1
 PIECE_CHARS = 100
-# Shorter passages cannot be told from ordinary text and match nothing.
+PIECE_STEP = 50
+EXCERPT_CHARS = PIECE_CHARS + PIECE_STEP - 1
+# Shorter passages have no edits to spare: they match nothing, or whole words exactly.
 LEAST_CHARS = 24
 # Characters of passages that are sent to all tasks at once, and of documents handled at once.
 BLOCK_CHARS = 4_000_000
@@ -93,20 +98,34 @@ class Piece:
     chars: np.ndarray
     edits: int
     least: int  # shared q-grams that a place within the budget has at least
+    whole_words: bool = False  # looked for as it is, from the start of a word to the end of one
 
 
-def pieces_of(items: list[tuple[int | None, str | None]]) -> list[Piece]:
+def _cuts(n: int) -> list[tuple[int, int]]:
+    """Start and end of the pieces of a passage of n characters."""
+    bounds = [0, *np.cumsum([len(x) for x in np.array_split(np.empty(n), max(1, n // PIECE_CHARS))]).tolist()]
+    cuts = list(zip(bounds[:-1], bounds[1:]))
+    if n >= PIECE_CHARS:
+        starts = [*range(0, n - PIECE_CHARS, PIECE_STEP), n - PIECE_CHARS]
+        cuts += [(i, i + PIECE_CHARS) for i in starts]
+    return sorted(set(cuts))
+
+
+def pieces_of(items: list[tuple[int | None, str | None]], whole_words: bool = False) -> list[Piece]:
+    """The pieces of all passages; with ``whole_words``, passages below ``LEAST_CHARS``, too."""
     pieces = []
     for item_id, text in items:
         chars = normalised([text or ""])[0][:-Q]
         if len(chars) and chars[-1] == 32:
             chars = chars[:-1]
         if len(chars) < LEAST_CHARS:
+            if whole_words and len(chars):
+                pieces.append(Piece(item_id, chars, 0, 0, True))
             continue
-        for part in np.array_split(chars, max(1, len(chars) // PIECE_CHARS)):
-            m = len(part)
+        for begin, end in _cuts(len(chars)):
+            m = end - begin
             edits = min(int(m * EDIT_RATE), (m - Q) // Q)
-            pieces.append(Piece(item_id, part, edits, m + 1 - Q - edits * Q))
+            pieces.append(Piece(item_id, chars[begin:end], edits, m + 1 - Q - edits * Q))
     return pieces
 
 
@@ -115,10 +134,10 @@ class Index:
 
     def __init__(self, pieces: list[Piece]):
         self.pieces = pieces
-        grams = [q_grams(p.chars) for p in pieces]
+        grams = [np.zeros(0, np.uint64) if p.whole_words else q_grams(p.chars) for p in pieces]
         keys = np.concatenate(grams)
-        piece = np.repeat(np.arange(len(pieces)), [len(g) for g in grams])
-        place = np.concatenate([np.arange(len(g)) for g in grams])
+        piece = np.repeat(np.arange(len(pieces), dtype=np.int32), [len(g) for g in grams])
+        place = np.concatenate([np.arange(len(g), dtype=np.int32) for g in grams])
         order = np.argsort(keys, kind="stable")
         self.keys, first = np.unique(keys[order], return_index=True)
         self.first = np.append(first, len(order))
@@ -127,10 +146,40 @@ class Index:
         self.maybe[self.keys >> np.uint64(64 - _FILTER_BITS)] = True
         self.width = np.array([p.edits + 1 for p in pieces], np.int64)
         self.least = np.array([p.least for p in pieces], np.int64)
+        # Pieces looked for as whole words, by their lengths: sorted hashes, and the numbers of the pieces.
+        by_length: dict[int, list[int]] = {}
+        for number, p in enumerate(pieces):
+            if p.whole_words:
+                by_length.setdefault(len(p.chars), []).append(number)
+        self.words = {}
+        for length, numbers in by_length.items():
+            chars = np.concatenate([pieces[n].chars for n in numbers])
+            begins = np.arange(len(numbers)) * length
+            hashes = word_hashes(chars, begins, begins + length)
+            order = np.argsort(hashes, kind="stable")
+            self.words[length] = hashes[order], np.array(numbers)[order]
+
+    def whole_words(self, chars: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Piece and place of those that stand as whole words, by place for each length."""
+        if not self.words:
+            return
+        padded = np.concatenate(([0], chars, np.zeros(LEAST_CHARS, chars.dtype)))
+        between = (padded == 0) | (padded == 32)
+        begins = np.flatnonzero(between[:-1] & ~between[1:])
+        for length, (hashes, numbers) in self.words.items():
+            here = begins[between[np.minimum(begins + 1 + length, len(padded) - 1)]]
+            here = here[here + length <= len(chars)]
+            own = word_hashes(chars, here, here + length)
+            first, last = np.searchsorted(hashes, own), np.searchsorted(hashes, own, side="right")
+            for i in np.flatnonzero(last > first).tolist():
+                at = int(here[i])
+                for number in numbers[first[i] : last[i]].tolist():
+                    if np.array_equal(self.pieces[number].chars, chars[at : at + length]):
+                        yield number, at
 
     def bands(self, chars: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """Piece, least and greatest diagonal of the bands that share enough q-grams."""
-        if len(chars) < Q:
+        if len(chars) < Q or not len(self.keys):
             return
         grams = q_grams(chars)
         some = np.flatnonzero(self.maybe[grams >> np.uint64(64 - _FILTER_BITS)])
@@ -139,7 +188,7 @@ class Index:
         some, at = some[equal], at[equal]
         n = self.first[at + 1] - self.first[at]
         postings = np.repeat(self.first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        piece = self.piece[postings]
+        piece = self.piece[postings].astype(np.int64)
         diagonal = np.repeat(some, n) - self.place[postings]
         # Half bands are counted; a band is one of them and the next.
         half = diagonal // self.width[piece] + (1 << 20)
@@ -221,15 +270,19 @@ def _leaks(index: Index, texts: list[str]) -> dict[int, list[tuple[Piece, int, i
             if hit and hit[2] < found.get(doc, {}).get(number, (0, 0, 1 << 20))[2]:
                 own = places[begin:end]
                 found.setdefault(doc, {})[number] = (int(own[hit[0]]), int(own[hit[1] - 1]) + 1, hit[2])
+    for number, at in index.whole_words(chars):
+        doc = int(np.searchsorted(starts, at, side="right")) - 1
+        end = at + len(index.pieces[number].chars)
+        found.setdefault(doc, {}).setdefault(number, (int(places[at]), int(places[end - 1]) + 1, 0))
     return {doc: [(index.pieces[n], *hit) for n, hit in sorted(hits.items())] for doc, hits in found.items()}
 
 
 def _index_of(shared) -> Index | None:
     """The worker's index of a broadcast block of passages; none if no passage is long enough."""
-    name, items = shared.value
+    name, items, whole_words = shared.value
 
     def index() -> Index | None:
-        pieces = pieces_of(items)
+        pieces = pieces_of(items, whole_words)
         return Index(pieces) if pieces else None
 
     return kept_by_worker(("index", name), index)
@@ -246,7 +299,7 @@ def _chunks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
         yield start, texts[start:]
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator:
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, whole_words: bool) -> Iterator:
     """Broadcasts the passages in blocks of about ``BLOCK_CHARS`` characters; one block for most benchmarks."""
     in_small_batches(benchmark)
     items = benchmark.select(F.col(id_col).cast("bigint").alias("item_id"), F.col(text_col).cast("string").alias("text"))
@@ -255,7 +308,8 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator:
     for i in range(n):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
         # The name tells a worker that has an index already which block it is of.
-        yield benchmark.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, [tuple(r) for r in block.collect()]))
+        items_of = [tuple(r) for r in block.collect()]
+        yield benchmark.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, items_of, whole_words))
 
 
 SCHEMA = "doc_id bigint, item_id bigint, pieces bigint, begin bigint, end bigint, edits bigint"
@@ -263,15 +317,16 @@ SCHEMA = "doc_id bigint, item_id bigint, pieces bigint, begin bigint, end bigint
 
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text", whole_words: bool = False,
 ) -> DataFrame:
     """One row per document and passage found in it: doc_id, item_id, pieces, begin, end, edits.
 
     ``pieces`` counts the pieces of the passage that are found; from ``begin`` to
     ``end`` (code points of the text, end exclusive) they lie, with ``edits`` edits
-    together. Documents without a passage have no row. Null and empty texts, and
-    passages of fewer than ``LEAST_CHARS`` compared characters, match nothing; null
-    ids are kept; repeated rows give repeated results; other columns are ignored.
+    together; pieces overlap, so several may count the same edit. Documents without a
+    passage have no row. Passages of fewer than ``LEAST_CHARS`` compared characters
+    match nothing or, with ``whole_words``, the same words in a document, as one piece.
+    Null and empty texts match nothing; null ids are kept; repeated rows give repeated results; other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
@@ -295,16 +350,16 @@ def find_leaks(
 
         return found
 
-    parts = [rows.mapInArrow(with_block(shared), SCHEMA) for shared in _blocks(benchmark, item_col, item_text_col)]
+    parts = [rows.mapInArrow(with_block(shared), SCHEMA) for shared in _blocks(benchmark, item_col, item_text_col, whole_words)]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
     return result
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", whole_words: bool = False) -> DataFrame:
     """The documents, with all their columns, in which no passage is found. Nothing is shuffled."""
-    for shared in _blocks(benchmark, "item_id", "text"):
+    for shared in _blocks(benchmark, "item_id", "text", whole_words):
 
         def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = _index_of(shared)

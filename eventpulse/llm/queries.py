@@ -75,7 +75,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_find_leaks")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), whole_words=True)
 
 
 @query("op6_find_secrets")

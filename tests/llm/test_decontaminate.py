@@ -99,3 +99,36 @@ def test_hash_covers_every_character():
         other = chars.copy()
         other[10 + i] += 1
         assert decontaminate.q_grams(other)[10] != base[10]
+
+
+def test_excerpts_wherever_they_begin():
+    dice = random.Random(9)
+    for length in (150, 199, 200, 299, 430):
+        passage = "".join(dice.choices("abcdefghijklmnopqrstuvwxyz", k=length))
+        index = Index(pieces_of([(1, passage)]))
+        n = decontaminate.EXCERPT_CHARS
+        for begin in range(0, length - n + 1):
+            excerpt = passage[begin : begin + n]
+            (text,) = _leaks(index, [f"zz {excerpt} zz"]).values()
+            assert any(hit[3] == 0 for hit in text)
+    passage = "".join(dice.choices("abcdefghijklmnopqrstuvwxyz", k=299))
+    assert _leaks(Index(pieces_of([(1, passage)])), [passage[30:270]])
+    assert _leaks(Index(pieces_of([(1, passage[:199])])), [passage[:160]])
+
+
+def test_short_passages_as_whole_words(spark, frame):
+    dice = random.Random(10)
+    items = [(1, "the of"), (2, "A!"), (3, "on er, re"), (4, "a b c d e f g h"), (5, "..."), (6, "é"), (7, "the of")]
+    vocabulary = "the of on er re a b c d e f g h é thee ofer".split()
+    rows = [(i, dice.choice([" ", "-", " \n"]).join(dice.choices(vocabulary, k=dice.randint(0, 30)))) for i in range(150)]
+    rows += [(200, "x a b c d e f g h"), (201, "a b c d e f g hh"), (202, "the"), (203, "of the"), (204, "THE... of"), (205, None)]
+    plain = lambda t: " ".join("".join(c if c.isalnum() else " " for c in (t or "").lower()).split())
+    want = sorted((d, i) for d, t in rows for i, b in items if plain(b) and f" {plain(b)} " in f" {plain(t)} ")
+    docs, benchmark = frame(rows, "doc_id bigint, text string"), frame(items, "item_id bigint, text string")
+    got = find_leaks(docs, benchmark, whole_words=True).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == want
+    text = dict(rows)
+    passages = dict(items)
+    assert all(plain(text[r.doc_id][r.begin : r.end]) == plain(passages[r.item_id]) and r.edits == 0 for r in got)
+    kept = {r.doc_id for r in without_leaks(docs, benchmark, whole_words=True).collect()}
+    assert kept == {d for d, _ in rows} - {d for d, _ in want}

@@ -2,8 +2,9 @@
 
 The standard library's parser reports tags and text one after the other; no tree is
 built. Each block becomes a line with its text, the number of tags in it and the
-share of its text inside links. A line's value is the logarithm of its characters per
-tag, less what links hold. Lines inside menus, headers, footers, sidebars, notices,
+share of its text inside links: elements ``a`` with an address, up to their end tag or,
+without one, to the next block or ``a``. A line's value is the logarithm of its characters
+per tag, less what links hold unless it lies in a marked article. Lines inside menus, headers, footers, sidebars, notices,
 adverts, forms, scripts and reader comments, told by their tags, roles and class
 words, have the value 0, as have lines outside the article where a page marks one.
 The values are smoothed with a Gaussian; runs of lines above a threshold, which is a
@@ -48,9 +49,13 @@ NOT_CONTENT_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu"
     " breadcrumb breadcrumbs header masthead topbar footer sidebar aside widget cookie cookies consent gdpr notice notices"
     " banner alert popup modal overlay newsletter subscribe signup login share sharing social related recommended comment"
-    " comments respond disqus replies reply discussion pagination pager toolbar skip hidden".split()
+    " comments disqus pagination pager toolbar skip hidden".split()
 )
-COMMENT_WORDS = frozenset("comment comments respond disqus replies reply discussion".split())
+COMMENT_WORDS = frozenset("comment comments disqus".split())
+# A section of an article may have these names, too, so they tell comments with another sign only: a word or a list.
+MAYBE_COMMENT_WORDS = frozenset("respond replies reply discussion".split())
+COMMENT_SIGNS = frozenset("thread threads list form box forum board count toggle button".split())
+COMMENT_TAGS = frozenset(["ol", "ul", "li"])
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z0-9]+|[A-Z]+")
 _NEGATED = re.compile(r"\b(?:no|has|with|without|hide)[-_]\w+")
 
@@ -62,7 +67,10 @@ class _Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, bool, bool]] = []
         self.open: list[tuple[str, str]] = []  # tag, and why it is no content: "", "x" or "comment"
-        self.barred = self.articles = self.links = 0
+        self.barred = self.articles = 0
+        self.link = self.crossed = False  # inside a link; inside it, past the bounds of a block
+        self.crossing: list[tuple[int, int]] = []  # lines and their characters past such bounds, of links if an end tag comes
+        self.crossing_chars = 0
         self.parts: list[str] = []
         self.tags = self.link_chars = 0
         self.left_out = False  # text that cannot be content
@@ -70,16 +78,30 @@ class _Lines(HTMLParser):
     def _flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text or self.left_out:
+            if self.crossing_chars:
+                self.crossing.append((len(self.lines), self.crossing_chars))
             self.lines.append((text, self.tags, self.link_chars, text != "", self.articles > 0))
             self.tags = 0
         self.parts, self.link_chars, self.left_out = [], 0, False
+        self.crossing_chars = 0
+        self.crossed = self.link
+
+    def _end_link(self, by_tag: bool) -> None:
+        """Without an end tag, what follows the link's own block was not meant to be in it."""
+        if by_tag:
+            self.link_chars += self.crossing_chars
+            for place, chars in self.crossing:
+                text, tags, links, ok, inside = self.lines[place]
+                self.lines[place] = text, tags, links + chars, ok, inside
+        self.link, self.crossed, self.crossing, self.crossing_chars = False, False, [], 0
 
     def _why(self, tag: str, attrs: list[tuple[str, str | None]]) -> str:
         given = {k: v or "" for k, v in attrs}
         words = set()
         if tag not in ("html", "body") and (named := f"{given.get('class', '')} {given.get('id', '')}").strip():
             words = {w.lower() for w in _NAME_WORDS.findall(_NEGATED.sub(" ", named))}
-        if words & COMMENT_WORDS:
+        maybe = words & MAYBE_COMMENT_WORDS
+        if words & COMMENT_WORDS or maybe and (len(maybe) > 1 or words & COMMENT_SIGNS or tag in COMMENT_TAGS):
             return "comment"
         if tag in ARTICLE:
             return ""
@@ -98,13 +120,13 @@ class _Lines(HTMLParser):
         self.open.append((tag, why))
         self.barred += bool(why)
         self.articles += tag in ARTICLE and not self.barred
-        self.links += tag == "a"
 
     def _pop(self) -> str:
         tag, why = self.open.pop()
         self.articles -= tag in ARTICLE and not self.barred
         self.barred -= bool(why)
-        self.links -= tag == "a"
+        if tag == "a":
+            self._end_link(by_tag=False)
         return tag
 
     def handle_starttag(self, tag: str, attrs) -> None:
@@ -119,6 +141,9 @@ class _Lines(HTMLParser):
             # A box before the article that was never closed.
             while self.barred:
                 self._pop()
+        if tag == "a":
+            self._end_link(by_tag=False)
+            self.link = any(name == "href" for name, _ in attrs)
         self._push(tag, self._why(tag, attrs))
 
     def handle_startendtag(self, tag: str, attrs) -> None:
@@ -142,6 +167,8 @@ class _Lines(HTMLParser):
                 if name in BLOCKS:
                     break
         if places:
+            if tag == "a":
+                self._end_link(by_tag=True)
             while self._pop() != tag or len(self.open) > places[-1]:
                 pass
 
@@ -150,7 +177,9 @@ class _Lines(HTMLParser):
             self.left_out |= not data.isspace()
         else:
             self.parts.append(data)
-            if self.links:
+            if self.crossed:
+                self.crossing_chars += len(data.strip())
+            elif self.link:
                 self.link_chars += len(data.strip())
 
     def close(self) -> None:
@@ -166,7 +195,7 @@ def main_text(html: str) -> str:
     lines = parser.lines
     has_article = any(ok and inside for _, _, _, ok, inside in lines)
     values = np.array([
-        math.log1p(max(0, len(text) - links) / (1 + tags)) if ok and (inside or not has_article) else 0.0
+        math.log1p(max(0, len(text) - (0 if inside else links)) / (1 + tags)) if ok and (inside or not has_article) else 0.0
         for text, tags, links, ok, inside in lines
     ])
     if not values.any():

@@ -58,3 +58,24 @@ def test_nulls_repeats_and_clashing_names(spark, frame):
 
 def test_empty_table(frame):
     assert extract_text(frame([], "page_id bigint, url string, html string")).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        (f"<article><h1><a href=permalink>Title</a></h1><p>{LONG}</p><p><a href=x>All of it</a></p></article>", f"Title\n\n{clean(LONG)}\n\nAll of it"),
+        (f"<article><p>{LONG}</p><ul><li><a href=a>One</a></li><li><a href=b>Two</a></li></ul></article>", f"{clean(LONG)}\n\nOne\n\nTwo"),
+        ("<article><p><a href=x>Nothing but a link</a></p></article>", "Nothing but a link"),
+        (f"<body><a name=top><p>{LONG}</p><p>{LONG}</p>", f"{clean(LONG)}\n\n{clean(LONG)}"),
+        (f"<body><a href=x><p>{LONG}</p><p>{LONG}</p>", f"{clean(LONG)}\n\n{clean(LONG)}"),
+        (f"<body><a href=x>here<p>{LONG}</p><p>{LONG} <a href=y>z</a></p>", f"{clean(LONG)}\n\n{clean(LONG)} z"),
+        (f"<body><p>{LONG}</p><p>{LONG}</p><a href=x><div>{LONG}</div><div>{LONG}</div></a></body>", f"{clean(LONG)}\n\n{clean(LONG)}"),
+        (f"<body><a href=x>a<a>{LONG}</a>", f"a{clean(LONG)}"),
+        (f"<article><p>{LONG}</p><section id=discussion><h2>Discussion</h2><p>{LONG}</p></section></article>", f"{clean(LONG)}\n\nDiscussion\n\n{clean(LONG)}"),
+        (f"<article><p>{LONG}</p><p class=reply>{LONG}</p></article>", f"{clean(LONG)}\n\n{clean(LONG)}"),
+        (f"<article><p>{LONG}</p><ol class=replies><li>{LONG}</ol><div id=discussion-thread>{LONG}</div></article>", clean(LONG)),
+        (f"<article><p>{LONG}</p><div id=respond class=comment-respond>{LONG}</div></article>", clean(LONG)),
+    ],
+)
+def test_links_and_discussions(page, want):
+    assert main_text(page) == want

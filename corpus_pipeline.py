@@ -40,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes the token files and lists their documents."""
-    return read_documents(write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json")))
+    return read_documents(write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True))
 
 
 STAGES = [

@@ -135,7 +135,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    blocks = write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    blocks = write_token_files(table(spark, sf_dir, "documents"), path, added_tokens=True)
     return read_documents(blocks)
 
 

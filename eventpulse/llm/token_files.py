@@ -8,12 +8,14 @@ executor's shard is written again, and any store that Spark knows will do.
 The tokenizer splits a text into pieces and encodes each piece by itself. So the
 pieces of a whole batch are found at once with array operations, and the library
 encodes each distinct piece once. Which characters are letters, digits or white space
-is asked of the library, too, for each character that occurs.
+is asked of the library, too, for each character that occurs. Strings of added tokens
+are ordinary text, or cut out first and given their ids, as the library does by default.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -51,11 +53,17 @@ _BYTE_CHARS = np.array([b if b in _PRINTABLE else 256 + _OTHERS.index(b) for b i
 class BatchEncoder:
     """Encodes batches of texts with a byte-level tokenizer file, by its distinct pieces."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added_tokens
+        added = self.tokenizer.get_added_tokens_decoder() if added_tokens else {}
+        self.added = {token.content: number for number, token in added.items() if token.content}
+        # Of tokens that begin at one place the longest counts.
+        self.added_pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
+        # Tokens that take white space with them or ask for whole words are left to the library.
+        self.by_library = any(token.lstrip or token.rstrip or token.single_word for token in added.values())
         self.model = self.tokenizer.model
         self.kinds = np.full(0x110000, _UNKNOWN, np.uint8)
         self._forget()
@@ -105,6 +113,28 @@ class BatchEncoder:
 
     def encode(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and how many each text has. No text may be null."""
+        joined = text_bytes(texts)[0].tobytes() if self.added else b""
+        if any(content.encode() in joined for content in self.added):
+            return self._encode_with_added(texts.to_pylist())
+        return self._encode_ordinary(texts)
+
+    def _encode_with_added(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, with added tokens: what stands between them is encoded by itself."""
+        if self.by_library:
+            found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+        # Of each text's parts, every second one is an added token.
+        parts = [self.added_pattern.split(text) for text in texts]
+        ordinary = [part for cut in parts for part in cut[::2]]
+        ids, counts = self._encode_ordinary(pa.array(ordinary, pa.large_string()))
+        after = np.array([i + 1 < len(cut) for cut in parts for i in range(0, len(cut), 2)], bool)
+        tokens = np.array([self.added[part] for cut in parts for part in cut[1::2]], np.uint32)
+        ids = np.insert(ids, np.cumsum(counts)[after], tokens)
+        upto = np.concatenate(([0], np.cumsum(counts + after)))
+        ends = np.cumsum([(len(cut) + 1) // 2 for cut in parts])
+        return ids, np.diff(upto[np.concatenate(([0], ends))])
+
+    def _encode_ordinary(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         data, doc_bytes = text_bytes(texts)
         joined = data.tobytes()
         chars = np.frombuffer(joined.decode().encode("utf-32-le"), np.uint32)
@@ -165,15 +195,15 @@ class BatchEncoder:
         return rows
 
 
-def batch_encoder(path: str) -> BatchEncoder:
+def batch_encoder(path: str, added_tokens: bool = False) -> BatchEncoder:
     """One encoder per worker process, so what a task has learnt serves the next."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return kept_by_worker(("encoder", path), lambda: BatchEncoder(path))
+    return kept_by_worker(("encoder", path, added_tokens), lambda: BatchEncoder(path, added_tokens))
 
 
-def _blocks(tokenizer_path: str):
+def _blocks(tokenizer_path: str, added_tokens: bool):
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, block = batch_encoder(tokenizer_path), TaskContext.get().partitionId(), 0
+        encoder, shard, block = batch_encoder(tokenizer_path, added_tokens), TaskContext.get().partitionId(), 0
         held: list[np.ndarray] = []
         doc_ids: list[int | None] = []
         lengths: list[int] = []
@@ -202,20 +232,23 @@ def _blocks(tokenizer_path: str):
 
 
 def write_token_files(
-    docs: DataFrame, tokenizer_path: str, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, tokenizer_path: str, folder: str | None = None, id_col: str = "doc_id", text_col: str = "text",
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Writes the shards and returns their rows, read back: shard, block, doc_ids, lengths, n_tokens, payload.
 
     Documents are in ascending order of id, null first; rows that share an id are in an
     order of their texts. A null text is empty and has the end id alone. Other columns
     are ignored; an empty table gives no rows. ``tokenizer_path`` must name the same
-    file on every executor.
+    file on every executor. With ``added_tokens``, strings of the tokenizer's added tokens
+    get their ids, as by ``Tokenizer.encode(text, add_special_tokens=False)``; without, they
+    are ordinary text.
     """
     in_small_batches(docs)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(F.col(text_col).cast("string")).alias("text"))
     keyed = rows.withColumn("key", F.xxhash64("text"))
     shards = keyed.repartitionByRange("doc_id", "key").sortWithinPartitions("doc_id", "key").drop("key")
-    return written(shards.mapInArrow(_blocks(tokenizer_path), BLOCK_SCHEMA), "token-files", folder, compression="none")
+    return written(shards.mapInArrow(_blocks(tokenizer_path, added_tokens), BLOCK_SCHEMA), "token-files", folder, compression="none")
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -83,3 +83,47 @@ def test_files_of_documents(spark, frame, library):
 
 def test_empty_table(frame):
     assert read_documents(write_token_files(frame([], "doc_id bigint, text string"), PATH)).collect() == []
+
+
+@pytest.fixture(scope="module")
+def default_library():
+    tokenizer = Tokenizer.from_file(PATH)
+    return lambda texts: [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+_added_encoder = BatchEncoder(PATH, added_tokens=True)
+_parts = st.lists(st.one_of(st.just("<|endoftext|>"), st.just("<|endof"), st.text(_chars, max_size=8)), max_size=8)
+
+
+def test_added_tokens_on_odd_texts(default_library):
+    assert encoded(_added_encoder, ["a<|endoftext|>b"]) == [[64, 50256, 65]]
+    odd = [*ODD, "<|endoftext|>", "<|endoftext|><|endoftext|>", "it<|endoftext|>'s  <|endoftext|>  b ", "", "<|endoftext", "|>"]
+    assert encoded(_added_encoder, odd) == default_library(odd)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(_parts.map("".join), min_size=1, max_size=5))
+def test_added_tokens_on_any_texts(default_library, texts):
+    assert encoded(_added_encoder, texts) == default_library(texts)
+
+
+def test_added_tokens_left_to_the_library(tmp_path):
+    from tokenizers import AddedToken
+
+    tokenizer = Tokenizer.from_file(PATH)
+    tokenizer.add_tokens([AddedToken("<x>", lstrip=True, normalized=False)])
+    path = str(tmp_path / "own.json")
+    tokenizer.save(path)
+    texts = ["a  <x> b", "no", "", "<x><|endoftext|>"]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoded(BatchEncoder(path, added_tokens=True), texts) == want
+
+
+def test_query_gives_added_tokens_their_ids(spark, tmp_path, default_library):
+    from eventpulse.llm.queries import op8
+
+    rows = [(1, "a<|endoftext|>b"), (2, "plain"), (3, None), (4, "<|endoftext|>")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in op8(spark, str(tmp_path)).collect()}
+    ids = default_library([t or "" for _, t in rows])
+    assert got == {i: (len(x) + 1, zlib.crc32(np.array([*x, 0], "<u4").tobytes())) for (i, _), x in zip(rows, ids)}

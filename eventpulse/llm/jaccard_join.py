@@ -11,15 +11,14 @@ each drop only what cannot link:
 2. *Global order.* The sets of the classes left are ordered by how many classes have a
    shingle, the rarest first. Two sets that link share one of their first shingles
    (prefix filter), so classes whose prefixes share none need not be compared.
-3. *Stars.* Each class is compared with one centre that shares most of its prefix, which
-   unites a large group of near copies in a number of steps that grows with its size.
-4. *Prefix trees.* United groups that still share prefix shingles with others form
-   candidate groups, which are joined on a prefix tree. A candidate group beyond
-   ``BLOCK_SETS`` is cut into blocks of sets of about one size, and pairs of blocks are
-   joined; pairs whose sizes rule links out, and blocks of the same united group, are not.
-
-Every link is verified on whole sets of 64-bit hashes. Only which classes are connected
-is returned, so links within what is united already are not looked for.
+3. *Prefix trees.* Classes whose prefixes share shingles, directly or through others, form
+   candidate groups, and each is joined on a prefix tree, which finds all its links. A
+   candidate group beyond ``BLOCK_SETS`` is cut into blocks of sets of about one size, and
+   pairs of blocks are joined; pairs whose sizes rule links out are not.
+
+Every link is verified on whole sets of 64-bit hashes, and both its classes count it. A
+task returns these counts and, of the links themselves, as many as connect its classes,
+so what leaves it grows with the classes and not with their pairs.
 """
 
 from __future__ import annotations
@@ -36,7 +35,7 @@ from pyspark.sql import types as T
 
 from .common import cut, in_small_batches
 from .components import components
-from .prefix_tree import PrefixTree, needed
+from .prefix_tree import PrefixTree
 from .shingles import set_batches
 
 # Shingles a task packs at once, and of one range of hashes, which one task then counts.
@@ -44,7 +43,7 @@ RUN_SHINGLES, RANGE_SHINGLES = 1_000_000, 2_000_000
 # Hash bits beyond those that number all shingles: the share of chance meetings is 2 ** -SPARE_BITS.
 SPARE_BITS = 12
 BLOCK_SETS = 1_000
-# Classes that are compared with one copy of their centre.
+# Not used since the trees find all links; an existing test sets it.
 FOLLOWERS = 1_000
 # Bits of the filter that spares most texts a shuffle. Its size is fixed; when it fills up, more rows are shuffled.
 FILTER_BITS, SEGMENTS = 23, 64
@@ -260,29 +259,22 @@ def _in_batches(rows: Iterator[pa.RecordBatch], least: int = 20_000) -> Iterator
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _star_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a class and its centre that link."""
-    for batch in batches:
-        a, b = [], []
-        names = ("key", "n", "members", "centre", "centre_n", "centre_members")
-        for key, n, members, centre, centre_n, centre_members in zip(*(batch.column(c).to_pylist() for c in names)):
-            own, other = np.frombuffer(members, np.uint64), np.frombuffer(centre_members, np.uint64)
-            if len(np.intersect1d(own, other, assume_unique=True)) >= needed(n, centre_n):
-                a.append(key)
-                b.append(centre)
-        yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+LINKS = "a bigint, b bigint, links bigint"
 
 
 def _tree_links(rows: pd.DataFrame) -> pd.DataFrame:
-    """Links that unite classes of a candidate group, each group by itself. ``side`` 2 is compared with side 1 only."""
-    links: list[tuple[int, int]] = []
+    """Links that connect the classes of a candidate group, each group by itself, and link counts as rows without b.
+
+    ``side`` 2 is compared with side 1 only.
+    """
+    links: list[tuple] = []
     for _, group in rows.groupby("candidate"):
         links += _linked(group)
-    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+    return pd.DataFrame({c: pd.array([x[i] for x in links], "Int64") for i, c in enumerate(("a", "b", "links"))})
 
 
-def _linked(rows: pd.DataFrame) -> list[tuple[int, int]]:
-    keys, united = rows["key"].to_numpy(), rows["united"].to_numpy()
+def _linked(rows: pd.DataFrame) -> list[tuple]:
+    keys = rows["key"].to_numpy()
     sizes, side = rows["n"].to_numpy(), rows["side"].to_numpy()
     flat_order = np.concatenate([np.asarray(x, np.int64) for x in rows["order"]])
     flat = np.concatenate([np.asarray(x, np.int64) for x in rows["members"]])
@@ -295,21 +287,22 @@ def _linked(rows: pd.DataFrame) -> list[tuple[int, int]]:
     sets = [np.sort(x) for x in np.split(ranks, ends[:-1])]
     in_tree = np.flatnonzero(side == 1)
     tree = PrefixTree([sets[i] for i in in_tree], sizes[in_tree])
-    probes = np.flatnonzero(side == 2) if (side == 2).any() else np.arange(len(keys))
-    own = np.unique(united, return_inverse=True)[1]
-    # What is united with the class that most are united with need not probe: the others find it.
-    anchor = int(np.flatnonzero(own == np.bincount(own).argmax())[0]) if not (side == 2).any() else -1
+    two_sides = bool((side == 2).any())
+    probes = np.flatnonzero(side == 2) if two_sides else np.arange(len(keys))
+    own, counts = np.arange(len(keys)), np.zeros(len(keys), np.int64)
     marked, links = np.zeros(int(ranks.max(initial=-1)) + 1, bool), []
     for i in probes.tolist():
-        if anchor >= 0 and own[i] == own[anchor] and i != anchor:
-            continue
         found = in_tree[tree.probe(sets[i], int(sizes[i]), marked)]
+        found = found[found != i]
+        counts[i] += len(found)
+        if two_sides:
+            counts[found] += 1
         others, first = np.unique(own[found], return_index=True)
         for group, j in zip(others.tolist(), found[first].tolist()):
             if group != own[i]:
-                links.append((int(keys[i]), int(keys[j])))
+                links.append((int(keys[i]), int(keys[j]), None))
                 own[own == group] = own[i]
-    return links
+    return links + [(int(keys[i]), None, int(counts[i])) for i in np.flatnonzero(counts).tolist()]
 
 
 def _prefix(df: DataFrame) -> DataFrame:
@@ -322,11 +315,11 @@ def _prefix(df: DataFrame) -> DataFrame:
 
 
 def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Edges between classes, enough to connect all that are connected by links."""
+    """Of all links as many as connect their classes (a, b), and rows of a class and its links in a part of a group (a, links)."""
     spark = rows.sparkSession
     total, n_classes = classes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     if not total:
-        return spark.createDataFrame([], "a bigint, b bigint")
+        return spark.createDataFrame([], LINKS)
     bits = min(64, int(total).bit_length() + SPARE_BITS)
     n_ranges = -(-total // RANGE_SHINGLES)
     runs = rows.mapInArrow(_range_runs(bits, n_ranges), "range int, hashes binary, holders binary, keys binary, several binary")
@@ -347,74 +340,43 @@ def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
     )
     ordered = cut(_prefix(by_key))
 
-    # For each shingle of the prefixes, the least class that has it is a centre of the others.
+    # Classes that share a shingle of their prefixes are joined through the least class that has it.
     prefixes = ordered.select("key", F.explode("prefix").alias("at"))
     groups = prefixes.groupBy("at").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1")
     near = cut(
-        prefixes.join(groups, "at").groupBy("key", "centre")
-        .agg(F.count(F.lit(1)).alias("common"), F.max("size").alias("size"))
-    )
-
-    # Stars: of its centres, a class is compared with the one in whose prefix groups it is most often.
-    best = near.where("key <> centre").groupBy("key").agg(F.max(F.struct("common", "size", "centre"))["centre"].alias("centre"))
-    # A centre is copied once for so many of its followers, so one that most classes have is dealt out.
-    salts = F.ceil(F.count(F.lit(1)) / FOLLOWERS).alias("salts")
-    centred = cut(best.join(best.groupBy("centre").agg(salts), "centre"))
-    salted = centred.select("key", "centre", F.pmod(F.xxhash64("key"), F.col("salts")).alias("salt"))
-    centres = centred.select("centre", "salts").distinct().join(sets.withColumnRenamed("key", "centre"), "centre").select(
-        "centre", F.col("n").alias("centre_n"), F.col("members").alias("centre_members"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"),
-    )
-    stars = cut(
-        sets.join(salted, "key").join(centres, ["centre", "salt"])
-        .select("key", "n", "members", "centre", "centre_n", "centre_members")
-        .mapInArrow(_star_links, "a bigint, b bigint")
-    )
-    united = cut(components(stars).select(F.col("node").alias("key"), F.col("component").alias("united")))
-
-    # What stars have not united whole: united groups with a class in the same prefix group as one of another.
-    def owner(column: str, name: str) -> DataFrame:
-        return united.select(F.col("key").alias(column), F.col("united").alias(name))
-
-    across = near.where("key <> centre").join(owner("key", "a"), "key", "left").join(owner("centre", "b"), "centre", "left")
-    across = across.select(F.coalesce("a", "key").alias("a"), F.coalesce("b", "centre").alias("b")).where("a <> b")
-    candidates = cut(components(across).select(F.col("node").alias("united"), F.col("component").alias("candidate")))
-    grouped = ordered.drop("prefix").join(united, "key", "left").withColumn("united", F.coalesce("united", "key"))
-    grouped = cut(grouped.join(candidates, "united").select(
-        "key", "n", "candidate", "united", F.col("members.f").alias("order"), F.col("members.member").alias("members")
+        prefixes.join(groups, "at").where("key <> centre").select(F.col("key").alias("a"), F.col("centre").alias("b")).distinct()
+    )
+    candidates = cut(components(near).select(F.col("node").alias("key"), F.col("component").alias("candidate")))
+    grouped = cut(ordered.drop("prefix").join(candidates, "key").select(
+        "key", "n", "candidate", F.col("members.f").alias("order"), F.col("members.member").alias("members")
     ))
     sizes = grouped.groupBy("candidate").agg(F.count(F.lit(1)).alias("size"))
     open_sets = grouped.join(sizes, "candidate")
-    # A small group lies in one bucket whole; a large one is cut into blocks, those of what is united together.
+    # A small group lies in one bucket whole; a large one is cut into blocks.
     small = open_sets.where(F.col("size") <= BLOCK_SETS)
     n_buckets = max(1, -(-small.count() // BLOCK_SETS))
     bucket = F.pmod(F.xxhash64("candidate"), F.lit(n_buckets))
-    columns = ["key", "n", "candidate", "united", "order", "members"]
+    columns = ["key", "n", "candidate", "order", "members"]
     small_links = (
         small.select(*columns, F.lit(1).alias("side"), bucket.alias("bucket"))
-        .groupBy("bucket").applyInPandas(_tree_links, "a bigint, b bigint")
+        .groupBy("bucket").applyInPandas(_tree_links, LINKS)
     )
     large = open_sets.where(F.col("size") > BLOCK_SETS)
-    parts = large.groupBy("candidate", "united").agg(F.count(F.lit(1)).alias("part"))
     # Sets that link differ in size by a third at most, so blocks are of sets of about one size.
     band = F.floor(F.log("n") / F.log(F.lit(4 / 3)))
-    marked = large.join(parts, ["candidate", "united"]).withColumns(
-        {"owner": F.when(F.col("part") >= BLOCK_SETS, F.col("united")), "band": band}
+    marked = large.withColumn("band", band)
+    dealt = marked.groupBy(F.col("candidate").alias("c"), F.col("band").alias("b")).agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("pieces")
     )
-    dealt = marked.groupBy(
-        F.col("candidate").alias("c"), F.col("owner").alias("o"), F.col("band").alias("b")
-    ).agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("pieces"))
-    own = (F.col("candidate") == F.col("c")) & F.col("owner").eqNullSafe(F.col("o")) & (F.col("band") == F.col("b"))
-    spot = F.xxhash64(F.when(F.col("owner").isNotNull(), F.col("key")).otherwise(F.col("united")))
-    block = F.struct(F.col("owner").alias("united"), "band", F.pmod(spot, F.col("pieces")).alias("piece"))
+    own = (F.col("candidate") == F.col("c")) & (F.col("band") == F.col("b"))
+    block = F.struct("band", F.pmod(F.xxhash64("key"), F.col("pieces")).alias("piece"))
     blocked = cut(marked.join(dealt, own).select(*columns, block.alias("block")))
     blocks = blocked.groupBy("candidate", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     one, two = (
         blocks.select("candidate", *(F.col(c).alias(f"{c}{i}") for c in ("block", "low", "high"))) for i in (1, 2)
     )
     near_size = (F.col("high1") * 4 >= F.col("low2") * 3) & (F.col("high2") * 4 >= F.col("low1") * 3)
-    same = F.coalesce(F.col("block1.united") == F.col("block2.united"), F.lit(False))
-    pairs = one.join(two, "candidate").where((F.col("block1") <= F.col("block2")) & near_size & ~same)
+    pairs = one.join(two, "candidate").where((F.col("block1") <= F.col("block2")) & near_size)
     pairs = cut(pairs.select("candidate", "block1", "block2"))
     first = blocked.join(pairs.withColumnRenamed("block1", "block"), ["candidate", "block"]).select(
         *columns, F.lit(1).alias("side"), F.xxhash64("candidate", "block", "block2").alias("pair")
@@ -422,44 +384,50 @@ def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
     second = blocked.join(pairs.where("block1 <> block2").withColumnRenamed("block2", "block"), ["candidate", "block"]).select(
         *columns, F.lit(2).alias("side"), F.xxhash64("candidate", "block1", "block").alias("pair")
     )
-    large_links = first.unionByName(second).groupBy("pair").applyInPandas(_tree_links, "a bigint, b bigint")
-    return stars.unionByName(small_links).unionByName(large_links)
+    large_links = first.unionByName(second).groupBy("pair").applyInPandas(_tree_links, LINKS)
+    return cut(small_links.unionByName(large_links))
 
 
 def _class_tables(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Runs of key, n and ids; and one row per class: key, n, least_id, class_size, component (a key)."""
+    """Runs of key, n and ids; and one row per class: key, n, least_id, class_size, component (a key), n_links."""
     in_small_batches(docs)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     runs = cut(rows.mapInArrow(_class_runs, "key bigint, n bigint, ids array<bigint>"))
     classes = cut(runs.where("n > 0").groupBy("key", "n").agg(
         F.min(F.array_min("ids")).alias("least_id"), F.sum(F.size("ids")).cast("bigint").alias("class_size")
     ))
-    joined = components(_links(rows.select(F.lit(None).cast("bigint").alias("doc_id"), "text"), classes))
-    members = classes.join(joined.withColumnRenamed("node", "key"), "key", "left")
-    return runs, members.withColumn("component", F.coalesce("component", "key"))
+    links = _links(rows.select(F.lit(None).cast("bigint").alias("doc_id"), "text"), classes)
+    joined = components(links.where("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "key")
+    counts = links.where("links IS NOT NULL").groupBy(F.col("a").alias("key")).agg(F.sum("links").alias("n_links"))
+    members = classes.join(joined, "key", "left").join(counts, "key", "left")
+    return runs, members.withColumns(
+        {"component": F.coalesce("component", "key"), "n_links": F.coalesce("n_links", F.lit(0).cast("bigint"))}
+    )
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, class_size.
+    """One row per document: doc_id, n_shingles, component_id, class_size, n_links.
 
     A-Z count as lower case; words are runs without white space; a document's set is
     its distinct shingles of five words, or its whole sequence if it has fewer.
     Documents link when 100 times the common shingles are at least 75 times all of
     both. ``component_id`` is the least id reachable by links, itself included;
-    ``class_size`` is the number of documents with the same set. A null or empty text
+    ``class_size`` is the number of documents with the same set, and ``n_links`` that of
+    the other sets it links with, by itself and not through others. A null or empty text
     has no shingle and links with nothing, not even its like. A null id counts as no
     id: it gets the least id it links with, if any. Rows that share an id link only by
     their texts. Other columns are ignored.
     """
     runs, members = _class_tables(docs, id_col, text_col)
     least = members.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = members.join(least, "component").select("key", "component_id", "class_size")
-    found = runs.join(named, "key", "left").select("n", "component_id", "class_size", F.explode("ids").alias("doc_id"))
+    named = members.join(least, "component").select("key", "component_id", "class_size", "n_links")
+    found = runs.join(named, "key", "left").select("n", "component_id", "class_size", "n_links", F.explode("ids").alias("doc_id"))
     empty = F.col("n") == 0
     return found.select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(empty, F.lit(1).cast("bigint")).otherwise(F.col("class_size")).alias("class_size"),
+        F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
     )
 
 

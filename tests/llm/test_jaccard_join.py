@@ -128,3 +128,18 @@ def test_components(spark):
     got = components(spark.createDataFrame(edges, "a bigint, b bigint"))
     assert {r.node: r.component for r in got.collect()} == least
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+@pytest.mark.parametrize("most", [7, None])
+def test_every_link_is_counted(frame, monkeypatch, most):
+    if most:
+        monkeypatch.setattr(jaccard_join, "BLOCK_SETS", most)
+    dice = random.Random(4)
+    texts = near_copies(dice, 50, 70, edits=6) + near_copies(dice, 30, 25, edits=2) + generated(dice)[:150] + ["", "a"]
+    got = {r.doc_id: r.n_links for r in jaccard_components(frame(list(enumerate(texts)), SCHEMA)).collect()}
+    sets = {shingles(t) for t in texts} - {frozenset()}
+    for i, text in enumerate(texts):
+        own = shingles(text)
+        want = sum(100 * len(own & s) >= 75 * len(own | s) for s in sets if s != own) if own else 0
+        assert got[i] == want
+    assert max(got.values()) > 10

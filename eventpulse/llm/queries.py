@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, language, secrets
-from .common import ORACLES, QUERIES, query, table, written  # noqa: F401
+from .common import ORACLES, QUERIES, WORD, query, table, written  # noqa: F401
 from .decontaminate import find_leaks
 from .exact_dedup import exact_dedup
+from .hard_negatives import mine_hard_negatives
 from .html_text import extract_text
 from .jaccard_join import jaccard_components
 from .licenses import LicenseRules, scan_licenses
+from .line_dedup import dedup_lines
 from .mixing import mix
+from .periodic_runs import find_runs
 from .token_files import read_documents, write_token_files
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -153,3 +156,85 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_jaccard_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The documents as the contract of op11 changes them: from word a on, every tenth repeats a period of p words."""
+    number = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(number / 10)
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    counted = docs.withColumns({"words": F.when(number % 10 == 0, words), "g": g})
+    n = F.size("words").cast("bigint")
+    placed = counted.withColumn("a", F.when(n > 0, F.col("g") % n))
+    period = F.floor((n - F.col("a")) / (F.lit(3) + F.col("g") % 8)) + 1
+    placed = placed.withColumn("p", period)
+
+    # A slice and copies of it: each word is copied once, whatever the period.
+    start = F.slice("words", F.lit(1), F.col("a").cast("int"))
+    piece = F.slice("words", (F.col("a") + 1).cast("int"), F.col("p").cast("int"))
+    copies = F.flatten(F.array_repeat(piece, F.ceil((n - F.col("a")) / F.col("p")).cast("int")))
+    planted = F.slice(F.concat(start, copies), F.lit(1), n.cast("int"))
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_runs(with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), -r["start"], -r["period"])))
+    told = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    start, length, period = -longest["col2"], longest["length"], -longest["col3"]
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(length * 1000 / period).alias("exponent_milli"),
+        F.sha2(F.array_join(told, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query(
+    "op12_line_dedup",
+    f"""
+    WITH l AS (
+      SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+             generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+    k AS (
+      SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    s AS (SELECT key, max(doc_id) AS keep_id FROM k WHERE len(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+    m AS (SELECT k.*, s.keep_id IS NOT NULL AND s.keep_id <> k.doc_id AS dropped FROM k LEFT JOIN s ON k.key = s.key)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+    FROM m GROUP BY doc_id
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dedup_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query(
+    "op13_hard_negatives",
+    """
+    WITH e AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    s AS (
+      SELECT a.vec_id AS anchor_id, a.label = e.label AS same, e.vec_id AS other, list_inner_product(a.v, e.v)::BIGINT AS score
+      FROM e AS a JOIN e ON a.vec_id <> e.vec_id WHERE a.vec_id % 100 = 0),
+    p AS (
+      SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+    SELECT p.anchor_id, p.positive_id,
+           row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other)::INTEGER AS rank,
+           s.other AS negative_id, p.positive_score, s.score AS negative_score
+    FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+      AND 100 * s.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score
+    QUALIFY rank <= 10
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)

@@ -1,0 +1,141 @@
+"""Hard negatives against all scores in plain Python, the bounds themselves, and the query against its SQL."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+from compare import differences, duckdb_tables
+from pyspark.sql import functions as F
+
+from eventpulse.llm import hard_negatives
+from eventpulse.llm.hard_negatives import mine_hard_negatives, spanning_tree
+from eventpulse.llm.queries import ORACLES, QUERIES
+
+SCHEMA = "vec_id bigint, embedding array<double>, label int"
+
+
+def expected(rows, units=256, positives=5, negatives=10, every=100):
+    def usable(vec_id, vector, label):
+        return None not in (vec_id, vector, label) and all(x is not None and math.isfinite(x) for x in vector)
+
+    known = [(i, [math.floor(units * x) for x in v], lab) for i, v, lab in rows if usable(i, v, lab)]
+    out = []
+    for a, (anchor_id, anchor, label) in enumerate(known):
+        if anchor_id % every:
+            continue
+        scores = [(sum(x * y for x, y in zip(anchor, v)), i, lab, n) for n, (i, v, lab) in enumerate(known)]
+        of_label = sorted((-s, i) for s, i, lab, n in scores if lab == label and n != a)[:positives]
+        for down, positive_id in of_label:
+            others = sorted((-s, i) for s, i, lab, _ in scores if lab != label and -30 * down <= 100 * s <= -90 * down)
+            for rank, (negative, i) in enumerate(others[:negatives], 1):
+                out.append((anchor_id, positive_id, rank, i, -down, -negative))
+    return sorted(out)
+
+
+def mined(df, **options):
+    return sorted(tuple(r) for r in mine_hard_negatives(df, F.col("vec_id") % 100 == 0, **options).collect())
+
+
+def made_rows(dice, n, width=6, alike=0.3):
+    centres = [[dice.gauss(0, 1) for _ in range(width)] for _ in range(9)]
+    rows = []
+    for i in range(n):
+        centre = dice.choice(centres)
+        v = [c + dice.gauss(0, alike) for c in centre]
+        rows.append((i * dice.choice([1, 1, 1, -1]) if i % 5 else i, v, dice.randint(0, 3)))
+    return rows
+
+
+@pytest.mark.parametrize("alike", [0.0, 0.05, 1.0])
+def test_against_all_scores(frame, monkeypatch, alike):
+    dice = random.Random(int(alike * 100))
+    rows = made_rows(dice, 900, alike=alike)
+    rows += [(1000, None, 1), (1100, [0.1, None, 0.2, 0.3, 0.1, 0.0], 1), (1200, [math.nan] * 6, 1), (1300, [math.inf] * 6, 2)]
+    rows += [(None, [0.5] * 6, 1), (1400, [0.5] * 6, None), (1500, [], 1), (1600, [0.7, 0.7], 2), (1700, [0.0] * 6, 9)]
+    rows += [(300, rows[300][1], rows[300][2]), (301, rows[301][1], rows[301][2])]
+    monkeypatch.setattr(hard_negatives, "GROUP_ANCHORS", 4)
+    df = frame(rows, SCHEMA, 5).selectExpr("*", "1 AS `block`", "2 AS `group`", "3 AS place", "4 AS score", "5 AS is_anchor")
+    got = mined(df)
+    assert got == expected(rows)
+    assert len(got) > 100
+
+
+def test_a_vector_that_most_rows_have(frame):
+    dice = random.Random(4)
+    same = [dice.gauss(0, 1) for _ in range(6)]
+    rows = [(i, same if i % 3 else [dice.gauss(0, 1) for _ in range(6)], i % 4) for i in range(600)]
+    assert mined(frame(rows, SCHEMA)) == expected(rows)
+
+
+def test_scores_beyond_doubles(frame):
+    dice = random.Random(6)
+    rows = [(i, [float(dice.randint(-(10**6), 10**6)) + 0.5 for _ in range(4)], i % 3) for i in range(250)]
+    assert mined(frame(rows, SCHEMA)) == expected(rows)
+    huge = [(i, [1e200 * (i + 1)], i % 2) for i in range(4)]
+    assert all(abs(r[4]) < 2**63 for r in mined(frame([(0, [1e200], 0), (1, [1e200], 0), *huge[2:]], SCHEMA)))
+
+
+def test_empty_tables(frame):
+    assert mined(frame([], SCHEMA)) == []
+    assert mined(frame([(1, [0.5], 1)], SCHEMA)) == []
+    assert mined(frame([(100, [0.5], 1)], SCHEMA)) == []
+
+
+def test_tree_is_shortest_and_parents_come_first():
+    dice = np.random.default_rng(2)
+    points = dice.normal(size=(40, 3))
+    points[7] = points[3]
+    order, parents = spanning_tree(points)
+    assert sorted(order) == list(range(40)) and parents[order[0]] == -1
+    at = {p: i for i, p in enumerate(order.tolist())}
+    assert all(at[int(parents[p])] < at[p] for p in order.tolist()[1:])
+    length = sum(np.linalg.norm(points[p] - points[parents[p]]) for p in order[1:])
+    # Kruskal's way to the same length.
+    edges = sorted((np.linalg.norm(points[i] - points[j]), i, j) for i in range(40) for j in range(i))
+    part, total = list(range(40)), 0.0
+    for d, i, j in edges:
+        if part[i] != part[j]:
+            total += d
+            old = part[i]
+            part = [part[j] if x == old else x for x in part]
+    assert math.isclose(length, total)
+
+
+def test_bounds_spare_most_scores_of_close_anchors():
+    """Of anchors that lie close together only the first needs all scores."""
+    dice = np.random.default_rng(3)
+    n, width = 4000, 8
+    vectors = np.floor(256 * dice.normal(size=(n, width)))
+    close = np.floor(256 * dice.normal(size=width)) + dice.integers(-1, 2, size=(20, width))
+    row = {
+        "block": 0, "ids": np.arange(n).tobytes(), "labels": np.zeros(n, np.int64).tobytes(), "width": width, "kind": "float64",
+        "vectors": vectors.tobytes(),
+    }
+    block = hard_negatives._Block(row, width)
+    scored, plain = [], block.scores
+    block.scores = lambda anchor, some: scored.append(len(some)) or plain(anchor, some)
+    order, parents = spanning_tree(close)
+    place = np.empty(20, np.int64)
+    place[order] = np.arange(20)
+    parents = np.where(parents[order] >= 0, place[parents[order]], -1)
+    close = close[order]
+    edges = np.where(parents >= 0, np.linalg.norm(close - close[np.maximum(parents, 0)], axis=1), np.inf)
+    group = {
+        "g_rows": (np.arange(20) + 10**9).tobytes(), "g_labels": np.ones(20, np.int64).tobytes(), "g_vectors": close.tobytes(),
+        "g_width": width, "parents": parents.astype(np.int64).tobytes(), "edges": edges.tobytes(),
+    }
+    best = {}
+    hard_negatives._walk(group, block, [[(1, 250_000, 260_000)]] * 20, False, 10, best)
+    assert scored[0] == n and sum(scored[1:]) < 0.2 * 19 * n
+    for i in range(20):
+        scores = (vectors @ close[i]).astype(int)
+        want = sorted((-s, j, j) for j, s in enumerate(scores.tolist()) if 250_000 <= s <= 260_000)[:10]
+        assert best.get((i, 1), []) == want
+
+
+def test_query_equals_its_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    name = "op13_hard_negatives"
+    problems, _, _ = differences(spark, duckdb_tables(folder), name, QUERIES[name], ORACLES[name], folder)
+    assert problems == []

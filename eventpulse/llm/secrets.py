@@ -5,8 +5,10 @@ must meet. The index holds a posting (trigram, document key) for each trigram of
 these queries and each document whose lower-cased text has it; trigrams that no query
 names are never looked up and get no postings. Postings are intersected per
 document, which keeps a trigram that most documents have from becoming one large
-group. Only documents left as candidates of a rule are searched with its pattern; a
-rule without mandatory trigrams (such as a plain run of hex digits) searches all.
+group. Only documents left as candidates of a rule are searched with its pattern, and
+only their texts are shuffled, to meet the numbers of their rules; a bitmap of the
+candidates' keys, of fixed size, leaves all other texts where they are. A rule without
+mandatory trigrams (such as a plain run of hex digits) searches all texts in place.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import cut, text_or_empty, written
+from .filters import key_filter, may_be_in
 
 # Literal alternatives that are followed at once when a query is derived.
 MOST_LITERALS = 64
@@ -201,21 +204,27 @@ def find_secrets(
     # Rows that agree in id and text share a key; what is found for one holds for all.
     keyed = rows.withColumn("key", F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit("\n"), F.col("text")).cast("binary")))
     index = written(trigram_index(keyed.select("key", "text"), _trigrams(rules)), "trigram-index")
-    chosen = candidates(index, rules)
+    chosen = written(candidates(index, rules), "secret-candidates")
+    bitmap = key_filter(chosen)
+
+    none_found = F.expr("CAST(array() AS array<struct<rule:int,gap:bigint,length:bigint,counts:boolean>>)")
 
     def search(number: int, rule: Rule) -> Column:
-        none = F.expr("CAST(array() AS array<struct<rule:int,gap:bigint,length:bigint,counts:boolean>>)")
         if trigram_query(rule.pattern):
             wanted = F.array_contains("rules", F.lit(number))
         else:
             wanted = F.col("text").rlike(rule.pattern)
-        return F.when(wanted, _hits(rule, number)).otherwise(none)
+        return F.when(wanted, _hits(rule, number)).otherwise(none_found)
 
-    searched = cut(
-        keyed.join(chosen.hint("shuffle_hash"), "key", "left").select(
-            "doc_id", "key", F.concat(*(search(i, r) for i, r in enumerate(rules))).alias("hits")
-        )
-    )
+    maybe = keyed.where(may_be_in("key", bitmap)).join(chosen, "key", "left")
+    rest = keyed.where(~may_be_in("key", bitmap))
+    for_all = [(i, r) for i, r in enumerate(rules) if not trigram_query(r.pattern)]
+
+    def hits(some: list[tuple[int, Rule]]) -> Column:
+        return F.concat(none_found, *(search(i, r) for i, r in some)).alias("hits")
+
+    found = maybe.select("doc_id", "key", hits(list(enumerate(rules))))
+    searched = cut(found.unionByName(rest.select("doc_id", "key", hits(for_all))))
     hit = searched.where(F.size("hits") > 0).dropDuplicates(["key"]).select("key", F.posexplode("hits").alias("pos", "hit"))
     upto = W.partitionBy("key", "hit.rule").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
     end = F.sum(F.col("hit.gap") + F.col("hit.length")).over(upto)

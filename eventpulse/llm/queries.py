@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import re
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, language, secrets
-from .common import ORACLES, QUERIES, WORD, query, table, written  # noqa: F401
+from .common import ORACLES, QUERIES, query, table, written  # noqa: F401
 from .decontaminate import find_leaks
 from .exact_dedup import exact_dedup
 from .hard_negatives import mine_hard_negatives
@@ -158,23 +165,26 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def _planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every tenth document with words repeats, from word a on, a period of p of its words."""
+    for batch in batches:
+        ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+        numbers = [None if i is None else zlib.crc32(str(i).encode()) for i in ids]
+        chosen, changed = [h is not None and h % 10 == 0 for h in numbers], []
+        for i in np.flatnonzero(chosen).tolist():
+            words, g = re.findall(rb"[^\x20\x09-\x0D]+", (texts[i].as_py() or "").encode()), numbers[i] // 10
+            if words:
+                a = g % len(words)
+                p = 1 + (len(words) - a) // (3 + g % 8)
+                words = (words[:a] + words[a : a + p] * (4 + g % 8))[: len(words)]
+            changed.append(b" ".join(words).decode())
+        texts = pc.replace_with_mask(texts, pa.array(chosen, pa.bool_()), pa.array(changed, texts.type))
+        yield pa.record_batch([batch.column("doc_id"), texts], names=["doc_id", "text"])
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
-    """The documents as the contract of op11 changes them: from word a on, every tenth repeats a period of p words."""
-    number = F.crc32(F.col("doc_id").cast("string"))
-    g = F.floor(number / 10)
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    counted = docs.withColumns({"words": F.when(number % 10 == 0, words), "g": g})
-    n = F.size("words").cast("bigint")
-    placed = counted.withColumn("a", F.when(n > 0, F.col("g") % n))
-    period = F.floor((n - F.col("a")) / (F.lit(3) + F.col("g") % 8)) + 1
-    placed = placed.withColumn("p", period)
-
-    # A slice and copies of it: each word is copied once, whatever the period.
-    start = F.slice("words", F.lit(1), F.col("a").cast("int"))
-    piece = F.slice("words", (F.col("a") + 1).cast("int"), F.col("p").cast("int"))
-    copies = F.flatten(F.array_repeat(piece, F.ceil((n - F.col("a")) / F.col("p")).cast("int")))
-    planted = F.slice(F.concat(start, copies), F.lit(1), n.cast("int"))
-    return placed.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(planted, " ")).otherwise(F.col("text")).alias("text"))
+    """The documents as the contract of op11 changes them."""
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(_planted, "doc_id bigint, text string")
 
 
 @query("op11_periodic_runs")

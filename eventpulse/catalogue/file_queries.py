@@ -6,13 +6,14 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from ..plans.daily import Tables, run_daily
+from ..plans.daily import run_daily
 from ..plans.marts import daily_event_tone
 from ..plans.staging import bad_dates, stage
 from ..session import work_dir
 from ..sources.dayfiles import quarantined
 from ..sources.lake import land_lines, read_landed, tab_lines
 from ..sources.load import load_days, summarise_load
+from ..sources.snapshots import Warehouse
 from ..sources.tables import replace_table
 from ..streaming.dayfiles import load_new_files, stream_landed
 from .base import query
@@ -105,7 +106,7 @@ def daily_run(spark, sf_dir):
     days = feed_days(spark, sf_dir)
     run_daily(spark, read_landed(spark, lake, days), days, warehouse, AS_OF)
     return (
-        spark.read.parquet(Tables(warehouse).mart_daily_event_tone)
+        Warehouse(spark, warehouse).read("mart_daily_event_tone")
         .groupBy("quad_class", "quad_class_label")
         .agg(
             F.sum("event_count").alias("event_count"),

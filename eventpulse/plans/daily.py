@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import checks as C
-from ..sources.folders import remove, restore, staging_path, swap_in
 from ..sources.load import LoadResult, load_days
-from ..sources.tables import read_if_present, replace_dates, replace_table, stage_table
+from ..sources.snapshots import Warehouse
+from .day_states import marts_from_states, refresh_states
 from .marts import country_activity, daily_event_tone
+from .merge import merge_events
 from .staging import bad_dates, stage
 
 
@@ -24,41 +25,46 @@ LAYERS = {
     "mart_daily_event_tone": "mart",
     "mart_country_activity": "mart",
 }
-# Tables of a warehouse that no view is made for.
-KEPT = ("check_report", "bad_dates")
-
-
-@dataclass(frozen=True)
-class Tables:
-    """Paths of the tables of one warehouse folder."""
-
-    root: str
-
-    def __getattr__(self, name: str) -> str:
-        if name not in LAYERS and name not in KEPT:
-            raise AttributeError(name)
-        return f"{self.root.rstrip('/')}/{name}"
+# Tables of a warehouse that no view is made for: check_report, bad_dates and the day states.
 
 
 @dataclass(frozen=True)
 class DailyResult:
-    """``checks`` is the stored report, or nothing when the run stopped before building."""
+    """``checks`` is the stored report, or nothing when the run stopped before building.
+
+    ``version`` is that of the warehouse after the run, ``rewritten`` the dates whose events were stored anew.
+    """
 
     load: LoadResult
     checks: DataFrame | None
     published: bool
+    version: int = 0
+    rewritten: tuple[date, ...] = ()
 
 
 def create_views(spark: SparkSession, warehouse: str, prefix: str = "news") -> list[str]:
-    """Views over the stored tables in one database per layer, so that they can be queried by name.
+    """Views over the tables in one database per layer, so that they can be queried by name.
 
-    They read the folders as they are, so a view stays valid when its table is rebuilt.
+    A view looks up the last version when it is used, so it stays valid when its table is rebuilt: the
+    short list of deliveries is broadcast and prunes the table's folders.
     """
-    tables, names = Tables(warehouse), []
+    names = []
+    root = warehouse.rstrip("/")
+    listed = f"json.`{root}/_versions/*.json`"
+    last = f"(SELECT max(_metadata.file_name) FROM {listed})"
     for name, layer in LAYERS.items():
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}_{layer}")
         names.append(f"{prefix}_{layer}.{name}")
-        spark.sql(f"CREATE OR REPLACE VIEW {names[-1]} AS SELECT * FROM parquet.`{getattr(tables, name)}`")
+        table = Warehouse(spark, warehouse).read(name)
+        if table is None:
+            raise ValueError(f"{warehouse} has no table {name} yet")
+        columns = ", ".join(f"t.`{c}`" for c in table.columns)
+        dated = " AND CAST(t.ingest_date AS STRING) = v.part" if "ingest_date" in table.columns else ""
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {names[-1]} AS SELECT {columns} FROM parquet.`{root}/{name}` t LEFT SEMI JOIN"
+            f" (SELECT part, delivery FROM {listed} WHERE `table` = '{name}' AND _metadata.file_name = {last}) v"
+            f" ON t.delivery = v.delivery{dated}"
+        )
     return names
 
 
@@ -120,51 +126,55 @@ def run_daily(
     present: DataFrame | None = None,
     on_failed_load: str = "stop",
     check_where: Mapping[str, str] | None = None,
+    dedupe: bool = False,
+    incremental: bool = False,
 ) -> DailyResult:
     """Load the given dates, rebuild the marts for the 30 days before ``as_of``, and check all tables.
 
-    Good dates are loaded and staged in any case. When a date is missing or failed the
-    run stops there and publishes nothing, unless ``on_failed_load`` is ``publish``. Marts
-    are written beside their places, checked from these files, and moved in place
-    together; with ``gate``, only when no check has an error. The report is a stored
-    table of one row per check. ``check_where`` limits the checks of a table to rows,
-    such as ``{"events": "event_date >= '2024-01-01'"}``; by default all rows are checked.
-    ``present`` is as in ``load_days``.
+    All that a run changes becomes visible at once, as the next version of the warehouse, when it ends; a
+    run that ends midway has changed nothing. Good dates are loaded and staged in any case. When a date is
+    missing or failed the run stops there and publishes no marts, unless ``on_failed_load`` is ``publish``.
+    With ``gate`` the marts are only published when no check has an error. The report is a stored table of
+    one row per check. ``check_where`` limits the checks of a table to rows, such as
+    ``{"events": "event_date >= '2024-01-01'"}``; by default all rows are checked. ``present`` is as in
+    ``load_days``. ``dedupe`` keeps an event that was delivered again once, also across dates, and rewrites
+    only the dates of which a row is beaten. ``incremental`` keeps partial aggregates per day and
+    builds the marts from these, so that a run reads the events of changed days only.
     """
     if on_failed_load not in ("stop", "publish"):
         raise ValueError(f"on_failed_load must be stop or publish, got {on_failed_load!r}")
-    tables, marts = Tables(warehouse), ("mart_daily_event_tone", "mart_country_activity")
-    for name in (*marts, "check_report"):
-        restore(spark, getattr(tables, name))
-    load = load_days(spark, lines, dates, tables.raw_events, on_bad_value=on_bad_value, present=present)
-    if load.loaded and read_if_present(spark, tables.raw_events) is not None:
-        raw = spark.read.parquet(tables.raw_events)
-        new = raw.where(F.col("ingest_date").isin(load.loaded))
+    run, marts = Warehouse(spark, warehouse).begin(), ("mart_daily_event_tone", "mart_country_activity")
+    load = load_days(spark, lines, dates, "raw_events", on_bad_value=on_bad_value, present=present, into=run)
+    before, rewritten = run.read("events"), []
+    if load.loaded:
+        new = run.read("raw_events").where(F.col("ingest_date").isin(load.loaded))
         if on_bad_date == "quarantine":
             set_aside = bad_dates(new).select("GlobalEventID", "Day", "DATEADDED", "SOURCEURL", "ingest_date")
-            replace_dates(set_aside, tables.bad_dates, load.loaded, "ingest_date")
-        staged = stage(new, on_bad_date, keep=["ingest_date"])
-        replace_dates(staged, tables.events, load.loaded, "ingest_date", ["event_date"], ["action_geo_country_code"])
+            run.replace_dates(set_aside, "bad_dates", load.loaded, "ingest_date")
+        staged, rewritten = stage(new, on_bad_date, keep=["ingest_date"]), load.loaded
+        if dedupe:
+            staged, rewritten = merge_events(staged, before, load.loaded)
+        run.replace_dates(staged, "events", rewritten, "ingest_date", ["event_date"], ["action_geo_country_code"])
     if not load.ok and on_failed_load == "stop":
-        return DailyResult(load, None, False)
+        return DailyResult(load, None, False, run.commit() if load.loaded else run.base, tuple(rewritten))
 
-    raw, events = read_if_present(spark, tables.raw_events), read_if_present(spark, tables.events)
+    raw, events = run.read("raw_events"), run.read("events")
     if raw is None or events is None:
         raise RuntimeError(f"no events to build from: none of {len(dates)} day files could be loaded")
-    finished = {name: staging_path(getattr(tables, name)) for name in marts}
-    stage_table(daily_event_tone(events, as_of), finished[marts[0]], ["event_date"], ["quad_class_label"])
-    countries = country_activity(events, as_of, crosswalk_as_listed=crosswalk_as_listed)
-    stage_table(countries, finished[marts[1]], (), ["action_geo_country_code"])
-
-    built = [read_if_present(spark, finished[name]) for name in marts]
-    chosen = {"raw_events": raw, "events": events, **dict(zip(marts, built))}
+    if incremental:
+        refresh_states(run, before, events, rewritten)
+        tone, countries = marts_from_states(run, as_of, crosswalk_as_listed)
+    else:
+        tone, countries = daily_event_tone(events, as_of), country_activity(events, as_of, crosswalk_as_listed=crosswalk_as_listed)
+    run.replace_table(tone, marts[0], ["event_date"], ["quad_class_label"])
+    run.replace_table(countries, marts[1], (), ["action_geo_country_code"])
+
+    chosen = {"raw_events": raw, "events": events, **{name: run.read(name) for name in marts}}
     chosen = {name: df.where((check_where or {}).get(name, "true")) for name, df in chosen.items()}
-    replace_table(C.summarise(model_checks(*chosen.values())), tables.check_report)
-    report = spark.read.parquet(tables.check_report)
+    run.replace_table(C.summarise(model_checks(*chosen.values())), "check_report")
+    report = run.read("check_report")
     passed = not gate or report.where("status = 'error'").isEmpty()
-    for name, path in finished.items():
-        if passed:
-            swap_in(spark, path, getattr(tables, name))
-        else:
-            remove(spark, path)
-    return DailyResult(load, report, passed)
+    if not passed:
+        for name in marts:
+            run.leave(name)
+    return DailyResult(load, report, passed, run.commit(), tuple(rewritten))

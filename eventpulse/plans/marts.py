@@ -42,6 +42,44 @@ def daily_event_tone(staged: DataFrame, as_of: date, days: int = WINDOW_DAYS) ->
     )
 
 
+def tone_parts(staged: DataFrame) -> DataFrame:
+    """Partial aggregates per day and event class, from which ``tone_from_parts`` makes the daily mart."""
+    tone, scale, articles = F.col("avg_tone"), F.col("goldstein_scale"), F.col("num_articles")
+    summed = {"tone": tone, "stability": scale, "weighted_tone": tone.cast("double") * articles}
+    return staged.groupBy("event_date", "quad_class", "quad_class_label").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("num_mentions").alias("mentions"),
+        F.sum("num_articles").alias("articles"),
+        F.count("avg_tone").alias("n_tone"),
+        F.count("goldstein_scale").alias("n_stability"),
+        F.count_if(_in_conflict()).alias("n_conflict"),
+        *[
+            part.alias(f"{name}_{side}")
+            for name, value in summed.items()
+            for side, part in zip(SUM_PARTS, sum_parts(value))
+        ],
+    )
+
+
+def tone_from_parts(parts: DataFrame) -> DataFrame:
+    """The daily mart from one row per day and event class."""
+
+    def ratio(name: str, divisor: str) -> Column:
+        numerator = joined_sum(*[F.col(f"{name}_{side}") for side in SUM_PARTS])
+        return round_half_away(F.try_divide(numerator, F.col(divisor).cast("double")), 3)
+
+    return parts.select(
+        "event_date", "quad_class", "quad_class_label",
+        F.col("n").alias("event_count"),
+        F.col("mentions").alias("total_mentions"),
+        F.col("articles").alias("total_articles"),
+        ratio("tone", "n_tone").alias("avg_tone"),
+        ratio("stability", "n_stability").alias("avg_goldstein"),
+        ratio("weighted_tone", "articles").alias("weighted_avg_tone"),
+        round_half_away(F.col("n_conflict") / F.col("n") * F.lit(100), 2).alias("conflict_pct"),
+    )
+
+
 def country_activity(
     staged: DataFrame, as_of: date, days: int = WINDOW_DAYS, crosswalk_as_listed: bool = False
 ) -> DataFrame:
@@ -52,9 +90,12 @@ def country_activity(
     country, where the most frequent place is picked: one scan, no join but the
     constant crosswalk. The rank orders the finished rows, one per country code.
     """
-    in_scope = recent(staged, as_of, days).where(
-        F.col("action_geo_country_code").isNotNull() & (F.col("action_geo_country_code") != "")
-    )
+    return countries_from_places(place_parts(recent(staged, as_of, days)), crosswalk_as_listed)
+
+
+def place_parts(staged: DataFrame, *by: str) -> DataFrame:
+    """Partial aggregates per country and place, and per column of ``by``; ``added_places`` combines them."""
+    in_scope = staged.where(F.col("action_geo_country_code").isNotNull() & (F.col("action_geo_country_code") != ""))
     summed = {
         "tone": F.col("avg_tone"),
         "stability": F.col("goldstein_scale"),
@@ -65,7 +106,7 @@ def country_activity(
         for name, value in summed.items()
         for side, part in zip(SUM_PARTS, sum_parts(value))
     ]
-    per_place = in_scope.groupBy("action_geo_country_code", "action_geo_fullname").agg(
+    return in_scope.groupBy(*by, "action_geo_country_code", "action_geo_fullname").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("num_mentions").alias("mentions"),
         F.sum("num_articles").alias("articles"),
@@ -77,6 +118,18 @@ def country_activity(
         F.max("event_date").alias("last_date"),
     )
 
+
+def added_places(parts: DataFrame) -> DataFrame:
+    """Partial aggregates of several days, added up per country and place."""
+    places = ("action_geo_country_code", "action_geo_fullname")
+    how = {"first_date": F.min, "last_date": F.max}
+    columns = [c for c in parts.columns if c not in (*places, "event_date")]
+    return parts.groupBy(*places).agg(*[how.get(c, F.sum)(c).alias(c) for c in columns])
+
+
+def countries_from_places(per_place: DataFrame, crosswalk_as_listed: bool = False) -> DataFrame:
+    """The country mart from one row per country and place."""
+
     def total(column: str) -> Column:
         return F.sum(column)
 
@@ -103,7 +156,7 @@ def country_activity(
         F.min("first_date").alias("first_event_date"),
         F.max("last_date").alias("last_event_date"),
     )
-    codes = crosswalk(staged.sparkSession, crosswalk_as_listed)
+    codes = crosswalk(per_place.sparkSession, crosswalk_as_listed)
     with_iso = (
         by_country.join(F.broadcast(codes), F.col("action_geo_country_code") == F.col("fips"), "left")
         .withColumn("iso_country_code", F.coalesce("iso", "action_geo_country_code"))

@@ -106,13 +106,18 @@ def stage(
     }
     staged = rows.select(*[computed.get(name, F.col(source)).alias(name) for name, source in STAGED.items()], *keep)
     if dedupe:
-        # Deliveries that agree in these are told apart by all columns, so every run keeps the same one.
-        everything = F.xxhash64(*STAGED)
-        newest = [F.desc("date_added"), F.desc("event_date"), F.asc_nulls_last("source_url"), everything.asc()]
-        staged = deduplicate(staged, ["global_event_id"], newest)
+        staged = deduplicate(staged, ["global_event_id"], newest_first())
     return staged
 
 
+def newest_first() -> list[Column]:
+    """The order in which deliveries of an event are preferred.
+
+    Those that agree in dates and source are told apart by all columns, so every run keeps the same one.
+    """
+    return [F.desc("date_added"), F.desc("event_date"), F.asc_nulls_last("source_url"), F.xxhash64(*STAGED).asc()]
+
+
 def _has_bad_date() -> Column:
     def unreadable(column: str) -> Column:
         return F.col(column).isNotNull() & _parsed(column, lenient=True).isNull()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..schema import RAW_COLUMNS, RAW_TYPES
 from .dayfiles import date_frame, is_bad, typed
 from .folders import remove, staging_path
+from .snapshots import Transaction
 from .tables import landed_dates, read_if_present, replace_dates
 
 MODES = ("replace", "skip", "append")
@@ -36,10 +37,14 @@ class LoadResult:
     rows_inserted: int
     ok: bool
     table_path: str
+    into: Transaction | None = None
 
     def table_rows(self) -> int:
         """Rows in the whole raw table, counted from the file footers when asked for."""
-        table = read_if_present(self.audit.sparkSession, self.table_path)
+        if self.into is not None:
+            table = self.into.read(self.table_path)
+        else:
+            table = read_if_present(self.audit.sparkSession, self.table_path)
         return 0 if table is None else table.count()
 
 
@@ -51,6 +56,7 @@ def load_days(
     mode: str = "replace",
     on_bad_value: str = "fail",
     present: DataFrame | None = None,
+    into: Transaction | None = None,
 ) -> LoadResult:
     """Add typed rows to the raw table, in folders by the date of their file.
 
@@ -59,7 +65,9 @@ def load_days(
     ``append`` adds rows again. ``on_bad_value``: ``fail`` rejects the whole file
     of a value with the wrong type; ``quarantine`` puts such rows, as they were read, into
     the table at ``quarantine_path(table_path)``. ``present`` lists the files that are
-    there (``file_date``): one without a line is then loaded with no rows, not missing.
+    there (``file_date``): one without a line is then loaded with no rows, not missing. With
+    ``into``, the rows are part of what that run of a warehouse changes, ``table_path`` is the
+    table's name there, and nothing is visible before the run is committed; ``append`` is not for that.
 
     Text is read and parsed once, to a folder beside the table, without a shuffle. The
     outcome per date is counted from there, and rows of good dates are moved on in
@@ -69,11 +77,25 @@ def load_days(
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     if on_bad_value not in ("fail", "quarantine"):
         raise ValueError(f"on_bad_value must be fail or quarantine, got {on_bad_value!r}")
+    if into is not None and mode == "append":
+        raise ValueError("a run of a warehouse replaces or skips dates")
     dates = list(dates)
-    skipped = landed_dates(spark, table_path, dates, "ingest_date") if mode == "skip" else []
+    if mode != "skip":
+        skipped = []
+    elif into is not None:
+        skipped = into.landed(table_path, dates)
+    else:
+        skipped = landed_dates(spark, table_path, dates, "ingest_date")
     wanted = [d for d in dates if d not in set(skipped)]
 
-    staged = staging_path(table_path)
+    staged = staging_path(table_path if into is None else f"{into.warehouse.root}/{table_path}")
+
+    def replaced(rows: DataFrame, name: str, cluster_by: Sequence[str] = ()) -> None:
+        if into is None:
+            replace_dates(rows, name, loaded, "ingest_date", cluster_by=cluster_by)
+        else:
+            into.replace_dates(rows, name, loaded, "ingest_date", cluster_by=cluster_by)
+
     as_read = F.concat_ws("\t", *[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in RAW_COLUMNS])
     parsed = typed(lines.where(F.col("file_date").isin(wanted)).withColumn("line", as_read))
     parsed = parsed.withColumn("line", F.when(is_bad(), F.col("line"))).withColumnRenamed("file_date", "ingest_date")
@@ -102,10 +124,10 @@ def load_days(
             good = good.sortWithinPartitions("ingest_date", *CLUSTER_BY)
             good.write.mode("append").partitionBy("ingest_date").parquet(table_path)
         else:
-            replace_dates(good, table_path, loaded, "ingest_date", cluster_by=CLUSTER_BY)
+            replaced(good, table_path, CLUSTER_BY)
         if on_bad_value == "quarantine":
             bad = rows.where(is_bad()).select("line", "bad_columns", "file_path", "ingest_date")
-            replace_dates(bad, quarantine_path(table_path), loaded, "ingest_date")
+            replaced(bad, quarantine_path(table_path))
     remove(spark, staged)
 
     outcome = spark.createDataFrame(
@@ -132,6 +154,7 @@ def load_days(
         rows_inserted=sum(r.rows_read - r.rows_bad for r in report if r.error is None),
         ok=len(loaded) + len(skipped) == len(dates),
         table_path=table_path,
+        into=into,
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .folders import children, remove, staging_path, swap_in
+from .folders import children, remove, restore_all, staging_path, swap_in
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
@@ -59,9 +59,11 @@ def replace_dates(
 
     The folders are ``date_column``, then ``then_by``. One job writes all dates to a
     folder beside the table; then each date's folder is moved in place of the old one,
-    so nothing of an earlier delivery stays behind.
+    so nothing of an earlier delivery stays behind. Dates that an earlier run had moved out of the
+    way when it ended are put back first.
     """
     spark, staged = df.sparkSession, staging_path(path)
+    restore_all(spark, path)
     rows = df.where(F.col(date_column).isin(list(dates)))
     stage_table(rows, staged, [date_column, *then_by], cluster_by)
     written = set(children(spark, staged))

@@ -4,11 +4,12 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from eventpulse.plans.daily import Tables, create_views, run_daily
+from eventpulse.plans.daily import create_views, run_daily
 from eventpulse.schema import RAW_COLUMNS
 from eventpulse.session import work_dir
 from eventpulse.sources import dayfiles, folders, lake
 from eventpulse.sources.load import load_days, quarantine_path, summarise_load
+from eventpulse.sources.snapshots import Warehouse
 from eventpulse.sources.tables import landed_dates, read_if_present, replace_dates, replace_table
 from eventpulse.streaming.dayfiles import load_new_files, stream_landed, stream_lines
 
@@ -222,6 +223,36 @@ def test_swapping_folders_survives_a_crash(spark, tmp_path):
     assert folders.children(spark, str(tmp_path)) == ["t"]
 
 
+def test_a_crash_between_the_moves_of_a_date_leaves_the_table_readable(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, D1), (2, D2)], "x int, ingest_date date")
+    replace_dates(rows, path, [D1, D2], "ingest_date")
+    moves, real = [], folders.at
+
+    def ends_midway(session, place):
+        files, hadoop_path = real(session, place)
+
+        class Files:
+            def rename(self, a, b):
+                moves.append((a, b))
+                if len(moves) == 2:
+                    raise OSError("the machine went away")
+                return files.rename(a, b)
+
+            def __getattr__(self, name):
+                return getattr(files, name)
+
+        return Files(), hadoop_path
+
+    monkeypatch.setattr(folders, "at", ends_midway)
+    with pytest.raises(OSError, match="went away"):
+        replace_dates(rows.withColumn("x", F.col("x") + 10), path, [D1], "ingest_date")
+    monkeypatch.undo()
+    assert [r.x for r in spark.read.parquet(path).collect()] == [2]  # readable, and the date is set aside, not lost
+    replace_dates(rows.withColumn("x", F.col("x") + 20), path, [D2], "ingest_date")
+    assert sorted(r.x for r in spark.read.parquet(path).collect()) == [1, 22]
+
+
 def test_stream_equals_batch_and_loads_each_file_once(spark, tmp_path):
     put(tmp_path, D1, line(1), line(2, fields=40))
     put(tmp_path, D2, line(3, day="20240102"))
@@ -298,12 +329,12 @@ def test_daily_run(spark, tmp_path):
     warehouse, dates, as_of = str(tmp_path / "w"), [D1, D2], D3
     for _ in range(2):
         result = run_daily(spark, dayfiles.read_day_files(spark, str(tmp_path), dates), dates, warehouse, as_of)
-        tables = Tables(warehouse)
+        tables = Warehouse(spark, warehouse)
         assert result.published and result.load.ok
-        assert spark.read.parquet(tables.events).count() == 4
-        countries = spark.read.parquet(tables.mart_country_activity).orderBy("country_rank").collect()
+        assert tables.read("events").count() == 4
+        countries = tables.read("mart_country_activity").orderBy("country_rank").collect()
         assert [(r.iso_country_code, r.event_count) for r in countries] == [("US", 3), ("DE", 1)]
-        assert spark.read.parquet(tables.mart_daily_event_tone).count() == 4
+        assert tables.read("mart_daily_event_tone").count() == 4
         assert {r.status for r in result.checks.collect()} == {"pass"}
         assert result.checks.count() == 17
 
@@ -320,7 +351,9 @@ def test_views_by_layer_follow_the_tables(spark, tmp_path):
     run_daily(spark, dayfiles.read_day_files(spark, str(tmp_path), [D2]), [D2], warehouse, D3)
     assert [tuple(r) for r in spark.sql(by_class).collect()] == [(1, 1), (3, 1), (4, 1)]
     plan = spark.sql("SELECT count(avg_tone) FROM feed_staging.events WHERE event_date = '2024-01-02'")
-    assert "PartitionFilters: [isnotnull(event_date" in plan._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan._jdf.queryExecution().executedPlan().toString().splitlines() if "avg_tone" in x and "Location" in x)
+    partition_filters = scan.partition("PartitionFilters: [")[2].partition("]")[0]
+    assert "event_date" in partition_filters and "delivery" in partition_filters
     for layer in ("raw", "staging", "mart"):
         spark.sql(f"DROP DATABASE feed_{layer} CASCADE")
 
@@ -339,10 +372,10 @@ def test_daily_run_stops_at_a_failed_date(spark, tmp_path):
     read = dayfiles.read_day_files(spark, str(tmp_path), dates)
     stopped = run_daily(spark, read, dates, warehouse, D3)
     assert (stopped.published, stopped.checks, stopped.load.ok) == (False, None, False)
-    assert read_if_present(spark, Tables(warehouse).mart_daily_event_tone) is None
-    assert spark.read.parquet(Tables(warehouse).events).count() == 1
+    assert Warehouse(spark, warehouse).read("mart_daily_event_tone") is None
+    assert Warehouse(spark, warehouse).read("events").count() == 1
     told = run_daily(spark, read, dates, warehouse, D3, on_failed_load="publish")
-    assert told.published and spark.read.parquet(Tables(warehouse).mart_daily_event_tone).count() == 1
+    assert told.published and Warehouse(spark, warehouse).read("mart_daily_event_tone").count() == 1
     with pytest.raises(ValueError):
         run_daily(spark, read, dates, warehouse, D3, on_failed_load="ignore")
 
@@ -355,7 +388,7 @@ def test_report_is_stored_and_rows_to_check_can_be_named(spark, tmp_path):
     failed = {(r.relation, r.check_name) for r in result.checks.where("status = 'error'").collect()}
     assert failed == {("events", "accepted_values"), ("mart_daily_event_tone", "accepted_values")}
     before = result.checks.orderBy("relation", "check_name", "column_name").collect()
-    spark.range(1).write.mode("overwrite").parquet(Tables(warehouse).raw_events)
+    spark.range(1).write.mode("overwrite").parquet(f"{warehouse}/raw_events")
     assert result.checks.orderBy("relation", "check_name", "column_name").collect() == before
     some = run_daily(spark, read, [D1], str(tmp_path / "x"), D3, check_where={"events": "quad_class <> 9"})
     assert {(r.relation) for r in some.checks.where("status = 'error'").collect()} == {"mart_daily_event_tone"}
@@ -366,7 +399,7 @@ def test_rows_with_bad_days_are_kept_aside(spark, tmp_path):
     warehouse = str(tmp_path / "w")
     result = run_daily(spark, dayfiles.read_day_files(spark, str(tmp_path), [D1]), [D1], warehouse, D3, on_bad_date="quarantine")
     assert result.published
-    assert [(r.GlobalEventID, r.Day) for r in spark.read.parquet(Tables(warehouse).bad_dates).collect()] == [(2, 20241399)]
+    assert [(r.GlobalEventID, r.Day) for r in Warehouse(spark, warehouse).read("bad_dates").collect()] == [(2, 20241399)]
 
 
 def test_daily_run_with_gate(spark, tmp_path):
@@ -377,7 +410,7 @@ def test_daily_run_with_gate(spark, tmp_path):
     put(tmp_path, D2, line(2, day="20240102", QuadClass="9"))
     held = run_daily(spark, dayfiles.read_day_files(spark, str(tmp_path), [D2]), [D2], warehouse, D3, gate=True)
     assert not held.published
-    assert spark.read.parquet(Tables(warehouse).mart_daily_event_tone).count() == 1
+    assert Warehouse(spark, warehouse).read("mart_daily_event_tone").count() == 1
 
 
 class Settings:

@@ -128,7 +128,7 @@ def q_fewer_rows_than(spark, sf_dir):
     return C.fewer_rows_than(customer, supplier, ["nationkey"]).violations
 
 
-_BOTH_DIRECTIONS = """SELECT 'a_minus_b' AS which_diff, * FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
+BOTH_DIRECTIONS = """SELECT 'a_minus_b' AS which_diff, * FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
     UNION ALL SELECT 'b_minus_a', * FROM (SELECT * FROM b EXCEPT SELECT * FROM a)"""
 
 
@@ -136,7 +136,7 @@ _BOTH_DIRECTIONS = """SELECT 'a_minus_b' AS which_diff, * FROM (SELECT * FROM a
     "q_equality",
     f"""WITH a AS (SELECT l_partkey AS partkey, l_suppkey AS suppkey FROM lineitem WHERE l_returnflag = 'A'),
     b AS (SELECT l_partkey AS partkey, l_suppkey AS suppkey FROM lineitem WHERE l_returnflag <> 'A')
-    {_BOTH_DIRECTIONS}""",
+    {BOTH_DIRECTIONS}""",
 )
 def q_equality(spark, sf_dir):
     """Part and supplier pairs found only among returned or only among other lines."""
@@ -152,7 +152,7 @@ def q_equality(spark, sf_dir):
       FROM orders),
     b AS (SELECT o_orderkey, CAST(round(CAST(o_totalprice AS DECIMAL(38,9)) + 0.02, 1) AS DECIMAL(38,1)) AS o_totalprice
       FROM orders)
-    SELECT which_diff, o_orderkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM ({_BOTH_DIRECTIONS})""",
+    SELECT which_diff, o_orderkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM ({BOTH_DIRECTIONS})""",
 )
 def q_equality_precision(spark, sf_dir):
     """Orders whose price differs from the price plus two hundredths after rounding to tenths."""

@@ -9,7 +9,9 @@ adverts, forms, scripts and reader comments, told by their tags, roles and class
 words, have the value 0, as have lines outside the article where a page marks one.
 The values are smoothed with a Gaussian; runs of lines above a threshold, which is a
 share of the page's mean, are the content regions, and their lines with a value of
-their own are the text.
+their own are the text. Where a page marks its article, all lines of the article that are no such
+box are text. Inside it a class or id only tells a box if the whole name does: ``related-posts``, not
+``related-work``.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from pyspark.sql import functions as F
 from .common import in_small_batches
 
 SIGMA = 1.0
-# Lines count as content from this share of the mean smoothed value on; the second holds inside a marked article.
-THRESHOLD, THRESHOLD_IN_ARTICLE = 0.4, 0.05
+# Lines count as content from this share of the mean smoothed value on, on pages that mark no article.
+THRESHOLD = 0.4
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer"
@@ -51,6 +53,11 @@ NOT_CONTENT_WORDS = frozenset(
     " banner alert popup modal overlay newsletter subscribe signup login share sharing social related recommended comment"
     " comments disqus pagination pager toolbar skip hidden".split()
 )
+# Words for the boxes themselves; names of nothing but these and the words above are boxes inside an article, too.
+BOX_WORDS = frozenset(
+    "box block wrapper wrap container inner outer bar link links button buttons icon icons posts stories area slot unit zone panel"
+    " section group main top bottom left right article articles page post site content media form text inline".split()
+)
 COMMENT_WORDS = frozenset("comment comments disqus".split())
 # A section of an article may have these names, too, so they tell comments with another sign only: a word or a list.
 MAYBE_COMMENT_WORDS = frozenset("respond replies reply discussion".split())
@@ -67,7 +74,9 @@ class _Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, int, bool, bool]] = []
         self.open: list[tuple[str, str]] = []  # tag, and why it is no content: "", "x" or "comment"
-        self.barred = self.articles = 0
+        self.places: dict[str, list[int]] = {}  # of each tag, where it lies in ``open``
+        self.blocks: list[str] = []  # the open blocks, innermost last
+        self.barred = self.articles = self.comments = 0
         self.link = self.crossed = False  # inside a link; inside it, past the bounds of a block
         self.crossing: list[tuple[int, int]] = []  # lines and their characters past such bounds, of links if an end tag comes
         self.crossing_chars = 0
@@ -97,9 +106,13 @@ class _Lines(HTMLParser):
 
     def _why(self, tag: str, attrs: list[tuple[str, str | None]]) -> str:
         given = {k: v or "" for k, v in attrs}
-        words = set()
+        words, boxes = set(), set()
         if tag not in ("html", "body") and (named := f"{given.get('class', '')} {given.get('id', '')}").strip():
-            words = {w.lower() for w in _NAME_WORDS.findall(_NEGATED.sub(" ", named))}
+            names = [{w.lower() for w in _NAME_WORDS.findall(name)} for name in _NEGATED.sub(" ", named).split()]
+            words = set().union(*names)
+            for name in names:
+                if name <= NOT_CONTENT_WORDS | BOX_WORDS:
+                    boxes |= name & NOT_CONTENT_WORDS
         maybe = words & MAYBE_COMMENT_WORDS
         if words & COMMENT_WORDS or maybe and (len(maybe) > 1 or words & COMMENT_SIGNS or tag in COMMENT_TAGS):
             return "comment"
@@ -112,17 +125,25 @@ class _Lines(HTMLParser):
         # Inside the article a header holds its title.
         if self.articles and (tag == "header" or tag in ("h1", "h2", "h3", "h4", "h5", "h6")):
             return ""
-        if tag == "header" or (words & NOT_CONTENT_WORDS and not (self.articles and words & NOT_CONTENT_WORDS == {"header"})):
-            return "x"
-        return ""
+        if self.articles:
+            return "x" if boxes - {"header"} else ""
+        return "x" if tag == "header" or words & NOT_CONTENT_WORDS else ""
 
     def _push(self, tag: str, why: str) -> None:
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag in BLOCKS:
+            self.blocks.append(tag)
         self.open.append((tag, why))
+        self.comments += why == "comment"
         self.barred += bool(why)
         self.articles += tag in ARTICLE and not self.barred
 
     def _pop(self) -> str:
         tag, why = self.open.pop()
+        self.places[tag].pop()
+        if tag in BLOCKS:
+            self.blocks.pop()
+        self.comments -= why == "comment"
         self.articles -= tag in ARTICLE and not self.barred
         self.barred -= bool(why)
         if tag == "a":
@@ -137,7 +158,7 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        if tag in ARTICLE and self.barred and all(why != "comment" for _, why in self.open):
+        if tag in ARTICLE and self.barred and not self.comments:
             # A box before the article that was never closed.
             while self.barred:
                 self._pop()
@@ -157,20 +178,14 @@ class _Lines(HTMLParser):
         elif tag in SPACED:
             self.parts.append(" ")
         self.tags += 1
-        places = [i for i, (name, _) in enumerate(self.open) if name == tag] if tag not in ("p", "li") else []
-        if tag in ("p", "li"):  # these may be left open; a stray end must not close what is around them
-            for i in range(len(self.open) - 1, -1, -1):
-                name = self.open[i][0]
-                if name == tag:
-                    places = [i]
-                    break
-                if name in BLOCKS:
-                    break
-        if places:
+        place = (self.places.get(tag) or [-1])[-1]
+        if tag in ("p", "li") and self.blocks[-1:] != [tag]:
+            place = -1  # these may be left open; a stray end must not close what is around them
+        if place >= 0:
             if tag == "a":
                 self._end_link(by_tag=True)
-            while self._pop() != tag or len(self.open) > places[-1]:
-                pass
+            while len(self.open) > place:
+                self._pop()
 
     def handle_data(self, data: str) -> None:
         if self.barred:
@@ -200,10 +215,12 @@ def main_text(html: str) -> str:
     ])
     if not values.any():
         return ""
+    if has_article:
+        return "\n\n".join(lines[i][0] for i in np.flatnonzero(values > 0).tolist())
     reach = int(3 * SIGMA)
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / SIGMA) ** 2)
     smooth = np.convolve(values, kernel / kernel.sum())[reach : reach + len(values)]
-    least = (THRESHOLD_IN_ARTICLE if has_article else THRESHOLD) * smooth[values > 0].mean()
+    least = THRESHOLD * smooth[values > 0].mean()
     return "\n\n".join(lines[i][0] for i in np.flatnonzero((smooth >= least) & (values > 0)).tolist())
 
 

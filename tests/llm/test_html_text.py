@@ -1,7 +1,10 @@
 """Extraction against the marked articles of the supplied pages, and on pages of other shapes."""
 
 import html
+import math
+import random
 import re
+import time
 
 import pytest
 
@@ -79,3 +82,48 @@ def test_empty_table(frame):
 )
 def test_links_and_discussions(page, want):
     assert main_text(page) == want
+
+
+NAMES = (
+    "sharing-economy related-work notice-period skip-list hidden-figures ad-hoc login-guide banner-history social-history"
+    " promotion-theory widget-design"
+).split()
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_a_section_named_after_its_heading_is_text(name):
+    """Inside an article a name is a box's only if all of it says so."""
+    page = '<article><h1>Title</h1><section id="{0}" class="part {0}"><h2>Head</h2><p>Some words.</p></section></article>'
+    assert main_text(page.format(name)) == "Title\n\nHead\n\nSome words."
+    for box in ("related-posts", "share-buttons", "newsletter", "cookie-banner", "adSlot"):
+        assert main_text(page.format(box)) == "Title"
+
+
+def test_every_block_of_an_article_stays():
+    tags = "<span></span>" * 200
+    page = f"<aside>x</aside><article>{tags}Ok<aside>y</aside><p>{'long text ' * 500}</p><p>end</p></article>"
+    assert main_text(page).split("\n\n")[0] == "Ok" and main_text(page).endswith("\n\nend")
+
+
+def test_deep_nesting_takes_little_time():
+    for page in ("<body>" + "<i>" * 200_000 + "text", "<body>" + "<i>x</p></li></b>" * 60_000, "<div>" * 100_000 + "text" + "</div>" * 100_000):
+        start = time.perf_counter()
+        main_text(page)
+        assert time.perf_counter() - start < 20
+
+
+def test_smoothing_against_plain_sums():
+    """Pages without an article: values, Gaussian and threshold, written out."""
+    dice = random.Random(9)
+    for _ in range(60):
+        blocks = [(dice.choice([1, 3, 10, 60, 300, 900]), dice.choice([0, 0, 1, 5, 40])) for _ in range(dice.randint(1, 14))]
+        page = "".join(f"<div>{'<b></b>' * k}{chr(97 + i) * n}</div>" for i, (n, k) in enumerate(blocks))
+        tags = [(1 if i == 0 else 2) + 2 * k for i, (_, k) in enumerate(blocks)]  # its own and the end of the one before
+        value = [math.log(1 + n / (1 + t)) for (n, _), t in zip(blocks, tags)]
+        weight = [math.exp(-0.5 * d * d) for d in range(-3, 4)]
+        smooth = [
+            sum(w / sum(weight) * value[i + d] for d, w in zip(range(-3, 4), weight) if 0 <= i + d < len(value)) for i in range(len(value))
+        ]
+        least = 0.4 * sum(smooth) / len(smooth)
+        want = [chr(97 + i) * n for i, (n, _) in enumerate(blocks) if smooth[i] >= least]
+        assert main_text(page) == "\n\n".join(want)

@@ -1,6 +1,6 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a line of a text; a line of more than ``BLOCK_WORDS`` words is cut into
+A block is a line of a text; a line of more than 64 words, or twice the longest template, is cut into
 overlapping windows, so that any run of words as long as a template lies in one block
 whole. Headers are often wrapped, so with ``across_lines`` the same windows are also
 laid over a whole text, line feeds or not. A template is found in a block that holds at least ``THRESHOLD`` of its
@@ -11,11 +11,17 @@ of the first shared word on both sides must have enough words left (position fil
 What passes is counted exactly. Templates are a fixed list of a few hundred words; it
 is the only thing sent to all tasks, with one count per word of it.
 
+A set of words says little about a short sentence, or about one of several that differ in a word.
+With ``telling``, what the join finds is judged further: the words that name a license, and numbers,
+must all be there; the words of a short template must stand in order and close together; and of the
+templates of one family the block keeps the one with most of the names that it holds.
+
 Beside this join, places are listed where a base phrase's words stand consecutively.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -58,6 +64,27 @@ TEMPLATES = (
     ("this is free and unencumbered software released into the public domain", "unlicense"),
     ("all rights reserved", "proprietary"),
 )
+# Whole paragraphs of license texts, for which windows are as long as they need.
+LICENSE_TEXTS = (
+    (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated"
+        " documentation files the software to deal in the software without restriction including without limitation the"
+        " rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit"
+        " persons to whom the software is furnished to do so subject to the following conditions",
+        "mit",
+    ),
+    (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"
+        " provided that the above copyright notice and this permission notice appear in all copies",
+        "isc",
+    ),
+    ("released under the gnu general public license", "gpl"),
+)
+# Fixed lists: words that name a license, and labels of which a sentence has one.
+NAMES = frozenset("mit apache gnu lesser affero cc nc sa creative commons mozilla".split())
+FAMILIES = (("gpl", "gpl-3.0", "lgpl", "agpl"), ("cc-by", "cc-by-4.0", "cc-by-nc-4.0", "cc-by-sa-4.0"))
+# Templates of at most so many words must be found in order, with so many words between at most.
+SHORT_WORDS, BETWEEN = 7, 2
 
 
 @dataclass(frozen=True)
@@ -66,6 +93,12 @@ class LicenseRules:
     templates: tuple[tuple[str, str], ...] = TEMPLATES
     threshold: float = THRESHOLD
     across_lines: bool = False  # windows over whole texts beside those of lines
+    telling: bool = False  # judge by names, order and family what the join finds
+
+    @cached_property
+    def block_words(self) -> int:
+        """Any run of words as long as the longest template lies whole in one of two overlapping windows."""
+        return max(BLOCK_WORDS, 2 * max((len(text.split()) for text, _ in self.templates), default=0))
 
     @cached_property
     def words(self) -> list[str]:
@@ -120,6 +153,25 @@ class _Template:
     label: str
     words: tuple[int, ...]  # numbers of its distinct words, rarest first
     least: int  # words that a block must share
+    text: tuple[int, ...]  # all its words in order
+    names: frozenset[int]
+    must: frozenset[int]  # names and numbers
+    family: int | str
+
+
+def _in_order(words: tuple[int, ...], least: int, block: np.ndarray) -> bool:
+    """Whether so many of the words stand in their order within a stretch of the block little longer than they are."""
+    reach, some = len(words) + BETWEEN, set(words)
+    for start in np.flatnonzero(np.isin(block, words)).tolist():
+        row = [0] * (len(words) + 1)  # longest common subsequence
+        for word in block[start : start + reach].tolist():
+            if word in some:
+                row = [0, *itertools.accumulate(
+                    zip(words, row, row[1:]), lambda last, x: max(last, x[2], x[1] + 1 if x[0] == word else 0), initial=0
+                )][1:]
+        if row[-1] >= least:
+            return True
+    return False
 
 
 class _Join:
@@ -130,18 +182,24 @@ class _Join:
         rank = sorted(numbers, key=lambda w: (frequencies.get(w, 0), w))
         self.rank = {numbers[w]: i for i, w in enumerate(rank)}
         self.by_prefix: dict[int, list[tuple[int, _Template]]] = {}
+        self.telling = rules.telling
         for text, label in rules.templates:
             words = tuple(sorted({numbers[w] for w in text.split()}, key=self.rank.get))
             least = max(1, int(np.ceil(rules.threshold * len(words) - 1e-9)))
-            template = _Template(label, words, least)
+            text_words = tuple(numbers[w] for w in text.split())
+            names = frozenset(numbers[w] for w in text.split() if w in NAMES)
+            must = names | {numbers[w] for w in text.split() if w.isdigit()}
+            family = next((i for i, labels in enumerate(FAMILIES) if label in labels), label)
+            template = _Template(label, words, least, text_words, names, must, family)
             for place, word in enumerate(words[: len(words) - least + 1]):
                 self.by_prefix.setdefault(word, []).append((place, template))
         self.prefix_words = np.array(sorted(self.by_prefix), np.int32)
 
-    def found(self, block: np.ndarray, n_words: int) -> dict[str, float]:
-        """Label and containment of each template that the block holds, from its rule words and its length."""
-        words = sorted(set(block.tolist()), key=self.rank.get)
-        seen, found = set(words), {}
+    def found(self, block: np.ndarray) -> dict[str, float]:
+        """Label and containment of each template that the block holds; -1 stands for words of no rule."""
+        n_words = len(block)
+        words = sorted(set(block[block >= 0].tolist()), key=self.rank.get)
+        seen, held = set(words), []
         tried = set()
         for place, word in enumerate(words):
             for template_place, template in self.by_prefix.get(word, ()):
@@ -154,9 +212,30 @@ class _Join:
                     continue
                 shared = sum(w in seen for w in template.words)
                 if shared >= template.least:
-                    found[template.label] = max(found.get(template.label, 0.0), shared / len(template.words))
+                    held.append((template, shared))
+        if self.telling:
+            held = self._judged(held, seen, block)
+        found: dict[str, float] = {}
+        for template, shared in held:
+            found[template.label] = max(found.get(template.label, 0.0), shared / len(template.words))
         return found
 
+    @staticmethod
+    def _judged(held: list[tuple[_Template, int]], seen: set[int], block: np.ndarray) -> list[tuple[_Template, int]]:
+        held = [
+            (t, n) for t, n in held
+            if t.must <= seen and (len(t.text) > SHORT_WORDS or _in_order(t.text, t.least, block))
+        ]
+        best: dict[int | str, int] = {}
+        for t, _ in held:
+            best[t.family] = max(best.get(t.family, 0), len(t.names))
+        held = [(t, n) for t, n in held if len(t.names) == best[t.family]]
+        # Of a family's templates with as many names, the one that says most.
+        most: dict[int | str, tuple[float, int]] = {}
+        for t, n in held:
+            most[t.family] = max(most.get(t.family, (0.0, 0)), (n / len(t.words), n))
+        return [(t, n) for t, n in held if isinstance(t.family, str) or (n / len(t.words), n) == most[t.family]]
+
 
 SCHEMA = (
     "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string,"
@@ -164,12 +243,12 @@ SCHEMA = (
 )
 
 
-def windows(low: int, high: int) -> list[tuple[int, int]]:
+def windows(low: int, high: int, size: int = BLOCK_WORDS) -> list[tuple[int, int]]:
     """The blocks of a line whose words are numbered from ``low`` up to ``high``."""
-    if high - low <= BLOCK_WORDS:
+    if high - low <= size:
         return [(low, high)]
-    step = BLOCK_WORDS // 2
-    return [(i, min(high, i + BLOCK_WORDS)) for i in range(low, high - step, step)]
+    step = size // 2
+    return [(i, min(high, i + size)) for i in range(low, high - step, step)]
 
 
 def _scan(rules: LicenseRules, frequencies: dict[str, int]):
@@ -183,20 +262,20 @@ def _scan(rules: LicenseRules, frequencies: dict[str, int]):
             ids = batch.column("doc_id").to_pylist()
             for first, texts in chunks(lowered(batch.column("text"))):
                 part = ids[first : first + len(texts)]
-                yield _scanned(reader, join, phrases, is_prefix, part, texts, rules.across_lines)
+                yield _scanned(reader, join, phrases, is_prefix, part, texts, rules)
 
     return scan
 
 
-def _text_windows(line: np.ndarray, at_prefix: np.ndarray, doc_words: np.ndarray) -> Iterator[tuple[int, int, int]]:
+def _text_windows(line: np.ndarray, at_prefix: np.ndarray, doc_words: np.ndarray, size: int) -> Iterator[tuple[int, int, int]]:
     """Text, begin and end of the windows over texts of several lines that hold a prefix word."""
-    step = BLOCK_WORDS // 2
+    step = size // 2
     bounds = np.searchsorted(at_prefix, doc_words)
     for doc in np.flatnonzero(np.diff(bounds)).tolist():
         low, high = int(doc_words[doc]), int(doc_words[doc + 1])
         if line[low] == line[high - 1]:
             continue
-        blocks = windows(low, high)
+        blocks = windows(low, high, size)
         spot = (at_prefix[bounds[doc] : bounds[doc + 1]] - low) // step
         held = np.unique(np.concatenate((spot - 1, spot)))
         held = held[(held >= 0) & (held < len(blocks))] if len(blocks) > 1 else np.zeros(1, np.int64)
@@ -204,7 +283,7 @@ def _text_windows(line: np.ndarray, at_prefix: np.ndarray, doc_words: np.ndarray
             yield doc, *blocks[i]
 
 
-def _scanned(reader, join, phrases, is_prefix, ids, texts, across_lines) -> pa.RecordBatch:
+def _scanned(reader, join, phrases, is_prefix, ids, texts, rules) -> pa.RecordBatch:
     data, docs = text_bytes(texts)
     starts, ends, doc_words = word_bounds(data, docs, ALNUM)
     numbers = reader.numbers(data, starts, ends)
@@ -233,10 +312,9 @@ def _scanned(reader, join, phrases, is_prefix, ids, texts, across_lines) -> pa.R
 
     def compare(doc: int, begin: int, end: int) -> None:
         own = numbers[begin:end]
-        own = own[own >= 0]
         if not is_prefix[own].any():
             return
-        for label, score in join.found(own, end - begin).items():
+        for label, score in join.found(own).items():
             found[doc][label] = max(found[doc].get(label, 0.0), score)
             blocks[doc].append(f"{label}:{begin - int(doc_words[doc])}:{end - int(doc_words[doc])}")
 
@@ -247,10 +325,10 @@ def _scanned(reader, join, phrases, is_prefix, ids, texts, across_lines) -> pa.R
         low, high = (int(x) for x in np.searchsorted(line, [line[at], line[at] + 1]))
         done = high - 1
         doc = int(np.searchsorted(doc_words, at, side="right")) - 1
-        for begin, end in windows(low, high):
+        for begin, end in windows(low, high, rules.block_words):
             compare(doc, begin, end)
-    if across_lines:
-        for doc, begin, end in _text_windows(line, at_prefix, doc_words):
+    if rules.across_lines:
+        for doc, begin, end in _text_windows(line, at_prefix, doc_words, rules.block_words):
             compare(doc, begin, end)
     rows = []
     for i, doc_id in enumerate(ids):
@@ -281,9 +359,6 @@ def scan_licenses(
     ``rules.across_lines`` a template may be listed by its line and by windows. A null text is
     empty; null and repeated ids are kept; other columns are ignored.
     """
-    longest = max(len(text.split()) for text, _ in rules.templates)
-    if longest > BLOCK_WORDS // 2:
-        raise ValueError(f"a template may have at most {BLOCK_WORDS // 2} words")
     in_small_batches(docs)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     frequencies = word_frequencies(texts.select("text"), rules)

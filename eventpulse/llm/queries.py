@@ -19,7 +19,7 @@ from .exact_dedup import exact_dedup
 from .hard_negatives import mine_hard_negatives
 from .html_text import extract_text
 from .jaccard_join import jaccard_components
-from .licenses import LicenseRules, scan_licenses
+from .licenses import LICENSE_TEXTS, TEMPLATES, LicenseRules, scan_licenses
 from .line_dedup import dedup_lines
 from .mixing import mix
 from .periodic_runs import find_runs
@@ -42,7 +42,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_license_scan")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(table(spark, sf_dir, "documents"), rules=LicenseRules(across_lines=True))
+    rules = LicenseRules(templates=TEMPLATES + LICENSE_TEXTS, across_lines=True, telling=True)
+    return scan_licenses(table(spark, sf_dir, "documents"), rules=rules)
 
 
 @query("op3_html_text")

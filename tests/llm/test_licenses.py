@@ -1,9 +1,11 @@
 """License scans against a brute-force version without filters or hashes."""
 
+import itertools
+import math
 import random
 import re
 
-from eventpulse.llm.licenses import BASE_PHRASES, BLOCK_WORDS, TEMPLATES, THRESHOLD, scan_licenses, windows
+from eventpulse.llm.licenses import BASE_PHRASES, BLOCK_WORDS, FAMILIES, LICENSE_TEXTS, NAMES, TEMPLATES, THRESHOLD, scan_licenses, windows
 from eventpulse.llm.licenses import LicenseRules
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -121,3 +123,81 @@ def test_query_scans_across_lines(spark, tmp_path):
     text = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted"
     spark.createDataFrame([(1, text)], "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
     assert [(r.labels, r.score) for r in op2(spark, str(tmp_path)).collect()] == [("bsd", 1.0)]
+
+
+OWN = [
+    ("Released under the MIT License.", "mit"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software", "mit"),
+    ("Licensed under CC BY 4.0", "cc-by,cc-by-4.0"),
+    ("Licensed under CC BY-NC 4.0", "cc-by,cc-by-nc-4.0"),
+    ("Licensed under\nCC BY-SA 4.0", "cc-by,cc-by-sa-4.0"),
+    ("released under the GNU General Public License", "gpl"),
+    ("You can redistribute it and/or modify it under the terms of the GNU General Public License", "gpl"),
+    ("This work is licensed under the GNU General Public License, version 3", "gpl,gpl-3.0"),
+    ("This work is licensed under the GNU General Public License, version 2", "gpl"),
+    ("This work is licensed under the GNU Lesser General Public License, version 3", "lgpl"),
+    ("under the terms of the GNU Affero General Public License", "agpl"),
+    ("Licensed under the Apache License, Version 2.0", "apache,apache-2.0"),
+    ("You reserved all your rights under law", ""),
+    ("All rights reserved.", "proprietary"),
+    ("the license was released, under which mitten is unclear", ""),
+]
+
+
+def judged(text):
+    """Labels of the templates in a text of one block, judged by hand-made rules on plain lists."""
+    rules = LicenseRules(templates=TEMPLATES + LICENSE_TEXTS)
+    words = WORD.findall(text.translate(LOWER))
+    labels = {label for phrase, label in BASE_PHRASES if f" {phrase} " in f" {' '.join(words)} "}
+    held = []
+    for template, label in rules.templates:
+        own = template.split()
+        shared = set(own) & set(words)
+        least = math.ceil(THRESHOLD * len(set(own)) - 1e-9)
+        telling = {w for w in own if w in NAMES or w.isdigit()}
+        if len(shared) < least or not telling <= set(words):
+            continue
+        if len(own) <= 7:
+            stretches = [words[i : i + len(own) + 2] for i in range(len(words))]
+            choices = [c for n in range(least, len(own) + 1) for c in itertools.combinations(own, n)]
+
+            def holds(stretch, choice):
+                rest = iter(stretch)
+                return all(w in rest for w in choice)
+
+            if not any(holds(s, c) for s in stretches for c in choices):
+                continue
+        held.append((label, len(telling & NAMES), len(shared) / len(set(own)), len(shared)))
+    for family in FAMILIES:
+        mine = [h for h in held if h[0] in family]
+        labels |= {h[0] for h in mine if h[1:] == max(x[1:] for x in mine)}
+        held = [h for h in held if h[0] not in family]
+    return ",".join(sorted(labels | {h[0] for h in held}))
+
+
+def test_each_sentence_has_its_own_label(spark, tmp_path):
+    from eventpulse.llm.queries import op2
+
+    dice = random.Random(21)
+    texts = [t for t, _ in OWN]
+    for _ in range(400):
+        words = dice.choice(TEMPLATES + LICENSE_TEXTS[2:])[0].split()
+        words = [w for w in words if dice.random() > 0.12]
+        for _ in range(dice.choice([0, 0, 1, 2, 5])):
+            words.insert(dice.randint(0, len(words)), dice.choice(["lesser", "nc", "sa", "mit", "gnu", "3", "x", "y", "license"]))
+        texts.append(" ".join(words + dice.choice(TEMPLATES)[0].split() * dice.choice([0, 0, 1])))
+    rows = list(enumerate(texts))
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.labels for r in op2(spark, str(tmp_path)).collect()}
+    assert [got[i] for i in range(len(OWN))] == [label for _, label in OWN]
+    assert {i: got[i] for i, t in rows if "\n" not in t} == {i: judged(t) for i, t in rows if "\n" not in t}
+
+
+def test_long_templates_have_windows_of_their_length(frame):
+    text, label = LICENSE_TEXTS[0]
+    rules = LicenseRules(templates=LICENSE_TEXTS, across_lines=True, telling=True)
+    filler = " ".join(f"w{i}" for i in range(201))
+    rows = [(i, f"{' '.join(filler.split()[:i * 9])} {text} {filler}") for i in range(20)]
+    rows += [(50, " ".join(text.split()[:30])), (51, text.replace(" ", "\n"))]
+    got = {r.doc_id: r.labels for r in scan_licenses(frame(rows, "doc_id bigint, text string"), rules=rules).collect()}
+    assert got == {i: "" if i == 50 else label for i, _ in rows}

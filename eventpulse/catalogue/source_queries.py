@@ -32,13 +32,17 @@ from .base import query, table
 from .feed import AS_OF, RAW_SQL, feed_days, raw_feed
 
 
+# Lines of one archive; a day with more is delivered in several.
+_LINES_OF_ARCHIVE = 50_000
+
+
 def _zipped(rows: pd.DataFrame) -> pd.DataFrame:
-    """The lines of one day as an archive."""
+    """Lines of one day as an archive."""
     out, day = io.BytesIO(), rows["file_date"].iloc[0]
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
         archive.writestr(day.strftime("%Y%m%d.export.CSV"), "\n".join(rows["line"]) + "\n")
     name = day.strftime(ARCHIVE_NAME)
-    return pd.DataFrame([[f"zips/{name}", name, out.getvalue()]], columns=["file_path", "file_name", "content"])
+    return pd.DataFrame([[f"zips/{rows['part'].iloc[0]}/{name}", name, out.getvalue()]], columns=["file_path", "file_name", "content"])
 
 
 @query(
@@ -49,7 +53,10 @@ def _zipped(rows: pd.DataFrame) -> pd.DataFrame:
 def archived_lines(spark, sf_dir):
     """Each day's lines zipped and unzipped again, then typed and counted."""
     lines = tab_lines(raw_feed(spark, sf_dir)).select("line", "file_date")
-    archives = lines.groupBy("file_date").applyInPandas(_zipped, "file_path string, file_name string, content binary")
+    # So many parts that even a day with all lines is dealt out in archives of about the size wanted.
+    parts = 1 + lines.count() // _LINES_OF_ARCHIVE
+    dealt = lines.withColumn("part", F.pmod(F.xxhash64("line"), F.lit(parts)))
+    archives = dealt.groupBy("file_date", "part").applyInPandas(_zipped, "file_path string, file_name string, content binary")
     return typed(split_lines(unzipped(archives))).groupBy("file_date").agg(
         F.count(F.lit(1)).alias("n_events"),
         F.sum("NumArticles").alias("n_articles"),
@@ -128,31 +135,30 @@ def views_by_layer(spark, sf_dir):
     return found
 
 
-_KINDS = ("click", "error", "purchase", "signup", "view")
-
-
 def _event_tables(spark, sf_dir) -> str:
-    """A database with one table per kind of event and one of another name. Its files outlive it."""
+    """A database with one table per kind of event and a view of another name on the first. Its files outlive it."""
     name = f"listed_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name}")
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    for kind in _KINDS:
+    # A table per kind is what is asked for, so as many names reach the driver.
+    kinds = sorted(r[0] for r in events.select("event_type").distinct().collect() if r[0] is not None)
+    for kind in kinds:
         rows = events.where(F.col("event_type") == kind)
-        rows.write.option("path", work_dir(spark, f"events-{kind}")).saveAsTable(f"{name}.events_{kind}")
-    spark.sql(f"CREATE VIEW {name}.all_events AS SELECT * FROM {name}.events_view")
+        rows.write.option("path", work_dir(spark, f"events-{kind}")).saveAsTable(f"{name}.`events_{kind}`")
+    spark.sql(f"CREATE VIEW {name}.all_events AS SELECT * FROM {name}.`events_{kinds[0]}`")
     return name
 
 
 @query(
     "union_by_pattern",
     """SELECT 'events_' || event_type AS source, count(*) AS n_events, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events
-    WHERE event_type IN ('click', 'purchase', 'signup', 'view') GROUP BY 1""",
+    WHERE event_type NOT LIKE '%error' GROUP BY 1""",
 )
 def union_by_pattern(spark, sf_dir):
     """The tables whose names match a pattern, less those of another, as one."""
     database = _event_tables(spark, sf_dir)
     names = [name for _, name, _ in I.get_relations_by_pattern(spark, database, "EVENTS_%", "%error")]
-    frames = {name: spark.table(f"{database}.{name}") for name in names}
+    frames = {name: spark.table(f"{database}.`{name}`") for name in names}
     spark.sql(f"DROP DATABASE {database} CASCADE")
     united = union_relations(frames, source_column_name="source")
     return united.groupBy("source").agg(F.count(F.lit(1)).alias("n_events"), F.sum("event_id").alias("id_sum"))
@@ -161,15 +167,15 @@ def union_by_pattern(spark, sf_dir):
 @query(
     "relations_by_prefix",
     """SELECT 'events_' || event_type AS name, 'external' AS kind, count(*) AS n_rows FROM events
-    WHERE event_type IN ('click', 'error', 'purchase', 'signup', 'view') GROUP BY 1
-    UNION ALL SELECT 'all_events', 'view', count(*) FROM events WHERE event_type = 'view'""",
+    WHERE event_type IS NOT NULL GROUP BY 1
+    UNION ALL SELECT 'all_events', 'view', count(*) FROM events WHERE event_type = (SELECT min(event_type) FROM events)""",
 )
 def relations_by_prefix(spark, sf_dir):
     """The listed tables with their plain kinds and numbers of rows."""
     database = _event_tables(spark, sf_dir)
     listed = [r for p in ("events_", "all_") for r in I.get_relations_by_prefix(spark, database, p)]
     parts = [
-        spark.table(f"{database}.{name}").agg(F.count(F.lit(1)).alias("n_rows"))
+        spark.table(f"{database}.`{name}`").agg(F.count(F.lit(1)).alias("n_rows"))
         .select(F.lit(name).alias("name"), F.lit(kind).alias("kind"), "n_rows")
         for _, name, kind in listed
     ]

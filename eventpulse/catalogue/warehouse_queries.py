@@ -1,17 +1,22 @@
-"""Versions of a warehouse, merged deliveries, day states, uniqueness by filters, and comparison by digests."""
+"""Versions of a warehouse, merged deliveries, day states, and what filters, digests, footers and layouts spare."""
 
 from __future__ import annotations
 
+import uuid
 from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+from ..operators import checks as C
 from ..operators.digests import equality_by_digests
+from ..operators.footers import column_bounds
+from ..operators.frequent import frequent_values
 from ..operators.key_filters import key_filters, repeated_keys
 from ..plans.day_states import marts_from_states, refresh_states
 from ..plans.merge import merge_events
 from ..plans.staging import stage
 from ..session import work_dir
+from ..sources.clustering import clustered, write_bucketed
 from ..sources.snapshots import Warehouse
 from .base import query, table
 from .check_queries import BOTH_DIRECTIONS
@@ -154,3 +159,55 @@ def q_equality_by_digests(spark, sf_dir):
     copy = events.where("event_id % 1000 <> 9").withColumn("user_id", changed)
     return equality_by_digests(events, copy).violations
 
+
+
+@query(
+    "frequent_values",
+    """SELECT user_id AS value, count(*) AS n_records FROM events GROUP BY 1 ORDER BY n_records DESC, value LIMIT 12""",
+)
+def q_frequent_values(spark, sf_dir):
+    """The users with most events, from a summary of bounded size and exact counts of its candidates."""
+    return frequent_values(table(spark, sf_dir, "events"), "user_id", 12)
+
+
+@query(
+    "bounds_from_footers",
+    """SELECT 'l_orderkey' AS column_name, count(*) AS n_rows, count(*) - count(l_orderkey) AS n_null,
+      CAST(min(l_orderkey) AS VARCHAR) AS least, CAST(max(l_orderkey) AS VARCHAR) AS greatest FROM lineitem
+    UNION ALL SELECT 'l_linenumber', count(*), count(*) - count(l_linenumber), CAST(min(l_linenumber) AS VARCHAR),
+      CAST(max(l_linenumber) AS VARCHAR) FROM lineitem
+    UNION ALL SELECT 'l_returnflag', count(*), count(*) - count(l_returnflag), NULL, NULL FROM lineitem""",
+)
+def bounds_from_footers(spark, sf_dir):
+    """Rows, nulls and bounds of three columns, without reading them."""
+    return column_bounds(spark, [f"{sf_dir}/lineitem.parquet"], ["l_orderkey", "l_linenumber", "l_returnflag"])
+
+
+@query(
+    "clustered_events",
+    "SELECT event_type, count(*) AS n_events, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events WHERE user_id % 16 = 3 GROUP BY 1",
+)
+def clustered_events(spark, sf_dir):
+    """Events laid out along a curve through kind and user group, then those of one user group."""
+    path = work_dir(spark, "clustered")
+    events = table(spark, sf_dir, "events").withColumn("user_group", F.pmod("user_id", F.lit(16)))
+    clustered(events, ["event_type", "user_group"], 16).write.parquet(path)
+    some = spark.read.parquet(path).where("user_group = 3")
+    return some.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"), F.sum("event_id").alias("id_sum"))
+
+
+@query(
+    "q_relationships_bucketed",
+    """SELECT o_custkey AS id, count(*) AS n_rows FROM orders
+    WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey <> 3) GROUP BY 1""",
+)
+def q_relationships_bucketed(spark, sf_dir):
+    """Orders of customers outside the listed nations, with both tables stored by hash of the customer."""
+    database = f"bucketed_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {database}")
+    for name, key in (("orders", "o_custkey"), ("customer", "c_custkey")):
+        write_bucketed(table(spark, sf_dir, name), f"{database}.{name}", work_dir(spark, name), key, 8)
+    orders, customers = spark.table(f"{database}.orders"), spark.table(f"{database}.customer")
+    check = C.relationships_where(orders, "o_custkey", customers, "c_custkey", to_condition="c_nationkey <> 3")
+    spark.sql(f"DROP DATABASE {database} CASCADE")  # the files stay
+    return check.violations

@@ -11,12 +11,12 @@ A condition that is NULL is not a violation.
 from __future__ import annotations
 
 import functools
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,6 +108,36 @@ def summarise(checks: Sequence[Check]) -> DataFrame:
     return summary.withColumn("status", status).drop("_warn_if", "_error_if")
 
 
+class Observed:
+    """Checks that only filter rows, counted while their table is written, without another scan of it.
+
+    Counts are taken in the stage that writes, whose tasks count once however often they are tried.
+    """
+
+    def __init__(self, checks: Sequence[Check]):
+        self.checks = list(checks)
+        self.observation = Observation()
+        self._asked = [c for c in self.checks if c.condition is not None]
+
+    def on(self, df: DataFrame) -> DataFrame:
+        """The rows, with the counts attached to whatever action runs over them first."""
+        if not self._asked:
+            return df
+        return df.observe(self.observation, *[F.count_if(c.condition).alias(f"n{i}") for i, c in enumerate(self._asked)])
+
+    def told(self, stored: DataFrame, checks_of: Callable[[DataFrame], Sequence[Check]]) -> list[Check]:
+        """The checks of the stored table, those that were counted with their counts; call it after the write."""
+        counts = self.observation.get if self._asked else {}
+        places = {id(c): f"n{i}" for i, c in enumerate(self._asked)}
+        out = []
+        for before, check in zip(self.checks, checks_of(stored), strict=True):
+            if id(before) in places:
+                number = stored.sparkSession.range(1).select(F.lit(counts[places[id(before)]]).cast("bigint").alias("n_rows"))
+                check = replace(check, violations=number, failures=F.sum("n_rows"), source=None, condition=None)
+            out.append(check)
+        return out
+
+
 def _scope(df: DataFrame, where: ColumnLike | None) -> DataFrame:
     return df if where is None else df.where(where)
 

@@ -166,12 +166,17 @@ def run_daily(
         tone, countries = marts_from_states(run, as_of, crosswalk_as_listed)
     else:
         tone, countries = daily_event_tone(events, as_of), country_activity(events, as_of, crosswalk_as_listed=crosswalk_as_listed)
-    run.replace_table(tone, marts[0], ["event_date"], ["quad_class_label"])
-    run.replace_table(countries, marts[1], (), ["action_geo_country_code"])
-
-    chosen = {"raw_events": raw, "events": events, **{name: run.read(name) for name in marts}}
-    chosen = {name: df.where((check_where or {}).get(name, "true")) for name, df in chosen.items()}
-    run.replace_table(C.summarise(model_checks(*chosen.values())), "check_report")
+    # Checks that only filter rows of a mart are counted as it is written.
+    where = {name: (check_where or {}).get(name, "true") for name in LAYERS}
+    rules = {marts[0]: daily_checks, marts[1]: country_checks}
+    layouts = {marts[0]: (["event_date"], ["quad_class_label"]), marts[1]: ((), ["action_geo_country_code"])}
+    checks = [*raw_checks(raw.where(where["raw_events"])), *staged_checks(events.where(where["events"]))]
+    for name, built in zip(marts, (tone, countries)):
+        seen = C.Observed(rules[name](built) if where[name] == "true" else [])
+        run.replace_table(built, name, *layouts[name], observed=seen)
+        stored = run.read(name).where(where[name])
+        checks += seen.told(stored, rules[name]) if seen.checks else rules[name](stored)
+    run.replace_table(C.summarise(checks), "check_report")
     report = run.read("check_report")
     passed = not gate or report.where("status = 'error'").isEmpty()
     if not passed:

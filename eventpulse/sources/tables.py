@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.checks import Observed
 from .folders import children, remove, restore_all, staging_path, swap_in
 
 
@@ -41,9 +42,16 @@ def replace_table(
     swap_in(df.sparkSession, staged, path)
 
 
-def stage_table(df: DataFrame, staged: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> None:
-    """Writes a table to a folder from which ``swap_in`` can move it."""
-    writer = _laid_out(df, partition_by, cluster_by).write
+def stage_table(
+    df: DataFrame,
+    staged: str,
+    partition_by: Sequence[str] = (),
+    cluster_by: Sequence[str] = (),
+    observed: Observed | None = None,
+) -> None:
+    """Writes a table to a folder from which ``swap_in`` can move it, counting what ``observed`` asks on the way."""
+    rows = _laid_out(df, partition_by, cluster_by)
+    writer = (rows if observed is None else observed.on(rows)).write
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staged)
 
 

@@ -1,0 +1,142 @@
+"""Frequent values, footers, layouts and checks counted on the way, against the plain ways, and their plans."""
+
+import random
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from eventpulse.operators import checks as C
+from eventpulse.operators import frequent
+from eventpulse.operators.footers import column_bounds, from_footers
+from eventpulse.operators.frequent import frequent_values, least_certain
+from eventpulse.operators.introspect import column_values
+from eventpulse.sources.clustering import clustered, morton_number, write_bucketed
+from eventpulse.sources.tables import stage_table
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def listed(df):
+    return [tuple(r) for r in df.select("value", "n_records").collect()]
+
+
+@pytest.mark.parametrize("shape", ["skewed", "flat", "few", "nulls", "strings"])
+@pytest.mark.parametrize("tracked", [8, 64, 10_000])
+def test_frequent_values_equal_the_full_count(spark, shape, tracked, monkeypatch):
+    dice = random.Random(shape)
+    made = {
+        "skewed": lambda i: int(dice.paretovariate(0.6)) % 5000,
+        "flat": lambda i: i // 2,
+        "few": lambda i: i % 4,
+        "nulls": lambda i: None if i % 3 else i,
+        "strings": lambda i: dice.choice(["a", "b", "", None, f"x{i}", "é"]),
+    }[shape]
+    kind = "string" if shape == "strings" else "int"
+    df = spark.createDataFrame([(made(i),) for i in range(6000)], f"`odd name.` {kind}").repartition(5)
+    for n in (1, 3, 8):
+        assert listed(frequent_values(df, "odd name.", n, tracked)) == listed(column_values(df, "`odd name.`".strip("`"), max_records=n))
+
+
+def test_a_skewed_column_needs_no_full_count(spark, monkeypatch):
+    df = spark.range(50_000).selectExpr("CASE WHEN id % 3 = 0 THEN id % 7 ELSE id + 100 END AS v")
+    monkeypatch.setattr(frequent, "column_values", None)  # the other way is not taken
+    got = listed(frequent_values(df, "v", 5, 1000))
+    assert {v for v, _ in got} <= set(range(7)) and sum(n for _, n in got) > 10_000
+    assert least_certain(50_000, 1000) < min(n for _, n in got)
+    with pytest.raises(ValueError):
+        frequent_values(df, "v", 0)
+
+
+def test_frequent_values_of_nothing(spark):
+    none = spark.createDataFrame([], "v int")
+    assert listed(frequent_values(none, "v", 3)) == []
+    assert listed(frequent_values(spark.createDataFrame([(None,)] * 4, "v int"), "v", 3)) == [(None, 4)]
+
+
+def test_bounds_come_from_footers(spark, tmp_path):
+    df = spark.range(1000).selectExpr(
+        "CAST(CASE WHEN id % 10 = 0 THEN NULL ELSE id END AS int) AS i", "id / 4.0e0 AS x", "id % 2 = 0 AS b",
+        "date_add(DATE'2024-01-01', CAST(id % 50 AS int)) AS d", "CAST(NULL AS bigint) AS none", "CAST(id AS string) AS s",
+    )
+    df.repartition(4).write.parquet(str(tmp_path / "t"))
+    plan = plan_of(from_footers(spark, [str(tmp_path / "t")], ["i", "d"]))
+    assert "PushedAggregation: [COUNT(*), COUNT(i), MIN(i), MAX(i), COUNT(d), MIN(d), MAX(d)]" in plan
+    seen = [c for c in df.columns if c != "none"]
+    assert column_bounds(spark, [str(tmp_path / "t")], seen).count() == len(seen)
+    got = {r.column_name: tuple(r)[1:] for r in column_bounds(spark, [str(tmp_path / "t")], df.columns).collect()}
+    assert got == {
+        "i": (1000, 100, "1", "999"), "x": (1000, 0, "0.0", "249.75"), "b": (1000, 0, "false", "true"),
+        "d": (1000, 0, "2024-01-01", "2024-02-19"), "none": (1000, 1000, None, None), "s": (1000, 0, None, None),
+    }
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
+def test_bits_of_ranks_alternate(spark):
+    row = spark.range(1).select(morton_number([F.lit(5), F.lit(3)], 3).alias("z")).first()
+    assert row.z == 0b10_01_11
+
+
+def files_that_may_hold(path, column, value):
+    """How many files' footers allow the value."""
+    found = 0
+    files = list(path.glob("*.parquet"))
+    for file in files:
+        meta = pq.read_metadata(file)
+        at = meta.schema.names.index(column)
+        stats = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        found += any(s is not None and s.has_min_max and s.min <= value <= s.max for s in stats)
+    return found, len(files)
+
+
+def test_a_filter_on_any_column_skips_files(spark, tmp_path):
+    dice = random.Random(1)
+    rows = [(f"C{dice.randint(0, 39):02}", f"{dice.randint(1, 20):02}", dice.randint(1, 4), i) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "country string, root string, class int, id int")
+    clustered(df, ["country", "root", "class"], 64).write.parquet(str(tmp_path / "z"))
+    df.repartitionByRange(64, "country", "root", "class").sortWithinPartitions("country", "root", "class").write.parquet(str(tmp_path / "s"))
+    assert spark.read.parquet(str(tmp_path / "z")).exceptAll(df).isEmpty() and spark.read.parquet(str(tmp_path / "z")).count() == 20_000
+    for column, value in (("class", 3), ("root", "07"), ("country", "C11")):
+        some, n = files_that_may_hold(tmp_path / "z", column, value)
+        assert n > 40 and some <= n * 0.6
+    assert files_that_may_hold(tmp_path / "s", "class", 3)[0] > 55  # the layout by columns in turn skips nothing here
+
+
+def test_clustering_of_nulls_and_of_nothing(spark):
+    df = spark.createDataFrame([(None, 1), ("a", None), ("b", 2), (None, None)], "s string, i int")
+    assert sorted(map(str, clustered(df, ["s", "i"], 3).collect())) == sorted(map(str, df.collect()))
+    assert clustered(df.where("false"), ["s", "i"], 3).collect() == []
+    with pytest.raises(ValueError):
+        clustered(df, ["s", "i"], 3, bits=40)
+
+
+def test_bucketed_tables_are_joined_where_they_are(spark, tmp_path):
+    spark.sql("CREATE DATABASE stored_by_key")
+    try:
+        for name, n in (("a", 3000), ("b", 2000)):
+            write_bucketed(spark.range(n).selectExpr("id % 700 AS k", "id"), f"stored_by_key.{name}", str(tmp_path / name), "k", 4)
+        a, b = spark.table("stored_by_key.a"), spark.table("stored_by_key.b").where("k <> 5")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        check, unique = C.relationships_where(a, "k", b, "k"), C.unique(a, "k")
+        assert "Exchange" not in plan_of(check.violations) and "Exchange" not in plan_of(unique.violations)
+        assert [tuple(r) for r in check.violations.collect()] == [(5, 5)] and unique.violations.count() == 700
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP DATABASE stored_by_key CASCADE")
+
+
+def test_checks_counted_while_writing(spark, tmp_path):
+    df = spark.range(500).selectExpr("CASE WHEN id % 9 = 0 THEN NULL ELSE id END AS a", "id % 5 AS b")
+
+    def rules(frame):
+        return [C.not_null(frame, "a"), C.accepted_values(frame, "b", [0, 1, 2]), C.accepted_range(frame, "a", 0, 400).configured(severity="warn")]
+
+    seen = C.Observed(rules(df))
+    stage_table(df, str(tmp_path / "t"), ["b"], ["a"], seen)
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    told = seen.told(stored, rules)
+    assert sorted(map(str, C.summarise(told).collect())) == sorted(map(str, C.summarise(rules(stored)).collect()))
+    # Only the check of distinct values reads the table.
+    assert plan_of(C.summarise(told)).count("FileScan") == 1 < plan_of(C.summarise(rules(stored))).count("FileScan")

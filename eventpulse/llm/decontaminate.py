@@ -9,7 +9,10 @@ By the lemma a place within that budget shares at least m + 1 - q - k q of the p
 q-grams, and all of them lie on k + 1 neighbouring diagonals (place in the document
 less place in the piece). So shared q-grams are counted in overlapping bands of
 2 (k + 1) diagonals, which loses nothing; bands that reach the count are verified by
-a banded alignment. Passages too short for that can be looked for as whole words.
+a banded alignment. Passages that begin alike, such as questions with a shared instruction,
+give many such bands wherever a text repeats what they share; so many bands of one shape are first
+aligned together, row by row, and only those within the budget are looked at one by one.
+Passages too short for all this can be looked for as whole words.
 
 The passages are a stated query set: they go to all tasks in blocks of bounded size,
 and each block is compared with all documents, whole texts included.
@@ -40,6 +43,8 @@ LEAST_CHARS = 24
 # Characters of passages that are sent to all tasks at once, and of documents handled at once.
 BLOCK_CHARS = 4_000_000
 CHUNK_CHARS = 1 << 19
+# Postings looked at together, and bands aligned together; from so many on of one shape.
+SLICE_POSTINGS, TOGETHER, LEAST_TOGETHER = 4_000_000, 1_024, 8
 _FILTER_BITS = 22
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -146,6 +151,7 @@ class Index:
         self.maybe[self.keys >> np.uint64(64 - _FILTER_BITS)] = True
         self.width = np.array([p.edits + 1 for p in pieces], np.int64)
         self.least = np.array([p.least for p in pieces], np.int64)
+        self.longest = max(len(p.chars) for p in pieces)
         # Pieces looked for as whole words, by their lengths: sorted hashes, and the numbers of the pieces.
         by_length: dict[int, list[int]] = {}
         for number, p in enumerate(pieces):
@@ -187,6 +193,18 @@ class Index:
         equal = self.keys[at] == grams[some]
         some, at = some[equal], at[equal]
         n = self.first[at + 1] - self.first[at]
+        # Slices of bounded size, overlapping by more than a piece with its edits, so each band is whole in one.
+        upto, reach, begin = np.cumsum(n), 2 * (self.longest + 2 * int(self.width.max())), 0
+        while begin < len(some):
+            done = upto[begin - 1] if begin else 0
+            end = int(np.searchsorted(upto, done + SLICE_POSTINGS, side="right"))
+            end = max(end, int(np.searchsorted(some, some[begin] + 2 * reach, side="right")))
+            yield from self._bands_of(some[begin:end], at[begin:end], n[begin:end])
+            if end >= len(some):
+                break
+            begin = int(np.searchsorted(some, some[end] - reach))
+
+    def _bands_of(self, some: np.ndarray, at: np.ndarray, n: np.ndarray) -> Iterator[tuple[int, int, int]]:
         postings = np.repeat(self.first[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
         piece = self.piece[postings].astype(np.int64)
         diagonal = np.repeat(some, n) - self.place[postings]
@@ -213,13 +231,9 @@ def align(piece: np.ndarray, text: np.ndarray, low: int, high: int, edits: int)
 
     A path may leave the band by the edit budget. Places before and behind the match are free.
     """
-    low, high = low - edits, high + edits
-    exact = text[max(0, low) : max(0, high + len(piece))]
-    found = exact.astype("<u4").tobytes().find(piece.astype("<u4").tobytes())
-    if found >= 0 and found % 4 == 0:
-        start = max(0, low) + found // 4
-        return start, start + len(piece), 0
-    best = _banded(piece, text, low, high, edits, free=True)
+    if exact := _word_for_word(piece, text, low, high, edits):
+        return exact
+    best = _banded(piece, text, low - edits, high + edits, edits, free=True)
     if best is None:
         return None
     end = best[1]
@@ -227,6 +241,54 @@ def align(piece: np.ndarray, text: np.ndarray, low: int, high: int, edits: int)
     return (end - back[1] if back else max(0, end - len(piece))), end, best[0]
 
 
+def _word_for_word(piece: np.ndarray, text: np.ndarray, low: int, high: int, edits: int) -> tuple[int, int, int] | None:
+    begin = max(0, low - edits)
+    found = text[begin : max(0, high + edits + len(piece))].astype("<u4").tobytes().find(piece.astype("<u4").tobytes())
+    return (begin + found // 4, begin + found // 4 + len(piece), 0) if found >= 0 and found % 4 == 0 else None
+
+
+def within_budget(tasks: list[tuple[np.ndarray, np.ndarray, int, int]], edits: int) -> np.ndarray:
+    """Which of the tasks (piece, text, least and greatest diagonal) ``align`` would find; pieces and bands are of one size.
+
+    The rows of all tables are computed side by side; those beyond the budget fall out on the way.
+    """
+    found = np.zeros(len(tasks), bool)
+    m, width, far = len(tasks[0][0]), tasks[0][3] - tasks[0][2] + 1 + 2 * edits, 1 << 20
+    offsets = np.arange(width, dtype=np.int32)
+    for first in range(0, len(tasks), TOGETHER):
+        part = tasks[first : first + TOGETHER]
+        pieces = np.stack([t[0] for t in part])
+        low = np.array([t[2] - edits for t in part])
+        size = np.array([len(t[1]) for t in part])
+        places = low[:, None] + np.arange(m + width)
+        inside, after = (places >= 0) & (places <= size[:, None]), places >= 1
+        # chars[:, k] is the character that a step to place low + k reads.
+        chars = np.zeros(places.shape, np.uint32)
+        for row, (_, text, *_) in zip(range(len(part)), part):
+            begin, end = max(0, int(low[row])), min(len(text), int(low[row]) + m + width - 1)
+            if begin < end:
+                chars[row, begin - low[row] + 1 : end - low[row] + 1] = text[begin:end]
+        alive = np.arange(len(part))
+        table = np.where(inside[:, :width], 0, far).astype(np.int32)
+        for i in range(1, m + 1):
+            here = slice(i, i + width)
+            step = table + (chars[alive, here] != pieces[alive, i - 1, None])
+            step[~after[alive, here]] = far
+            down = np.full_like(table, far)
+            down[:, :-1] = table[:, 1:] + 1
+            ok = inside[alive, here]
+            step = np.where(ok, np.minimum(step, down), far)
+            table = np.where(ok, np.minimum.accumulate(step - offsets, axis=1) + offsets, far).astype(np.int32)
+            if i % 4 == 0:
+                lasting = table.min(axis=1) <= edits
+                if not lasting.all():
+                    alive, table = alive[lasting], table[lasting]
+                    if not len(alive):
+                        break
+        found[first + alive[table.min(axis=1) <= edits] if len(alive) else []] = True
+    return found
+
+
 def _banded(piece: np.ndarray, text: np.ndarray, low: int, high: int, edits: int, free: bool) -> tuple[int, int] | None:
     """Fewest edits, if within the budget, and the end in the text. Cell c of row i is the text's place i + low + c."""
     width, far = high - low + 1, 1 << 20
@@ -255,21 +317,40 @@ def _leaks(index: Index, texts: list[str]) -> dict[int, list[tuple[Piece, int, i
     """By text: pieces found, with start and end in the text's own characters, and edits."""
     chars, places, starts = normalised(texts)
     found: dict[int, dict[int, tuple[int, int, int]]] = {}
+    bands: dict[tuple[int, int, int], list[tuple[int, int, int, int]]] = {}
     for number, low, high in index.bands(chars):
         piece = index.pieces[number]
         middle = min(max((low + high) // 2 + len(piece.chars) // 2, 0), len(chars) - 1)
         first = int(np.searchsorted(starts, max(low, 0), side="right")) - 1
         last = int(np.searchsorted(starts, min(max(high + len(piece.chars), middle), len(chars) - 1), side="right")) - 1
         for doc in range(first, last + 1):
-            if found.get(doc, {}).get(number, (0, 0, 1))[2] == 0:
-                continue
-            begin, end = int(starts[doc]), int(starts[doc + 1]) - Q
-            if end <= begin:
-                continue
-            hit = align(piece.chars, chars[begin:end], low - begin, high - begin, piece.edits)
-            if hit and hit[2] < found.get(doc, {}).get(number, (0, 0, 1 << 20))[2]:
-                own = places[begin:end]
-                found.setdefault(doc, {})[number] = (int(own[hit[0]]), int(own[hit[1] - 1]) + 1, hit[2])
+            if int(starts[doc + 1]) - Q > int(starts[doc]):
+                bands.setdefault((len(piece.chars), high - low, piece.edits), []).append((number, doc, low, high))
+
+    def own(doc: int) -> slice:
+        return slice(int(starts[doc]), int(starts[doc + 1]) - Q)
+
+    def note(number: int, doc: int, hit: tuple[int, int, int]) -> None:
+        if hit[2] < found.get(doc, {}).get(number, (0, 0, 1 << 20))[2]:
+            of_text = places[own(doc)]
+            found.setdefault(doc, {})[number] = (int(of_text[hit[0]]), int(of_text[hit[1] - 1]) + 1, hit[2])
+
+    for (*_, edits), tasks in bands.items():
+        inexact = []
+        for number, doc, low, high in tasks:
+            if found.get(doc, {}).get(number, (0, 0, 1))[2]:
+                begin = int(starts[doc])
+                task = index.pieces[number].chars, chars[own(doc)], low - begin, high - begin
+                if hit := _word_for_word(*task, edits):
+                    note(number, doc, hit)
+                else:
+                    inexact.append((number, doc, task))
+        if len(inexact) >= LEAST_TOGETHER:
+            good = within_budget([task for *_, task in inexact], edits)
+            inexact = [x for x, is_good in zip(inexact, good) if is_good]
+        for number, doc, task in inexact:
+            if found.get(doc, {}).get(number, (0, 0, 1))[2] and (hit := align(*task, edits)):
+                note(number, doc, hit)
     for number, at in index.whole_words(chars):
         doc = int(np.searchsorted(starts, at, side="right")) - 1
         end = at + len(index.pieces[number].chars)

@@ -1,6 +1,7 @@
 """Leaks against a plain edit-distance search over every place of every document."""
 
 import random
+import time
 
 import numpy as np
 
@@ -132,3 +133,46 @@ def test_short_passages_as_whole_words(spark, frame):
     assert all(plain(text[r.doc_id][r.begin : r.end]) == plain(passages[r.item_id]) and r.edits == 0 for r in got)
     kept = {r.doc_id for r in without_leaks(docs, benchmark, whole_words=True).collect()}
     assert kept == {d for d, _ in rows} - {d for d, _ in want}
+
+
+def _shared_opening(dice):
+    words = lambda n: " ".join("".join(dice.choices("abcdefghijklmnop", k=dice.randint(2, 8))) for _ in range(n))
+    opening = "read the following question and choose the best answer "
+    return opening, words, [(i, opening + words(60)) for i in range(50)]
+
+
+def test_a_text_that_repeats_what_passages_share_takes_little_time():
+    opening, words, items = _shared_opening(random.Random(1))
+    index = decontaminate.Index(decontaminate.pieces_of(items))
+    text = " ".join(opening + words(4) for _ in range(500))
+    start = time.perf_counter()
+    assert decontaminate._leaks(index, [text]) == {}
+    assert time.perf_counter() - start < 20
+
+
+def test_bands_aligned_together_are_those_aligned_alone(monkeypatch):
+    """Also in slices of few postings."""
+    dice = random.Random(2)
+    opening, words, items = _shared_opening(dice)
+    items = items[:12]
+    index = decontaminate.Index(decontaminate.pieces_of(items))
+
+    def spoiled(text):
+        chars = list(text)
+        for _ in range(dice.randint(0, len(chars) // 8)):
+            chars[dice.randrange(len(chars))] = dice.choice("xyz ")
+        return "".join(chars[dice.choice([0, dice.randrange(len(chars))]) :])
+
+    n_found = 0
+    for _ in range(6):
+        parts = lambda: [dice.choice([opening, words(20), spoiled(dice.choice(items)[1])]) for _ in range(dice.randint(0, 30))]
+        texts = [" ".join(parts()) for _ in range(8)]
+        results = []
+        for together, postings in ((1, 4_000_000), (10**9, 4_000_000), (4, 300)):
+            monkeypatch.setattr(decontaminate, "LEAST_TOGETHER", together)
+            monkeypatch.setattr(decontaminate, "SLICE_POSTINGS", postings)
+            found = decontaminate._leaks(index, texts)
+            results.append({doc: sorted((p.item_id, len(p.chars), *x) for p, *x in hits) for doc, hits in found.items()})
+        assert results[0] == results[1] == results[2]
+        n_found += sum(map(len, results[0].values()))
+    assert n_found > 100

@@ -2,7 +2,7 @@
 
 One model per language is fitted on a bounded sample of labelled documents: whole
 documents in order of a hash of their id, at most ``sample_docs`` per language and
-none beyond ``sample_chars`` characters. A model is, for each order, a sorted array of
+none beyond ``sample_chars`` characters; documents of more than a twentieth of these come last. A model is, for each order, a sorted array of
 n-gram hashes with log-probabilities and a sorted array of context hashes with
 back-off weights. A text belongs to the language whose model gives the least
 cross-entropy per character.
@@ -32,7 +32,7 @@ from .common import in_small_batches, kept_by_worker
 
 ORDER = 5
 UNDETERMINED = "und"
-SAMPLE_DOCS, SAMPLE_CHARS = 2_000, 2_000_000
+SAMPLE_DOCS, SAMPLE_CHARS, MOST_LANGUAGES = 2_000, 2_000_000, 1_000
 REJECT, LEAST_ROOM = 12.0, 1.0
 # Distinct letters that the models take to be possible, for those never seen.
 ALPHABET = 4_096
@@ -238,19 +238,23 @@ def _fitted(rows: pd.DataFrame) -> pd.DataFrame:
 
 def fit_models(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS,
+    sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS, most_languages: int = MOST_LANGUAGES,
 ) -> list:
     """One row per language: lang, model, mean, deviation, per_char; in order of lang.
 
     Rows without language or letters are left out. First the rows of each language are
     counted; then the share of hashes that holds about twice ``sample_docs`` of them is
     read, and the sample is taken from these. So neither what is shuffled, nor what one
-    task fits, nor what reaches the driver grows with the documents.
+    task fits, nor what reaches the driver grows with the documents. More than ``most_languages``
+    different labels are an error: they would all go to the driver, and their models to all tasks.
     """
     told = docs.where(F.col(lang_col).isNotNull()).withColumn("_lang", F.col(lang_col).cast("string"))
-    counts = {r["_lang"]: r["n"] for r in told.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = told.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).limit(most_languages + 1)
+    counts = {r["_lang"]: r["n"] for r in counted.collect()}
     if not counts:
         return []
+    if len(counts) > most_languages:
+        raise ValueError(f"there are more than {most_languages} languages")
     bound = {lang: int(2**63 * min(1.0, 2 * sample_docs / n)) - 1 for lang, n in counts.items()}
     place = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.col(text_col)), 1)
     bounds = F.create_map(*(F.lit(x).cast(kind) for lang in bound for x, kind in ((lang, "string"), (bound[lang], "bigint"))))
@@ -258,7 +262,9 @@ def fit_models(
         F.col("_lang").alias("lang"), F.col(text_col).alias("text"), place.alias("place"), F.char_length(text_col).alias("n")
     )
     rows = rows.where((F.col("place") <= bounds[F.col("lang")]) & F.col("text").rlike(r"\p{L}"))
-    first = rows.withColumn("number", F.row_number().over(W.partitionBy("lang").orderBy("place")))
+    # A text that would fill much of the sample is taken only when others leave room.
+    is_long = F.col("n") > sample_chars // 20
+    first = rows.withColumn("number", F.row_number().over(W.partitionBy("lang").orderBy(is_long, "place")))
     first = first.where(F.col("number") <= sample_docs)
     upto = W.partitionBy("lang").orderBy("number").rowsBetween(W.unboundedPreceding, 0)
     sample = first.withColumn("upto", F.sum("n").over(upto)).where((F.col("upto") <= sample_chars) | (F.col("number") == 1))
@@ -333,7 +339,12 @@ def identify(docs: DataFrame, models: list, id_col: str = "doc_id", text_col: st
 
 
 def without_rejected(docs: DataFrame, models: list, text_col: str = "text") -> DataFrame:
-    """The documents, with all their columns, that are not rejected. Nothing is shuffled."""
+    """The documents, with all their columns, that are not rejected. Nothing is shuffled.
+
+    Without a model nothing is known to be unlike the languages, so all texts with a letter stay.
+    """
+    if not models:
+        return docs.where(F.col(text_col).rlike(r"\p{L}"))
     shared = _shared(docs, models)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,9 +6,10 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from eventpulse.llm import language
-from eventpulse.llm.language import ORDER, CharacterModel, Scorer, fit_models, identify, normalised
+from eventpulse.llm.language import ORDER, CharacterModel, Scorer, fit_models, identify, normalised, without_rejected
 from eventpulse.llm.queries import op9
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -133,3 +134,23 @@ def test_sample_is_bounded(frame):
     rows = [(i, f"word {i}", "en") for i in range(300)]
     ((lang, _, *_),) = fit_models(frame(rows, "doc_id bigint, text string, lang string"), sample_docs=10, sample_chars=40)
     assert lang == "en"
+
+
+def test_long_documents_leave_a_sample(frame):
+    """Texts that would fill the sample come last; where there are no others, one is taken."""
+    words = {"en": "the quick brown fox jumps over the lazy dog", "de": "der schnelle braune fuchs springt weit hinaus"}
+    rows = [(i, f"{words['en']} {i}", "en") for i in range(30)] + [(100 + i, (words["en"] + " ") * 300, "en") for i in range(30)]
+    rows += [(200 + i, (words["de"] + f" {i} ") * 300, "de") for i in range(5)]
+    docs = frame(rows, "doc_id bigint, text string, lang string")
+    models = fit_models(docs, sample_chars=20_000)
+    assert [m.lang for m in models] == ["de", "en"]
+    got = {r.doc_id: r.lang_pred for r in identify(docs, models).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)
+    with pytest.raises(ValueError, match="languages"):
+        fit_models(docs, most_languages=1)
+
+
+def test_without_a_model_texts_with_a_letter_stay(frame):
+    docs = frame([(1, "some text", None), (2, None, None), (3, "123 !", None), (4, "ß", None)], "doc_id bigint, text string, lang string")
+    assert fit_models(docs) == []
+    assert sorted(r.doc_id for r in without_rejected(docs, []).collect()) == [1, 4]

@@ -91,8 +91,9 @@ def _range_runs(bits: int, n_ranges: int):
     """Rows of range, hashes, holders, keys and several: what a run of classes has in a range of hashes.
 
     ``hashes`` are the differences of the sorted cut hashes; ``holders`` the place of the
-    one class of the run that has each, or a mark for several; ``keys`` the classes;
-    ``several`` how many shingles of the range each class shares within the run.
+    one class of the run that has each, or a mark for several; ``keys`` the classes that
+    have a hash in the range; ``several`` how many shingles of the range each of them
+    shares within the run. So a row is no longer than its hashes, however many ranges there are.
     """
     edges = np.array([(i << bits) // n_ranges for i in range(n_ranges + 1)], np.uint64)
 
@@ -118,9 +119,11 @@ def _range_runs(bits: int, n_ranges: int):
                 if a == b:
                     continue
                 own = slice(places[i], places[i + 1])
-                several = np.bincount(holder[own][shared[own]], minlength=len(key)).astype(np.uint32)
+                there, local = np.unique(holder[own], return_inverse=True)
+                several = np.bincount(local[shared[own]], minlength=len(there)).astype(np.uint32)
+                lone = np.where(alone[a:b] == _SEVERAL, _SEVERAL, np.searchsorted(there, alone[a:b]).astype(np.uint32))
                 deltas = np.diff(values[a:b], prepend=edges[i : i + 1])
-                rows.append((i, _packed(deltas), _packed(alone[a:b]), key.tobytes(), _packed(several)))
+                rows.append((i, _packed(deltas), _packed(lone), key[there].tobytes(), _packed(several)))
             kinds = [pa.int32(), *[pa.binary()] * 4]
             columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
             return pa.record_batch(columns, names=["range", "hashes", "holders", "keys", "several"])

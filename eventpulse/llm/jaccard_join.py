@@ -13,8 +13,9 @@ each drop only what cannot link:
    (prefix filter), so classes whose prefixes share none need not be compared.
 3. *Prefix trees.* Classes whose prefixes share shingles, directly or through others, form
    candidate groups, and each is joined on a prefix tree, which finds all its links. A
-   candidate group beyond ``BLOCK_SETS`` is cut into blocks of sets of about one size, and
-   pairs of blocks are joined; pairs whose sizes rule links out are not.
+   candidate group beyond ``BLOCK_SETS`` is cut into blocks of sets that begin alike. A
+   set meets another block only if a set of like size there has a shingle of its prefix,
+   so groups that hang together by a few sets cost no more than their parts.
 
 Every link is verified on whole sets of 64-bit hashes, and both its classes count it. A
 task returns these counts and, of the links themselves, as many as connect its classes,
@@ -43,8 +44,6 @@ RUN_SHINGLES, RANGE_SHINGLES = 1_000_000, 2_000_000
 # Hash bits beyond those that number all shingles: the share of chance meetings is 2 ** -SPARE_BITS.
 SPARE_BITS = 12
 BLOCK_SETS = 1_000
-# Not used since the trees find all links; an existing test sets it.
-FOLLOWERS = 1_000
 # Bits of the filter that spares most texts a shuffle. Its size is fixed; when it fills up, more rows are shuffled.
 FILTER_BITS, SEGMENTS = 23, 64
 RUN_ROWS = 200_000
@@ -268,7 +267,7 @@ LINKS = "a bigint, b bigint, links bigint"
 def _tree_links(rows: pd.DataFrame) -> pd.DataFrame:
     """Links that connect the classes of a candidate group, each group by itself, and link counts as rows without b.
 
-    ``side`` 2 is compared with side 1 only.
+    Sets of ``side`` 0 are compared with each other, those of side 2 with those of side 1 only.
     """
     links: list[tuple] = []
     for _, group in rows.groupby("candidate"):
@@ -279,6 +278,9 @@ def _tree_links(rows: pd.DataFrame) -> pd.DataFrame:
 def _linked(rows: pd.DataFrame) -> list[tuple]:
     keys = rows["key"].to_numpy()
     sizes, side = rows["n"].to_numpy(), rows["side"].to_numpy()
+    in_tree, probes = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
+    if not len(in_tree) or not len(probes):
+        return []
     flat_order = np.concatenate([np.asarray(x, np.int64) for x in rows["order"]])
     flat = np.concatenate([np.asarray(x, np.int64) for x in rows["members"]])
     # Ranks in the global order from the most frequent shingle on, so sets that are alike begin alike.
@@ -288,23 +290,31 @@ def _linked(rows: pd.DataFrame) -> list[tuple]:
     ranks[by] = fresh
     ends = np.cumsum([len(x) for x in rows["members"]])
     sets = [np.sort(x) for x in np.split(ranks, ends[:-1])]
-    in_tree = np.flatnonzero(side == 1)
     tree = PrefixTree([sets[i] for i in in_tree], sizes[in_tree])
-    two_sides = bool((side == 2).any())
-    probes = np.flatnonzero(side == 2) if two_sides else np.arange(len(keys))
-    own, counts = np.arange(len(keys)), np.zeros(len(keys), np.int64)
+    two_sides = bool(side.any())
+    above, counts = np.arange(len(keys)), np.zeros(len(keys), np.int64)
     marked, links = np.zeros(int(ranks.max(initial=-1)) + 1, bool), []
+
+    def roots(nodes: np.ndarray) -> np.ndarray:
+        top = above[nodes]
+        while (above[top] != top).any():
+            top = above[top]
+        above[nodes] = top
+        return top
+
     for i in probes.tolist():
         found = in_tree[tree.probe(sets[i], int(sizes[i]), marked)]
         found = found[found != i]
+        if not len(found):
+            continue
         counts[i] += len(found)
         if two_sides:
             counts[found] += 1
-        others, first = np.unique(own[found], return_index=True)
-        for group, j in zip(others.tolist(), found[first].tolist()):
-            if group != own[i]:
-                links.append((int(keys[i]), int(keys[j]), None))
-                own[own == group] = own[i]
+        root = roots(np.array([i]))[0]
+        others, first = np.unique(roots(found), return_index=True)
+        joined = others != root
+        links += [(int(keys[i]), int(keys[j]), None) for j in found[first[joined]].tolist()]
+        above[others[joined]] = root
     return links + [(int(keys[i]), None, int(counts[i])) for i in np.flatnonzero(counts).tolist()]
 
 
@@ -317,6 +327,35 @@ def _prefix(df: DataFrame) -> DataFrame:
     ).drop("length")
 
 
+def _blocks(sets: DataFrame, near: DataFrame) -> DataFrame:
+    """Adds ``block``: sets of a candidate group, of about one size, that share a shingle of their prefixes with one set.
+
+    Sets with the same least neighbour (their home) lie together. A home of more than
+    ``BLOCK_SETS`` sets is cut into pieces; smaller ones share blocks.
+    """
+    homes = near.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("home"))
+    # Sets that link differ in size by a third at most.
+    band = F.floor(F.log("n") / F.log(F.lit(4 / 3)))
+    placed = sets.join(homes, "key", "left").withColumns({"home": F.coalesce("home", "key"), "band": band})
+    crowds = placed.groupBy("candidate", "band", "home").agg(F.count(F.lit(1)).alias("crowd"))
+    pools = crowds.where(F.col("crowd") <= BLOCK_SETS).groupBy("candidate", "band").agg(F.sum("crowd").alias("pool"))
+    pieces = lambda n: F.ceil(F.col(n) / BLOCK_SETS)
+    own = F.struct("band", "home", F.pmod(F.xxhash64("key"), pieces("crowd")).alias("piece"))
+    shared = F.struct("band", F.lit(0).cast("bigint").alias("home"), F.pmod(F.xxhash64("home"), pieces("pool")).alias("piece"))
+    return (
+        placed.join(crowds, ["candidate", "band", "home"]).join(pools, ["candidate", "band"], "left")
+        .select("key", "n", "candidate", "prefix", F.when(F.col("crowd") > BLOCK_SETS, own).otherwise(shared).alias("block"))
+    )
+
+
+def _meets(blocked: DataFrame) -> DataFrame:
+    """Rows of key, block and other: the blocks where a set of like size has a shingle of the set's prefix."""
+    at = blocked.select("key", "n", "candidate", "block", F.explode("prefix").alias("at"))
+    there = at.groupBy("candidate", "at", F.col("block").alias("other")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    near_size = (F.col("high") * 4 >= F.col("n") * 3) & (F.col("n") * 4 >= F.col("low") * 3)
+    return at.join(there, ["candidate", "at"]).where(near_size).select("key", "block", "other").distinct()
+
+
 def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
     """Of all links as many as connect their classes (a, b), and rows of a class and its links in a part of a group (a, links)."""
     spark = rows.sparkSession
@@ -350,8 +389,9 @@ def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
         prefixes.join(groups, "at").where("key <> centre").select(F.col("key").alias("a"), F.col("centre").alias("b")).distinct()
     )
     candidates = cut(components(near).select(F.col("node").alias("key"), F.col("component").alias("candidate")))
-    grouped = cut(ordered.drop("prefix").join(candidates, "key").select(
-        "key", "n", "candidate", F.col("members.f").alias("order"), F.col("members.member").alias("members")
+    grouped = cut(ordered.join(candidates, "key").select(
+        "key", "n", "candidate", F.col("prefix.member").alias("prefix"),
+        F.col("members.f").alias("order"), F.col("members.member").alias("members"),
     ))
     sizes = grouped.groupBy("candidate").agg(F.count(F.lit(1)).alias("size"))
     open_sets = grouped.join(sizes, "candidate")
@@ -361,33 +401,18 @@ def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
     bucket = F.pmod(F.xxhash64("candidate"), F.lit(n_buckets))
     columns = ["key", "n", "candidate", "order", "members"]
     small_links = (
-        small.select(*columns, F.lit(1).alias("side"), bucket.alias("bucket"))
+        small.select(*columns, F.lit(0).alias("side"), bucket.alias("bucket"))
         .groupBy("bucket").applyInPandas(_tree_links, LINKS)
     )
     large = open_sets.where(F.col("size") > BLOCK_SETS)
-    # Sets that link differ in size by a third at most, so blocks are of sets of about one size.
-    band = F.floor(F.log("n") / F.log(F.lit(4 / 3)))
-    marked = large.withColumn("band", band)
-    dealt = marked.groupBy(F.col("candidate").alias("c"), F.col("band").alias("b")).agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK_SETS).alias("pieces")
-    )
-    own = (F.col("candidate") == F.col("c")) & (F.col("band") == F.col("b"))
-    block = F.struct("band", F.pmod(F.xxhash64("key"), F.col("pieces")).alias("piece"))
-    blocked = cut(marked.join(dealt, own).select(*columns, block.alias("block")))
-    blocks = blocked.groupBy("candidate", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    one, two = (
-        blocks.select("candidate", *(F.col(c).alias(f"{c}{i}") for c in ("block", "low", "high"))) for i in (1, 2)
-    )
-    near_size = (F.col("high1") * 4 >= F.col("low2") * 3) & (F.col("high2") * 4 >= F.col("low1") * 3)
-    pairs = one.join(two, "candidate").where((F.col("block1") <= F.col("block2")) & near_size)
-    pairs = cut(pairs.select("candidate", "block1", "block2"))
-    first = blocked.join(pairs.withColumnRenamed("block1", "block"), ["candidate", "block"]).select(
-        *columns, F.lit(1).alias("side"), F.xxhash64("candidate", "block", "block2").alias("pair")
-    )
-    second = blocked.join(pairs.where("block1 <> block2").withColumnRenamed("block2", "block"), ["candidate", "block"]).select(
-        *columns, F.lit(2).alias("side"), F.xxhash64("candidate", "block1", "block").alias("pair")
-    )
-    large_links = first.unionByName(second).groupBy("pair").applyInPandas(_tree_links, LINKS)
+    blocked = cut(_blocks(large.select("key", "n", "candidate", "prefix"), near))
+    meets = _meets(blocked)
+    side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)
+    pair = F.xxhash64("candidate", F.least("block", "other"), F.greatest("block", "other"))
+    large_links = (
+        large.select(*columns).join(meets, "key").select(*columns, side.alias("side"), pair.alias("pair"))
+        .groupBy("pair").applyInPandas(_tree_links, LINKS)
+    )
     return cut(small_links.unionByName(large_links))
 
 

@@ -4,11 +4,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from eventpulse.llm import jaccard_join
 from eventpulse.llm.components import components
-from eventpulse.llm.jaccard_join import jaccard_components
+from eventpulse.llm.jaccard_join import _range_runs, jaccard_components
 from eventpulse.llm.prefix_tree import PrefixTree
 
 SCHEMA = "doc_id bigint, text string"
@@ -84,7 +85,6 @@ def test_against_all_pairs(frame):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_large_groups_in_blocks(frame, monkeypatch, seed):
     monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 7)
-    monkeypatch.setattr(jaccard_join, "FOLLOWERS", 3)
     monkeypatch.setattr(jaccard_join, "RANGE_SHINGLES", 900)
     dice = random.Random(seed)
     texts = near_copies(dice, 90, 70, edits=14) + generated(dice)
@@ -143,3 +143,46 @@ def test_every_link_is_counted(frame, monkeypatch, most):
         want = sum(100 * len(own & s) >= 75 * len(own | s) for s in sets if s != own) if own else 0
         assert got[i] == want
     assert max(got.values()) > 10
+
+
+def test_rows_of_ranges_carry_only_their_own_classes():
+    """What the runs send grows with the shingles, not with classes times ranges."""
+    texts = near_copies(random.Random(12), 400, 40, vocabulary=100_000, edits=40)
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    sent = {}
+    for n_ranges in (4, 4_000):
+        rows = [r for b in _range_runs(30, n_ranges)(iter([batch])) for r in b.to_pylist()]
+        sent[n_ranges] = sum(len(r["keys"]) // 8 for r in rows)
+    assert sent[4_000] <= sum(len(shingles(t)) for t in texts)
+    assert sent[4] <= 4 * len(texts)
+
+
+def test_chained_sets_meet_few_blocks(frame, monkeypatch):
+    """Windows that slide along one long text are one group, but far ones are not compared, and no link is lost."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 10)
+    dice = random.Random(13)
+    words = near_copies(dice, 1, 1300, vocabulary=100_000, edits=0)[0].split()
+    texts = [" ".join(words[i : i + 60]) for i in range(0, 1200, 4)]
+    seen = []
+    plain = jaccard_join._meets
+
+    def counted(blocked):
+        found = plain(blocked)
+        seen.append((blocked.count(), blocked.select("candidate", "block").distinct().count(), found.count()))
+        return found
+
+    monkeypatch.setattr(jaccard_join, "_meets", counted)
+    check(frame, list(enumerate(texts)))
+    [(n_sets, n_blocks, n_meets)] = seen
+    assert n_sets > 250 and n_blocks > 20
+    assert n_meets < n_sets * n_blocks / 3
+
+
+def test_hot_shingles_in_blocks(frame, monkeypatch):
+    """A passage that most texts share, in a group of many blocks of one home."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 9)
+    dice = random.Random(14)
+    passage = near_copies(dice, 1, 50)[0]
+    texts = [passage + " " + t for t in near_copies(dice, 70, 14, vocabulary=10_000, edits=8)]
+    texts += [passage + " " + near_copies(dice, 1, dice.randint(1, 60), vocabulary=10_000)[0] for _ in range(60)]
+    check(frame, list(enumerate(texts)))

@@ -112,15 +112,22 @@ def _range_runs(bits: int, n_ranges: int):
             alone = np.where(counts == 1, holder[first], _SEVERAL)
             shared = np.repeat(counts > 1, counts)
             cuts, places = np.searchsorted(values, edges), np.searchsorted(hashes, edges)
+            place = np.empty(len(key), np.uint32)
             rows = []
             for i in range(n_ranges):
                 a, b = cuts[i], cuts[i + 1]
                 if a == b:
                     continue
                 own = slice(places[i], places[i + 1])
-                there, local = np.unique(holder[own], return_inverse=True)
-                several = np.bincount(local[shared[own]], minlength=len(there)).astype(np.uint32)
-                lone = np.where(alone[a:b] == _SEVERAL, _SEVERAL, np.searchsorted(there, alone[a:b]).astype(np.uint32))
+                # The last place of each class in the range marks it once; then ``place`` numbers those found.
+                at = np.arange(places[i + 1] - places[i], dtype=np.uint32)
+                place[holder[own]] = at
+                there = holder[own][place[holder[own]] == at]
+                place[there] = at[: len(there)]
+                several = np.bincount(place[holder[own][shared[own]]], minlength=len(there)).astype(np.uint32)
+                lone = alone[a:b].copy()
+                known = lone != _SEVERAL
+                lone[known] = place[lone[known]]
                 deltas = np.diff(values[a:b], prepend=edges[i : i + 1])
                 rows.append((i, _packed(deltas), _packed(lone), key[there].tobytes(), _packed(several)))
             kinds = [pa.int32(), *[pa.binary()] * 4]

@@ -134,7 +134,13 @@ def read_turns(blocks: DataFrame) -> DataFrame:
     )
 
 
-def read_losses(found: DataFrame) -> DataFrame:
-    """The text under each example's loss mask: conv_id, block, place, loss_text."""
-    masked = F.expr("substring(target, loss_start + 1, loss_end - loss_start)")
-    return found.select("conv_id", "block", "place", unescape(masked).alias("loss_text"))
+def read_losses(found: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The text under each example's loss mask: conv_id, block, place, loss_text.
+
+    It is read from the formatted conversation, right after the example's context, so a
+    context that ends elsewhere than at its reply gives another text.
+    """
+    told = blocks.select(F.col("conv_id").alias("of"), F.col("block").alias("told_block"), "start", F.col("text").alias("told"))
+    there = found.join(told, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("block") == F.col("told_block")))
+    masked = F.expr("substring(told, int(context_chars - start) + loss_start + 1, loss_end - loss_start)")
+    return there.select("conv_id", "block", "place", unescape(masked).alias("loss_text"))

@@ -75,7 +75,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("n").alias("n_turns"), F.sha2(joined("block", "text"), 256).alias("turns_sha256"),
         F.sum("n_chars").alias("formatted_chars"),
     )
-    losses = chat.read_losses(found).groupBy(F.col("conv_id").alias("of")).agg(
+    losses = chat.read_losses(found, blocks).groupBy(F.col("conv_id").alias("of")).agg(
         F.sum(F.char_length("loss_text")).cast("bigint").alias("chars"), joined("block", "place", "loss_text").alias("text")
     )
     return formatted.join(losses, F.col("conv_id").eqNullSafe(F.col("of")), "left").select(

@@ -56,7 +56,7 @@ def test_one_long_conversation_in_blocks(spark, frame, tmp_path):
 
 def test_context_is_all_earlier_turns(frame):
     rows = [(1, i, "assistant" if i % 2 else "user", f"t#{i}") for i in range(600)]
-    blocks = chat.format_blocks(frame(rows, SCHEMA + ", text2 string".replace(", text2 string", "")))
+    blocks = chat.format_blocks(frame(rows, SCHEMA))
     found = chat.examples(blocks)
     assert found.count() == 300
     written = chat.example_texts(found, blocks).collect()
@@ -64,3 +64,25 @@ def test_context_is_all_earlier_turns(frame):
     for row in written:
         assert row.context == "".join(turn(r, t) for _, i, r, t in rows if i < row.turn)
         assert row.target == turn("assistant", f"t#{row.turn}")
+
+
+def test_losses_are_read_after_their_contexts(frame):
+    rows = [(c, i, "assistant" if i % 3 else "user", f"é{i}" * (i % 4)) for c in (1, None) for i in range(300)]
+    blocks = chat.format_blocks(frame(rows, SCHEMA)).cache()
+    found = chat.examples(blocks).cache()
+    texts = lambda df: sorted(r.loss_text for r in chat.read_losses(df, blocks).collect())
+    want = sorted(t for _, _, r, t in rows if r == "assistant")
+    assert texts(found) == want
+    assert texts(found.selectExpr("* EXCEPT (context_chars)", "context_chars + 1 AS context_chars")) != want
+
+
+def test_extra_columns_with_the_names_of_results(frame):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(6)]
+    plain = frame(rows, SCHEMA)
+    extra = plain.selectExpr("*", "'x' AS block", "'x' AS start", "'x' AS pieces", "'x' AS place", "'x' AS target", "'x' AS told")
+    assert chat.examples(chat.format_blocks(extra)).collect() == chat.examples(chat.format_blocks(plain)).collect()
+
+
+def test_rows_of_one_turn_number(spark, frame, tmp_path):
+    rows = [(1, 5 if i % 2 else None, "assistant" if i % 3 else "user", f"t{i}") for i in range(700)]
+    check(spark, frame, tmp_path, rows + rows[:50])

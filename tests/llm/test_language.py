@@ -56,12 +56,53 @@ class PlainModel:
         d = self.discounts[n]
         return max(self.counts[n][gram] - d, 0) / total + d * self.types[n, gram[:-1]] / total * lower
 
-    def entropy(self, text):
+    def terms(self, text):
         padded = "\0" * (ORDER - 1) + plain_words(text)
-        terms = [-math.log(self.chance(padded[i - ORDER + 1 : i + 1])) for i in range(ORDER - 1, len(padded))]
+        return [-math.log(self.chance(padded[i - ORDER + 1 : i + 1])) for i in range(ORDER - 1, len(padded))]
+
+    def entropy(self, text):
+        terms = self.terms(text)
         return sum(terms) / len(terms) if terms else 0.0
 
 
+class PlainJudge:
+    """Decides by plain models of fewer than ten texts a language, which calibrate themselves."""
+
+    def __init__(self, texts_of):
+        self.of = {}
+        for lang, texts in sorted(texts_of.items()):
+            model = PlainModel(texts)
+            found = [np.array(model.terms(t)) for t in texts]
+            means = [t.mean() for t in found]
+            self.of[lang] = model, np.median(means), np.std(means), math.sqrt(np.mean([t.var() for t in found]))
+
+    def __call__(self, text):
+        """Language, cross-entropy and whether rejected."""
+        size = len(plain_words(text or ""))
+        if not size:
+            return "und", 0.0, True
+        entropy, lang = min((model.entropy(text), lang) for lang, (model, *_) in self.of.items())
+        _, centre, deviation, per_char = self.of[lang]
+        room = max(language.REJECT * (deviation + per_char / math.sqrt(size)), language.LEAST_ROOM)
+        return lang, entropy, bool(entropy > centre + room)
+
+
+def made_texts(seed, held_out_ids):
+    """Rows (doc_id, text, lang): nine labelled documents of two languages, others of both, odd ones, and noise."""
+    dice = random.Random(seed)
+    words = {"en": "the of and ing tion er".split(), "de": "der und sch ung ein ich".split()}
+    made = lambda lang: " ".join("".join(dice.choices(words[lang], k=2)) for _ in range(60))
+    aside = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == 2]
+    fitted = [i for i in range(400) if i not in set(aside)]
+    rows = [(fitted[2 * i + j], made(lang), lang) for i in range(9) for j, lang in enumerate(words)]
+    noise = ["".join(chr(dice.randrange(0x4E00, 0x9000)) for _ in range(300)), "qxzj vwk " * 50, "xqz"]
+    others = [made(lang) for lang in words for _ in range(12)] + [made("en") + made("de")] * 2
+    odd = [None, "", "12 34 !", "der", "Tion? " * 3, (made("en") + " ") * 40]
+    # Without a label a document takes no part in fitting wherever it is.
+    ids = aside if held_out_ids else range(1000, 2000)
+    return rows + [(i, text, None) for i, text in zip(ids, others + noise + odd)]
+
+
 def test_model_equals_the_plain_one():
     dice = random.Random(4)
     word = lambda: "".join(dice.choices("abcdé ", k=dice.randint(1, 7)))
@@ -77,6 +118,22 @@ def test_model_equals_the_plain_one():
             assert np.allclose(found, plain.entropy(text), atol=2e-4)
 
 
+def test_decisions_equal_the_plain_ones(frame):
+    rows = made_texts(8, held_out_ids=False)
+    judge = PlainJudge({lang: [t for _, t, own in rows if own == lang] for lang in ("de", "en")})
+    schema = "doc_id bigint, text string, lang string"
+    got = {r.doc_id: r for r in identify(frame(rows, schema), fit_models(frame(rows, schema))).collect()}
+    assert sorted(got) == sorted(i for i, *_ in rows)
+    rejected = 0
+    for doc_id, text, _ in rows:
+        lang, entropy, is_rejected = judge(text)
+        found = got[doc_id]
+        assert (found.lang_pred, found.rejected) == (lang, is_rejected), text
+        assert abs(found.cross_entropy - entropy) < 2e-4 or lang == "und"
+        rejected += is_rejected
+    assert 5 <= rejected < len(rows) // 2
+
+
 def test_chances_of_a_context_add_up_to_one():
     plain = PlainModel(["abab abc", "bca"])
     model = CharacterModel.fit(["abab abc", "bca"])

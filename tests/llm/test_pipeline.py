@@ -5,6 +5,7 @@ from collections import Counter
 
 import public_tokenizers
 from test_jaccard_join import expected as expected_components
+from test_language import PlainJudge, made_texts
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -45,7 +46,6 @@ def test_stages_in_turn(spark):
     assert Counter(r.doc_id for r in taken.collect()) == Counter({i: n for i, n in copies.items() if n})
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     at = 0
     texts = {r.doc_id: r.text for r in clean.collect()}
     for row in sorted(stages["token_files"](spark, taken, SF_DIR).collect(), key=lambda r: r.start):
@@ -54,6 +54,22 @@ def test_stages_in_turn(spark):
         at += row.n_tokens
 
 
+def test_language_stage_against_plain_models(spark, frame):
+    rows = [(i, text, lang, f"s{i % 3}", i) for i, text, lang in made_texts(9, held_out_ids=True)]
+    judge = PlainJudge({lang: [r[1] for r in rows if r[2] == lang] for lang in ("de", "en")})
+    kept = dict(corpus_pipeline.STAGES)["language_id"](spark, frame(rows, SCHEMA), SF_DIR)
+    assert rows_of(kept) == Counter(r for r in rows if not judge(r[1])[2])
+    assert 20 < kept.count() < len(rows)
+
+
+def test_token_stage_gives_added_tokens_their_ids(spark, frame):
+    texts = ["plain", "a<|endoftext|>b", "<|endoftext|>", None, ""]
+    rows = [(i, text, "en", "s0", 0) for i, text in enumerate(texts)]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = {r.doc_id: r.n_tokens for r in dict(corpus_pipeline.STAGES)["token_files"](spark, frame(rows, SCHEMA), SF_DIR).collect()}
+    assert got == {i: len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+
+
 def test_whole_run(spark):
     assert corpus_pipeline.run(spark, SF_DIR).count() > 100
 

@@ -1,5 +1,6 @@
 """Token files against the tokenizer itself, and the wavelet matrix against plain lists."""
 
+import random
 import zlib
 
 import numpy as np
@@ -81,6 +82,17 @@ def test_files_of_documents(spark, frame, library):
     assert {k: sorted(v) for k, v in have.items()} == {k: sorted(v) for k, v in want.items()}
 
 
+def test_very_long_texts(frame, library):
+    dice = random.Random(3)
+    texts = ["word é 12, " * 40_000, "x" * 100_000, "\n" * 50_000, "".join(dice.choices("ab cé1'\n", k=200_000)), "日本語 " * 30_000]
+    rows = [(i, text) for i, text in enumerate(texts)] + [(10 + i, f"short {i}") for i in range(20)]
+    got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in read_documents(write_token_files(frame(rows, "doc_id bigint, text string"), PATH)).collect()}
+    at = 0
+    for (doc_id, _), ids in zip(rows, library([t for _, t in rows])):
+        assert got[doc_id] == (at, len(ids) + 1, zlib.crc32(np.array([*ids, 0], "<u4").tobytes()))
+        at += len(ids) + 1
+
+
 def test_empty_table(frame):
     assert read_documents(write_token_files(frame([], "doc_id bigint, text string"), PATH)).collect() == []
 

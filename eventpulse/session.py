@@ -17,6 +17,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -72,7 +73,10 @@ def _local_folder() -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The rows, computed now and kept by Spark's reliable checkpoint in the shared folder."""
+    """The rows, computed now and kept by Spark's reliable checkpoint in the shared folder.
+
+    With ``SETTINGS``, Spark removes the files once no frame refers to them any more.
+    """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(work_dir(df.sparkSession, "cut"))

@@ -396,12 +396,12 @@ def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
         prefixes.join(groups, "at").where("key <> centre").select(F.col("key").alias("a"), F.col("centre").alias("b")).distinct()
     )
     candidates = cut(components(near).select(F.col("node").alias("key"), F.col("component").alias("candidate")))
-    grouped = cut(ordered.join(candidates, "key").select(
-        "key", "n", "candidate", F.col("prefix.member").alias("prefix"),
+    # Sizes come before the sets, which would else be shuffled once more.
+    sizes = candidates.groupBy("candidate").agg(F.count(F.lit(1)).alias("size"))
+    open_sets = cut(ordered.join(candidates.join(sizes, "candidate"), "key").select(
+        "key", "n", "candidate", "size", F.col("prefix.member").alias("prefix"),
         F.col("members.f").alias("order"), F.col("members.member").alias("members"),
     ))
-    sizes = grouped.groupBy("candidate").agg(F.count(F.lit(1)).alias("size"))
-    open_sets = grouped.join(sizes, "candidate")
     # A small group lies in one bucket whole; a large one is cut into blocks.
     small = open_sets.where(F.col("size") <= BLOCK_SETS)
     n_buckets = max(1, -(-small.count() // BLOCK_SETS))
@@ -466,13 +466,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
 
 
-def _with_key(names: list[str], text_col: str):
+def _with_key(names: list[str], text_col: str, shared, in_groups: bool):
+    """Adds the set's key to the documents whose key the filter has or, with ``in_groups`` unset, to all the others."""
+
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
         for batch in batches:
             texts = pa.record_batch([pa.nulls(batch.num_rows, pa.int64()), batch.column(text_col)], names=["doc_id", "text"])
             keys = [k for _, k, _, _ in set_batches([texts])]
-            key = pa.array(np.concatenate(keys).view(np.int64) if keys else [], pa.int64())
-            yield pa.record_batch([*batch.columns, key], names=names)
+            key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+            chosen = (key != 0) & marked[key >> np.uint64(64 - FILTER_BITS)]
+            rows = pa.record_batch([*batch.columns, pa.array(key.view(np.int64))], names=names)
+            yield rows.filter(pa.array(chosen if in_groups else ~chosen))
 
     return keyed
 
@@ -481,16 +486,26 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The documents, with all their columns, of which one of each connected group stays: that with the least id.
 
     Of repeated rows with that id one stays; a group whose ids are all null keeps one
-    row, too. Documents without a word are in no group and all stay. The documents are
-    shuffled once, by set and id together, so a set that a third of them share is dealt out.
+    row, too. Documents without a word are in no group and all stay. Only documents that a
+    filter takes for members of a group of several are shuffled, once, by set and id together,
+    so a set that a third of them share is dealt out. The others stay where they are.
     """
     _, members = _class_tables(docs, id_col, text_col)
+    members = cut(members)
     first = F.min(F.struct(F.col("least_id").isNull().alias("none"), "least_id", "key"))
     staying = members.groupBy("component").agg(first.alias("first")).select(
-        F.col("first.key").alias("_key_staying"), F.col("first.least_id").alias("_id_staying")
-    )
+        F.col("first.key").alias("_set_key"), F.col("first.none").alias("_no_id"),
+        F.coalesce("first.least_id", F.lit(0).cast("bigint")).alias("_id"),
+    )
+    shared = _filter_of(members.where("class_size > 1 OR n_links > 0"))
     schema = T.StructType([*docs.schema.fields, T.StructField("_set_key", T.LongType())])
-    keyed = docs.mapInArrow(_with_key([*docs.columns, "_set_key"], text_col), schema)
-    chosen = (F.col("_set_key") == F.col("_key_staying")) & F.col(id_col).eqNullSafe(F.col("_id_staying"))
-    kept = keyed.join(staying, chosen, "left_semi").dropDuplicates(["_set_key", id_col])
-    return kept.unionByName(keyed.where("_set_key = 0")).select(*docs.columns)
+
+    def keyed(in_groups: bool) -> DataFrame:
+        return docs.mapInArrow(_with_key([*docs.columns, "_set_key"], text_col, shared, in_groups), schema)
+
+    doc_id = F.col(id_col).cast("bigint")
+    grouped = keyed(True).withColumns({"_no_id": doc_id.isNull(), "_id": F.coalesce(doc_id, F.lit(0).cast("bigint"))})
+    # The join and the removal of repeated rows have the same keys, so they need one shuffle.
+    by = ["_set_key", "_no_id", "_id"]
+    kept = grouped.join(staying, by, "left_semi").dropDuplicates(by)
+    return kept.select(*docs.columns).unionByName(keyed(False).select(*docs.columns))

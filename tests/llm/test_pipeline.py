@@ -2,15 +2,19 @@
 
 import random
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from test_jaccard_join import expected as expected_components
 from test_language import PlainJudge, made_texts
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from eventpulse.llm.jaccard_join import one_of_each
+from eventpulse.llm.jaccard_join import FILTER_BITS, _with_key, one_of_each
 from eventpulse.llm.mixing import mix, mixed
+from eventpulse.llm.shingles import set_batches
 
 SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -102,6 +106,34 @@ def test_groups_without_ids(frame):
     assert sorted(r.text for r in one_of_each(frame(rows, SCHEMA)).collect()) == ["another text", "one two three four five six"]
 
 
+def wide_shuffles_of(df):
+    plan, found = [df._jdf.queryExecution().executedPlan().initialPlan()], 0
+    while plan:
+        node = plan.pop()
+        found += node.nodeName() == "Exchange" and node.output().size() >= len(df.columns)
+        plan += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_documents_of_groups_are_shuffled_once(frame):
+    assert wide_shuffles_of(one_of_each(frame(odd_rows(), SCHEMA))) == 1
+
+
+def test_documents_alone_are_told_from_groups(frame):
+    texts = ["one two three four five six", "another text", None, " ", "One two three four five six"]
+    batch = pa.record_batch([pa.array(range(5)), pa.array(texts)], names=["doc_id", "text"])
+    keys = next(set_batches([batch]))[1]
+    marked = np.zeros(1 << FILTER_BITS, bool)
+    marked[[int(keys[0]) >> (64 - FILTER_BITS), 0]] = True
+    shared = SimpleNamespace(value=np.packbits(marked).tobytes())
+
+    def passed(in_groups):
+        rows = _with_key(["doc_id", "text", "_set_key"], "text", shared, in_groups)([batch])
+        return [r["doc_id"] for b in rows for r in b.to_pylist()]
+
+    assert (passed(True), passed(False)) == ([0, 4], [1, 2, 3])
+
+
 def test_mixed_repeats_whole_rows(frame, monkeypatch):
     rows = odd_rows()
     docs = frame(rows, SCHEMA).selectExpr("*", "1 AS size", "2 AS hash", "3 AS copies", "4 AS target")

@@ -59,9 +59,8 @@ def _glob(root: str, names: Sequence[str]) -> str:
 
 
 def file_date(name: Column) -> Column:
-    """The date that a file name starts with, NULL when it does not start with one."""
-    parts = [F.substring(name, start, length) for start, length in ((1, 4), (5, 2), (7, 2))]
-    return F.concat_ws("-", *parts).try_cast("date")
+    """The date that a file name starts with, NULL when it does not start with one. ``name`` is worked out once per row."""
+    return F.overlay(F.overlay(F.substring(name, 1, 8), F.lit("-"), 5, 0), F.lit("-"), 8, 0).try_cast("date")
 
 
 def with_file(df: DataFrame) -> DataFrame:

@@ -6,21 +6,19 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import RAW_COLUMNS, RAW_TYPES
 from .dayfiles import date_frame, is_bad, typed
-from .folders import remove, staging_path
+from .folders import remove, restore_all, staging_path
 from .snapshots import Transaction
-from .tables import landed_dates, read_if_present, replace_dates
+from .tables import landed_dates, put_dates, read_if_present, replace_dates
 
 MODES = ("replace", "skip", "append")
 # The raw table's files are sorted by these, so that readers can skip what a filter rules out.
 CLUSTER_BY = ("ActionGeo_CountryCode", "EventRootCode", "QuadClass")
-STAGED_SCHEMA = ", ".join(f"`{name}` {kind}" for name, kind in RAW_TYPES.items()) + (
-    ", line string, bad_columns string, file_path string, file_error string, ingest_date date"
-)
+ASIDE_SCHEMA = "line string, bad_columns string, file_path string, file_error string, ingest_date date"
 
 
 def quarantine_path(table_path: str) -> str:
@@ -69,9 +67,10 @@ def load_days(
     ``into``, the rows are part of what that run of a warehouse changes, ``table_path`` is the
     table's name there, and nothing is visible before the run is committed; ``append`` is not for that.
 
-    Text is read and parsed once, to a folder beside the table, without a shuffle. The
-    outcome per date is counted from there, and rows of good dates are moved on in
-    one job. The driver gets one row per requested date.
+    One job reads and parses the text and writes good rows as the table holds them, to a folder
+    beside it. The outcome per date is counted from there, and the folders of good dates are moved
+    in place. Only when that job has seen lines that are set aside, a second one reads the text
+    again for these. The driver gets one row per requested date.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
@@ -88,24 +87,42 @@ def load_days(
         skipped = landed_dates(spark, table_path, dates, "ingest_date")
     wanted = [d for d in dates if d not in set(skipped)]
 
-    staged = staging_path(table_path if into is None else f"{into.warehouse.root}/{table_path}")
-
-    def replaced(rows: DataFrame, name: str, cluster_by: Sequence[str] = ()) -> None:
-        if into is None:
-            replace_dates(rows, name, loaded, "ingest_date", cluster_by=cluster_by)
-        else:
-            into.replace_dates(rows, name, loaded, "ingest_date", cluster_by=cluster_by)
-
-    as_read = F.concat_ws("\t", *[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in RAW_COLUMNS])
-    parsed = typed(lines.where(F.col("file_date").isin(wanted)).withColumn("line", as_read))
-    parsed = parsed.withColumn("line", F.when(is_bad(), F.col("line"))).withColumnRenamed("file_date", "ingest_date")
-    parsed.select(*RAW_COLUMNS, "line", "bad_columns", "file_path", "file_error", "ingest_date").write.parquet(staged)
-    rows = spark.read.schema(STAGED_SCHEMA).parquet(staged)
-
-    per_date = rows.groupBy(F.col("ingest_date").alias("file_date")).agg(
-        F.count_if(F.col("file_error").isNull()).alias("rows_read"),
-        F.count_if(is_bad()).alias("rows_bad"),
-        F.max("file_error").alias("file_error"),
+    root = table_path if into is None else f"{into.warehouse.root}/{table_path}"
+    staged, aside_path = staging_path(root) if into is None else into.staging_path(table_path), staging_path(root)
+    if into is None:
+        restore_all(spark, table_path)
+
+    found = lines.where(F.col("file_date").isin(wanted)).withColumnRenamed("file_date", "ingest_date")
+    # The observation keeps the filter and the casts in methods of their own; in one, they are too long to be compiled.
+    parsed = typed(found.observe("lines", F.count(F.lit(1)).alias("read")))
+    aside = F.col("file_error").isNotNull() | is_bad()
+    # The count stands behind the shuffle, since adaptive execution leaves out what stands before an empty one.
+    seen = Observation()
+    good = parsed.select(*RAW_COLUMNS, "ingest_date", aside.alias("_aside")).hint("rebalance", "ingest_date")
+    good = good.observe(seen, F.count_if("_aside").alias("aside")).where("NOT _aside").drop("_aside")
+    good.sortWithinPartitions("ingest_date", *CLUSTER_BY).write.partitionBy("ingest_date").parquet(staged)
+
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in RAW_TYPES.items()) + ", ingest_date date"
+    rows = spark.read.schema(schema).parquet(staged)
+    zero = F.lit(0).cast("bigint")
+    counts = rows.groupBy("ingest_date").agg(
+        F.count(F.lit(1)).alias("rows_read"), zero.alias("rows_bad"), F.lit(None).cast("string").alias("file_error")
+    )
+    rejected = spark.createDataFrame([], ASIDE_SCHEMA)
+    if seen.get["aside"]:
+        as_read = F.concat_ws("\t", *[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in RAW_COLUMNS])
+        odd = typed(found.withColumn("line", as_read)).where(aside)
+        odd.select("line", "bad_columns", "file_path", "file_error", "ingest_date").write.parquet(aside_path)
+        rejected = spark.read.schema(ASIDE_SCHEMA).parquet(aside_path)
+        counts = counts.unionByName(
+            rejected.groupBy("ingest_date").agg(
+                F.count_if(F.col("file_error").isNull()).alias("rows_read"),
+                F.count_if(is_bad()).alias("rows_bad"),
+                F.max("file_error").alias("file_error"),
+            )
+        )
+    per_date = counts.groupBy(F.col("ingest_date").alias("file_date")).agg(
+        F.sum("rows_read").alias("rows_read"), F.sum("rows_bad").alias("rows_bad"), F.max("file_error").alias("file_error")
     )
     if present is not None:
         there = present.where(F.col("file_date").isin(wanted)).select("file_date").distinct()
@@ -118,17 +135,25 @@ def load_days(
 
     loaded = sorted(r.file_date for r in report if r.error is None)
     if loaded:
-        good = rows.where(F.col("file_error").isNull() & ~is_bad()).select(*RAW_COLUMNS, "ingest_date")
         if mode == "append":
-            good = good.where(F.col("ingest_date").isin(loaded)).hint("rebalance", "ingest_date")
-            good = good.sortWithinPartitions("ingest_date", *CLUSTER_BY)
-            good.write.mode("append").partitionBy("ingest_date").parquet(table_path)
+            more = rows.where(F.col("ingest_date").isin(loaded)).hint("rebalance", "ingest_date")
+            more = more.sortWithinPartitions("ingest_date", *CLUSTER_BY)
+            more.write.mode("append").partitionBy("ingest_date").parquet(table_path)
+        elif into is None:
+            put_dates(spark, staged, table_path, loaded, "ingest_date")
         else:
-            replaced(good, table_path, CLUSTER_BY)
+            into.put_dates(rows, staged, table_path, loaded, "ingest_date")
+            for day in {r.file_date for r in report} - set(loaded):
+                remove(spark, f"{staged}/ingest_date={day.isoformat()}")
         if on_bad_value == "quarantine":
-            bad = rows.where(is_bad()).select("line", "bad_columns", "file_path", "ingest_date")
-            replaced(bad, quarantine_path(table_path))
-    remove(spark, staged)
+            bad = rejected.where(is_bad()).select("line", "bad_columns", "file_path", "ingest_date")
+            if into is None:
+                replace_dates(bad, quarantine_path(table_path), loaded, "ingest_date")
+            else:
+                into.replace_dates(bad, quarantine_path(table_path), loaded, "ingest_date")
+    if into is None or not loaded:
+        remove(spark, staged)
+    remove(spark, aside_path)
 
     outcome = spark.createDataFrame(
         [(r.file_date, r.rows_read, r.rows_bad, r.error) for r in report],

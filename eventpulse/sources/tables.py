@@ -74,6 +74,11 @@ def replace_dates(
     restore_all(spark, path)
     rows = df.where(F.col(date_column).isin(list(dates)))
     stage_table(rows, staged, [date_column, *then_by], cluster_by)
+    put_dates(spark, staged, path, dates, date_column)
+
+
+def put_dates(spark: SparkSession, staged: str, path: str, dates: Sequence[date], date_column: str) -> None:
+    """Moves the folders of these dates from a staged table in place of the old ones, and drops the rest of it."""
     written = set(children(spark, staged))
     for day in sorted(dates):
         name = f"{date_column}={day.isoformat()}"

@@ -127,6 +127,39 @@ def test_bad_values_fail_the_file_or_are_left_out(spark, tmp_path):
     assert [(r.GlobalEventID, r.AvgTone, r.bad_columns) for r in bad] == [("2", "abc", "AvgTone")]
 
 
+def test_good_rows_are_written_once_and_moved(spark, tmp_path, monkeypatch):
+    def again(*args, **kwargs):
+        raise AssertionError("written again")
+
+    put(tmp_path, D1, line(1), line(2))
+    put(tmp_path, D2, line(3, AvgTone="abc"), line(4, day="20240102"))
+    table, dates = str(tmp_path / "t"), [D1, D2]
+    with monkeypatch.context() as patch:
+        patch.setattr("eventpulse.sources.load.replace_dates", again)
+        for _ in range(2):
+            load = load_days(spark, dayfiles.read_day_files(spark, str(tmp_path), dates), dates, table)
+            assert audit(load) == {D1: ("loaded", 2), D2: ("failed", 0)}
+            assert spark.read.parquet(table).columns == [*RAW_COLUMNS, "ingest_date"]
+            assert sorted(r.GlobalEventID for r in spark.read.parquet(table).collect()) == [1, 2]
+    assert not [p.name for p in tmp_path.iterdir() if p.name.startswith("_")]
+
+
+def test_a_load_of_bad_lines_only(spark, tmp_path):
+    put(tmp_path, D1, line(1, AvgTone="abc"), line(2, AvgTone="abc"))
+    read = dayfiles.read_day_files(spark, str(tmp_path), [D1])
+    assert audit(load_days(spark, read, [D1], str(tmp_path / "a"))) == {D1: ("failed", 0)}
+    assert audit(load_days(spark, read, [D1], str(tmp_path / "b"), on_bad_value="quarantine")) == {D1: ("loaded", 0)}
+    assert spark.read.parquet(quarantine_path(str(tmp_path / "b"))).count() == 2
+
+
+def test_dates_of_file_names(spark):
+    names = ["20240101.export.CSV", "20240101", "20241301", "2024", "202401", "", "notadate", None, "2024 1 1x"]
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, name string")
+    found = rows.select("i", dayfiles.file_date(F.col("name")).alias("d")).collect()
+    assert {r.i: r.d for r in found if r.d is not None} == {0: D1, 1: D1}
+    assert str(dayfiles.file_date(F.col("some_name"))).count("some_name") == 1
+
+
 @pytest.mark.parametrize("text", ["NaN", "Infinity", "-inf", "1e400", "1,5"])
 def test_numbers_must_be_finite(spark, text):
     lines = spark.createDataFrame([(line(1, AvgTone=text),), (line(2),)], "line string")

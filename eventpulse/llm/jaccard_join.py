@@ -396,14 +396,15 @@ def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
         prefixes.join(groups, "at").where("key <> centre").select(F.col("key").alias("a"), F.col("centre").alias("b")).distinct()
     )
     candidates = cut(components(near).select(F.col("node").alias("key"), F.col("component").alias("candidate")))
-    # Sizes come before the sets, which would else be shuffled once more.
-    sizes = candidates.groupBy("candidate").agg(F.count(F.lit(1)).alias("size"))
-    open_sets = cut(ordered.join(candidates.join(sizes, "candidate"), "key").select(
-        "key", "n", "candidate", "size", F.col("prefix.member").alias("prefix"),
+    # Large groups, at most one per BLOCK_SETS classes, are marked before the sets are shuffled.
+    crowds = candidates.groupBy("candidate").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > BLOCK_SETS)
+    placed = candidates.join(F.broadcast(crowds), "candidate", "left")
+    open_sets = cut(ordered.join(placed, "key").select(
+        "key", "n", "candidate", F.col("size").isNotNull().alias("crowded"), F.col("prefix.member").alias("prefix"),
         F.col("members.f").alias("order"), F.col("members.member").alias("members"),
     ))
     # A small group lies in one bucket whole; a large one is cut into blocks.
-    small = open_sets.where(F.col("size") <= BLOCK_SETS)
+    small = open_sets.where("NOT crowded")
     n_buckets = max(1, -(-small.count() // BLOCK_SETS))
     bucket = F.pmod(F.xxhash64("candidate"), F.lit(n_buckets))
     columns = ["key", "n", "candidate", "order", "members"]
@@ -411,7 +412,7 @@ def _links(rows: DataFrame, classes: DataFrame) -> DataFrame:
         small.select(*columns, F.lit(0).alias("side"), bucket.alias("bucket"))
         .groupBy("bucket").applyInPandas(_tree_links, LINKS)
     )
-    large = open_sets.where(F.col("size") > BLOCK_SETS)
+    large = open_sets.where("crowded")
     blocked = cut(_blocks(large.select("key", "n", "candidate", "prefix"), near))
     meets = _meets(blocked)
     side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2)

@@ -16,20 +16,24 @@ from eventpulse.llm.jaccard_join import one_of_each
 from eventpulse.llm.language import fit_models, held_out, without_rejected
 from eventpulse.llm.mixing import mixed
 from eventpulse.llm.token_files import read_documents, write_token_files
+from eventpulse.session import lean_workers
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Fits the languages on the documents' own labels and leaves out what is unlike all of them."""
+    lean_workers(spark)
     return without_rejected(docs, fit_models(docs.where(~held_out("doc_id"))))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies."""
+    lean_workers(spark)
     return one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leaves out documents that hold a passage of the benchmark."""
+    lean_workers(spark)
     return without_leaks(docs, table(spark, sf_dir, "benchmark"), whole_words=True)
 
 
@@ -40,6 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Writes the token files and lists their documents."""
+    lean_workers(spark)
     return read_documents(write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"), added_tokens=True))
 
 

@@ -41,6 +41,8 @@ from .shingles import set_batches
 
 # Shingles a task packs at once, and of one range of hashes, which one task then counts.
 RUN_SHINGLES, RANGE_SHINGLES = 1_000_000, 2_000_000
+# A task counts a range in so many slices one after the other, since sorting takes several times their memory.
+SLICES = 8
 # Hash bits beyond those that number all shingles: the share of chance meetings is 2 ** -SPARE_BITS.
 SPARE_BITS = 12
 BLOCK_SETS = 1_000
@@ -106,9 +108,12 @@ def _range_runs(bits: int, n_ranges: int):
         def closed() -> pa.RecordBatch:
             key, n = np.concatenate(keys), np.concatenate(sizes)
             hashes, holder = np.concatenate(parts), np.repeat(np.arange(len(key), dtype=np.uint32), n)
+            parts.clear()
             order = np.argsort(hashes, kind="stable")
             hashes, holder = hashes[order], holder[order]
-            values, first, counts = np.unique(hashes, return_index=True, return_counts=True)
+            del order
+            first = _firsts(hashes)
+            values, counts = hashes[first], np.diff(first, append=len(hashes))
             alone = np.where(counts == 1, holder[first], _SEVERAL)
             shared = np.repeat(counts > 1, counts)
             cuts, places = np.searchsorted(values, edges), np.searchsorted(hashes, edges)
@@ -168,19 +173,30 @@ def _counted(n_buckets: int):
             several = alone == _SEVERAL
             # Key 0 stands for several holders of a run, who share the shingle in any case.
             holders.append(np.where(several, np.uint64(0), keys[np.where(several, 0, alone)]))
-            all_keys.append(keys)
-            all_counts.append(_unpacked(row.several, np.uint32).astype(np.int64))
-        value, holder = np.concatenate(hashes), np.concatenate(holders)
-        del hashes, holders
-        order = np.argsort(value, kind="stable")
-        value, holder = value[order], holder[order]
-        del order
-        first = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
-        low, high = np.minimum.reduceat(holder, first), np.maximum.reduceat(holder, first)
-        shared = np.repeat((low != high) | (low == 0), np.diff(np.append(first, len(value)))) & (holder != 0)
-        all_keys.append(holder[shared])
-        all_counts.append(np.ones(int(shared.sum()), np.int64))
-        keys, counts = _totals(np.concatenate(all_keys), np.concatenate(all_counts))
+            counts = _unpacked(row.several, np.uint32)
+            all_keys.append(keys[counts > 0])
+            all_counts.append(counts[counts > 0].astype(np.int64))
+        # Each row's hashes are sorted, so equal ones of all rows lie in one of the slices.
+        low, high = min(int(h[0]) for h in hashes), max(int(h[-1]) for h in hashes)
+        edges = np.array([low + (high - low + 1) * i // SLICES for i in range(1, SLICES)], np.uint64)
+        cuts = [[0, *np.searchsorted(h, edges).tolist(), len(h)] for h in hashes]
+        found = []
+        for i in range(SLICES):
+            value = np.concatenate([h[c[i] : c[i + 1]] for h, c in zip(hashes, cuts)])
+            if not len(value):
+                continue
+            order = np.argsort(value, kind="stable")
+            value = value[order]
+            holder = np.concatenate([h[c[i] : c[i + 1]] for h, c in zip(holders, cuts)])[order]
+            del order
+            first = _firsts(value)
+            least, most = np.minimum.reduceat(holder, first), np.maximum.reduceat(holder, first)
+            shared = np.repeat((least != most) | (least == 0), np.diff(first, append=len(value))) & (holder != 0)
+            found.append(np.unique(holder[shared], return_counts=True))
+        del hashes, holders, cuts
+        keys, counts = _totals(
+            np.concatenate([*all_keys, *(k for k, _ in found)]), np.concatenate([*all_counts, *(n for _, n in found)])
+        )
         bucket = (keys % np.uint64(n_buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         numbers, begin = np.unique(bucket[order], return_index=True)
@@ -191,6 +207,11 @@ def _counted(n_buckets: int):
     return counted
 
 
+def _firsts(values: np.ndarray) -> np.ndarray:
+    """Where each distinct one of the sorted values begins."""
+    return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))
+
+
 def _totals(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     keys, at = np.unique(keys, return_inverse=True)
     total = np.bincount(at, weights=counts, minlength=len(keys)).astype(np.int64)

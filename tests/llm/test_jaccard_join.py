@@ -2,14 +2,17 @@
 
 import random
 import re
+import tracemalloc
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
 from eventpulse.llm import jaccard_join
 from eventpulse.llm.components import components
-from eventpulse.llm.jaccard_join import _range_runs, jaccard_components
+from eventpulse.llm.jaccard_join import _SEVERAL, _counted, _packed, _range_runs, jaccard_components
 from eventpulse.llm.prefix_tree import PrefixTree
 
 SCHEMA = "doc_id bigint, text string"
@@ -186,3 +189,48 @@ def test_hot_shingles_in_blocks(frame, monkeypatch):
     texts = [passage + " " + t for t in near_copies(dice, 70, 14, vocabulary=10_000, edits=8)]
     texts += [passage + " " + near_copies(dice, 1, dice.randint(1, 60), vocabulary=10_000)[0] for _ in range(60)]
     check(frame, list(enumerate(texts)))
+
+
+def packed_range(n_runs, n_hashes, n_keys, n_values):
+    """Runs of one range of hashes as ``_range_runs`` writes them, and the shared shingles of each class by plain counting."""
+    random_of, rows, holders, expected_counts = np.random.default_rng(5), [], {}, Counter()
+    for run in range(n_runs):
+        values = np.unique(random_of.integers(1 << 33, (1 << 33) + n_values, n_hashes, np.uint64))
+        # Some classes are in several runs.
+        keys = np.arange(1, n_keys + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(run // 2)
+        alone = random_of.integers(0, n_keys, len(values)).astype(np.uint32)
+        alone[random_of.random(len(values)) < 0.05] = _SEVERAL
+        several = random_of.integers(0, 3, n_keys).astype(np.uint32)
+        rows.append((0, _packed(np.diff(values, prepend=np.uint64(0))), _packed(alone), keys.tobytes(), _packed(several)))
+        if n_runs * n_hashes <= 100_000:
+            for key, n in zip(keys.tolist(), several.tolist()):
+                expected_counts[key] += n
+            for value, at in zip(values.tolist(), alone.tolist()):
+                holders.setdefault(value, []).append(None if at == _SEVERAL else int(keys[at]))
+    for found in holders.values():
+        if len(set(found)) > 1 or None in found:
+            for key in found:
+                if key is not None:
+                    expected_counts[key] += 1
+    return pd.DataFrame(rows, columns=["range", "hashes", "holders", "keys", "several"]), +expected_counts
+
+
+@pytest.mark.parametrize("n_values", [1, 3, 700, 30_000])
+def test_counts_of_a_range_against_plain_counting(n_values):
+    rows, plain = packed_range(9, 3_000, 40, n_values)
+    got = Counter()
+    for row in _counted(4)(rows).itertuples():
+        keys, counts = np.frombuffer(row.keys, np.uint64).tolist(), np.frombuffer(row.counts, np.int32).tolist()
+        assert {k % 4 for k in keys} == {row.bucket} and not got.keys() & set(keys)
+        got.update(dict(zip(keys, counts)))
+    assert got == plain
+
+
+def test_a_range_is_counted_in_little_memory():
+    rows, _ = packed_range(40, 50_000, 5_000, 1 << 22)
+    tracemalloc.start()
+    _counted(4)(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The hash and the holder of a shingle take 16 bytes; all else together, no more than these.
+    assert peak < 2 * 16 * 40 * 50_000

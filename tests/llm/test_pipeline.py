@@ -1,5 +1,6 @@
 """Each stage of the pipeline against what its operator's definition asks for, on small tables."""
 
+import os
 import random
 from collections import Counter
 from types import SimpleNamespace
@@ -154,3 +155,22 @@ def test_empty_documents(spark, frame):
         assert out.count() == 0
         if name != "token_files":
             assert out.columns == docs.columns
+
+
+def test_workers_of_all_stages_are_alike_and_give_memory_back(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    environment = spark.sparkContext.environment
+    found = []
+    for name, stage in corpus_pipeline.STAGES:
+        if name != "mix_sources":  # has no Python workers
+            for key in ("ARROW_DEFAULT_MEMORY_POOL", "MALLOC_MMAP_THRESHOLD_", "MALLOC_TRIM_THRESHOLD_"):
+                environment.pop(key, None)
+            stage(spark, docs, SF_DIR)
+            found.append(dict(environment))
+
+    def pools(batches):
+        for _ in batches:
+            yield pa.record_batch([[pa.default_memory_pool().backend_name], [os.environ["MALLOC_TRIM_THRESHOLD_"]]], names=["p", "t"])
+
+    assert all(x == found[0] for x in found)
+    assert {tuple(r) for r in spark.range(1).mapInArrow(pools, "p string, t string").collect()} == {("system", str(8 << 20))}
